@@ -223,15 +223,12 @@ def prompt_of_completion(completions: DataFrame, prompts: DataFrame, generations
     """Match flat completion numbers with the prompt each was generated for.
 
     ``prompts`` (prompt_idx, ...) is numbered from 0; numbers beyond the last
-    prompt start over, so the prompt count comes along as a one-row side.
+    prompt start over.
     """
-    count = prompts.agg((F.max("prompt_idx") + 1).alias("_n"))
-    return (
-        completions.join(F.broadcast(count))
-        .withColumn("prompt_idx", F.floor(F.col("completion_no") / generations) % F.col("_n"))
-        .drop("_n")
-        .join(prompts, "prompt_idx")
-    )
+    count = prompts.agg((F.max("prompt_idx") + 1).alias("n")).scalar()
+    return completions.withColumn(
+        "prompt_idx", F.floor(F.col("completion_no") / generations) % count
+    ).join(prompts, "prompt_idx")
 
 
 def reward_stats(rewards: DataFrame) -> DataFrame:
