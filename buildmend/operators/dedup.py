@@ -29,6 +29,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, LongType
 
 from buildmend.functions.text import text_or_empty, word_set
 from buildmend.session import durable
@@ -40,7 +41,7 @@ HEADS = 8
 SEED = 42
 
 
-@F.pandas_udf("array<bigint>")
+@F.pandas_udf(ArrayType(LongType()))
 def band_keys(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
     """One bucket key per band from the hashed words of each record."""
     rng = np.random.default_rng(SEED)
@@ -163,6 +164,14 @@ def settle(vertices: DataFrame, edges: DataFrame) -> DataFrame:
         open_edges = edges.join(state.filter(F.col("state") == "open").select("ord"), "ord", "left_semi")
 
 
+def place(order: list[str]) -> Column:
+    return F.col(order[0]) if len(order) == 1 else F.struct(*order)
+
+
+def part_of(place_col: str, order: list[str], name: str) -> Column:
+    return F.col(place_col) if len(order) == 1 else F.col(f"{place_col}.{name}")
+
+
 def dedup_decisions(
     df: DataFrame,
     key: str = "id",
@@ -175,7 +184,7 @@ def dedup_decisions(
 
     ``order`` must tell all records apart; it defaults to the key alone.
     """
-    ord_col = F.struct(*(order or [key]))
+    ord_col = place(order or [key])
     content = F.concat(*[text_or_empty(F.col(c)) for c in text])
     records = df.select(ord_col.alias("ord"), F.col(key).alias("id"), hashed_words(content).alias("words"))
     folded = distinct_sets(records)
@@ -240,18 +249,23 @@ def _spread(records: DataFrame, sets: DataFrame, state: DataFrame) -> DataFrame:
 
 def near_dedup(df: DataFrame, key: str = "id", order: list[str] | None = None, **options) -> DataFrame:
     """The records that stay."""
-    keep = dedup_decisions(df, key, order, **options).filter("kept").select("ord")
-    by = order or [key]
-    return df.join(keep.select("ord.*"), by, "left_semi")
+    order = order or [key]
+    keep = dedup_decisions(df, key, order, **options).filter("kept")
+    return df.join(keep.select(*[part_of("ord", order, c).alias(c) for c in order]), order, "left_semi")
 
 
 def near_dup_pairs(df: DataFrame, key: str = "id", order: list[str] | None = None, **options) -> DataFrame:
     """Each removed record with the kept record it repeats and their similarity."""
-    first = (order or [key])[-1] if key not in (order or [key]) else key
+    order = order or [key]
+    shown = key if key in order else order[-1]
     return (
         dedup_decisions(df, key, order, **options)
         .filter(~F.col("kept"))
-        .select(F.col(f"ord.{first}").alias("dup_id"), F.col(f"kept_ord.{first}").alias("kept_id"), "similarity")
+        .select(
+            part_of("ord", order, shown).alias("dup_id"),
+            part_of("kept_ord", order, shown).alias("kept_id"),
+            "similarity",
+        )
     )
 
 

@@ -7,13 +7,23 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
-def read_jsonl(spark: SparkSession, path: str, schema: StructType | str, with_file: bool = False) -> DataFrame:
-    """Records of all ``*.jsonl`` files below ``path``; blank and malformed lines are left out."""
+# Files as they land, and as Spark itself writes them.
+JSONL_FILES = "*.{jsonl,json}"
+
+
+def read_jsonl(
+    spark: SparkSession,
+    path: str,
+    schema: StructType | str,
+    with_file: bool = False,
+    files: str = JSONL_FILES,
+) -> DataFrame:
+    """Records of all JSON-lines files below ``path``; blank and malformed lines are left out."""
     df = (
         spark.read.schema(schema)
         .option("mode", "DROPMALFORMED")
         .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.jsonl")
+        .option("pathGlobFilter", files)
         .json(path)
     )
     return df.withColumn("source_file", F.col("_metadata.file_path")) if with_file else df
