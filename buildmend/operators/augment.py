@@ -217,14 +217,15 @@ def package_version(package: str) -> Callable[[Column, int], Column]:
 class Strategy(NamedTuple):
     name: str
     rewrite: Callable[[Column, int], Column]
+    needs: str = ""  # a lower-case word without which the strategy never applies
 
 
 STRATEGIES = [
-    Strategy("python_version", python_version),
-    Strategy("node_version", node_version),
-    Strategy("runner_version", runner_version),
-    Strategy("docker_image", docker_image),
-    Strategy("env_var", env_var),
+    Strategy("python_version", python_version, "python"),
+    Strategy("node_version", node_version, "node"),
+    Strategy("runner_version", runner_version, "ubuntu-"),
+    Strategy("docker_image", docker_image, "from"),
+    Strategy("env_var", env_var, "$"),
 ]
 
 RECORD_KEYS = ["pipeline_id", "build_id", "pr_number"]
@@ -243,23 +244,22 @@ def mutate(
     """
     chosen = [s for s in strategies or STRATEGIES if names is None or s.name in names]
     text = F.col(log)
-    tries = []
-    for index, strategy in enumerate(chosen):
-        result = strategy.rewrite(text, index)
-        tries.append(
-            let(
-                result,
-                lambda r, s=strategy, i=index: F.when(
-                    r.isNotNull() & (r["ci_log"] != text),
-                    F.struct(
-                        r["ci_log"].alias("ci_log"),
-                        F.lit(s.name).alias("mutation_strategy"),
-                        r["mutation_description"].alias("mutation_description"),
-                        F.lit(i).alias("mutation_index"),
-                    ),
-                ),
+
+    def attempt(index: int, strategy: Strategy) -> Column:
+        def changed(r: Column) -> Column:
+            variant = F.struct(
+                r["ci_log"].alias("ci_log"),
+                F.lit(strategy.name).alias("mutation_strategy"),
+                r["mutation_description"].alias("mutation_description"),
+                F.lit(index).alias("mutation_index"),
             )
-        )
+            return F.when(r.isNotNull() & (r["ci_log"] != text), variant)
+
+        result = strategy.rewrite(text, index)
+        # The needed word settles most logs without running the pattern.
+        return let(F.when(F.lower(text).contains(strategy.needs), result), changed)
+
+    tries = [attempt(index, strategy) for index, strategy in enumerate(chosen)]
     applied = F.slice(F.filter(F.array(*tries), lambda t: t.isNotNull()), 1, per_record)
     own_key = [
         F.nullif(F.nullif(F.col(k).cast("string"), F.lit("")), F.lit("0"))

@@ -1,7 +1,8 @@
 """Classification of failure logs by weighted patterns and model verdicts.
 
 Everything here is a row-wise projection: no shuffle but for the join with the
-verdict table, and every pattern runs once over every log.
+verdict table. A pattern runs at most once over a log, and only where the log
+holds the words that the pattern cannot match without.
 """
 
 from __future__ import annotations
@@ -10,7 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from buildmend.functions import taxonomy as tax
-from buildmend.functions.text import any_case, filled, list_repr, text_or_empty
+from buildmend.functions.prefilter import has_odd_letters, may_match
+from buildmend.functions.text import any_case, filled, let, list_repr, text_or_empty
 
 
 def signals(log: Column) -> Column:
@@ -19,19 +21,24 @@ def signals(log: Column) -> Column:
     Confidence grows with each repeated match up to a ceiling; equal
     confidences keep the order of the pattern list.
     """
-    tried = F.array(
-        *[
-            F.struct(
-                F.lit(rank).alias("rank"),
-                F.lit(p.failure_class).alias("failure_class"),
-                F.lit(p.failure_subclass).alias("failure_subclass"),
-                F.lit(p.confidence).alias("base"),
-                F.lit(p.regex).alias("regex"),
-                F.regexp_extract_all(log, F.lit(any_case(p.regex)), 1).alias("found"),
-            )
-            for rank, p in enumerate(tax.PATTERNS)
-        ]
-    )
+
+    def tried(seen: Column) -> Column:
+        return F.array(
+            *[
+                F.struct(
+                    F.lit(rank).alias("rank"),
+                    F.lit(p.failure_class).alias("failure_class"),
+                    F.lit(p.failure_subclass).alias("failure_subclass"),
+                    F.lit(p.confidence).alias("base"),
+                    F.lit(p.regex).alias("regex"),
+                    F.when(
+                        may_match(seen["lowered"], [p.regex], seen["odd"]),
+                        F.regexp_extract_all(log, F.lit(any_case(p.regex)), 1),
+                    ).alias("found"),
+                )
+                for rank, p in enumerate(tax.PATTERNS)
+            ]
+        )
 
     def scored(s: Column) -> Column:
         n = F.size(s["found"])
@@ -51,7 +58,10 @@ def signals(log: Column) -> Column:
             ).alias("evidence"),
         )
 
-    hits = F.filter(tried, lambda s: F.size(s["found"]) > 0)
+    seen = let(
+        F.lower(log), lambda low: F.struct(low.alias("lowered"), has_odd_letters(low).alias("odd"))
+    )
+    hits = F.filter(let(seen, tried), lambda s: F.size(s["found"]) > 0)
     return F.array_sort(F.transform(hits, scored))
 
 

@@ -11,6 +11,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from buildmend.functions.prefilter import may_match
 from buildmend.functions.text import any_case, let
 
 # Escape sequences, error patterns and sizes per platform.
@@ -61,11 +62,14 @@ CIRCLECI = ContextRule(CIRCLECI_ERRORS, 3, 19, 100, False, 100, True)
 
 def error_context(log: Column, rule: ContextRule) -> Column:
     if rule.strip_ansi:
-        log = F.regexp_replace(log, ANSI, "")
+        log = F.when(log.contains("\x1b"), F.regexp_replace(log, ANSI, "")).otherwise(log)
     is_error = any_case("|".join(f"(?:{e})" for e in rule.errors))
 
     def around(lines: Column) -> Column:
-        return let(F.transform(lines, lambda line: line.rlike(is_error)), lambda flags: pick(lines, flags))
+        def flag(line: Column) -> Column:
+            return may_match(F.lower(line), rule.errors) & line.rlike(is_error)
+
+        return let(F.transform(lines, flag), lambda flags: pick(lines, flags))
 
     def pick(lines: Column, flags: Column) -> Column:
         def near_error(_line: Column, i: Column) -> Column:

@@ -89,10 +89,12 @@ def detect_ecosystem(title: Column, labels: Column, filenames: Column, body: Col
     from_labels = F.get(
         F.filter(F.transform(F.coalesce(labels, empty), by_name), lambda e: e.isNotNull()), F.lit(0)
     )
+    def any_named(indicators: list[str]) -> Column:
+        return F.exists(F.coalesce(filenames, empty), lambda f: any_contains(f, indicators))
+
     from_files = F.lit(None).cast("string")
     for eco, indicators in reversed(ECOSYSTEMS.items()):
-        named = F.exists(F.coalesce(filenames, empty), lambda f, inds=indicators: any_contains(f, inds))
-        from_files = F.when(named, F.lit(eco)).otherwise(from_files)
+        from_files = F.when(any_named(indicators), F.lit(eco)).otherwise(from_files)
     from_words = (
         F.when(body.contains("package.json") | title.contains("npm"), "npm")
         .when(body.contains("requirements") | title.contains("pip") | title.contains("python"), "pip")

@@ -189,7 +189,7 @@ def near_dedup(t):
 
 @query(
     "near_dup_pairs", ["ci_pairs"], recursive=True, steps=DEDUP_STEPS,
-    sql="""SELECT later AS dup_id, min(earlier) AS kept_id, arg_min(similarity, earlier) AS similarity FROM similar
+    sql="""SELECT later AS dup_id, min(earlier) AS kept_id, arg_min(similarity, earlier) AS similarity FROM alike
     WHERE later IN (SELECT id FROM gone) AND earlier NOT IN (SELECT id FROM gone) GROUP BY later""",
 )
 def near_dup_pairs(t):

@@ -115,12 +115,12 @@ near AS (SELECT *, max(err) OVER (PARTITION BY id ORDER BY i ROWS BETWEEN {after
 
 
 # The greedy removal of near-duplicates, one record after the other.
-DEDUP_STEPS = """worded AS (SELECT id, list_distinct(list_transform(list_filter(string_split_regex(lower(concat(ci_log, fix_diff)), '\\s+'), lambda x: x <> ''), lambda x: hash(x))) AS w FROM ci_pairs),
+DEDUP_STEPS = """worded AS MATERIALIZED (SELECT id, list_distinct(list_transform(list_filter(string_split_regex(lower(concat(ci_log, fix_diff)), '\\s+'), lambda x: x <> ''), lambda x: hash(x))) AS w FROM ci_pairs),
 sized AS (SELECT id, w, len(w) AS n FROM worded),
 compared AS (SELECT a.id AS earlier, b.id AS later, len(list_intersect(a.w, b.w)) AS i, a.n + b.n AS t
   FROM sized a JOIN sized b ON a.id < b.id AND least(a.n, b.n) >= 0.85::DOUBLE * greatest(a.n, b.n)),
-similar AS (SELECT earlier, later, i::DOUBLE / (t - i) AS similarity FROM compared WHERE i::DOUBLE / (t - i) >= 0.85::DOUBLE),
-o AS (SELECT later AS id, list(earlier) AS nb, row_number() OVER (ORDER BY later) AS rn FROM similar GROUP BY later),
+alike AS MATERIALIZED (SELECT earlier, later, i::DOUBLE / (t - i) AS similarity FROM compared WHERE i::DOUBLE / (t - i) >= 0.85::DOUBLE),
+o AS MATERIALIZED (SELECT later AS id, list(earlier) AS nb, row_number() OVER (ORDER BY later) AS rn FROM alike GROUP BY later),
 g AS (SELECT 0::BIGINT AS rn, []::BIGINT[] AS dropped
   UNION ALL
   SELECT o.rn, CASE WHEN len(list_filter(o.nb, lambda x: NOT list_contains(g.dropped, x))) > 0 THEN list_append(g.dropped, o.id) ELSE g.dropped END
