@@ -73,12 +73,11 @@ def hashed_words(content: Column) -> Column:
 def distinct_sets(records: DataFrame) -> DataFrame:
     """Fold records of equal word sets into those that can still be kept.
 
-    ``records`` (ord, id, words). Of a set the first record with an id of its
+    ``records`` (ord, id, set_key). Of a set the first record with an id of its
     own decides for all behind it. Records ahead of it whose id occurs again
     elsewhere stay, since they may fall to their id and not to their text.
     """
-    as_text = F.array_join(F.transform("words", lambda w: w.cast("string")), ",")
-    slim = records.select("ord", "id", F.md5(as_text).alias("set_key"))
+    slim = records.select("ord", "id", "set_key")
     firsts = slim.groupBy("set_key", "id").agg(F.min("ord").alias("ord"))
     repeated = (
         slim.groupBy("id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("id", F.lit(True).alias("again"))
@@ -88,7 +87,7 @@ def distinct_sets(records: DataFrame) -> DataFrame:
     return (
         marked.join(decisive, "set_key")
         .filter(F.col("decisive").isNull() | (F.col("ord") <= F.col("decisive")))
-        .select("ord", "set_key", "again")
+        .select("ord", "again")
     )
 
 
@@ -186,10 +185,11 @@ def dedup_decisions(
     """
     ord_col = place(order or [key])
     content = F.concat(*[text_or_empty(F.col(c)) for c in text])
-    records = df.select(ord_col.alias("ord"), F.col(key).alias("id"), hashed_words(content).alias("words"))
-    folded = distinct_sets(records)
+    worded = df.select(ord_col.alias("ord"), F.col(key).alias("id"), hashed_words(content).alias("words"))
+    as_text = F.array_join(F.transform("words", lambda w: w.cast("string")), ",")
+    records = durable(worded.withColumn("set_key", F.md5(as_text)))
     sets = durable(
-        records.join(folded, "ord").select("ord", "id", "words", "again", "set_key", F.size("words").alias("n_words"))
+        records.join(distinct_sets(records), "ord").withColumn("n_words", F.size("words"))
     )
 
     by_band = sets.select("ord", "n_words", F.explode(band_keys("words")).alias("bucket")).select(
@@ -223,13 +223,11 @@ def dedup_decisions(
         .join(decided, "ord", "left")
         .withColumn("state", F.coalesce("state", F.lit("keep")))
     )
-    return _spread(records, sets, folded_state)
+    return carried_over(records.select("ord", "id", "set_key"), folded_state)
 
 
-def _spread(records: DataFrame, sets: DataFrame, state: DataFrame) -> DataFrame:
-    """Carry the decisions on the folded records over to all records."""
-    as_text = F.array_join(F.transform("words", lambda w: w.cast("string")), ",")
-    everyone = records.select("ord", "id", F.md5(as_text).alias("set_key"))
+def carried_over(everyone: DataFrame, state: DataFrame) -> DataFrame:
+    """The decisions on the folded records, carried over to all records."""
     own = state.select("ord", "state", "kept_ord", "similarity")
     # The record that stands for a whole set: its kept member, else what its last member repeats.
     speaker = state.groupBy("set_key").agg(

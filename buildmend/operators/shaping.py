@@ -214,56 +214,51 @@ def dpo_chat(pairs: DataFrame, system: str) -> DataFrame:
     )
 
 
-def model_requests(df: DataFrame, kind: str, system: str = "", key: str = "id", sure: float = 0.90) -> DataFrame:
-    """Request texts for a model outside Spark, one row per record to ask about.
+REQUEST_KINDS = ["classify", "classify_short", "repair", "bench", "patch", "worse_patch"]
+
+
+def model_requests(
+    df: DataFrame, kinds: list[str] = REQUEST_KINDS, system: str = "", key: str = "id", sure: float = 0.90
+) -> DataFrame:
+    """Request texts for a model outside Spark, one row per record and kind.
 
     ``classify`` and ``classify_short`` skip logs that the patterns settle on
     their own; ``repair`` and ``bench`` are whole chats; ``patch`` and
-    ``worse_patch`` are user messages.
+    ``worse_patch`` are user messages. All kinds come from one pass over the logs.
     """
     log = text_or_empty(F.col("ci_log"))
     about = say("Repository: ", field(df, "repo", DEFAULT_REPO), " (", field(df, "language", DEFAULT_LANGUAGE), ")\n")
-    ask = "Analyze this CI failure and generate the minimal fix.\n"
-    if kind in ("classify", "classify_short"):
-        seen = top_class(df).filter(filled(F.col("ci_log")) & (F.col("heuristic_confidence") < sure))
-        hint = say(
-            F.col("heuristic_class"), " (", F.coalesce("heuristic_subclass", F.lit("unknown")), ") — confidence ",
-            F.format_string("%.2f", "heuristic_confidence"),
-        )
-        if kind == "classify":
-            text = say(
-                "CI Log (truncated to key section):\n", cut(log, 8000),
-                "\n\nHeuristic pre-classification hint: ", hint, "\n\nClassify this CI failure.",
-            )
-        else:
-            text = say("CI Log:\n", cut(log, 8000), "\n\nHeuristic hint: ", hint, "\n\nClassify this CI failure.")
-        return seen.select(key, F.lit(kind).alias("kind"), text.alias("request"))
-    if kind == "repair":
-        df = top_class(df)
-        hint = F.when(
-            F.col("heuristic_class") != "UNKNOWN",
-            say(
-                "\n[Heuristic hint: ", F.col("heuristic_class"), " — ",
-                F.coalesce("heuristic_subclass", F.lit("unknown")), ", confidence ",
-                F.format_string("%.2f", "heuristic_confidence"), "]",
-            ),
-        )
-        text = chat(system, say(
-            about, "Workflow: ", field(df, "workflow_name"), "\n", hint, "\nCI Log:\n", cut(log, 7000), "\n\n", ask,
-        ))
-    elif kind == "bench":
-        text = chat(system, say(about, "CI Log:\n", cut(log, 6000), "\n\n", ask))
-    elif kind == "patch":
-        context = field(df, "code_context")
-        text = say(
+    ask = "\n\nAnalyze this CI failure and generate the minimal fix.\n"
+    subclass = F.coalesce("heuristic_subclass", F.lit("unknown"))
+    confidence = F.format_string("%.2f", "heuristic_confidence")
+    hint = say(F.col("heuristic_class"), " (", subclass, ") — confidence ", confidence)
+    inline_hint = F.when(
+        F.col("heuristic_class") != "UNKNOWN",
+        say("\n[Heuristic hint: ", F.col("heuristic_class"), " — ", subclass, ", confidence ", confidence, "]"),
+    )
+    context = field(df, "code_context")
+    unsure = filled(F.col("ci_log")) & (F.col("heuristic_confidence") < sure)
+    fixed = F.coalesce(F.col("has_fix"), F.lit(False)) & filled(F.col("fix_diff"))
+    always = F.lit(True)
+
+    wanted: dict[str, tuple[Column, Column]] = {
+        "classify": (unsure, say(
+            "CI Log (truncated to key section):\n", cut(log, 8000),
+            "\n\nHeuristic pre-classification hint: ", hint, "\n\nClassify this CI failure.",
+        )),
+        "classify_short": (unsure, say(
+            "CI Log:\n", cut(log, 8000), "\n\nHeuristic hint: ", hint, "\n\nClassify this CI failure."
+        )),
+        "repair": (always, chat(system, say(
+            about, "Workflow: ", field(df, "workflow_name"), "\n", inline_hint, "\nCI Log:\n", cut(log, 7000), ask,
+        ))),
+        "bench": (always, chat(system, say(about, "CI Log:\n", cut(log, 6000), ask))),
+        "patch": (always, say(
             about, "Failure class: ", field(df, "failure_class", "UNKNOWN"), " — ", field(df, "failure_subclass"),
             "\n\nCI Log:\n", cut(log, 6000), "\n\nCode context:\n",
-            F.when(context == "", "(not available)").otherwise(cut(context, 3000)),
-            "\n\nGenerate the minimal fix.",
-        )
-    elif kind == "worse_patch":
-        df = df.filter(F.coalesce(F.col("has_fix"), F.lit(False)) & filled(F.col("fix_diff")))
-        text = say(
+            F.when(context == "", "(not available)").otherwise(cut(context, 3000)), "\n\nGenerate the minimal fix.",
+        )),
+        "worse_patch": (fixed, say(
             "Generate a DIFFERENT but WORSE fix for this CI failure. ",
             "The fix should be plausible but suffer from one of these flaws: ",
             "(1) too verbose — makes unnecessary changes, ",
@@ -272,10 +267,13 @@ def model_requests(df: DataFrame, kind: str, system: str = "", key: str = "id",
             "(4) adds a band-aid retry without fixing the underlying issue.\n\n",
             "CI Log:\n", cut(log, 3000), "\n\nRepository language: ", field(df, "language", DEFAULT_LANGUAGE),
             "\nOutput ONLY the diff, no explanation.",
-        )
-    else:
-        raise ValueError(f"unknown request kind {kind!r}")
-    return df.select(key, F.lit(kind).alias("kind"), text.alias("request"))
+        )),
+    }
+    seen = top_class(df) if {"classify", "classify_short", "repair"} & set(kinds) else df
+    made = F.array(*[
+        F.when(wanted[kind][0], F.struct(F.lit(kind).alias("kind"), wanted[kind][1].alias("request"))) for kind in kinds
+    ])
+    return seen.select(key, F.explode(F.filter(made, lambda r: r.isNotNull())).alias("r")).select(key, "r.*")
 
 
 def synthesis_plan(spark: SparkSession, per_subclass: int = 250, seed: int = 42) -> DataFrame:

@@ -32,10 +32,30 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 
 
 def durable(df: DataFrame) -> DataFrame:
-    """Cut the lineage through the reliable checkpoint folder.
+    """Cut the lineage: write a table to the shared folder and read it back.
 
-    The rows survive the loss of executors, so a later stage never has to
-    recompute an iterative job from its start.
+    The rows survive the loss of executors, so a later stage never recomputes
+    an iterative job from its start. Unlike a checkpoint the table is read by
+    column and has a known size, by which Spark picks its joins.
     """
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    path = scratch_path(df.sparkSession, "table")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def plan_bytes(df: DataFrame) -> int:
+    """Spark's own estimate of the size of ``df``."""
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+
+
+def spread(df: DataFrame, *keys: str, bytes_per_core: int = 32 << 20) -> DataFrame:
+    """Spread a small table over all cores ahead of heavy work on each row.
+
+    A file with one row group feeds one task however many cores there are.
+    Tables with enough bytes for every core are left as they are, so large
+    inputs are never shuffled for this.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if cores == 1 or plan_bytes(df) >= cores * bytes_per_core:
+        return df
+    return df.repartition(cores, *keys)

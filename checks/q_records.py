@@ -300,12 +300,7 @@ asked AS (SELECT p.*, t.h_class, t.h_conf, coalesce(t.h_sub, 'unknown') AS sub,
       || 'Output ONLY the diff, no explanation.' FROM asked WHERE has_fix AND fix_diff <> ''""",
 )
 def model_requests(t):
-    kinds = ["classify", "classify_short", "repair", "bench", "patch", "worse_patch"]
-    parts = [shaping.model_requests(t.ci_pairs, kind, SYSTEM) for kind in kinds]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+    return shaping.model_requests(t.ci_pairs, system=SYSTEM)
 
 
 _REPLY_SCHEMA = {"failure_class": "string", "failure_subclass": "string", "ci_log": "string", "fix_diff": "string"}

@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from buildmend.session import spread
+
 BASE = [
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
     "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
@@ -353,7 +355,8 @@ def order_of(names: list[str]) -> list[str]:
 def spark_view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A driver table or derived view as a DataFrame."""
     if name in BASE:
-        return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+        table = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+        return spread(table, "doc_id") if name == "documents" else table
     for view in order_of([name]):
         for need in VIEWS[view][0]:
             if need in BASE:
