@@ -12,7 +12,7 @@ How it scales:
   one record are dropped before anything else happens.
 * Within a bucket a record is compared only with the bucket's first few
   undecided records, its heads. So a bucket costs a number of comparisons
-  linear in its size, however hot it is, and never all pairs.
+  linear in its size, however hot it is.
 * A record whose comparisons are complete is decided; the undecided go to the
   next round, where the heads of their buckets are others. Each round decides
   at least the heads of every bucket that nothing earlier holds back.
@@ -31,13 +31,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType
 
-from buildmend.functions.text import text_or_empty, word_set
+from buildmend.functions.text import text_or_empty, words
 from buildmend.session import durable
 
 THRESHOLD = 0.85
 BANDS = 40
 BAND_SIZE = 8
-HEADS = 8
+SMALL_BUCKET = 32  # records of a bucket up to this size all are heads
+HEADS = 8  # heads of a larger bucket
 SEED = 42
 
 
@@ -67,7 +68,8 @@ def band_keys(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
 
 
 def hashed_words(content: Column) -> Column:
-    return F.array_sort(F.array_distinct(F.transform(word_set(content), lambda w: F.xxhash64(w))))
+    """Sorted distinct hashes of the words of a text."""
+    return F.sort_array(F.array_distinct(F.transform(words(content), lambda w: F.xxhash64(w))))
 
 
 def distinct_sets(records: DataFrame) -> DataFrame:
@@ -91,18 +93,31 @@ def distinct_sets(records: DataFrame) -> DataFrame:
     )
 
 
+BUCKET = ["bucket", "same_id"]
+
+
+def sized(live: DataFrame, at_least: int) -> DataFrame:
+    """Add the number of records in the bucket; smaller buckets are left out."""
+    sizes = live.groupBy(*BUCKET).agg(F.count(F.lit(1)).alias("n_bucket"))
+    return live.join(sizes.filter(F.col("n_bucket") >= at_least), BUCKET)
+
+
 def similar_to_heads(live: DataFrame, sets: DataFrame, threshold: float, heads: int) -> tuple[DataFrame, DataFrame]:
     """Compare the records of each bucket with the bucket's heads.
 
     Returns the edges (ord, earlier, similarity) and the ords whose list of
     earlier bucket mates is not complete yet.
     """
-    w = Window.partitionBy("bucket").orderBy("ord")
-    front = live.withColumn("_n", F.row_number().over(w)).filter(F.col("_n") <= heads).drop("_n")
-    ahead = front.select("bucket", F.col("ord").alias("earlier"), F.col("n_words").alias("n_earlier"))
+    w = Window.partitionBy(*BUCKET).orderBy("ord")
+    front = (
+        live.withColumn("_n", F.row_number().over(w))
+        .filter(F.col("_n") <= max(heads, SMALL_BUCKET))
+        .filter((F.col("_n") <= heads) | (F.col("n_bucket") <= SMALL_BUCKET))
+    )
+    ahead = front.select(*BUCKET, F.col("ord").alias("earlier"), F.col("n_words").alias("n_earlier"))
     small, large = F.least("n_words", "n_earlier"), F.greatest("n_words", "n_earlier")
     met = (
-        live.join(ahead, "bucket")
+        live.join(ahead, BUCKET)
         .filter((F.col("earlier") < F.col("ord")) & (F.col("same_id") | (small >= large * threshold)))
         .groupBy("ord", "earlier")
         .agg(F.max("same_id").alias("same_id"))
@@ -118,7 +133,7 @@ def similar_to_heads(live: DataFrame, sets: DataFrame, threshold: float, heads:
         .filter(F.col("same_id") | (F.col("similarity") >= threshold))
         .drop("same_id")
     )
-    waiting = live.join(front.select("bucket", "ord"), ["bucket", "ord"], "left_anti").select("ord").distinct()
+    waiting = live.join(front.select(*BUCKET, "ord"), [*BUCKET, "ord"], "left_anti").select("ord").distinct()
     return durable(edges), waiting
 
 
@@ -186,21 +201,17 @@ def dedup_decisions(
     ord_col = place(order or [key])
     content = F.concat(*[text_or_empty(F.col(c)) for c in text])
     worded = df.select(ord_col.alias("ord"), F.col(key).alias("id"), hashed_words(content).alias("words"))
-    as_text = F.array_join(F.transform("words", lambda w: w.cast("string")), ",")
-    records = durable(worded.withColumn("set_key", F.md5(as_text)))
+    set_key = F.concat_ws("-", F.xxhash64("words"), F.xxhash64(F.lit(SEED), "words"), F.size("words"))
+    records = durable(worded.withColumn("set_key", set_key))
     sets = durable(
-        records.join(distinct_sets(records), "ord").withColumn("n_words", F.size("words"))
+        records.join(distinct_sets(records), "ord")
+        .withColumn("n_words", F.size("words"))
+        .withColumn("bands", band_keys("words"))
     )
 
-    by_band = sets.select("ord", "n_words", F.explode(band_keys("words")).alias("bucket")).select(
-        "ord", "n_words", F.lit(False).alias("same_id"), F.col("bucket").cast("string").alias("bucket")
-    )
-    by_id = sets.filter("again").select(
-        "ord", "n_words", F.lit(True).alias("same_id"), F.concat(F.lit("id:"), F.col("id").cast("string")).alias("bucket")
-    )
-    keys = by_band.unionByName(by_id)
-    shared = keys.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("bucket")
-    live = durable(keys.join(shared, "bucket", "left_semi"))
+    by_band = sets.select("ord", "n_words", F.lit(False).alias("same_id"), F.explode("bands").alias("bucket"))
+    by_id = sets.filter("again").select("ord", "n_words", F.lit(True).alias("same_id"), F.xxhash64("id").alias("bucket"))
+    live = durable(sized(by_band.unionByName(by_id), at_least=2))
 
     decided = None
     while True:
@@ -216,7 +227,7 @@ def dedup_decisions(
         left = state.filter(F.col("state") == "open").select("ord")
         if left.isEmpty():
             break
-        live = durable(live.join(left, "ord", "left_semi"))
+        live = durable(sized(live.join(left, "ord", "left_semi").drop("n_bucket"), at_least=1))
 
     folded_state = (
         sets.select("ord", "set_key")

@@ -129,8 +129,10 @@ def green_commit_fix(
         newest = green.groupBy(*keys).agg(
             F.max_by("sha", place).alias("_sha"), F.max(place).alias("_place")
         )
+        # A failing commit that was not looked at has no place to compare with.
+        behind = F.col("committed_at").isNotNull() & (F.col("_place") > place)
         return broken.join(newest, keys, "left").select(
-            *failures.columns, F.when(F.col("_place") > place, F.col("_sha")).alias("fix_sha")
+            *failures.columns, F.when(behind, F.col("_sha")).alias("fix_sha")
         )
     if pick != "next":
         raise ValueError(f"pick must be 'latest' or 'next', not {pick!r}")

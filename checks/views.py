@@ -168,7 +168,7 @@ FROM orders
 _view("commit_files", ["lineitem", "commits"], """
 SELECT c.repo, c.sha, f.file_no, f.filename, f.patch, f.additions, f.deletions, f.status, f.commit_no FROM commits c JOIN (
   SELECT l_orderkey AS commit_no,
-    row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_shipdate) AS file_no,
+    CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_shipdate) AS BIGINT) AS file_no,
     concat(CASE l_linenumber % 7 WHEN 0 THEN 'package-lock.json' WHEN 1 THEN 'requirements.txt' WHEN 2 THEN 'Cargo.toml'
       WHEN 3 THEN 'ci/build.yml' WHEN 4 THEN 'Dockerfile' WHEN 5 THEN 'go.mod' ELSE 'src/main.py' END) AS filename,
     CASE WHEN l_quantity < 5 THEN CAST(NULL AS STRING)
