@@ -310,13 +310,27 @@ def json_part(reply: Column) -> Column:
     return F.when(text.startswith("{"), text).otherwise(F.nullif(F.regexp_extract(text, r"(?s)\{.*\}", 0), F.lit("")))
 
 
+def is_one_object(text: Column) -> Column:
+    """Whether ``text`` is one JSON object and nothing behind it.
+
+    The parsers stop at the end of the first value; inside a list anything
+    that follows it must make the list longer or break it.
+    """
+    listed = F.concat(F.lit("["), text, F.lit("]"))
+    return (
+        text.startswith("{") & text.endswith("}")
+        & F.try_parse_json(listed).isNotNull()
+        & (F.json_array_length(listed) == 1)
+    )
+
+
 def parse_model_json(
     replies: DataFrame, reply: str, fields: dict[str, str], required: list[str] = REPLY_FIELDS
 ) -> DataFrame:
     """Fields of the replies that are JSON objects with every required field."""
     schema = ", ".join(f"`{name}` {kind}" for name, kind in fields.items())
     parsed = replies.withColumn("_json", json_part(F.col(reply))).withColumn(
-        "_whole", F.try_parse_json("_json").isNotNull()
+        "_whole", is_one_object(F.col("_json"))
     ).withColumn("_keys", F.when(F.col("_whole"), F.json_object_keys("_json")))
     complete = F.size(F.array_except(F.array(*[F.lit(r) for r in required]), "_keys")) == 0
     kept = [c for c in replies.columns if c != reply and c not in fields]
