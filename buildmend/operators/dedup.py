@@ -85,11 +85,14 @@ def distinct_sets(records: DataFrame) -> DataFrame:
         slim.groupBy("id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("id", F.lit(True).alias("again"))
     )
     marked = firsts.join(repeated, "id", "left").withColumn("again", F.coalesce("again", F.lit(False)))
-    decisive = marked.groupBy("set_key").agg(F.min(F.when(~F.col("again"), F.col("ord"))).alias("decisive"))
-    return (
-        marked.join(decisive, "set_key")
-        .filter(F.col("decisive").isNull() | (F.col("ord") <= F.col("decisive")))
-        .select("ord", "again")
+    # The copies of a hot text end here, in the partial aggregation.
+    decisive = marked.filter(~F.col("again")).groupBy("set_key").agg(F.min("ord").alias("decisive"))
+    ahead = (
+        marked.filter("again").join(decisive, "set_key", "left")
+        .filter(F.col("decisive").isNull() | (F.col("ord") < F.col("decisive")))
+    )
+    return decisive.select(F.col("decisive").alias("ord"), F.lit(False).alias("again")).unionByName(
+        ahead.select("ord", "again")
     )
 
 
@@ -186,18 +189,16 @@ def part_of(place_col: str, order: list[str], name: str) -> Column:
     return F.col(place_col) if len(order) == 1 else F.col(f"{place_col}.{name}")
 
 
-def dedup_decisions(
+def decide(
     df: DataFrame,
-    key: str = "id",
-    order: list[str] | None = None,
+    key: str,
+    order: list[str] | None,
     text: list[str] = ["ci_log", "fix_diff"],
     threshold: float = THRESHOLD,
     heads: int = HEADS,
-) -> DataFrame:
-    """For each record (ord, id): whether it stays, and if not which kept record it repeats.
-
-    ``order`` must tell all records apart; it defaults to the key alone.
-    """
+) -> tuple[DataFrame, DataFrame]:
+    """All records (ord, id, set_key), and the decisions on the folded ones
+    (ord, set_key, state, kept_ord, similarity)."""
     ord_col = place(order or [key])
     content = F.concat(*[text_or_empty(F.col(c)) for c in text])
     worded = df.select(ord_col.alias("ord"), F.col(key).alias("id"), hashed_words(content).alias("words"))
@@ -229,12 +230,20 @@ def dedup_decisions(
             break
         live = durable(sized(live.join(left, "ord", "left_semi").drop("n_bucket"), at_least=1))
 
-    folded_state = (
+    state = (
         sets.select("ord", "set_key")
         .join(decided, "ord", "left")
         .withColumn("state", F.coalesce("state", F.lit("keep")))
     )
-    return carried_over(records.select("ord", "id", "set_key"), folded_state)
+    return records.select("ord", "id", "set_key"), state
+
+
+def dedup_decisions(df: DataFrame, key: str = "id", order: list[str] | None = None, **options) -> DataFrame:
+    """For each record (ord, id): whether it stays, and if not which kept record it repeats.
+
+    ``order`` must tell all records apart; it defaults to the key alone.
+    """
+    return carried_over(*decide(df, key, order, **options))
 
 
 def carried_over(everyone: DataFrame, state: DataFrame) -> DataFrame:
@@ -259,7 +268,8 @@ def carried_over(everyone: DataFrame, state: DataFrame) -> DataFrame:
 def near_dedup(df: DataFrame, key: str = "id", order: list[str] | None = None, **options) -> DataFrame:
     """The records that stay."""
     order = order or [key]
-    keep = dedup_decisions(df, key, order, **options).filter("kept")
+    _, state = decide(df, key, order, **options)
+    keep = state.filter(F.col("state") == "keep")
     return df.join(keep.select(*[part_of("ord", order, c).alias(c) for c in order]), order, "left_semi")
 
 

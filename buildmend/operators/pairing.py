@@ -144,7 +144,7 @@ def green_commit_fix(
     )
     followed = next_value(
         events, keys, ["committed_at", "commit_no", "_is_failure"], F.col("_green"),
-        F.date_trunc("month", "committed_at"), "fix_sha",
+        F.date_trunc("day", "committed_at"), "fix_sha",
     )
     return followed.filter(F.col("_is_failure") == 1).select(
         *failures.columns, F.when(F.col("committed_at").isNotNull(), F.col("fix_sha")).alias("fix_sha")
@@ -214,7 +214,7 @@ def next_commit_fix(failures: DataFrame, commits: DataFrame, files: DataFrame) -
     history = next_value(
         commits.select("repo", "sha", "committed_at", "commit_no", "message", "author"),
         ["repo"], ["committed_at", "commit_no"],
-        F.struct("sha", "message", "author"), F.date_trunc("month", "committed_at"), "next_commit",
+        F.struct("sha", "message", "author"), F.date_trunc("day", "committed_at"), "next_commit",
     )
     short = F.left("sha", F.lit(8))
     newest = history.groupBy("repo", short.alias("_short")).agg(

@@ -43,19 +43,20 @@ def durable(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def plan_bytes(df: DataFrame) -> int:
-    """Spark's own estimate of the size of ``df``."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-
-
 def spread(df: DataFrame, *keys: str, bytes_per_core: int = 32 << 20) -> DataFrame:
     """Spread a small table over all cores ahead of heavy work on each row.
 
-    A file with one row group feeds one task however many cores there are.
-    Tables with enough bytes for every core are left as they are, so large
-    inputs are never shuffled for this.
+    A file with one row group feeds one task however many cores there are. A
+    table with a file for every core, or with enough bytes for every core, is
+    left as it is, so large inputs are never shuffled for this.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if cores == 1 or plan_bytes(df) >= cores * bytes_per_core:
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    files = df.inputFiles()
+    if cores == 1 or len(files) >= cores:
         return df
+    if files:
+        size = spark.read.format("binaryFile").load(files).agg({"length": "sum"}).first()[0]
+        if size >= cores * bytes_per_core:
+            return df
     return df.repartition(cores, *keys)

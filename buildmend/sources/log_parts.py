@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from buildmend.functions.text import any_contains, text_or_empty
+from buildmend.session import durable
 
 # Name words that go first, and sizes.
 FIRST_WORDS = ["test", "build", "check", "lint"]
@@ -14,15 +15,50 @@ LOG_CHARS = 16_384
 AGENT_LOG_CHARS = 16_000
 
 
+# Neighbouring parts whose lengths are added up together in a run of very many.
+PARTS_PER_PIECE = 1024
+
+
+def leading_parts(placed: DataFrame, keys: list[str], limit: int) -> DataFrame:
+    """The parts of each run that can reach into its first ``limit`` characters.
+
+    Lengths are added up by piece ahead of any sort of the parts themselves,
+    so a run with a large share of all rows stays spread over many tasks.
+    """
+    place = [*keys, "_rank", "_piece"]
+    pieces = placed.withColumn("_piece", F.floor(F.col("_place") / PARTS_PER_PIECE))
+    in_order = (
+        Window.partitionBy(*keys).orderBy("_rank", "_piece").rowsBetween(Window.unboundedPreceding, -1)
+    )
+    needed = (
+        pieces.groupBy(*place)
+        .agg(F.sum(F.length("text") + 1).alias("_chars"))
+        .withColumn("_start", F.coalesce(F.sum("_chars").over(in_order), F.lit(0)))
+        .filter(F.col("_start") <= limit)
+        .select(*place)
+    )
+    return pieces.join(needed, place, "left_semi").drop("_piece")
+
+
+def joined_parts(placed: DataFrame, keys: list[str], limit: int) -> DataFrame:
+    before = Window.partitionBy(*keys).orderBy("_rank", "_place").rowsBetween(Window.unboundedPreceding, -1)
+    start = F.coalesce(F.sum(F.length("text") + 1).over(before), F.lit(0))
+    reaching = placed.withColumn("_start", start).filter(F.col("_start") <= limit)
+    listed = F.array_sort(F.collect_list(F.struct("_rank", "_place", "text")))
+    return reaching.groupBy(*keys).agg(
+        F.left(F.array_join(F.transform(listed, lambda p: p["text"]), "\n"), F.lit(limit)).alias("ci_log")
+    )
+
+
 def assemble_log_parts(
     parts: DataFrame, keys: list[str], words: list[str] = FIRST_WORDS, limit: int = LOG_CHARS
 ) -> DataFrame:
     """One log per run from ``parts`` (keys, part_no, name, text).
 
     Parts named after tests and builds go first, the last of them foremost;
-    the others follow in order. Each part takes at least its line break, so
-    the first ``limit + 1`` parts always fill the log: that bounds what a run
-    can bring into one task, and the limit is applied ahead of the shuffle.
+    the others follow in order. Each part takes at least its line break, so a
+    run with at most ``limit`` parts is bounded; the few runs with more are
+    found first and cut down to the parts that count.
     """
     first = any_contains(F.lower(text_or_empty(F.col("name"))), words)
     placed = parts.select(
@@ -31,11 +67,10 @@ def assemble_log_parts(
         F.when(first, -F.col("part_no")).otherwise(F.col("part_no")).alias("_place"),
         F.left(text_or_empty(F.col("text")), F.lit(limit)).alias("text"),
     )
-    w = Window.partitionBy(*keys).orderBy("_rank", "_place")
-    bounded = placed.withColumn("_n", F.row_number().over(w)).filter(F.col("_n") <= limit + 1)
-    start = F.coalesce(F.sum(F.length("text") + 1).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    needed = bounded.withColumn("_start", start).filter(F.col("_start") <= limit)
-    listed = F.array_sort(F.collect_list(F.struct("_rank", "_place", "text")))
-    return needed.groupBy(*keys).agg(
-        F.left(F.array_join(F.transform(listed, lambda p: p["text"]), "\n"), F.lit(limit)).alias("ci_log")
-    )
+    counted = parts.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    crowded = durable(counted.filter(F.col("_n") > limit).select(*keys))
+    if crowded.isEmpty():
+        return joined_parts(placed, keys, limit)
+    calm = placed.join(crowded, keys, "left_anti")
+    cut = leading_parts(placed.join(crowded, keys, "left_semi"), keys, limit)
+    return joined_parts(calm.unionByName(cut), keys, limit)

@@ -38,10 +38,11 @@ def test_shared_folder_comes_from_the_session(spark):
     assert durable(spark.range(5)).count() == 5
 
 
-def test_spread_leaves_large_tables_alone(spark):
-    small = spark.range(10)
-    assert "REPARTITION" in spread(small, "id")._jdf.queryExecution().toString().upper()
-    assert spread(small, "id", bytes_per_core=1) is small
+def test_spread_leaves_large_tables_alone(spark, tmp_path):
+    spark.range(10).coalesce(1).write.parquet(str(tmp_path / "t"))
+    table = spark.read.parquet(str(tmp_path / "t"))
+    assert spread(table, "id") is not table and spread(table, "id").count() == 10
+    assert spread(table, "id", bytes_per_core=1) is table
 
 
 def test_normalize_takes_the_log_under_either_name(spark):
@@ -68,6 +69,16 @@ def test_log_parts_order_and_cut(spark):
         assert cut[2] == ("x" * 10 + "\ny")[:limit]
 
 
+def test_run_with_very_many_parts(spark):
+    rows = [(1, i, "build" if i % 3 else "other", "" if i % 2 else "ab") for i in range(5000)] + [(2, 0, "x", "y")]
+    parts = spark.createDataFrame(rows, "run_id int, part_no int, name string, text string")
+    first = [r[3] for r in reversed(rows[:5000]) if r[2] == "build"]
+    want = "\n".join(first + [r[3] for r in rows[:5000] if r[2] == "other"])
+    for limit in (100, 4000):
+        got = {r.run_id: r.ci_log for r in log_parts.assemble_log_parts(parts, ["run_id"], limit=limit).collect()}
+        assert got == {1: want[:limit], 2: "y"}
+
+
 def test_step_messages(spark):
     rows = [('[{"message": "a"}, {"x": 1}, {"message": "b"}]',), ('{"message": "a"}',), ("broken [",), ("[]",)]
     df = spark.createDataFrame(rows, "t string").select(records.step_messages(F.col("t")))
