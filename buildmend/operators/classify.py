@@ -12,68 +12,75 @@ from pyspark.sql import functions as F
 
 from buildmend.functions import taxonomy as tax
 from buildmend.functions.prefilter import has_odd_letters, may_match
-from buildmend.functions.text import any_case, filled, let, list_repr, text_or_empty
+from buildmend.functions.text import any_case, filled, list_repr, text_or_empty
 
 
-def signals(log: Column) -> Column:
-    """Array of matched patterns, best first.
+def with_signals(df: DataFrame, log: str = "ci_log") -> DataFrame:
+    """Add ``signals``: the matched patterns of a log, best first, null if none.
 
     Confidence grows with each repeated match up to a ceiling; equal
     confidences keep the order of the pattern list.
     """
+    text, lowered, odd = F.col(log), F.col("_lowered"), F.col("_odd")
+    found = [
+        F.when(may_match(lowered, [p.regex], odd), F.regexp_extract_all(text, F.lit(any_case(p.regex)), 1))
+        for p in tax.PATTERNS
+    ]
+    listed = F.array(
+        *[
+            F.struct(
+                F.lit(rank).alias("rank"),
+                F.lit(p.failure_class).alias("failure_class"),
+                F.lit(p.failure_subclass).alias("failure_subclass"),
+                F.lit(p.confidence).alias("base"),
+                F.lit(p.regex).alias("regex"),
+            )
+            for rank, p in enumerate(tax.PATTERNS)
+        ]
+    )
 
-    def tried(seen: Column) -> Column:
-        return F.array(
-            *[
-                F.struct(
-                    F.lit(rank).alias("rank"),
-                    F.lit(p.failure_class).alias("failure_class"),
-                    F.lit(p.failure_subclass).alias("failure_subclass"),
-                    F.lit(p.confidence).alias("base"),
-                    F.lit(p.regex).alias("regex"),
-                    F.when(
-                        may_match(seen["lowered"], [p.regex], seen["odd"]),
-                        F.regexp_extract_all(log, F.lit(any_case(p.regex)), 1),
-                    ).alias("found"),
-                )
-                for rank, p in enumerate(tax.PATTERNS)
-            ]
-        )
-
-    def scored(s: Column) -> Column:
-        n = F.size(s["found"])
+    def scored(hit: Column) -> Column:
+        pattern, n = hit["pattern"], F.size(hit["found"])
         confidence = F.least(
-            s["base"] + F.lit(tax.REPEAT_BONUS) * (n - 1).cast("double"),
+            pattern["base"] + F.lit(tax.REPEAT_BONUS) * (n - 1).cast("double"),
             F.lit(tax.MAX_CONFIDENCE),
         )
         return F.struct(
             (-confidence).alias("order_by"),
-            s["rank"].alias("rank"),
-            s["failure_class"].alias("failure_class"),
-            s["failure_subclass"].alias("failure_subclass"),
+            pattern["rank"].alias("rank"),
+            pattern["failure_class"].alias("failure_class"),
+            pattern["failure_subclass"].alias("failure_subclass"),
             confidence.alias("confidence"),
             F.concat(
-                F.lit("Pattern '"), s["regex"], F.lit("' matched "), n.cast("string"),
-                F.lit(" times: "), list_repr(F.slice(s["found"], 1, 3)),
+                F.lit("Pattern '"), pattern["regex"], F.lit("' matched "), n.cast("string"),
+                F.lit(" times: "), list_repr(F.slice(hit["found"], 1, 3)),
             ).alias("evidence"),
         )
 
-    seen = let(
-        F.lower(log), lambda low: F.struct(low.alias("lowered"), has_odd_letters(low).alias("odd"))
+    # The matches are a step of their own, so that they run as compiled code
+    # and not inside the lambdas. Spark keeps the steps apart because each
+    # result is looked at more than once.
+    matched = (
+        df.withColumn("_lowered", F.lower(text))
+        .withColumn("_odd", has_odd_letters(lowered))
+        .withColumn("_found", F.array(*found))
     )
-    hits = F.filter(let(seen, tried), lambda s: F.size(s["found"]) > 0)
-    return F.array_sort(F.transform(hits, scored))
-
-
-def with_signals(df: DataFrame, log: str = "ci_log") -> DataFrame:
-    return df.withColumn("signals", signals(F.col(log)))
+    pairs = F.arrays_zip(listed.alias("pattern"), F.col("_found").alias("found"))
+    hits = F.filter(pairs, lambda hit: F.size(hit["found"]) > 0)
+    signals = F.when(
+        F.exists("_found", lambda f: f.isNotNull()), F.array_sort(F.transform(hits, scored))
+    )
+    return matched.withColumn("signals", signals).drop("_lowered", "_odd", "_found")
 
 
 def heuristic_signals(df: DataFrame, key: str = "id", log: str = "ci_log") -> DataFrame:
     """One row per log and matched pattern."""
+    # Given a bare column, Spark would filter on its size first and run all
+    # the patterns again for that; given an expression it does not.
+    each = F.posexplode(F.slice("signals", 1, len(tax.PATTERNS)))
     return (
-        df.select(key, signals(F.col(log)).alias("s"))
-        .select(key, F.posexplode("s").alias("pos", "s"))
+        with_signals(df.select(key, log), log)
+        .select(key, each.alias("pos", "s"))
         .select(
             key,
             (F.col("pos") + 1).alias("signal_rank"),
@@ -86,12 +93,13 @@ def top_class(df: DataFrame, log: str = "ci_log") -> DataFrame:
     """Add the best class, sub-class and confidence; UNKNOWN, null and 0.0
     where no pattern is sure enough."""
     return (
-        df.withColumn("_top", F.get(signals(F.col(log)), F.lit(0)))
+        with_signals(df, log)
+        .withColumn("_top", F.get("signals", F.lit(0)))
         .withColumn("_sure", F.coalesce(F.col("_top.confidence") >= tax.MIN_SIGNAL, F.lit(False)))
         .withColumn("heuristic_class", F.when(F.col("_sure"), F.col("_top.failure_class")).otherwise("UNKNOWN"))
         .withColumn("heuristic_subclass", F.when(F.col("_sure"), F.col("_top.failure_subclass")))
         .withColumn("heuristic_confidence", F.when(F.col("_sure"), F.col("_top.confidence")).otherwise(0.0))
-        .drop("_top", "_sure")
+        .drop("signals", "_top", "_sure")
     )
 
 
@@ -102,23 +110,16 @@ def multilabel_signals(df: DataFrame, key: str = "id", log: str = "ci_log") -> D
 
 def primary_secondary(df: DataFrame, log: str = "ci_log") -> DataFrame:
     """Add the primary class and the sorted set of other classes seen."""
-    df = with_signals(df, log)
-    top = F.get(F.col("signals"), F.lit(0))
-    others = F.filter(
-        F.slice("signals", 2, F.greatest(F.size("signals"), F.lit(1))),
-        lambda s: (s["confidence"] >= tax.MIN_SIGNAL),
-    )
+    top = F.get("signals", F.lit(0))
+    sure = F.filter("signals", lambda s: s["confidence"] >= tax.MIN_SIGNAL)
+    others = F.array_except(F.transform(sure, lambda s: s["failure_class"]), F.array("primary_class"))
     return (
-        df.withColumn("primary_class", F.coalesce(top["failure_class"], F.lit("UNKNOWN")))
+        with_signals(df, log)
+        .withColumn("primary_class", F.coalesce(top["failure_class"], F.lit("UNKNOWN")))
         .withColumn("primary_subclass", top["failure_subclass"])
         .withColumn("primary_confidence", F.coalesce(top["confidence"], F.lit(0.0)))
         .withColumn(
-            "secondary_classes",
-            F.array_sort(
-                F.array_except(
-                    F.transform(others, lambda s: s["failure_class"]), F.array("primary_class")
-                )
-            ),
+            "secondary_classes", F.coalesce(F.array_sort(others), F.array().cast("array<string>"))
         )
         .drop("signals")
     )
