@@ -62,6 +62,11 @@ def incremental_skip(df: DataFrame, processed: DataFrame, keys: list[str]) -> Da
     return df.join(processed.select(*keys), keys, "left_anti")
 
 
+def repos_to_process(repos: DataFrame, processed: DataFrame, repo: str = "repo") -> DataFrame:
+    """Each repository once, however many lists name it, less those done before."""
+    return incremental_skip(repos.dropDuplicates([repo]), processed, [repo])
+
+
 # -- finding the fix ---------------------------------------------------------
 
 def failure_fix_chains(

@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from buildmend.functions import taxonomy as tax
 from buildmend.functions.text import filled, strip, tagged_block, text_or_empty
 from buildmend.operators.classify import top_class
+from buildmend.sources.records import has_required
 
-# Test commands, languages, repository types, targets, text forms.
+# Test commands, languages, repository types, targets and the
+# sentences of the prompts.
 TEST_COMMANDS = {
     "python": "pytest --tb=short -q",
     "javascript": "npm test",
@@ -58,6 +59,29 @@ SYNTHESIS_TARGETS = {
 DEFAULT_LANGUAGE = DEFAULT_REPO = "unknown"
 MIN_REJECTED_CHARS = 20
 REPLY_FIELDS = ["failure_class", "failure_subclass", "ci_log", "fix_diff"]
+ASK_FOR_ANALYSIS = "Analyze this CI failure and generate the minimal fix."
+ASK_FOR_FIX = "Generate the minimal fix."
+ASK_FOR_CLASS = "Classify this CI failure."
+HOW_TO_VALIDATE = (
+    "Run the failing test suite after applying this patch. "
+    "Confirm CI is green on first and second run to verify stability."
+)
+ASK_FOR_WORSE_FIX = (
+    "Generate a DIFFERENT but WORSE fix for this CI failure. "
+    "The fix should be plausible but suffer from one of these flaws: "
+    "(1) too verbose — makes unnecessary changes, "
+    "(2) fixes the symptom not the root cause, "
+    "(3) disables/skips the failing test, "
+    "(4) adds a band-aid retry without fixing the underlying issue."
+)
+ASK_FOR_DIFF_ONLY = "Output ONLY the diff, no explanation."
+ASK_FOR_SCENARIO = "Generate a realistic CI failure scenario with these specifications:"
+SCENARIO_RULES = (
+    "The scenario must be specific and realistic — it should look like a real CI log "
+    "from a real open source project. Include actual package names, version numbers, "
+    "and error messages that would appear in this type of failure.\n\n"
+    "The fix_diff must be minimal — only the exact lines needed to fix the failure."
+)
 
 
 def say(*parts: Column | str) -> Column:
@@ -140,16 +164,14 @@ def sft_examples(df: DataFrame, system: str, key: str = "id") -> DataFrame:
         "Repository: ", field(df, "repo", DEFAULT_REPO), " (", field(df, "language", DEFAULT_LANGUAGE), ")\n",
         "CI Log:\n", cut(F.col("ci_log"), 6000), "\n\n",
         "Code context:\n", F.when(context == "", "(not provided)").otherwise(cut(context, 2000)), "\n\n",
-        "Analyze this CI failure and generate the minimal fix.",
+        ASK_FOR_ANALYSIS,
     )
     reply = say(
         "<classify>", field(df, "failure_class", "UNKNOWN"), " — ", field(df, "failure_subclass"),
         "</classify>\n<reason>\n",
         F.when(cause == "", field(df, "fix_strategy")).otherwise(cause),
         "\n\nKey evidence from log:\n", bullets, "\n</reason>\n<fix>\n", F.col("fix_diff"),
-        "\n</fix>\n<validate>\n",
-        "Run the failing test suite after applying this patch. ",
-        "Confirm CI is green on first and second run to verify stability.\n</validate>",
+        "\n</fix>\n<validate>\n", HOW_TO_VALIDATE, "\n</validate>",
     )
     usable = (
         F.coalesce(F.col("has_fix"), F.lit(False)) & filled(F.col("fix_diff")) & filled(F.col("ci_log"))
@@ -163,10 +185,9 @@ def rl_prompts(tasks: DataFrame, system: str, key: str = "id") -> DataFrame:
     user = say(
         "Repository: ", F.col("repo"), " (", language, ")\n",
         "Known failure class: ", F.col("failure_class"), "\n",
-        "CI Log:\n", cut(F.col("ci_log"), 6000), "\n\nGenerate the minimal fix.\n",
+        "CI Log:\n", cut(F.col("ci_log"), 6000), "\n\n", ASK_FOR_FIX, "\n",
     )
-    complete = F.col("ci_log").isNotNull() & F.col("failure_class").isNotNull() & F.col("repo").isNotNull()
-    return tasks.filter(complete).select(
+    return tasks.filter(has_required(["ci_log", "failure_class", "repo"])).select(
         key,
         chat(system, user).alias("prompt"),
         F.struct(
@@ -185,7 +206,7 @@ def dpo_pairs(df: DataFrame, rejected: DataFrame, key: str = "id") -> DataFrame:
     """
     prompt = say(
         "Repository: ", field(df, "repo", DEFAULT_REPO), " (", field(df, "language", DEFAULT_LANGUAGE), ")\n",
-        "CI Log:\n", cut(text_or_empty(F.col("ci_log")), 4000), "\n\nGenerate the minimal fix.",
+        "CI Log:\n", cut(text_or_empty(F.col("ci_log")), 4000), "\n\n", ASK_FOR_FIX,
     )
     chosen = df.filter(F.coalesce(F.col("has_fix"), F.lit(False)) & filled(F.col("fix_diff"))).select(
         F.col(key).alias("_key"), prompt.alias("prompt"), F.col("fix_diff").alias("chosen"), "failure_class"
@@ -228,7 +249,7 @@ def model_requests(
     """
     log = text_or_empty(F.col("ci_log"))
     about = say("Repository: ", field(df, "repo", DEFAULT_REPO), " (", field(df, "language", DEFAULT_LANGUAGE), ")\n")
-    ask = "\n\nAnalyze this CI failure and generate the minimal fix.\n"
+    ask = f"\n\n{ASK_FOR_ANALYSIS}\n"
     subclass = F.coalesce("heuristic_subclass", F.lit("unknown"))
     confidence = F.format_string("%.2f", "heuristic_confidence")
     hint = say(F.col("heuristic_class"), " (", subclass, ") — confidence ", confidence)
@@ -244,10 +265,10 @@ def model_requests(
     wanted: dict[str, tuple[Column, Column]] = {
         "classify": (unsure, say(
             "CI Log (truncated to key section):\n", cut(log, 8000),
-            "\n\nHeuristic pre-classification hint: ", hint, "\n\nClassify this CI failure.",
+            "\n\nHeuristic pre-classification hint: ", hint, "\n\n", ASK_FOR_CLASS,
         )),
         "classify_short": (unsure, say(
-            "CI Log:\n", cut(log, 8000), "\n\nHeuristic hint: ", hint, "\n\nClassify this CI failure."
+            "CI Log:\n", cut(log, 8000), "\n\nHeuristic hint: ", hint, "\n\n", ASK_FOR_CLASS,
         )),
         "repair": (always, chat(system, say(
             about, "Workflow: ", field(df, "workflow_name"), "\n", inline_hint, "\nCI Log:\n", cut(log, 7000), ask,
@@ -256,17 +277,11 @@ def model_requests(
         "patch": (always, say(
             about, "Failure class: ", field(df, "failure_class", "UNKNOWN"), " — ", field(df, "failure_subclass"),
             "\n\nCI Log:\n", cut(log, 6000), "\n\nCode context:\n",
-            F.when(context == "", "(not available)").otherwise(cut(context, 3000)), "\n\nGenerate the minimal fix.",
+            F.when(context == "", "(not available)").otherwise(cut(context, 3000)), "\n\n", ASK_FOR_FIX,
         )),
         "worse_patch": (fixed, say(
-            "Generate a DIFFERENT but WORSE fix for this CI failure. ",
-            "The fix should be plausible but suffer from one of these flaws: ",
-            "(1) too verbose — makes unnecessary changes, ",
-            "(2) fixes the symptom not the root cause, ",
-            "(3) disables/skips the failing test, ",
-            "(4) adds a band-aid retry without fixing the underlying issue.\n\n",
-            "CI Log:\n", cut(log, 3000), "\n\nRepository language: ", field(df, "language", DEFAULT_LANGUAGE),
-            "\nOutput ONLY the diff, no explanation.",
+            ASK_FOR_WORSE_FIX, "\n\nCI Log:\n", cut(log, 3000),
+            "\n\nRepository language: ", field(df, "language", DEFAULT_LANGUAGE), "\n", ASK_FOR_DIFF_ONLY,
         )),
     }
     seen = top_class(df) if {"classify", "classify_short", "repair"} & set(kinds) else df
@@ -294,12 +309,8 @@ def synthesis_plan(spark: SparkSession, per_subclass: int = 250, seed: int = 42)
     return picked.withColumn(
         "prompt",
         say(
-            "Generate a realistic CI failure scenario with these specifications:\n- failure_subclass: ",
-            F.col("failure_subclass"), "\n- language: ", F.col("language"), "\n- repo_type: ", F.col("repo_type"),
-            "\n\nThe scenario must be specific and realistic — it should look like a real CI log "
-            "from a real open source project. Include actual package names, version numbers, "
-            "and error messages that would appear in this type of failure.\n\n"
-            "The fix_diff must be minimal — only the exact lines needed to fix the failure.",
+            ASK_FOR_SCENARIO, "\n- failure_subclass: ", F.col("failure_subclass"),
+            "\n- language: ", F.col("language"), "\n- repo_type: ", F.col("repo_type"), "\n\n", SCENARIO_RULES,
         ),
     )
 
@@ -375,7 +386,3 @@ def parse_repair_response(df: DataFrame, response: str = "response") -> DataFram
         .withColumn("validate_text", tagged_block(F.col(response), "validate"))
         .withColumn("success", F.length("extracted_fix") > 20)
     )
-
-
-def subclass_is_known(subclass: Column) -> Column:
-    return subclass.isin(tax.SUBCLASSES)

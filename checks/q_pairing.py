@@ -176,11 +176,11 @@ def fix_pipeline_latest(t):
 
 
 @query(
-    "fix_pipeline_next", ["gitlab_pipelines"], steps=_PIPE,
+    "fix_gitlab_next_green", ["gitlab_pipelines"], steps=_PIPE,
     sql="""SELECT r.project_path, r.pipeline_id, min(g.pipeline_id) AS fix_pipeline_id
     FROM red r LEFT JOIN green g ON g.project_path = r.project_path AND g.ref = r.ref AND g.pipeline_id > r.pipeline_id GROUP BY r.project_path, r.pipeline_id""",
 )
-def fix_pipeline_next(t):
+def fix_gitlab_next_green(t):
     red = t.gitlab_pipelines.filter(F.col("status") == "failed")
     return pairing.green_pipeline_fix(red, t.gitlab_pipelines, pick="next", chunk_ids=1000).select(
         "project_path", "pipeline_id", F.col("fix_pipeline.pipeline_id").alias("fix_pipeline_id")

@@ -92,3 +92,5 @@ def test_language_filter_and_skip(spark):
     assert pairing.repo_language_filter(df, None).count() == 3
     left = pairing.incremental_skip(df, spark.createDataFrame([("org/x",), ("org/x",)], "repo string"), ["repo"])
     assert sorted(r.repo for r in left.collect()) == ["org/Django", "org/rails"]
+    todo = pairing.repos_to_process(df.union(df), df.filter("repo = 'org/x'"))
+    assert sorted(r.repo for r in todo.collect()) == ["org/Django", "org/rails"]

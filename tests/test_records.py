@@ -3,6 +3,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from buildmend import schemas
 from buildmend.operators import bench, deps, shaping
 from buildmend.session import durable, scratch_path, shared_dir, spread
 from buildmend.sources import jsonl, log_parts, records
@@ -21,6 +22,15 @@ def test_lenient_scan_recurses_and_skips_bad_lines(spark, tmp_path):
     assert jsonl.read_jsonl(spark, str(tmp_path), SCHEMA).count() == 3
 
 
+def test_landed_records_read_by_schema_and_unify(spark, tmp_path):
+    (tmp_path / "g.jsonl").write_text('{"platform": "gitlab_ci", "project_path": "g/p", "pipeline_id": 3, "failure_log": "x", "fix_pipeline": {"sha": "s"}, "has_fix": true}\n')
+    gitlab = jsonl.read_jsonl(spark, str(tmp_path), schemas.GITLAB_PAIRS)
+    row = records.normalize_records({"gitlab_ci": gitlab}).first()
+    assert (row.id, row.ci_log, row.fix_sha, row.fix_diff) == ("gitlab_ci_g__p_3", "x", "s", None)
+    for name in [n for n in dir(schemas) if n.isupper()]:
+        assert jsonl.read_jsonl(spark, str(tmp_path), getattr(schemas, name)).count() == 1, name
+
+
 def test_sink_overwrites_and_appends(spark, tmp_path):
     df, path = spark.range(3), str(tmp_path / "out")
     jsonl.write_jsonl(df, path)
