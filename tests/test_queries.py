@@ -4,6 +4,7 @@ import duckdb
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from checks.registry import ORACLES, QUERIES
 from checks.views import BASE
 from verify import cell, rows_of
 
@@ -24,13 +25,14 @@ def test_entry(spark):
 
 
 def test_every_query_has_a_twin():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(queries()) and set(ORACLES) <= set(oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, con, name):
-    df = queries()[name](spark, FOLDER)
-    res = con.execute(oracle_sql()[name])
+    df = QUERIES[name](spark, FOLDER)
+    res = con.execute(ORACLES[name])
     names = [d[0] for d in res.description]
     assert sorted(names) == sorted(df.columns)
     wanted = sorted(names)
