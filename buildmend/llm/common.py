@@ -60,3 +60,22 @@ def bounded_sample(df: DataFrame, rows: int, group: str, groups: dict, seed: int
     for value, n in groups.items():
         share = F.when(F.col(group) == F.lit(value), F.lit(min(1.0, rows / max(n, 1)))).otherwise(share)
     return df.filter(unit_hash(*key, seed=seed) < share)
+
+
+def range_of(value: Column, splitters: list, literal=lambda v: F.lit(v).cast("long")) -> Column:
+    """Number of sorted ``splitters`` not above ``value``, by a two-level search.
+
+    ``literal`` turns a splitter into a column. The search costs about twice
+    the root of their number and stays in the JVM.
+    """
+    if not splitters:
+        return F.lit(0)
+    step = max(1, int(len(splitters) ** 0.5))
+    blocks = [splitters[i : i + step] for i in range(0, len(splitters), step)]
+
+    def pack(some: list) -> Column:
+        return F.array(*[literal(s) for s in some])
+
+    block = F.size(F.filter(pack([b[0] for b in blocks]), lambda s: s <= value))
+    inside = F.size(F.filter(F.element_at(F.array(*[pack(b) for b in blocks]), block), lambda s: s <= value))
+    return F.when(block == 0, 0).otherwise((block - 1) * step + inside)

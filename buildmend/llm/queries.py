@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import functions as F
 
-from buildmend.llm import licences, secrets, sharding
-from buildmend.llm.common import table
+from buildmend.llm import decontamination, html_extraction, imatch, language_id, licences, near_dedup, packing, secrets, sharding, toxicity
+from buildmend.llm.common import fold, table
 from buildmend.llm.registry import ORACLES, QUERIES, query  # noqa: F401
 
 WORD_CLASSES = [
@@ -56,10 +57,41 @@ SELECT doc_id, n_assign, n_access, n_hex,
     coalesce(n_live, 0) AS n_live, coalesce(n_example, 0) AS n_example
 FROM b LEFT JOIN per USING (uid)"""
 
+@query("op1_html_extraction")
+def op1(spark, sf_dir):
+    return html_extraction.extracted(table(spark, sf_dir, "pages"))
+
+
 @query("op2_secrets", SECRETS_SQL)
 def op2(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
-    return secrets.secrets(docs, repo=F.concat_ws("/", "source", "lang"), owner=F.col("source"))
+    return secrets.secrets(docs, repo=F.concat_ws("/", "source", "lang"), owner=F.col("source")).drop("text_key")
+
+
+@query("op3_language_id")
+def op3(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").withColumn("held_out", fold("doc_id", 3) == 1)
+    return language_id.languages(docs, ~F.col("held_out"), keep=["doc_id", "held_out"]).select(
+        "doc_id", "held_out", "lang_pred", "score", "ambiguous"
+    )
+
+
+@query("op4_toxicity")
+def op4(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").withColumn("held_out", fold("doc_id", 4) == 2)
+    return toxicity.scored(docs, table(spark, sf_dir, "labels"), fold("doc_id", 4) != 2, keep=["doc_id", "held_out"]).select(
+        "doc_id", "held_out", "score", "predicted", "passages"
+    )
+
+
+@query("op5_imatch")
+def op5(spark, sf_dir):
+    return imatch.edited(table(spark, sf_dir, "documents"))
+
+
+@query("op6_packing")
+def op6(spark, sf_dir):
+    return packing.packed(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
 @query("op7_licences")
@@ -87,3 +119,13 @@ def op8(spark, sf_dir):
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
         F.lit(None).cast("int").alias("grown_shard"),
     )
+
+
+@query("op9_decontamination")
+def op9(spark, sf_dir):
+    return decontamination.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op10_near_dedup")
+def op10(spark, sf_dir):
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), k=4, percent=80).drop("text_key")

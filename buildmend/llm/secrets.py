@@ -70,10 +70,11 @@ def scanned(docs: DataFrame, doc_id: str, text: str, repo: Column, owner: Column
 
     def make():
         def batch(rows: dict[str, list]) -> dict[str, list]:
-            out = {k: [] for k in ("id", "repo", "owner", "n_assign", "n_access", "n_hex", "base", "found")}
-            for doc, body, own_repo, own in zip(rows["id"], rows["body"], rows["repo"], rows["owner"]):
+            out = {k: [] for k in ("id", "key", "repo", "owner", "n_assign", "n_access", "n_hex", "base", "found")}
+            for doc, key, body, own_repo, own in zip(rows["id"], rows["key"], rows["body"], rows["repo"], rows["owner"]):
                 base = base_spans(body or "")
                 out["id"].append(doc)
+                out["key"].append(key)
                 out["repo"].append(own_repo)
                 out["owner"].append(own)
                 for kind in ("assign", "access", "hex"):
@@ -87,10 +88,10 @@ def scanned(docs: DataFrame, doc_id: str, text: str, repo: Column, owner: Column
 
         return batch
 
-    given = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("body"), repo.cast("string").alias("repo"), owner.cast("string").alias("owner"))
+    given = docs.select(F.col(doc_id).alias("id"), F.xxhash64(text).alias("key"), F.col(text).alias("body"), repo.cast("string").alias("repo"), owner.cast("string").alias("owner"))
     id_type = given.schema["id"].dataType.simpleString()
     return by_batch(given, make, (
-        f"id {id_type}, repo string, owner string, n_assign long, n_access long, n_hex long, base string, "
+        f"id {id_type}, key long, repo string, owner string, n_assign long, n_access long, n_hex long, base string, "
         "found array<struct<start: int, end: int, hash: string, random: boolean>>"
     ))
 
@@ -123,7 +124,8 @@ def secrets(
     scanned each and count once for a value. An empty table gives no rows.
     Only the named columns are read, so extra columns cannot clash.
 
-    Returns: ``<doc_id>``, n_assign, n_access, n_hex, base_sha256, spans, n_live, n_example.
+    Returns: ``<doc_id>``, n_assign, n_access, n_hex, base_sha256, spans, n_live, n_example,
+    text_key (hash of the text).
     """
     owner = F.col("source") if owner is None else owner
     repo = owner if repo is None else repo
@@ -137,10 +139,10 @@ def secrets(
         F.collect_set(F.when(live, F.struct("start", "end"))).alias("live"),
         F.sum(F.col("example").isNotNull().cast("long")).alias("n_example"),
     )
-    plain = scan.select("uid", "id", "n_assign", "n_access", "n_hex", "base", F.size("found").alias("n_found"))
-    both = plain.filter("n_found > 0").join(judged, "uid", "left").select("id", "n_assign", "n_access", "n_hex", "base", "live", "n_example")
+    plain = scan.select("uid", "id", "key", "n_assign", "n_access", "n_hex", "base", F.size("found").alias("n_found"))
+    both = plain.filter("n_found > 0").join(judged, "uid", "left").select("id", "key", "n_assign", "n_access", "n_hex", "base", "live", "n_example")
     none = plain.filter("n_found = 0").select(
-        "id", "n_assign", "n_access", "n_hex", "base",
+        "id", "key", "n_assign", "n_access", "n_hex", "base",
         F.array().cast("array<struct<start: int, end: int>>").alias("live"), F.lit(0).cast("long").alias("n_example"),
     )
     base = F.transform(F.filter(F.split("base", ","), lambda s: s != ""), lambda s: F.struct(
@@ -155,4 +157,5 @@ def secrets(
     return both.unionByName(none).select(
         F.col("id").alias(doc_id), "n_assign", "n_access", "n_hex", F.sha2("base", 256).alias("base_sha256"),
         F.when(F.size(found) == 0, F.col("base")).otherwise(spans).alias("spans"), F.size("live").cast("long").alias("n_live"), "n_example",
+        F.col("key").alias("text_key"),
     )

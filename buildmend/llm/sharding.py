@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from buildmend.llm.common import range_of
 from buildmend.session import durable
 
 #: Size that a record has besides its text.
@@ -31,20 +32,8 @@ def quantiles(sample: list, parts: int) -> list:
     return sorted({sample[len(sample) * i // parts] for i in range(1, parts)}) if sample else []
 
 
-def range_of(splitters: list[tuple[int, int]]) -> Column:
-    """Number of splitters not above the record's key, by a two-level search."""
-    if not splitters:
-        return F.lit(0)
-    step = max(1, int(len(splitters) ** 0.5))
-    blocks = [splitters[i : i + step] for i in range(0, len(splitters), step)]
-
-    def pack(some: list) -> Column:
-        return F.array(*[F.struct(F.lit(k).cast("long").alias("key"), F.lit(i).cast("long").alias("id")) for k, i in some])
-
-    own = F.struct("key", "id")
-    block = F.size(F.filter(pack([b[0] for b in blocks]), lambda s: s <= own))
-    inside = F.size(F.filter(F.element_at(F.array(*[pack(b) for b in blocks]), block), lambda s: s <= own))
-    return F.when(block == 0, 0).otherwise((block - 1) * step + inside)
+def literal(splitter: tuple[int, int]) -> Column:
+    return F.struct(F.lit(splitter[0]).cast("long").alias("key"), F.lit(splitter[1]).cast("long").alias("id"))
 
 
 def sharded(
@@ -74,7 +63,7 @@ def sharded(
     ))
     splitters = quantiles(draw(rows, sample, 0), ranges)
     for turn in range(1, rounds + 1):
-        placed = rows.withColumn("range", range_of(splitters))
+        placed = rows.withColumn("range", range_of(F.struct("key", "id"), splitters, literal))
         stats = {r["range"]: (r["bytes"], r["n"]) for r in placed.groupBy("range").agg(F.sum("size").alias("bytes"), F.count("*").alias("n")).collect()}
         total = sum(b for b, _ in stats.values())
         even = total / ranges
