@@ -7,25 +7,31 @@ from pyspark.sql import functions as F
 
 from buildmend.session import durable
 
+#: Steps between two tables: a table costs more than a step.
+STEPS = 3
+
+
+def step(both: DataFrame, now: DataFrame) -> DataFrame:
+    """Take the least label among the neighbours, then the label of that label."""
+    seen = both.join(now.select(F.col("v").alias("w"), "label"), "w").groupBy("v").agg(F.min("label").alias("near"))
+    lower = now.join(seen, "v", "left").select("v", F.least("label", "near").alias("to"))
+    jump = lower.select(F.col("v").alias("to"), F.col("to").alias("far"))
+    return lower.join(jump, "to", "left").select("v", F.least("to", "far").alias("label"))
+
 
 def components(links: DataFrame) -> DataFrame:
     """Least vertex reachable from each vertex of ``links`` (a, b): columns v, label.
 
-    A round takes the least label among the neighbours and then the label of
-    that label, so rounds grow with the logarithm of the longest path. Both
-    sides of each join are tables, so that a vertex or a label with very many
-    rows is split. Lineage is cut by a table each round. Without links the
-    result is empty.
+    Steps grow with the logarithm of the longest path; lineage is cut by a
+    table every few steps, and it ends when no link joins unlike labels.
+    Without links the result is empty.
     """
     both = durable(links.select(F.col("a").alias("v"), F.col("b").alias("w")).unionByName(links.select(F.col("b").alias("v"), F.col("a").alias("w"))))
-    now = durable(both.groupBy("v").agg(F.min("w").alias("w")).select("v", F.least("v", "w").alias("label")))
+    now = both.groupBy("v").agg(F.min("w").alias("w")).select("v", F.least("v", "w").alias("label"))
     while True:
-        seen = both.join(now.select(F.col("v").alias("w"), "label"), "w").groupBy("v").agg(F.min("label").alias("near"))
-        lower = durable(now.join(seen, "v", "left").select("v", "label", F.least("label", "near").alias("to")))
-        then = durable(
-            lower.join(lower.select(F.col("v").alias("to"), F.col("to").alias("far")), "to", "left")
-            .select("v", F.least("to", "far").alias("label"), (F.least("to", "far") < F.col("label")).alias("moved"))
-        )
-        now = then.select("v", "label")
-        if then.filter("moved").isEmpty():
+        for _ in range(STEPS):
+            now = step(both, now)
+        now = durable(now)
+        ends = both.join(now, "v").join(now.select(F.col("v").alias("w"), F.col("label").alias("other")), "w")
+        if ends.filter("label > other").isEmpty():
             return now
