@@ -11,6 +11,7 @@ task waiting for another.
 from __future__ import annotations
 
 import heapq
+import os
 import re
 import zlib
 from collections.abc import Iterator
@@ -30,45 +31,93 @@ from buildmend.session import durable
 LENGTH, END = 2048, 1
 #: Sequences of a window.
 WINDOW = 64
-#: Pieces whose ids a task keeps.
-CACHE = 500_000
+#: Parts of texts whose ids a worker keeps, and characters that are in parts at a time.
+CACHE, CHARS = 500_000, 1 << 21
+#: New pieces that the tokenizer gets as one text.
+TOGETHER = 200
 
 #: Texts of these characters alone are cut into pieces here, as the tokenizer's own rule cuts them.
 PLAIN = re.compile(r"[\t\n\r\x20-\x7eÀ-ÖØ-öø-ÿ]*")
 CUT = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\sa-zß-öø-ÿ0-9]+")
 
 
-class Ids(dict):
-    """Ids of each piece as bytes; pieces not met before go to the tokenizer."""
+class Ids:
+    """Ids of texts as bytes. Parts between blanks are kept, and new ones go to the tokenizer together."""
 
     def __init__(self, path: str):
-        super().__init__()
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.kind = np.dtype("<u2") if self.tokenizer.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
-        # pieces may be cut here only if the tokenizer cuts alike
-        self.alike = all(
-            self.encode(t) == np.concatenate([np.frombuffer(self.encode(p), self.kind) for p in CUT.findall(t.lower())]).tobytes()
-            for t in ("It's a test, isn't it?  We'll SEE 1234 things -- ok!!\nÄrger über straße, ÉTÉ señor''s x_y 3.5%", "'sabc ''t '''re l'été 'MM '5")
-        )
+        self.end = np.array([END], dtype=self.kind).tobytes()
+        self.known: dict[str, bytes] = {}
+        self.pieces: dict[str, bytes] = {}
+        # Texts may be cut here only if the tokenizer cuts alike.
+        self.alike = True
+        samples = ["It's a test, isn't it?  We'll SEE 1234 things -- ok!!\nÄrger über straße, ÉTÉ señor''s x_y 3.5%", "'sabc ''t ''" "'re l'été 'MM '5"]
+        self.alike = self.all_of(samples) == [self.encode(t) + self.end for t in samples]
 
     def encode(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=self.kind).tobytes()
 
-    def __missing__(self, piece: str) -> bytes:
-        if len(self) >= CACHE:
-            self.clear()
-        self[piece] = ids = self.encode(piece)
-        return ids
+    def learn(self, parts: list[str]) -> None:
+        """Note the ids of new parts; their new pieces are encoded some hundred at a time."""
+        cut = [CUT.findall(p) for p in parts]
+        new = list({piece for own in cut for piece in own} - self.pieces.keys())
+        if len(self.pieces) + len(new) > CACHE:
+            self.pieces.clear()
+            new = list({piece for own in cut for piece in own})
+        for start in range(0, len(new), TOGETHER):
+            some = new[start : start + TOGETHER]
+            found = self.tokenizer.encode(" ".join(some), add_special_tokens=False)
+            ids, words = np.array(found.ids, dtype=self.kind), np.array(found.word_ids, dtype=np.int64)
+            edges = np.searchsorted(words, np.arange(len(some) + 1)).tolist()
+            for piece, a, b in zip(some, edges, edges[1:]):
+                self.pieces[piece] = ids[a:b].tobytes()
+        get = self.pieces.__getitem__
+        for part, own in zip(parts, cut):
+            self.known[part] = b"".join(map(get, own))
+
+    def all_of(self, texts: list[str]) -> list[bytes]:
+        """Ids of whole texts, each with the one that ends a document."""
+        out, held, n = [], [], 0
+        for text in texts:
+            plain = self.alike and "<|" not in text and PLAIN.fullmatch(text)
+            held.append(text.lower().replace("\n", " ").split(" ") if plain else text)
+            n += len(text)
+            if n > CHARS:
+                out += self.settled(held)
+                held, n = [], 0
+        return out + self.settled(held)
+
+    def settled(self, held: list[list[str] | str]) -> list[bytes]:
+        parts = [p for own in held if isinstance(own, list) for p in own]
+        found = list(map(self.known.get, parts))
+        new = [i for i, f in enumerate(found) if f is None]
+        if new:
+            if len(self.known) + len(new) > CACHE:
+                self.known.clear()
+            self.learn(list({parts[i] for i in new}))
+            for i in new:
+                found[i] = self.known[parts[i]]
+        out, at = [], 0
+        for own in held:
+            if isinstance(own, list):
+                out.append(b"".join(found[at : at + len(own)]) + self.end)
+                at += len(own)
+            else:
+                out.append(self.encode(own) + self.end)
+        return out
 
     def of(self, text: str) -> bytes:
-        """Ids of a whole text, with the one that ends a document."""
-        if self.alike and "<|" not in text and PLAIN.fullmatch(text):
-            body = b"".join(map(self.__getitem__, CUT.findall(text.lower())))
-        else:
-            body = self.encode(text)
-        return body + np.array([END], dtype=self.kind).tobytes()
+        return self.all_of([text])[0]
+
+
+@lru_cache(maxsize=4)
+def ids_by(path: str) -> Ids:
+    """One for each worker process, so that pieces are kept from task to task."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    return Ids(path)
 
 
 def tokenized(docs: DataFrame, doc_id: str, text: str, queue: str, path: str) -> DataFrame:
@@ -81,13 +130,13 @@ def tokenized(docs: DataFrame, doc_id: str, text: str, queue: str, path: str) ->
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark.sql.pandas.types import to_arrow_schema
 
-        out, known, lane, served = to_arrow_schema(fields), Ids(path), TaskContext.get().partitionId(), {}
+        out, known, lane, served = to_arrow_schema(fields), ids_by(path), TaskContext.get().partitionId(), {}
         for batch in batches:
             for start in range(0, batch.num_rows, BATCH_ROWS):
                 rows = []
                 piece = batch.slice(start, BATCH_ROWS)
-                for own, name, body in zip(*(piece.column(i).to_pylist() for i in range(3))):
-                    ids = known.of(body or "")
+                names, queues, bodies = (piece.column(i).to_pylist() for i in range(3))
+                for own, name, ids in zip(names, queues, known.all_of([b or "" for b in bodies])):
                     n, local = len(ids) // known.kind.itemsize, served.get(name, 0)
                     served[name] = local + n
                     rows.append((own, name, lane, local, n, known.kind.itemsize, ids))
