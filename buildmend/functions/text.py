@@ -54,6 +54,11 @@ def any_contains(col: Column, needles: list[str]) -> Column:
     return found
 
 
+def cut(col: Column, n: int | None) -> Column:
+    """The first ``n`` characters; None keeps all."""
+    return col if n is None else F.left(col, F.lit(n))
+
+
 def slug(repo: Column) -> Column:
     return F.replace(repo, F.lit("/"), F.lit("__"))
 

@@ -37,6 +37,14 @@ RUNNER = r"ubuntu-(\d+\.\d+|latest)"
 IMAGE = r"FROM\s+(python|node):([^\s\n]+)"
 SECRET_NAME = r"\$\{\{?\s*secrets\.(\w+)\s*\}\}?|\$(\w+_KEY|\w+_TOKEN|\w+_SECRET)"
 PACKAGE_VERSION = r"[=<>^~\s:]+(\d+)\.(\d+)\.(\d+)"
+RUNNER_PREFIX = "ubuntu-"
+PYTHON_CHANGED = "Python version changed from "
+NODE_CHANGED = "Node.js version changed from "
+RUNNER_CHANGED = "Runner changed from "
+IMAGE_CHANGED = "Docker base image changed from "
+SECRET_RENAMED = "Environment variable renamed from "
+PACKAGE_CHANGED = " version changed from "
+TO = " to "
 
 
 def draw(log: Column, index: int, turn: int, n: Column) -> Column:
@@ -96,7 +104,7 @@ def python_version(log: Column, index: int) -> Column:
             start = length_before(log, rx, found, k) + F.length(m["g0"]) - F.length(old)
             return outcome(
                 spliced(log, start, F.length(old), new),
-                F.concat(F.lit("Python version changed from "), old, F.lit(" to "), new),
+                F.concat(F.lit(PYTHON_CHANGED), old, F.lit(TO), new),
             )
 
         return F.when(F.size(found) > 0, let(draw(log, index, 0, F.size(found)).cast("int"), at))
@@ -115,7 +123,7 @@ def node_version(log: Column, index: int) -> Column:
             start = length_before(log, rx, found, k) + F.lit(len("node")) + F.length(m["g1"])
             return outcome(
                 spliced(log, start, F.length(old), new),
-                F.concat(F.lit("Node.js version changed from "), old, F.lit(" to "), new),
+                F.concat(F.lit(NODE_CHANGED), old, F.lit(TO), new),
             )
 
         return F.when(F.size(found) > 0, let(draw(log, index, 0, F.size(found)).cast("int"), at))
@@ -127,13 +135,13 @@ def runner_version(log: Column, index: int) -> Column:
     rx = any_case(RUNNER)
 
     def rewrite(found: Column) -> Column:
-        old = F.concat(F.lit("ubuntu-"), pick(found, log, index, 0))
+        old = F.concat(F.lit(RUNNER_PREFIX), pick(found, log, index, 0))
 
         def renamed(old: Column) -> Column:
             new = pick(F.filter(texts(RUNNERS), lambda r: r != old), log, index, 1)
             return outcome(
                 swap_first(log, old, new),
-                F.concat(F.lit("Runner changed from "), old, F.lit(" to "), new),
+                F.concat(F.lit(RUNNER_CHANGED), old, F.lit(TO), new),
             )
 
         return F.when(F.size(found) > 0, let(old, renamed))
@@ -153,7 +161,7 @@ def docker_image(log: Column, index: int) -> Column:
             new != old,
             outcome(
                 spliced(log, start, F.length(old), new),
-                F.concat(F.lit("Docker base image changed from "), old, F.lit(" to "), new),
+                F.concat(F.lit(IMAGE_CHANGED), old, F.lit(TO), new),
             ),
         )
 
@@ -169,7 +177,7 @@ def env_var(log: Column, index: int) -> Column:
             new = F.concat(old, pick(texts(NAME_SUFFIXES), log, index, 1))
             return outcome(
                 swap_first(log, old, new),
-                F.concat(F.lit("Environment variable renamed from "), old, F.lit(" to "), new),
+                F.concat(F.lit(SECRET_RENAMED), old, F.lit(TO), new),
             )
 
         m = F.get(found, draw(log, index, 0, F.size(found)).cast("int"))
@@ -205,7 +213,7 @@ def package_version(package: str) -> Callable[[Column, int], Column]:
             + F.length(F.regexp_extract(log, rx, 0)) - written
         )
         described = F.concat(
-            F.lit(f"{package} version changed from "), major, dot, minor, dot, patch, F.lit(" to "), new
+            F.lit(package + PACKAGE_CHANGED), major, dot, minor, dot, patch, F.lit(TO), new
         )
         return F.when(
             log.rlike(rx) & described.isNotNull(), outcome(spliced(log, start, written, new), described)
@@ -223,7 +231,7 @@ class Strategy(NamedTuple):
 STRATEGIES = [
     Strategy("python_version", python_version, "python"),
     Strategy("node_version", node_version, "node"),
-    Strategy("runner_version", runner_version, "ubuntu-"),
+    Strategy("runner_version", runner_version, RUNNER_PREFIX),
     Strategy("docker_image", docker_image, "from"),
     Strategy("env_var", env_var, "$"),
 ]
@@ -234,11 +242,11 @@ RECORD_KEYS = ["pipeline_id", "build_id", "pr_number"]
 def mutate(
     df: DataFrame,
     strategies: list[Strategy] | None = None,
-    per_record: int = 3,
+    per_record: int | None = None,
     names: list[str] | None = None,
     log: str = "ci_log",
 ) -> DataFrame:
-    """Variants of each record: the first ``per_record`` strategies that apply.
+    """Variants of each record: all strategies that apply, or the first ``per_record``.
 
     The fix stays the same; the provenance of a variant is added to it.
     """
@@ -260,13 +268,15 @@ def mutate(
         return let(F.when(F.lower(text).contains(strategy.needs), result), changed)
 
     tries = [attempt(index, strategy) for index, strategy in enumerate(chosen)]
-    applied = F.slice(F.filter(F.array(*tries), lambda t: t.isNotNull()), 1, per_record)
+    applied = F.filter(F.array(*tries), lambda t: t.isNotNull())
+    if per_record is not None:
+        applied = F.slice(applied, 1, per_record)
     own_key = [
         F.nullif(F.nullif(F.col(k).cast("string"), F.lit("")), F.lit("0"))
         for k in RECORD_KEYS
         if k in df.columns
     ]
-    by_text = F.left(F.sha2(F.left(text, F.lit(100)), 256), F.lit(12))
+    by_text = F.sha2(text, 256)  # of the whole log: logs of one workflow begin alike
     kept = [c for c in df.columns if c != log]
     return (
         df.filter(text_or_empty(text) != "")

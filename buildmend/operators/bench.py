@@ -103,7 +103,9 @@ def bench_cases(
 ) -> DataFrame:
     """Cases of all sources; of equal ids the first one by source and ``order`` stays.
 
-    A partial minimum per id replaces a window, so repeated ids cost no sort.
+    Source and ``order`` must tell the cases of an id apart.
+
+    A partial minimum per id replaces a window, and no text is part of it.
     """
     names = [c for c in sources[0].columns if c not in order]
     ranked = None
@@ -113,8 +115,9 @@ def bench_cases(
                 source = source.withColumn(extra, F.lit(None).cast("string"))
         part = source.select(*names, F.struct(F.lit(rank).alias("_source"), *order).alias("_rank"))
         ranked = part if ranked is None else ranked.unionByName(part)
-    others = [c for c in names if c != "id"]
-    first = ranked.groupBy("id").agg(F.min_by(F.struct(*others, "_rank"), "_rank").alias("c")).select("id", "c.*")
+    # The place of a case is chosen first; its texts move once, for the chosen alone.
+    chosen = ranked.groupBy("id").agg(F.min("_rank").alias("_rank"))
+    first = ranked.join(chosen, ["id", "_rank"]).select("id", "_rank", *[c for c in names if c != "id"])
     if failure_class is not None:
         first = first.filter(F.col("failure_class") == failure_class)
     if max_cases is not None:
@@ -234,14 +237,13 @@ def prompt_of_completion(completions: DataFrame, prompts: DataFrame, generations
 def reward_stats(rewards: DataFrame) -> DataFrame:
     """Mean, extremes and share of non-zero rewards.
 
-    Rewards are whole tenths, so the mean adds integers and does not depend on
-    the order of the rows.
+    The mean adds decimals, so it does not depend on the order of the rows.
     """
-    tenths = F.round(F.col("reward") * 10).cast("bigint")
     n = F.count(F.lit(1))
+    total = F.sum(F.col("reward").cast("decimal(28,10)")).cast("double")
     return rewards.agg(
         n.alias("n"),
-        F.try_divide(F.sum(tenths), n * 10).alias("mean_reward"),
+        F.try_divide(total, n).alias("mean_reward"),
         F.max("reward").alias("max_reward"),
         F.min("reward").alias("min_reward"),
         F.count_if(F.col("reward") > 0).alias("nonzero"),

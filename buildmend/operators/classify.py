@@ -15,11 +15,12 @@ from buildmend.functions.prefilter import has_odd_letters, may_match
 from buildmend.functions.text import any_case, filled, list_repr, text_or_empty
 
 
-def with_signals(df: DataFrame, log: str = "ci_log") -> DataFrame:
+def with_signals(df: DataFrame, log: str = "ci_log", shown: int | None = None) -> DataFrame:
     """Add ``signals``: the matched patterns of a log, best first, null if none.
 
     Confidence grows with each repeated match up to a ceiling; equal
-    confidences keep the order of the pattern list.
+    confidences keep the order of the pattern list. The evidence names all
+    matches or the first ``shown``.
     """
     text, lowered, odd = F.col(log), F.col("_lowered"), F.col("_odd")
     found = [
@@ -53,7 +54,7 @@ def with_signals(df: DataFrame, log: str = "ci_log") -> DataFrame:
             confidence.alias("confidence"),
             F.concat(
                 F.lit("Pattern '"), pattern["regex"], F.lit("' matched "), n.cast("string"),
-                F.lit(" times: "), list_repr(F.slice(hit["found"], 1, 3)),
+                F.lit(" times: "), list_repr(hit["found"] if shown is None else F.slice(hit["found"], 1, shown)),
             ).alias("evidence"),
         )
 

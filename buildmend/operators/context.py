@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from buildmend.functions.prefilter import may_match
-from buildmend.functions.text import any_case, let
+from buildmend.functions.text import any_case, cut, let
 
 # Escape sequences, error patterns and sizes per platform.
 ANSI = r"\x1B(?:[@-Z\\-_]|\[[0-?]*[ -/]*[@-~])"
@@ -47,17 +47,18 @@ class ContextRule(NamedTuple):
     errors: list[str]
     before: int  # lines kept ahead of an error line
     after: int  # lines kept behind it
-    tail: int  # lines kept of a log without error lines
     strip_ansi: bool
-    max_lines: int | None  # of the context, where there are errors
-    cut_tail: bool  # whether a log without errors is cut to MAX_CHARS too
+    # Budgets, off by default: lines of a log without error lines, lines of a
+    # context, characters of a context, whether characters count without errors.
+    tail: int | None = None
+    max_lines: int | None = None
+    max_chars: int | None = None
+    cut_tail: bool = False
 
 
-MAX_CHARS = 5000
-
-GITLAB = ContextRule(GITLAB_ERRORS, 3, 19, 80, True, None, False)
-TRAVIS = ContextRule(TRAVIS_ERRORS, 5, 24, 80, True, None, False)
-CIRCLECI = ContextRule(CIRCLECI_ERRORS, 3, 19, 100, False, 100, True)
+GITLAB = ContextRule(GITLAB_ERRORS, 3, 19, True)
+TRAVIS = ContextRule(TRAVIS_ERRORS, 5, 24, True)
+CIRCLECI = ContextRule(CIRCLECI_ERRORS, 3, 19, False)
 
 
 def error_context(log: Column, rule: ContextRule) -> Column:
@@ -79,15 +80,11 @@ def error_context(log: Column, rule: ContextRule) -> Column:
         kept = F.filter(lines, near_error)
         if rule.max_lines is not None:
             kept = F.slice(kept, 1, rule.max_lines)
-        n = F.size(lines)
-        tail = F.array_join(
-            F.slice(lines, F.greatest(n - rule.tail, F.lit(0)) + 1, F.lit(rule.tail)), "\n"
+        rest = lines if rule.tail is None else F.slice(
+            lines, F.greatest(F.size(lines) - rule.tail, F.lit(0)) + 1, F.lit(rule.tail)
         )
-        if rule.cut_tail:
-            tail = F.left(tail, F.lit(MAX_CHARS))
-        return F.when(
-            F.array_contains(flags, True), F.left(F.array_join(kept, "\n"), F.lit(MAX_CHARS))
-        ).otherwise(tail)
+        tail = cut(F.array_join(rest, "\n"), rule.max_chars if rule.cut_tail else None)
+        return F.when(F.array_contains(flags, True), cut(F.array_join(kept, "\n"), rule.max_chars)).otherwise(tail)
 
     return let(F.split(log, "\n"), around)
 

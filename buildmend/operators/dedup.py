@@ -8,17 +8,17 @@ How it scales:
 
 * Records with the same word set are folded first, by a partial aggregation;
   a text copied a billion times costs one row from there on.
-* MinHash bands give the buckets in which similar records meet. Buckets with
-  one record are dropped before anything else happens.
-* Within a bucket a record is compared only with the bucket's first few
-  undecided records, its heads. So a bucket costs a number of comparisons
-  linear in its size, however hot it is.
-* A record whose comparisons are complete is decided; the undecided go to the
-  next round, where the heads of their buckets are others. Each round decides
-  at least the heads of every bucket that nothing earlier holds back.
-* Every comparison is checked on the whole word sets, so bands only ever
-  propose. With 40 bands of 8 values a pair at Jaccard 0.85 is missed with
-  probability 3e-6, at 0.9 with 2e-10.
+* Two sets at the threshold share a word among the first few of each, whatever
+  order all words are put in (prefix filter). Rare words come first, so records
+  meet only where they share a rare word and have nearly the same size. This
+  loses no pair.
+* Records are read in batches that double in size: a few thousand, then as many
+  as were read before, and so on. A batch is compared with the records kept so
+  far and then within itself. Of a hot group only what is kept goes on, so its
+  pairs are never listed, and the number of passes grows with the logarithm of
+  the table, not with any group or bucket.
+* Every comparison is checked on the whole word sets. Joins are between tables,
+  so that a hot word is split over tasks.
 """
 
 from __future__ import annotations
@@ -27,7 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType
 
@@ -35,36 +35,12 @@ from buildmend.functions.text import text_or_empty, words
 from buildmend.session import durable
 
 THRESHOLD = 0.85
-BANDS = 40
-BAND_SIZE = 8
-SMALL_BUCKET = 32  # records of a bucket up to this size all are heads
-HEADS = 8  # heads of a larger bucket
 SEED = 42
-
-
-@F.pandas_udf(ArrayType(LongType()))
-def band_keys(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-    """One bucket key per band from the hashed words of each record."""
-    rng = np.random.default_rng(SEED)
-    n = BANDS * BAND_SIZE
-    factor = rng.integers(1, 2**63, n, dtype=np.uint64) | np.uint64(1)
-    shift = rng.integers(0, 2**63, n, dtype=np.uint64)
-    mix = rng.integers(1, 2**63, n, dtype=np.uint64).reshape(BANDS, BAND_SIZE) | np.uint64(1)
-    band_no = rng.integers(0, 2**63, BANDS, dtype=np.uint64)
-
-    def keys(words: np.ndarray) -> np.ndarray:
-        if len(words) == 0:
-            return band_no[:1].astype(np.int64)
-        w = np.asarray(words).astype(np.uint64)
-        low = np.full(n, np.iinfo(np.uint64).max, dtype=np.uint64)
-        for piece in np.array_split(w, len(w) // 1024 + 1):
-            h = piece[:, None] * factor + shift
-            h ^= h >> np.uint64(32)
-            low = np.minimum(low, h.min(axis=0))
-        return ((low.reshape(BANDS, BAND_SIZE) * mix).sum(axis=1) ^ band_no).astype(np.int64)
-
-    for batch in batches:
-        yield pd.Series([keys(w) for w in batch])
+BATCH_ROWS = 8192  # of the first batch
+#: Slots of the table that tells rare words from common ones: its size is fixed.
+SLOTS = 1 << 18
+#: Records whose places mark out the batches.
+MARKS = 100_000
 
 
 def hashed_words(content: Column) -> Column:
@@ -96,31 +72,61 @@ def distinct_sets(records: DataFrame) -> DataFrame:
     )
 
 
-BUCKET = ["bucket", "same_id"]
+def place(order: list[str]) -> Column:
+    return F.col(order[0]) if len(order) == 1 else F.struct(*order)
 
 
-def sized(live: DataFrame, at_least: int) -> DataFrame:
-    """Add the number of records in the bucket; smaller buckets are left out."""
-    sizes = live.groupBy(*BUCKET).agg(F.count(F.lit(1)).alias("n_bucket"))
-    return live.join(sizes.filter(F.col("n_bucket") >= at_least), BUCKET)
+def part_of(place_col: str, order: list[str], name: str) -> Column:
+    return F.col(place_col) if len(order) == 1 else F.col(f"{place_col}.{name}")
 
 
-def similar_to_heads(live: DataFrame, sets: DataFrame, threshold: float, heads: int) -> tuple[DataFrame, DataFrame]:
-    """Compare the records of each bucket with the bucket's heads.
+def slot_counts(sets: DataFrame) -> np.ndarray:
+    """How many records have a word of each slot; words of a slot count together."""
+    slot = F.pmod("word", F.lit(SLOTS)).cast("int").alias("slot")
+    seen = sets.select(F.explode("words").alias("word")).groupBy(slot).agg(F.count(F.lit(1)).alias("n"))
+    counts = np.zeros(SLOTS, dtype=np.int64)
+    for r in seen.toLocalIterator():
+        counts[r["slot"]] = r["n"]
+    return counts
 
-    Returns the edges (ord, earlier, similarity) and the ords whose list of
-    earlier bucket mates is not complete yet.
-    """
-    w = Window.partitionBy(*BUCKET).orderBy("ord")
-    front = (
-        live.withColumn("_n", F.row_number().over(w))
-        .filter(F.col("_n") <= max(heads, SMALL_BUCKET))
-        .filter((F.col("_n") <= heads) | (F.col("n_bucket") <= SMALL_BUCKET))
-    )
-    ahead = front.select(*BUCKET, F.col("ord").alias("earlier"), F.col("n_words").alias("n_earlier"))
+
+def leading_words(sets: DataFrame, threshold: float) -> Column:
+    """The rarest words of each record, as many as a similar record cannot do without."""
+    counts = sets.sparkSession.sparkContext.broadcast(slot_counts(sets))
+
+    @F.pandas_udf(ArrayType(LongType()))
+    def rarest(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        table = counts.value
+
+        def first(found: np.ndarray) -> np.ndarray:
+            found = np.asarray(found, dtype=np.int64)
+            n = len(found)
+            if not n:
+                return np.zeros(1, dtype=np.int64)  # records without words meet here
+            order = np.lexsort((found, table[found % SLOTS]))
+            return found[order[: n - int(np.ceil(threshold * n - 1e-9)) + 1]]
+
+        for batch in batches:
+            yield pd.Series([first(w) for w in batch])
+
+    return rarest("words")
+
+
+def meeting_places(sets: DataFrame, threshold: float) -> DataFrame:
+    """(ord, n_words, bucket, same_id) of the records that share a bucket with others."""
+    by_word = sets.select("ord", "n_words", F.explode(leading_words(sets, threshold)).alias("bucket"), F.lit(False).alias("same_id"))
+    by_id = sets.filter("again").select("ord", "n_words", F.xxhash64("id").alias("bucket"), F.lit(True).alias("same_id"))
+    places = durable(by_word.unionByName(by_id))
+    shared = durable(places.groupBy("bucket", "same_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n"))
+    return durable(places.join(shared, ["bucket", "same_id"], "left_semi"))
+
+
+def similar(later: DataFrame, earlier: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """Edges (ord, earlier, similarity) between records that meet, checked on whole sets."""
+    other = earlier.select("bucket", "same_id", F.col("ord").alias("earlier"), F.col("n_words").alias("n_earlier"))
     small, large = F.least("n_words", "n_earlier"), F.greatest("n_words", "n_earlier")
     met = (
-        live.join(ahead, BUCKET)
+        later.join(other, ["bucket", "same_id"])
         .filter((F.col("earlier") < F.col("ord")) & (F.col("same_id") | (small >= large * threshold)))
         .groupBy("ord", "earlier")
         .agg(F.max("same_id").alias("same_id"))
@@ -130,63 +136,58 @@ def similar_to_heads(live: DataFrame, sets: DataFrame, threshold: float, heads:
     shared = F.size(F.array_intersect("a", "b"))
     either = F.size("a") + F.size("b") - shared
     similarity = F.when(either == 0, 1.0).otherwise(shared / either)
-    edges = (
-        met.join(ours, "ord").join(theirs, "earlier")
-        .select("ord", "earlier", "same_id", similarity.alias("similarity"))
-        .filter(F.col("same_id") | (F.col("similarity") >= threshold))
-        .drop("same_id")
-    )
-    waiting = live.join(front.select(*BUCKET, "ord"), [*BUCKET, "ord"], "left_anti").select("ord").distinct()
-    return durable(edges), waiting
+    edges = met.join(ours, "ord").join(theirs, "earlier").select("ord", "earlier", "same_id", similarity.alias("similarity"))
+    return durable(edges.filter(F.col("same_id") | (F.col("similarity") >= threshold)).drop("same_id"))
 
 
 def settle(vertices: DataFrame, edges: DataFrame) -> DataFrame:
-    """Decide what the edges decide.
+    """The records (ord) that stay, of one batch.
 
-    ``vertices`` (ord, waiting). A record goes once an earlier similar record
-    is kept; it stays once its list is complete and all earlier similar ones
-    are gone. Returns (ord, state, kept_ord, similarity) with state keep, drop or open.
+    A record goes once an earlier similar record stays, and stays once all its
+    earlier similar ones have gone. Each turn reads and writes only what is
+    still undecided.
     """
-    state = vertices.select(
-        "ord", "waiting",
-        F.lit("open").alias("state"),
-        F.lit(None).cast(edges.schema["earlier"].dataType).alias("kept_ord"),
-        F.lit(None).cast("double").alias("similarity"),
-    )
-    open_edges, n_open = edges, None
-    while True:
-        known = open_edges.join(
-            state.select(F.col("ord").alias("earlier"), F.col("state").alias("their")), "earlier"
-        )
-        kept = F.col("their") == "keep"
-        seen = known.groupBy("ord").agg(
-            F.min(F.when(kept, F.struct("earlier", "similarity"))).alias("_kept"),
-            F.max(F.col("their") != "drop").alias("_held"),
-        )
-        undecided = F.col("state") == "open"
-        gone = undecided & F.col("_kept").isNotNull()
-        stays = undecided & ~F.col("waiting") & ~F.coalesce("_held", F.lit(False))
-        state = durable(
-            state.join(seen, "ord", "left").select(
-                "ord", "waiting",
-                F.when(gone, "drop").when(stays, "keep").otherwise(F.col("state")).alias("state"),
-                F.when(gone, F.col("_kept.earlier")).otherwise(F.col("kept_ord")).alias("kept_ord"),
-                F.when(gone, F.col("_kept.similarity")).otherwise(F.col("similarity")).alias("similarity"),
-            )
+    kept = durable(vertices.join(edges.select("ord").distinct(), "ord", "left_anti"))
+    stays, open_edges = [kept], edges
+    while not open_edges.isEmpty():
+        gone = open_edges.join(kept.select(F.col("ord").alias("earlier")), "earlier", "left_semi").select("ord").distinct()
+        gone = durable(gone)
+        waiting = durable(open_edges.select("ord").distinct().join(gone, "ord", "left_anti"))
+        open_edges = durable(
+            open_edges.join(waiting, "ord", "left_semi")
+            .join(gone.select(F.col("ord").alias("earlier")), "earlier", "left_anti")
         )
-        still = state.filter(F.col("state") == "open").count()
-        if still == 0 or still == n_open:
-            return state.drop("waiting")
-        n_open = still
-        open_edges = edges.join(state.filter(F.col("state") == "open").select("ord"), "ord", "left_semi")
+        kept = durable(waiting.join(open_edges.select("ord").distinct(), "ord", "left_anti"))
+        stays.append(kept)
+    return union(stays)
 
 
-def place(order: list[str]) -> Column:
-    return F.col(order[0]) if len(order) == 1 else F.struct(*order)
+def union(parts: list[DataFrame]) -> DataFrame:
+    whole = parts[0]
+    for part in parts[1:]:
+        whole = whole.unionByName(part)
+    return whole
 
 
-def part_of(place_col: str, order: list[str], name: str) -> Column:
-    return F.col(place_col) if len(order) == 1 else F.col(f"{place_col}.{name}")
+def batch_marks(live: DataFrame, first: int) -> list:
+    """Places in the order that part it into batches of doubling size.
+
+    Marks come from a bounded sample; a table within the first batch needs none.
+    """
+    n = live.count()
+    if n <= first:
+        return []
+    drawn = live.filter(F.pmod(F.xxhash64(F.lit(SEED), "ord"), F.lit(1 << 20)) < min(1.0, MARKS / n) * (1 << 20))
+    marks = [r[0] for r in drawn.orderBy("ord").select("ord").collect()]
+    ends, size = [], first
+    while size < n and marks:
+        ends.append(marks[min(len(marks) - 1, size * len(marks) // n)])
+        size *= 2
+    return [m for i, m in enumerate(ends) if i == 0 or m != ends[i - 1]]
+
+
+def literal(mark) -> Column:
+    return F.struct(*[F.lit(v).alias(k) for k, v in mark.asDict().items()]) if hasattr(mark, "asDict") else F.lit(mark)
 
 
 def decide(
@@ -195,7 +196,7 @@ def decide(
     order: list[str] | None,
     text: list[str] = ["ci_log", "fix_diff"],
     threshold: float = THRESHOLD,
-    heads: int = HEADS,
+    batch_rows: int = BATCH_ROWS,
 ) -> tuple[DataFrame, DataFrame]:
     """All records (ord, id, set_key), and the decisions on the folded ones
     (ord, set_key, state, kept_ord, similarity)."""
@@ -204,40 +205,43 @@ def decide(
     worded = df.select(ord_col.alias("ord"), F.col(key).alias("id"), hashed_words(content).alias("words"))
     set_key = F.concat_ws("-", F.xxhash64("words"), F.xxhash64(F.lit(SEED), "words"), F.size("words"))
     records = durable(worded.withColumn("set_key", set_key))
-    sets = durable(
-        records.join(distinct_sets(records), "ord")
-        .withColumn("n_words", F.size("words"))
-        .withColumn("bands", band_keys("words"))
-    )
-
-    by_band = sets.select("ord", "n_words", F.lit(False).alias("same_id"), F.explode("bands").alias("bucket"))
-    by_id = sets.filter("again").select("ord", "n_words", F.lit(True).alias("same_id"), F.xxhash64("id").alias("bucket"))
-    live = durable(sized(by_band.unionByName(by_id), at_least=2))
-
-    decided = None
-    while True:
-        edges, waiting = similar_to_heads(live, sets, threshold, heads)
-        vertices = (
-            live.select("ord").distinct()
-            .join(waiting.withColumn("waiting", F.lit(True)), "ord", "left")
-            .select("ord", F.coalesce("waiting", F.lit(False)).alias("waiting"))
-        )
-        state = settle(vertices, edges)
-        done = state.filter(F.col("state") != "open")
-        decided = done if decided is None else decided.unionByName(done)
-        left = state.filter(F.col("state") == "open").select("ord")
-        if left.isEmpty():
-            break
-        live = durable(sized(live.join(left, "ord", "left_semi").drop("n_bucket"), at_least=1))
+    sets = durable(records.join(distinct_sets(records), "ord").withColumn("n_words", F.size("words")))
+
+    places = meeting_places(sets, threshold)
+    live = durable(places.select("ord").distinct())
+    marks = batch_marks(live, batch_rows)
+    decided, kept = [], None
+    for start, end in zip([None, *marks], [*marks, None]):
+        inside = F.lit(True) if start is None else F.col("ord") >= literal(start)
+        if end is not None:
+            inside = inside & (F.col("ord") < literal(end))
+        now, rest = places.filter(inside), live.filter(inside)
+        if kept is not None:
+            edges = similar(now, places.join(kept, "ord", "left_semi"), sets, threshold)
+            gone = durable(repeats(edges))
+            decided.append(gone)
+            now, rest = now.join(gone, "ord", "left_anti"), rest.join(gone, "ord", "left_anti")
+        now, rest = durable(now), durable(rest)
+        edges = similar(now, now, sets, threshold)
+        stays = durable(settle(rest, edges))
+        among = edges.join(stays.select(F.col("ord").alias("earlier")), "earlier", "left_semi").join(stays, "ord", "left_anti")
+        decided.append(durable(repeats(among)))
+        kept = stays if kept is None else kept.unionByName(stays)
 
     state = (
         sets.select("ord", "set_key")
-        .join(decided, "ord", "left")
-        .withColumn("state", F.coalesce("state", F.lit("keep")))
+        .join(union(decided), "ord", "left")
+        .withColumn("state", F.when(F.col("kept_ord").isNull(), "keep").otherwise("drop"))
     )
     return records.select("ord", "id", "set_key"), state
 
 
+def repeats(edges: DataFrame) -> DataFrame:
+    """Each removed record with the earliest kept one that it repeats."""
+    first = edges.groupBy("ord").agg(F.min(F.struct("earlier", "similarity")).alias("_first"))
+    return first.select("ord", F.col("_first.earlier").alias("kept_ord"), F.col("_first.similarity").alias("similarity"))
+
+
 def dedup_decisions(df: DataFrame, key: str = "id", order: list[str] | None = None, **options) -> DataFrame:
     """For each record (ord, id): whether it stays, and if not which kept record it repeats.
 

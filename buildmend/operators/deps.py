@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from buildmend.functions.text import any_case, any_contains, strip, text_or_empty
+from buildmend.functions.text import any_case, any_contains, cut, strip, text_or_empty
 from buildmend.operators.ordered import first_per_group
 
 # Title patterns (first match wins), ecosystem indicators (in
-# order), bot logins and caps.
+# order), words of titles and bodies, bot logins.
 BUMP_TITLES = [
     r"Bump (.+?) from ([\d.]+) to ([\d.]+)",
     r"Update (.+?) requirement from ([\d.>=<^~]+) to ([\d.>=<^~]+)",
@@ -32,8 +32,14 @@ ECOSYSTEMS = {
 }
 
 BOT_LOGINS = ["dependabot[bot]", "dependabot-preview[bot]", "renovate[bot]", "renovate"]
-CHECKS_KEPT = 10
-FILES_FETCHED = 50
+# Ecosystem, words of a body and words of a title that hint at it, in order.
+ECOSYSTEM_WORDS = [
+    ("npm", ["package.json"], ["npm"]),
+    ("pip", ["requirements"], ["pip", "python"]),
+    ("cargo", ["cargo.toml"], ["rust"]),
+    ("bundler", ["gemfile"], ["ruby"]),
+    ("go", ["go.mod"], []),
+]
 
 
 def parse_bump(title: Column) -> Column:
@@ -95,29 +101,37 @@ def detect_ecosystem(title: Column, labels: Column, filenames: Column, body: Col
     from_files = F.lit(None).cast("string")
     for eco, indicators in reversed(ECOSYSTEMS.items()):
         from_files = F.when(any_named(indicators), F.lit(eco)).otherwise(from_files)
-    from_words = (
-        F.when(body.contains("package.json") | title.contains("npm"), "npm")
-        .when(body.contains("requirements") | title.contains("pip") | title.contains("python"), "pip")
-        .when(body.contains("cargo.toml") | title.contains("rust"), "cargo")
-        .when(body.contains("gemfile") | title.contains("ruby"), "bundler")
-        .when(body.contains("go.mod"), "go")
-    )
+    from_words = F.lit(None).cast("string")
+    for eco, in_body, in_title in reversed(ECOSYSTEM_WORDS):
+        from_words = F.when(any_contains(body, in_body) | any_contains(title, in_title), F.lit(eco)).otherwise(from_words)
     return F.coalesce(from_labels, from_files, from_words, F.lit("unknown"))
 
 
-def check_rollup(prs: DataFrame, checks: DataFrame, key: list[str]) -> DataFrame:
-    """Overall check result of each pull request, also of those without checks."""
-    counted = checks.groupBy(*key).agg(
+def rolled_checks(prs: DataFrame, checks: DataFrame, key: list[str], n: int | None = None) -> DataFrame:
+    """Overall check result and list of checks of each pull request, also of those without checks.
+
+    Checks of other pull requests are left out first; counts and list come
+    from one aggregation. ``n`` keeps the first checks of each list.
+    """
+    wanted = prs.select(*key).distinct()
+    check = F.struct("check_no", "name", "conclusion", "app")
+    listed = F.array_sort(F.collect_list(check))
+    counted = checks.join(wanted, key, "left_semi").groupBy(*key).agg(
         F.count(F.lit(1)).alias("total_checks"),
         F.count_if(F.col("conclusion") == "success").alias("passed"),
         F.count_if(F.col("conclusion").isin("failure", "timed_out")).alias("failed"),
+        F.transform(
+            listed if n is None else F.slice(listed, 1, n),
+            lambda c: F.struct(c["name"].alias("name"), c["conclusion"].alias("conclusion"), c["app"].alias("app")),
+        ).alias("checks"),
     )
     zero = F.lit(0).cast("bigint")
-    joined = prs.select(*key).distinct().join(counted, key, "left").select(
+    joined = wanted.join(counted, key, "left").select(
         *key,
         F.coalesce("total_checks", zero).alias("total_checks"),
         F.coalesce("passed", zero).alias("passed"),
         F.coalesce("failed", zero).alias("failed"),
+        "checks",
     )
     return joined.withColumn(
         "status",
@@ -128,22 +142,20 @@ def check_rollup(prs: DataFrame, checks: DataFrame, key: list[str]) -> DataFrame
     )
 
 
-def first_checks(checks: DataFrame, key: list[str], n: int = CHECKS_KEPT) -> DataFrame:
-    """The first ``n`` checks of each pull request as one array."""
-    few = first_per_group(
-        checks, key, [F.col("check_no"), F.col("name"), F.col("conclusion")], n
-    )
-    listed = F.array_sort(F.collect_list(F.struct("check_no", "name", "conclusion", "app")))
-    return few.groupBy(*key).agg(
-        F.transform(
-            listed,
-            lambda c: F.struct(c["name"].alias("name"), c["conclusion"].alias("conclusion"), c["app"].alias("app")),
-        ).alias("checks")
-    )
+def check_rollup(prs: DataFrame, checks: DataFrame, key: list[str]) -> DataFrame:
+    """Overall check result of each pull request, also of those without checks."""
+    return rolled_checks(prs, checks, key).drop("checks")
 
 
 def dep_pr_records(
-    prs: DataFrame, files: DataFrame, checks: DataFrame, ecosystem: str | None = None
+    prs: DataFrame,
+    files: DataFrame,
+    checks: DataFrame,
+    ecosystem: str | None = None,
+    max_files: int | None = None,
+    max_checks: int | None = None,
+    patch_chars: int | None = None,
+    body_chars: int | None = None,
 ) -> DataFrame:
     """Records of bot pull requests whose title is a dependency bump.
 
@@ -157,17 +169,19 @@ def dep_pr_records(
         .withColumn("bump_info", parse_bump(text_or_empty(F.col("title"))))
         .filter(F.col("bump_info").isNotNull())
     )
-    few = first_per_group(files, key, [F.col("file_no")], FILES_FETCHED)
+    # Files of other pull requests are left out ahead of any grouping.
+    own = files.join(bumps.select(*key).distinct(), key, "left_semi")
+    few = first_per_group(own, key, [F.col("file_no")], max_files)
     file = F.struct(
         "file_no", "filename", "status",
         F.coalesce("additions", F.lit(0)).alias("additions"),
         F.coalesce("deletions", F.lit(0)).alias("deletions"),
-        F.left(text_or_empty(F.col("patch")), F.lit(2000)).alias("patch"),
+        cut(text_or_empty(F.col("patch")), patch_chars).alias("patch"),
     )
     changed = dep_file_filter(few).groupBy(*key).agg(
         F.transform(F.array_sort(F.collect_list(file)), lambda f: f.dropFields("file_no")).alias("changed_dep_files")
     )
-    rolled = check_rollup(bumps, checks, key).join(first_checks(checks, key), key, "left")
+    rolled = rolled_checks(bumps, checks, key, max_checks)
     kept = F.coalesce("changed_dep_files", F.array().cast(changed.schema["changed_dep_files"].dataType))
     records = (
         bumps.join(changed, key, "left")
@@ -197,7 +211,7 @@ def dep_pr_records(
         (F.col("status") == "passed").alias("ci_passed"),
         "changed_dep_files",
         F.size("changed_dep_files").alias("num_dep_files_changed"),
-        F.left(text_or_empty(F.col("body")), F.lit(500)).alias("body_snippet"),
+        cut(text_or_empty(F.col("body")), body_chars).alias("body_snippet"),
         "created_at", "merged_at", "labels",
         text_or_empty(F.col("author")).alias("author"),
     )

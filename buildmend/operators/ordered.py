@@ -51,11 +51,13 @@ def next_value(
     )
 
 
-def first_per_group(df: DataFrame, keys: list[str], order: list[Column], n: int) -> DataFrame:
-    """The first ``n`` rows of each group.
+def first_per_group(df: DataFrame, keys: list[str], order: list[Column], n: int | None) -> DataFrame:
+    """The first ``n`` rows of each group; None keeps all.
 
     Spark limits each group ahead of the shuffle as well, so a task never
     receives more than ``n`` rows of a group from any one map task.
     """
+    if n is None:
+        return df
     w = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn("_n", F.row_number().over(w)).filter(F.col("_n") <= n).drop("_n")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from buildmend.functions.text import any_contains, slug, text_or_empty
+from buildmend.functions.text import any_contains, cut, slug, text_or_empty
 from buildmend.operators.context import CIRCLECI, GITLAB, TRAVIS, error_context
 from buildmend.operators.ordered import first_per_group, next_value
 
@@ -29,12 +29,6 @@ REPO_KEYWORDS = {
 }
 MIN_LOG_CHARS = 200
 MIN_STARS = 50
-RUNS_PER_REPO = 20
-CHAINS_PER_REPO = 30
-COMMITS_LOOKED_AT = 20
-FILES_PER_COMPARE = 10
-FILES_PER_HISTORY_DIFF = 15
-
 # Rows of one group that one task may sort; see `next_value`.
 RUNS_PER_CHUNK = 50_000
 
@@ -93,7 +87,8 @@ def failure_fix_chains(
     )
 
 
-def chains_capped(chains: DataFrame, n: int = CHAINS_PER_REPO) -> DataFrame:
+def chains_capped(chains: DataFrame, n: int | None) -> DataFrame:
+    """The first ``n`` chains of each repository; None keeps all."""
     order = [F.col("workflow_name"), F.col("failed_run_number"), F.col("failed_run_id")]
     return first_per_group(chains, ["repo"], order, n)
 
@@ -102,26 +97,28 @@ def green_commit_fix(
     failures: DataFrame,
     commits: DataFrame,
     runs: DataFrame,
-    last: int | None = COMMITS_LOOKED_AT,
+    last: int | None = None,
     pick: str = "latest",
 ) -> DataFrame:
     """The commit that brought the failed workflow back to green.
 
     ``commits`` (repo, sha, committed_at, commit_no) is looked at from the
-    newest down, ``last`` commits per repository (None: all of them). ``pick``
-    takes the newest green commit behind the failing one, or the next one.
-    Failures without a fix keep a null ``fix_sha``.
+    newest down, all of them or the ``last`` per repository. ``pick`` takes the
+    newest green commit behind the failing one, or the next one. Failures
+    without a fix keep a null ``fix_sha``.
     """
     place = F.struct("committed_at", "commit_no")
+    keys = ["repo", "workflow_name"]
     seen = commits.select("repo", "sha", "committed_at", "commit_no")
     if last is not None:
         seen = first_per_group(
             seen, ["repo"], [F.col("committed_at").desc(), F.col("commit_no").desc()], last
         )
+    # Only green runs of workflows that failed are placed; repeats do no harm.
     green = (
         runs.filter(F.col("conclusion") == "success")
         .select("repo", F.col("head_sha").alias("sha"), "workflow_name")
-        .distinct()
+        .join(failures.select(*keys).distinct(), keys, "left_semi")
         .join(seen, ["repo", "sha"])
     )
     broken = failures.join(
@@ -129,7 +126,6 @@ def green_commit_fix(
         ["repo", "failing_sha"],
         "left",
     )
-    keys = ["repo", "workflow_name"]
     if pick == "latest":
         newest = green.groupBy(*keys).agg(
             F.max_by("sha", place).alias("_sha"), F.max(place).alias("_place")
@@ -157,7 +153,8 @@ def green_commit_fix(
 
 
 def green_pipeline_fix(
-    failed: DataFrame, pipelines: DataFrame, pick: str = "latest", chunk_ids: int = 1_000_000
+    failed: DataFrame, pipelines: DataFrame, pick: str = "latest", chunk_ids: int = 1_000_000,
+    message_chars: int | None = None,
 ) -> DataFrame:
     """The green pipeline behind a failed one on the same project and ref.
 
@@ -167,7 +164,7 @@ def green_pipeline_fix(
     keys = ["project_path", "ref"]
     details = F.struct(
         "pipeline_id", "sha", "ref",
-        F.left(text_or_empty(F.col("commit_message")), F.lit(200)).alias("commit_message"),
+        cut(text_or_empty(F.col("commit_message")), message_chars).alias("commit_message"),
         text_or_empty(F.col("web_url")).alias("web_url"),
         F.coalesce(F.col("duration"), F.lit(0.0)).alias("duration"),
     )
@@ -190,14 +187,16 @@ def green_pipeline_fix(
     return followed.filter("_failed").select(*failed.columns, "fix_pipeline")
 
 
-def passing_build_fix(builds: DataFrame, chunk_rows: int = RUNS_PER_CHUNK) -> DataFrame:
+def passing_build_fix(
+    builds: DataFrame, chunk_rows: int = RUNS_PER_CHUNK, sha_chars: int | None = None, message_chars: int | None = None
+) -> DataFrame:
     """Failed builds with the first passing build behind them on the branch."""
     passed = F.when(
         F.col("state") == "passed",
         F.struct(
             "build_number",
-            F.left("commit_sha", F.lit(12)).alias("commit_sha"),
-            F.left(text_or_empty(F.col("commit_message")), F.lit(200)).alias("commit_message"),
+            cut(F.col("commit_sha"), sha_chars).alias("commit_sha"),
+            cut(text_or_empty(F.col("commit_message")), message_chars).alias("commit_message"),
             text_or_empty(F.col("compare_url")).alias("compare_url"),
             F.coalesce(F.col("duration"), F.lit(0.0)).alias("duration"),
         ),
@@ -209,47 +208,83 @@ def passing_build_fix(builds: DataFrame, chunk_rows: int = RUNS_PER_CHUNK) -> Da
     return followed.filter(F.col("state").isin(TRAVIS_FAILED))
 
 
-def next_commit_fix(failures: DataFrame, commits: DataFrame, files: DataFrame) -> DataFrame:
-    """The commit right behind the failing one, matched on eight sha characters.
+#: Leading characters that a shortened sha has at least.
+SHORT_SHA = 7
+
+
+def commits_named(named: DataFrame, history: DataFrame) -> DataFrame:
+    """What stands behind the commit that each (repo, failed_sha) names.
+
+    Whole shas are compared as they are. A sha that no commit has is taken as
+    shortened (or as whole where the history has shortened ones) and compared
+    by its beginning within the repository; of several the newest counts.
+    """
+    wanted = named.select("repo", "failed_sha").distinct()
+    newest = history.groupBy("repo", "sha").agg(
+        F.max_by("next_commit", F.struct("committed_at", "commit_no")).alias("next_commit"),
+        F.max(F.struct("committed_at", "commit_no")).alias("_place"),
+    )
+    whole = wanted.join(newest.withColumnRenamed("sha", "failed_sha"), ["repo", "failed_sha"])
+    rest = wanted.join(newest.select("repo", F.col("sha").alias("failed_sha")), ["repo", "failed_sha"], "left_anti")
+    begins = F.col("sha").startswith(F.col("failed_sha")) | F.col("failed_sha").startswith(F.col("sha"))
+    short = (
+        rest.withColumn("_start", F.left("failed_sha", F.lit(SHORT_SHA)))
+        .join(newest.withColumn("_start", F.left("sha", F.lit(SHORT_SHA))), ["repo", "_start"])
+        .filter(begins)
+        .groupBy("repo", "failed_sha").agg(F.max_by("next_commit", "_place").alias("next_commit"))
+    )
+    return whole.select("repo", "failed_sha", "next_commit").unionByName(short)
+
+
+def next_commit_fix(
+    failures: DataFrame,
+    commits: DataFrame,
+    files: DataFrame,
+    max_files: int | None = None,
+    max_patches: int | None = None,
+    patch_chars: int | None = None,
+    message_chars: int | None = None,
+) -> DataFrame:
+    """The commit right behind the failing one.
 
     ``files`` (repo, sha, file_no, filename, patch) gives the changed files;
-    of those that concern CI the first ten names and the first three patches
-    are kept.
+    names and patches are those of the files that concern CI.
     """
     history = next_value(
         commits.select("repo", "sha", "committed_at", "commit_no", "message", "author"),
         ["repo"], ["committed_at", "commit_no"],
         F.struct("sha", "message", "author"), F.date_trunc("day", "committed_at"), "next_commit",
     )
-    short = F.left("sha", F.lit(8))
-    newest = history.groupBy("repo", short.alias("_short")).agg(
-        F.max_by("next_commit", F.struct("committed_at", "commit_no")).alias("next_commit")
-    )
-    fixes = (
-        failures.withColumn("_short", F.left("failed_sha", F.lit(8)))
-        .join(newest, ["repo", "_short"], "left")
-        .drop("_short")
+    fixes = commits_named(failures, history).withColumn("_fix_sha", F.col("next_commit.sha"))
+    # Files of other commits are left out ahead of any grouping.
+    changed = files.join(
+        fixes.select("repo", F.col("_fix_sha").alias("sha")).distinct(), ["repo", "sha"], "left_semi"
     )
     for_ci = any_contains(text_or_empty(F.col("filename")), CI_FILE_MARKERS)
+    listed = F.array_sort(F.collect_list(F.when(for_ci, F.struct(
+        "file_no", "filename", cut(text_or_empty(F.col("patch")), patch_chars).alias("patch")
+    ))))
+
+    def first(items: Column, n: int | None) -> Column:
+        return items if n is None else F.slice(items, 1, n)
+
     per_commit = (
-        first_ci_files(files.filter(for_ci), 10)
-        .join(
-            files.groupBy("repo", "sha").agg(F.count(F.lit(1)).cast("int").alias("files_changed")),
-            ["repo", "sha"], "right",
+        changed.groupBy("repo", "sha")
+        .agg(F.count(F.lit(1)).cast("int").alias("files_changed"), first(listed, max_files).alias("_l"))
+        .select(
+            "repo", F.col("sha").alias("_fix_sha"), "files_changed",
+            F.transform("_l", lambda f: f["filename"]).alias("ci_files_changed"),
+            F.array_join(F.transform(first(F.col("_l"), max_patches), lambda f: f["patch"]), "\n").alias("diff_patch"),
         )
-        .withColumnRenamed("sha", "_fix_sha")
-    )
-    joined = fixes.withColumn("_fix_sha", F.col("next_commit.sha")).join(
-        per_commit, ["repo", "_fix_sha"], "left"
     )
     nothing = F.array().cast("array<string>")
-    return joined.select(
-        *failures.columns,
+    found = fixes.join(per_commit, ["repo", "_fix_sha"], "left").select(
+        "repo", "failed_sha",
         F.when(
             F.col("_fix_sha").isNotNull(),
             F.struct(
                 F.col("_fix_sha").alias("sha"),
-                F.left(text_or_empty(F.col("next_commit.message")), F.lit(200)).alias("message"),
+                cut(text_or_empty(F.col("next_commit.message")), message_chars).alias("message"),
                 text_or_empty(F.col("next_commit.author")).alias("author"),
                 F.coalesce("files_changed", F.lit(0)).alias("files_changed"),
                 F.coalesce("ci_files_changed", nothing).alias("ci_files_changed"),
@@ -257,25 +292,11 @@ def next_commit_fix(failures: DataFrame, commits: DataFrame, files: DataFrame) -
             ),
         ).alias("fix_commit"),
     )
+    return failures.join(found, ["repo", "failed_sha"], "left").select(*failures.columns, "fix_commit")
 
 
-def first_ci_files(files: DataFrame, n: int) -> DataFrame:
-    """Names and leading patches of the first ``n`` files of each commit."""
-    few = first_per_group(files, ["repo", "sha"], [F.col("file_no")], n)
-    listed = F.array_sort(
-        F.collect_list(
-            F.struct("file_no", "filename", F.left(text_or_empty(F.col("patch")), F.lit(500)).alias("patch"))
-        )
-    )
-    return few.groupBy("repo", "sha").agg(listed.alias("_l")).select(
-        "repo", "sha",
-        F.transform("_l", lambda f: f["filename"]).alias("ci_files_changed"),
-        F.array_join(F.transform(F.slice("_l", 1, 3), lambda f: f["patch"]), "\n").alias("diff_patch"),
-    )
-
-
-def assemble_diff(files: DataFrame, keys: list[str], n: int = FILES_PER_COMPARE) -> DataFrame:
-    """One unified diff per comparison, from its first ``n`` files.
+def assemble_diff(files: DataFrame, keys: list[str], n: int | None = None) -> DataFrame:
+    """One unified diff per comparison, from all or its first ``n`` files.
 
     Files without a patch count towards ``n`` but add no text; a comparison
     whose files have none keeps an empty diff.
@@ -295,33 +316,41 @@ def assemble_diff(files: DataFrame, keys: list[str], n: int = FILES_PER_COMPARE)
 def first_failed_step(workflows: DataFrame, jobs: DataFrame, actions: DataFrame) -> DataFrame:
     """From each pipeline down to the log of its first failed step.
 
-    Each level takes a partial minimum, so no group is gathered in one task.
-    Within a step only the first failed action that has a log place counts;
-    where that log is empty the next step is tried.
+    Job numbers count within a project, so ``project_slug`` is part of their
+    key. Each level is chosen by positions alone, ahead of the next level, and
+    only the one log that is shown is fetched. Within a step only the first
+    failed action that has a log place counts; where that log is empty the
+    next step is tried.
     """
     workflow = (
         workflows.filter(F.col("status").isin(CIRCLECI_FAILED_WORKFLOW))
-        .groupBy("pipeline_id")
+        .groupBy("project_slug", "pipeline_id")
         .agg(F.min_by(F.struct("workflow_id", "workflow_name"), "workflow_no").alias("w"))
-        .select("pipeline_id", "w.*")
+        .select("project_slug", "pipeline_id", "w.*")
     )
     job = (
         jobs.filter(F.col("status").isin(CIRCLECI_FAILED_JOB))
-        .groupBy("workflow_id")
+        .join(workflow.select("project_slug", "workflow_id"), ["project_slug", "workflow_id"], "left_semi")
+        .groupBy("project_slug", "workflow_id")
         .agg(F.min_by(F.struct("job_number", "job_name"), "job_no").alias("j"))
-        .select("workflow_id", "j.*")
+        .select("project_slug", "workflow_id", "j.*")
     )
+    failed = actions.filter((F.col("status") == "failed") & (text_or_empty(F.col("output_url")) != ""))
+    step_key = ["project_slug", "job_number", "step_no"]
     step = (
-        actions.filter((F.col("status") == "failed") & (text_or_empty(F.col("output_url")) != ""))
-        .groupBy("job_number", "step_no")
-        .agg(F.min_by(F.struct("action_no", "step_log"), "action_no").alias("a"))
-        .filter(text_or_empty(F.col("a.step_log")) != "")
-        .groupBy("job_number")
-        .agg(F.min_by(F.struct("step_no", "a.action_no", "a.step_log"), "step_no").alias("s"))
-        .select("job_number", "s.*")
-    )
-    return workflow.join(job, "workflow_id").join(step, "job_number").select(
-        "pipeline_id", "workflow_name", "job_name", "job_number", "step_no", "action_no", "step_log"
+        failed.select(*step_key, "action_no", (text_or_empty(F.col("step_log")) != "").alias("has_log"))
+        .join(job.select("project_slug", "job_number"), ["project_slug", "job_number"], "left_semi")
+        .groupBy(*step_key).agg(F.min(F.struct("action_no", "has_log")).alias("a"))
+        .filter("a.has_log")
+        .groupBy("project_slug", "job_number").agg(F.min(F.struct("step_no", "a.action_no")).alias("s"))
+        .select("project_slug", "job_number", "s.*")
+    )
+    log = failed.select(*step_key, "action_no", "step_log")
+    return (
+        workflow.join(job, ["project_slug", "workflow_id"])
+        .join(step, ["project_slug", "job_number"])
+        .join(log, [*step_key, "action_no"])
+        .select("project_slug", "pipeline_id", "workflow_name", "job_name", "job_number", "step_no", "action_no", "step_log")
     )
 
 
@@ -333,13 +362,13 @@ def github_pairs(
     fixes: DataFrame,
     diffs: DataFrame,
     bots_only: bool = False,
-    per_repo: int = RUNS_PER_REPO,
+    per_repo: int | None = None,
 ) -> DataFrame:
     """Records of failed runs with a usable log.
 
     ``logs`` (repo, run_id, ci_log); ``fixes`` (repo, run_id, fix_sha);
-    ``diffs`` (repo, failing_sha, fix_sha, diff). The newest ``per_repo``
-    failures of a repository are taken before their logs are looked at.
+    ``diffs`` (repo, failing_sha, fix_sha, diff). With ``per_repo`` only the
+    newest failures of a repository are taken, before their logs are looked at.
     """
     runs = bot_runs(failures) if bots_only else failures
     runs = first_per_group(
@@ -368,7 +397,7 @@ def history_pairs(
     diffs: DataFrame,
     logs: DataFrame | None = None,
     env_mode: bool = False,
-    per_repo: int = CHAINS_PER_REPO,
+    per_repo: int | None = None,
 ) -> DataFrame:
     """Records of adjacent red/green runs that have a diff.
 
@@ -403,6 +432,20 @@ def history_pairs(
     )
 
 
+def first_failed_job(jobs: DataFrame, red: DataFrame, key: str, state: str, failed: list[str], log: str) -> DataFrame:
+    """The first failed job of each red run, where it has a log.
+
+    The job is chosen by its number among jobs of red runs; logs of other jobs
+    are not moved.
+    """
+    broken = jobs.filter(F.col(state).isin(failed))
+    chosen = (
+        broken.select(key, "job_no").join(red.select(key), key, "left_semi")
+        .groupBy(key).agg(F.min("job_no").alias("job_no"))
+    )
+    return broken.join(chosen, [key, "job_no"]).filter(text_or_empty(F.col(log)) != "")
+
+
 def gitlab_pairs(
     pipelines: DataFrame, jobs: DataFrame, projects: DataFrame, min_stars: int = MIN_STARS
 ) -> DataFrame:
@@ -412,11 +455,8 @@ def gitlab_pairs(
     """
     liked = projects.filter(F.col("star_count") >= min_stars)
     red = pipelines.filter(F.col("status").isin(GITLAB_FAILED)).join(liked, "project_path")
-    job = (
-        jobs.filter(F.col("status").isin(GITLAB_FAILED))
-        .groupBy("pipeline_id")
-        .agg(F.min_by(F.struct("name", "stage", "trace"), "job_no").alias("job"))
-        .filter(text_or_empty(F.col("job.trace")) != "")
+    job = first_failed_job(jobs, red, "pipeline_id", "status", GITLAB_FAILED, "trace").select(
+        "pipeline_id", F.struct("name", "stage", "trace").alias("job")
     )
     return (
         green_pipeline_fix(red, pipelines)
@@ -440,27 +480,27 @@ def gitlab_pairs(
     )
 
 
-def travis_pairs(builds: DataFrame, jobs: DataFrame) -> DataFrame:
+def travis_pairs(
+    builds: DataFrame, jobs: DataFrame, sha_chars: int | None = None, message_chars: int | None = None
+) -> DataFrame:
     """Records of failed builds: first failed job, its error context, the fix.
 
     ``jobs`` (build_id, job_no, stage, state, log).
     """
-    job = (
-        jobs.filter(F.col("state").isin(TRAVIS_FAILED))
-        .groupBy("build_id")
-        .agg(F.min_by(F.struct("stage", "log"), "job_no").alias("job"))
-        .filter(text_or_empty(F.col("job.log")) != "")
+    red = builds.filter(F.col("state").isin(TRAVIS_FAILED))
+    job = first_failed_job(jobs, red, "build_id", "state", TRAVIS_FAILED, "log").select(
+        "build_id", F.struct("stage", "log").alias("job")
     )
     return (
-        passing_build_fix(builds)
+        passing_build_fix(builds, sha_chars=sha_chars, message_chars=message_chars)
         .join(job, "build_id")
         .select(
             F.lit("travis_ci").alias("platform"),
             "repo_slug", "build_number", "build_id", "branch",
             F.coalesce("language", F.lit("unknown")).alias("language"),
             F.coalesce("job.stage", F.lit("test")).alias("failed_job_name"),
-            F.left("commit_sha", F.lit(12)).alias("failed_sha"),
-            F.left(text_or_empty(F.col("commit_message")), F.lit(200)).alias("commit_message"),
+            cut(F.col("commit_sha"), sha_chars).alias("failed_sha"),
+            cut(text_or_empty(F.col("commit_message")), message_chars).alias("commit_message"),
             error_context(F.col("job.log"), TRAVIS).alias("failure_log"),
             "fix_build",
             F.col("fix_build").isNotNull().alias("has_fix"),
@@ -478,6 +518,7 @@ def circleci_pairs(
     actions: DataFrame,
     commits: DataFrame,
     files: DataFrame,
+    log_chars: int | None = None,
 ) -> DataFrame:
     """Records of pipelines with a failed step: its error context and the next commit.
 
@@ -486,7 +527,7 @@ def circleci_pairs(
     """
     red = pipelines.filter(F.col("state").isin(CIRCLECI_PIPELINE_STATES))
     failed = (
-        red.join(first_failed_step(workflows, jobs, actions), "pipeline_id")
+        red.join(first_failed_step(workflows, jobs, actions), ["project_slug", "pipeline_id"])
         .withColumn("failure_log", error_context(F.col("step_log"), CIRCLECI))
         .filter(F.col("failure_log") != "")
     )
@@ -495,7 +536,7 @@ def circleci_pairs(
         "project_slug", "repo_url", "pipeline_id", "workflow_name",
         F.col("job_name").alias("failed_job_name"),
         "failed_sha", "branch",
-        F.left("failure_log", F.lit(5000)).alias("failure_log"),
+        cut(F.col("failure_log"), log_chars).alias("failure_log"),
         "fix_commit",
         F.col("fix_commit").isNotNull().alias("has_fix"),
         "created_at",

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from buildmend.functions.text import filled, strip, tagged_block, text_or_empty
+from buildmend.functions.text import cut, filled, strip, tagged_block, text_or_empty
 from buildmend.operators.classify import top_class
 from buildmend.sources.records import has_required
 
@@ -20,7 +20,6 @@ TEST_COMMANDS = {
     "rust": "cargo test",
 }
 TASK_LANGUAGES = ["python", "javascript", "go"]
-MAX_TASKS = 10_000
 LANGUAGES = ["python", "javascript", "go", "java", "ruby", "rust"]
 REPO_TYPES = [
     "web_framework", "data_library", "cli_tool", "database_orm", "authentication_service",
@@ -82,6 +81,20 @@ SCENARIO_RULES = (
     "and error messages that would appear in this type of failure.\n\n"
     "The fix_diff must be minimal — only the exact lines needed to fix the failure."
 )
+REPOSITORY_LABEL = "Repository: "
+LOG_LABEL = "CI Log:\n"
+KEY_LOG_LABEL = "CI Log (truncated to key section):\n"
+CONTEXT_LABEL = "Code context:\n"
+CLASS_LABEL = "Known failure class: "
+WORKFLOW_LABEL = "Workflow: "
+LANGUAGE_LABEL = "\n\nRepository language: "
+HINT_LABEL = "\n\nHeuristic pre-classification hint: "
+SHORT_HINT_LABEL = "\n\nHeuristic hint: "
+INLINE_HINT_LABEL = "\n[Heuristic hint: "
+EVIDENCE_LABEL = "\n\nKey evidence from log:\n"
+NO_EVIDENCE = "  - (see log above)"
+NOT_PROVIDED = "(not provided)"
+NOT_AVAILABLE = "(not available)"
 
 
 def say(*parts: Column | str) -> Column:
@@ -94,10 +107,6 @@ def field(df: DataFrame, name: str, default: str = "") -> Column:
     return F.coalesce(F.col(name), F.lit(default)) if name in df.columns else F.lit(default)
 
 
-def cut(col: Column, n: int) -> Column:
-    return F.left(col, F.lit(n))
-
-
 def chat(system: str, user: Column, reply: Column | None = None) -> Column:
     parts: list[Column | str] = [
         f"<|im_start|>system\n{system}<|im_end|>\n<|im_start|>user\n", user, "<|im_end|>\n<|im_start|>assistant\n",
@@ -125,9 +134,12 @@ def train_eval_split(df: DataFrame, eval_share: float = 0.1, key: str = "id", se
 
 
 def rl_tasks(
-    df: DataFrame, languages: list[str] = TASK_LANGUAGES, max_tasks: int = MAX_TASKS, key: str = "id"
+    df: DataFrame, languages: list[str] = TASK_LANGUAGES, max_tasks: int | None = None, key: str = "id"
 ) -> DataFrame:
-    """Tasks that a sandbox can run: known language, a fix, a log, a full repository name."""
+    """Tasks that a sandbox can run: known language, a fix, a log, a full repository name.
+
+    ``max_tasks`` keeps the first by key.
+    """
     language = F.lower(field(df, "language"))
     command = F.create_map(*[F.lit(x) for item in TEST_COMMANDS.items() for x in item])
     fit = (
@@ -136,41 +148,41 @@ def rl_tasks(
         & filled(F.col("ci_log"))
         & text_or_empty(F.col("repo")).contains("/")
     )
-    return (
-        df.filter(fit)
-        .select(
-            key, "repo", "failing_sha", language.alias("language"), "ci_log",
-            "failure_class", "failure_subclass",
-            F.coalesce(F.try_element_at(command, language), F.lit("pytest")).alias("test_command"),
-            text_or_empty(F.col("fix_diff")).alias("ground_truth_diff"),
-        )
-        .orderBy(key)
-        .limit(max_tasks)
+    tasks = df.filter(fit).select(
+        key, "repo", "failing_sha", language.alias("language"), "ci_log",
+        "failure_class", "failure_subclass",
+        F.coalesce(F.try_element_at(command, language), F.lit("pytest")).alias("test_command"),
+        text_or_empty(F.col("fix_diff")).alias("ground_truth_diff"),
     )
+    return tasks if max_tasks is None else tasks.orderBy(key).limit(max_tasks)
 
 
-def sft_examples(df: DataFrame, system: str, key: str = "id") -> DataFrame:
-    """Chat text of each pair that has a log and a fix."""
+def sft_examples(
+    df: DataFrame, system: str, key: str = "id",
+    log_chars: int | None = None, context_chars: int | None = None, bullets_shown: int | None = None,
+) -> DataFrame:
+    """Chat text of each pair that has a log and a fix. The budgets of a prompt are off by default."""
     context = field(df, "code_context")
     cause = field(df, "root_cause")
     evidence = F.coalesce(
         F.col("key_evidence") if "key_evidence" in df.columns else F.lit(None).cast("array<string>"),
         F.array().cast("array<string>"),
     )
-    bullets = F.when(F.size(evidence) == 0, F.lit("  - (see log above)")).otherwise(
-        F.array_join(F.transform(F.slice(evidence, 1, 3), lambda e: F.concat(F.lit("  - "), e)), "\n")
+    shown = evidence if bullets_shown is None else F.slice(evidence, 1, bullets_shown)
+    bullets = F.when(F.size(evidence) == 0, F.lit(NO_EVIDENCE)).otherwise(
+        F.array_join(F.transform(shown, lambda e: F.concat(F.lit("  - "), e)), "\n")
     )
     user = say(
-        "Repository: ", field(df, "repo", DEFAULT_REPO), " (", field(df, "language", DEFAULT_LANGUAGE), ")\n",
-        "CI Log:\n", cut(F.col("ci_log"), 6000), "\n\n",
-        "Code context:\n", F.when(context == "", "(not provided)").otherwise(cut(context, 2000)), "\n\n",
+        REPOSITORY_LABEL, field(df, "repo", DEFAULT_REPO), " (", field(df, "language", DEFAULT_LANGUAGE), ")\n",
+        LOG_LABEL, cut(F.col("ci_log"), log_chars), "\n\n",
+        CONTEXT_LABEL, F.when(context == "", NOT_PROVIDED).otherwise(cut(context, context_chars)), "\n\n",
         ASK_FOR_ANALYSIS,
     )
     reply = say(
         "<classify>", field(df, "failure_class", "UNKNOWN"), " — ", field(df, "failure_subclass"),
         "</classify>\n<reason>\n",
         F.when(cause == "", field(df, "fix_strategy")).otherwise(cause),
-        "\n\nKey evidence from log:\n", bullets, "\n</reason>\n<fix>\n", F.col("fix_diff"),
+        EVIDENCE_LABEL, bullets, "\n</reason>\n<fix>\n", F.col("fix_diff"),
         "\n</fix>\n<validate>\n", HOW_TO_VALIDATE, "\n</validate>",
     )
     usable = (
@@ -179,13 +191,13 @@ def sft_examples(df: DataFrame, system: str, key: str = "id") -> DataFrame:
     return df.filter(usable).select(key, chat(system, user, reply).alias("text"))
 
 
-def rl_prompts(tasks: DataFrame, system: str, key: str = "id") -> DataFrame:
+def rl_prompts(tasks: DataFrame, system: str, key: str = "id", log_chars: int | None = None) -> DataFrame:
     """Prompt and run metadata of each task that has log, class and repository."""
     language = field(tasks, "language", DEFAULT_LANGUAGE)
     user = say(
-        "Repository: ", F.col("repo"), " (", language, ")\n",
-        "Known failure class: ", F.col("failure_class"), "\n",
-        "CI Log:\n", cut(F.col("ci_log"), 6000), "\n\n", ASK_FOR_FIX, "\n",
+        REPOSITORY_LABEL, F.col("repo"), " (", language, ")\n",
+        CLASS_LABEL, F.col("failure_class"), "\n",
+        LOG_LABEL, cut(F.col("ci_log"), log_chars), "\n\n", ASK_FOR_FIX, "\n",
     )
     return tasks.filter(has_required(["ci_log", "failure_class", "repo"])).select(
         key,
@@ -199,14 +211,14 @@ def rl_prompts(tasks: DataFrame, system: str, key: str = "id") -> DataFrame:
     )
 
 
-def dpo_pairs(df: DataFrame, rejected: DataFrame, key: str = "id") -> DataFrame:
+def dpo_pairs(df: DataFrame, rejected: DataFrame, key: str = "id", log_chars: int | None = None) -> DataFrame:
     """Preference pairs: the true fix against a worse candidate.
 
     ``rejected`` (key, rejected) holds the candidates made elsewhere.
     """
     prompt = say(
-        "Repository: ", field(df, "repo", DEFAULT_REPO), " (", field(df, "language", DEFAULT_LANGUAGE), ")\n",
-        "CI Log:\n", cut(text_or_empty(F.col("ci_log")), 4000), "\n\n", ASK_FOR_FIX,
+        REPOSITORY_LABEL, field(df, "repo", DEFAULT_REPO), " (", field(df, "language", DEFAULT_LANGUAGE), ")\n",
+        LOG_LABEL, cut(text_or_empty(F.col("ci_log")), log_chars), "\n\n", ASK_FOR_FIX,
     )
     chosen = df.filter(F.coalesce(F.col("has_fix"), F.lit(False)) & filled(F.col("fix_diff"))).select(
         F.col(key).alias("_key"), prompt.alias("prompt"), F.col("fix_diff").alias("chosen"), "failure_class"
@@ -239,23 +251,26 @@ REQUEST_KINDS = ["classify", "classify_short", "repair", "bench", "patch", "wors
 
 
 def model_requests(
-    df: DataFrame, kinds: list[str] = REQUEST_KINDS, system: str = "", key: str = "id", sure: float = 0.90
+    df: DataFrame, kinds: list[str] = REQUEST_KINDS, system: str = "", key: str = "id", sure: float = 0.90,
+    log_chars: dict[str, int] | None = None, context_chars: int | None = None,
 ) -> DataFrame:
     """Request texts for a model outside Spark, one row per record and kind.
 
     ``classify`` and ``classify_short`` skip logs that the patterns settle on
     their own; ``repair`` and ``bench`` are whole chats; ``patch`` and
     ``worse_patch`` are user messages. All kinds come from one pass over the logs.
+    ``log_chars`` may give a budget of log characters for a kind.
     """
+    budget = log_chars or {}
     log = text_or_empty(F.col("ci_log"))
-    about = say("Repository: ", field(df, "repo", DEFAULT_REPO), " (", field(df, "language", DEFAULT_LANGUAGE), ")\n")
+    about = say(REPOSITORY_LABEL, field(df, "repo", DEFAULT_REPO), " (", field(df, "language", DEFAULT_LANGUAGE), ")\n")
     ask = f"\n\n{ASK_FOR_ANALYSIS}\n"
     subclass = F.coalesce("heuristic_subclass", F.lit("unknown"))
     confidence = F.format_string("%.2f", "heuristic_confidence")
     hint = say(F.col("heuristic_class"), " (", subclass, ") — confidence ", confidence)
     inline_hint = F.when(
         F.col("heuristic_class") != "UNKNOWN",
-        say("\n[Heuristic hint: ", F.col("heuristic_class"), " — ", subclass, ", confidence ", confidence, "]"),
+        say(INLINE_HINT_LABEL, F.col("heuristic_class"), " — ", subclass, ", confidence ", confidence, "]"),
     )
     context = field(df, "code_context")
     unsure = filled(F.col("ci_log")) & (F.col("heuristic_confidence") < sure)
@@ -264,24 +279,24 @@ def model_requests(
 
     wanted: dict[str, tuple[Column, Column]] = {
         "classify": (unsure, say(
-            "CI Log (truncated to key section):\n", cut(log, 8000),
-            "\n\nHeuristic pre-classification hint: ", hint, "\n\n", ASK_FOR_CLASS,
+            KEY_LOG_LABEL, cut(log, budget.get("classify")),
+            HINT_LABEL, hint, "\n\n", ASK_FOR_CLASS,
         )),
         "classify_short": (unsure, say(
-            "CI Log:\n", cut(log, 8000), "\n\nHeuristic hint: ", hint, "\n\n", ASK_FOR_CLASS,
+            LOG_LABEL, cut(log, budget.get("classify_short")), SHORT_HINT_LABEL, hint, "\n\n", ASK_FOR_CLASS,
         )),
         "repair": (always, chat(system, say(
-            about, "Workflow: ", field(df, "workflow_name"), "\n", inline_hint, "\nCI Log:\n", cut(log, 7000), ask,
+            about, WORKFLOW_LABEL, field(df, "workflow_name"), "\n", inline_hint, "\nCI Log:\n", cut(log, budget.get("repair")), ask,
         ))),
-        "bench": (always, chat(system, say(about, "CI Log:\n", cut(log, 6000), ask))),
+        "bench": (always, chat(system, say(about, LOG_LABEL, cut(log, budget.get("bench")), ask))),
         "patch": (always, say(
             about, "Failure class: ", field(df, "failure_class", "UNKNOWN"), " — ", field(df, "failure_subclass"),
-            "\n\nCI Log:\n", cut(log, 6000), "\n\nCode context:\n",
-            F.when(context == "", "(not available)").otherwise(cut(context, 3000)), "\n\n", ASK_FOR_FIX,
+            "\n\nCI Log:\n", cut(log, budget.get("patch")), "\n\nCode context:\n",
+            F.when(context == "", NOT_AVAILABLE).otherwise(cut(context, context_chars)), "\n\n", ASK_FOR_FIX,
         )),
         "worse_patch": (fixed, say(
-            ASK_FOR_WORSE_FIX, "\n\nCI Log:\n", cut(log, 3000),
-            "\n\nRepository language: ", field(df, "language", DEFAULT_LANGUAGE), "\n", ASK_FOR_DIFF_ONLY,
+            ASK_FOR_WORSE_FIX, "\n\nCI Log:\n", cut(log, budget.get("worse_patch")),
+            LANGUAGE_LABEL, field(df, "language", DEFAULT_LANGUAGE), "\n", ASK_FOR_DIFF_ONLY,
         )),
     }
     seen = top_class(df) if {"classify", "classify_short", "repair"} & set(kinds) else df

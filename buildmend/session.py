@@ -2,17 +2,23 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
+import re
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_MADE: dict[str, list[str]] = {}  # paths by application
+
 
 def shared_dir(spark: SparkSession) -> str:
     """Folder that every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    Only a local master may fall back to a folder of its own: on a cluster a
-    machine-local folder would be invisible to the other executors.
+    Where the setting is missing, a plain local master gets a folder of its
+    own, as in tests; a cluster gets an error, since a machine-local folder
+    would be invisible to the other executors.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     current = named or spark.sparkContext.getCheckpointDir()
@@ -20,15 +26,17 @@ def shared_dir(spark: SparkSession) -> str:
         if spark.sparkContext.getCheckpointDir() is None:
             spark.sparkContext.setCheckpointDir(current)
         return current
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
     spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="buildmend-"))
     return spark.sparkContext.getCheckpointDir()
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    """A fresh path below the shared folder, removed when the job releases it or ends."""
+    path = f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    _MADE.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
 
 
 def durable(df: DataFrame) -> DataFrame:
@@ -43,20 +51,16 @@ def durable(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def spread(df: DataFrame, *keys: str, bytes_per_core: int = 32 << 20) -> DataFrame:
-    """Spread a small table over all cores ahead of heavy work on each row.
+def release(spark: SparkSession) -> None:
+    """Remove all scratch tables of this application; results that read them are to be used before."""
+    for path in _MADE.pop(spark.sparkContext.applicationId, []):
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
-    A file with one row group feeds one task however many cores there are. A
-    table with a file for every core, or with enough bytes for every core, is
-    left as it is, so large inputs are never shuffled for this.
-    """
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    files = df.inputFiles()
-    if cores == 1 or len(files) >= cores:
-        return df
-    if files:
-        size = spark.read.format("binaryFile").load(files).agg({"length": "sum"}).first()[0]
-        if size >= cores * bytes_per_core:
-            return df
-    return df.repartition(cores, *keys)
+
+@atexit.register
+def _release_last() -> None:
+    with contextlib.suppress(Exception):  # the JVM may have gone first
+        spark = SparkSession.getActiveSession()
+        if spark is not None and not spark.sparkContext._jsc.sc().isStopped():
+            release(spark)

@@ -39,13 +39,14 @@ def write_jsonl(df: DataFrame, path: str, mode: str = "overwrite", partition_by:
     writer.json(path)
 
 
-def read_json_files(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
-    """One record per ``*.json`` file, as bench cases are kept."""
+def read_json_files(spark: SparkSession, path: str, schema: StructType | str, files: str = "*.json") -> DataFrame:
+    """The record or list of records of each file below ``path``, as bench cases are kept."""
     return (
         spark.read.schema(schema)
         .option("multiLine", True)
         .option("mode", "DROPMALFORMED")
-        .option("pathGlobFilter", "*.json")
+        .option("recursiveFileLookup", True)
+        .option("pathGlobFilter", files)
         .json(path)
         .withColumn("source_file", F.col("_metadata.file_path"))
     )

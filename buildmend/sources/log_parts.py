@@ -5,17 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from buildmend.functions.text import any_contains, text_or_empty
-from buildmend.session import durable
+from buildmend.functions.text import any_contains, cut, text_or_empty
 
-# Name words that go first, and sizes.
+# Name words that go first.
 FIRST_WORDS = ["test", "build", "check", "lint"]
 AGENT_FIRST_WORDS = ["test", "build", "check"]
-LOG_CHARS = 16_384
-AGENT_LOG_CHARS = 16_000
 
-
-# Neighbouring parts whose lengths are added up together in a run of very many.
+# Neighbouring parts whose lengths are added up together.
 PARTS_PER_PIECE = 1024
 
 
@@ -40,37 +36,26 @@ def leading_parts(placed: DataFrame, keys: list[str], limit: int) -> DataFrame:
     return pieces.join(needed, place, "left_semi").drop("_piece")
 
 
-def joined_parts(placed: DataFrame, keys: list[str], limit: int) -> DataFrame:
-    before = Window.partitionBy(*keys).orderBy("_rank", "_place").rowsBetween(Window.unboundedPreceding, -1)
-    start = F.coalesce(F.sum(F.length("text") + 1).over(before), F.lit(0))
-    reaching = placed.withColumn("_start", start).filter(F.col("_start") <= limit)
-    listed = F.array_sort(F.collect_list(F.struct("_rank", "_place", "text")))
-    return reaching.groupBy(*keys).agg(
-        F.left(F.array_join(F.transform(listed, lambda p: p["text"]), "\n"), F.lit(limit)).alias("ci_log")
-    )
-
-
 def assemble_log_parts(
-    parts: DataFrame, keys: list[str], words: list[str] = FIRST_WORDS, limit: int = LOG_CHARS
+    parts: DataFrame, keys: list[str], words: list[str] = FIRST_WORDS, limit: int | None = None
 ) -> DataFrame:
     """One log per run from ``parts`` (keys, part_no, name, text).
 
     Parts named after tests and builds go first, the last of them foremost;
-    the others follow in order. Each part takes at least its line break, so a
-    run with at most ``limit`` parts is bounded; the few runs with more are
-    found first and cut down to the parts that count.
+    the others follow in order. With ``limit`` the log is cut to so many
+    characters, and parts that cannot reach into them are left out ahead of
+    the sort; the plan is the same for all runs.
     """
     first = any_contains(F.lower(text_or_empty(F.col("name"))), words)
     placed = parts.select(
         *keys,
         F.when(first, 0).otherwise(1).alias("_rank"),
         F.when(first, -F.col("part_no")).otherwise(F.col("part_no")).alias("_place"),
-        F.left(text_or_empty(F.col("text")), F.lit(limit)).alias("text"),
+        cut(text_or_empty(F.col("text")), limit).alias("text"),
+    )
+    if limit is not None:
+        placed = leading_parts(placed, keys, limit)
+    listed = F.array_sort(F.collect_list(F.struct("_rank", "_place", "text")))
+    return placed.groupBy(*keys).agg(
+        cut(F.array_join(F.transform(listed, lambda p: p["text"]), "\n"), limit).alias("ci_log")
     )
-    counted = parts.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    crowded = durable(counted.filter(F.col("_n") > limit).select(*keys))
-    if crowded.isEmpty():
-        return joined_parts(placed, keys, limit)
-    calm = placed.join(crowded, keys, "left_anti")
-    cut = leading_parts(placed.join(crowded, keys, "left_semi"), keys, limit)
-    return joined_parts(calm.unionByName(cut), keys, limit)

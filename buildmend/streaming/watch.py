@@ -21,19 +21,9 @@ def landed_files(spark: SparkSession, path: str, schema: StructType | str, files
     return reader.json(path)
 
 
-def watch_failures(runs: DataFrame, remember: str = "30 days") -> DataFrame:
-    """Classified failures, each run once.
-
-    ``runs`` (repo, run_id, conclusion, created_at, ci_log) may repeat runs.
-    Seen run ids are kept in state for as long as ``remember``, so state stays
-    bounded by the failures of that time.
-    """
-    fresh = (
-        runs.filter(F.col("conclusion") == "failure")
-        .withWatermark("created_at", remember)
-        .dropDuplicatesWithinWatermark(["repo", "run_id"])
-    )
-    known = top_class(fresh).withColumnsRenamed(
+def classified_failures(runs: DataFrame) -> DataFrame:
+    """Failed runs with their class and standard fix."""
+    known = top_class(runs.filter(F.col("conclusion") == "failure")).withColumnsRenamed(
         {
             "heuristic_class": "failure_class",
             "heuristic_subclass": "failure_subclass",
@@ -43,6 +33,36 @@ def watch_failures(runs: DataFrame, remember: str = "30 days") -> DataFrame:
     return known.withColumn("fix_strategy", fix_strategy(F.col("failure_subclass")))
 
 
+def watch_failures(
+    runs: DataFrame,
+    output: str,
+    checkpoint: str,
+    keys: list[str] = ["repo", "run_id"],
+    once: bool = False,
+    poll: str = POLL,
+) -> StreamingQuery:
+    """Classify each failed run once and add it to the Parquet table ``output``.
+
+    ``runs`` (repo, run_id, conclusion, created_at, ci_log) may repeat runs and
+    bring them in any order, however late. What is in the table already is
+    left out by its keys, so there is no watermark, nothing is too old, and a
+    batch that is tried again adds nothing twice. Only new runs are classified.
+    """
+    spark = runs.sparkSession
+    shape = classified_failures(spark.createDataFrame([], runs.schema)).schema
+    spark.createDataFrame([], shape).write.mode("append").parquet(output)
+
+    def add(batch: DataFrame, _number: int) -> None:
+        session = batch.sparkSession
+        seen = session.read.schema(shape).parquet(output).select(*keys)
+        fresh = batch.filter(F.col("conclusion") == "failure").dropDuplicates(keys).join(seen, keys, "left_anti")
+        classified_failures(fresh).write.mode("append").parquet(output)
+
+    writer = runs.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint)
+    writer = writer.trigger(availableNow=True) if once else writer.trigger(processingTime=poll)
+    return writer.start()
+
+
 def repair_requests(requests: DataFrame) -> DataFrame:
     """Requests marked queued, or rejected where repository or run are missing."""
     complete = (text_or_empty(F.col("repo")) != "") & (F.coalesce(F.col("run_id"), F.lit(0)) != 0)

@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 from buildmend.functions import taxonomy as tax
 from buildmend.operators import classify, context, dedup, quality
 from buildmend.plans import corpus
+from buildmend.session import scratch_path
 from checks.registry import query
 from checks.sql import (
-    DEDUP_STEPS, FIX_ROWS, MATCH_LIST, context_steps, n_changed, q, quality as quality_sql,
+    DEDUP_STEPS, FIX_ROWS, MATCH_LIST, context_steps, dedup_steps, n_changed, q, quality as quality_sql,
     resolved_steps, signal_steps, top_steps, values,
 )
 
@@ -24,6 +25,16 @@ def class_distribution(t):
     return corpus.failure_report(t.ci_pairs)
 
 
+@query(
+    "label_distribution", ["ci_pairs", "model_verdicts"],
+    sql="""SELECT coalesce(v.failure_class, 'UNKNOWN') AS failure_class, count(*) AS n_records
+    FROM ci_pairs p LEFT JOIN model_verdicts v ON v.id = p.id GROUP BY 1""",
+)
+def label_distribution(t):
+    stored = t.ci_pairs.select("id").join(t.model_verdicts.select("id", "failure_class"), "id", "left")
+    return classify.class_distribution(stored)
+
+
 @query(
     "heuristic_signals", ["ci_pairs"], steps=signal_steps(),
     sql=f"""SELECT id, CAST(signal_rank AS INT) AS signal_rank, cls AS failure_class, sub AS failure_subclass, conf AS confidence,
@@ -128,29 +139,24 @@ def gate_counters(t):
     return classify.gate_counters(resolved(t), "source")
 
 
-def _context_query(name: str, rule: context.ContextRule, line_pattern: str, cut_lines: bool) -> None:
-    kept = "i" if not cut_lines else "row_number() OVER (PARTITION BY id ORDER BY i)"
-    tail = "left(text, 5000)" if rule.cut_tail else "CASE WHEN has_err = 1 THEN left(text, 5000) ELSE text END"
-    limit = "WHERE has_err = 0 OR k <= 100" if cut_lines else ""
+def _context_query(name: str, rule: context.ContextRule, line_pattern: str) -> None:
     query(
-        name, ["ci_pairs"], steps=context_steps(line_pattern, rule.before, rule.after, rule.strip_ansi) + f""",
-chosen AS (SELECT id, i, line, has_err, {kept} AS k FROM near WHERE CASE WHEN has_err = 1 THEN keep = 1 ELSE i >= n - {rule.tail} END),
-joined AS (SELECT id, max(has_err) AS has_err, string_agg(line, chr(10) ORDER BY i) AS text FROM chosen {limit} GROUP BY id)""",
-        sql=f"SELECT id, {tail} AS failure_log FROM joined",
+        name, ["ci_pairs"], steps=context_steps(line_pattern, rule.before, rule.after, rule.strip_ansi),
+        sql="SELECT id, string_agg(line, chr(10) ORDER BY i) AS failure_log FROM near WHERE has_err = 0 OR keep = 1 GROUP BY id",
     )(lambda t: context.with_error_context(t.ci_pairs.select("id", "ci_log"), rule).drop("ci_log"))
 
 
 _context_query(
     "error_context_gitlab", context.GITLAB,
-    r"(ERROR|FAILED|error:)\s+|Job failed|Build failed|Pipeline failed|exit status \d+|make\[\d+\].*Error \d+|fatal:|FAIL\s+", False,
+    r"(ERROR|FAILED|error:)\s+|Job failed|Build failed|Pipeline failed|exit status \d+|make\[\d+\].*Error \d+|fatal:|FAIL\s+",
 )
 _context_query(
     "error_context_travis", context.TRAVIS,
-    r"The command .+ exited with \d+|(FAILED|ERROR|error:)\s+|Build failed|bundler: failed|rake aborted!|npm ERR!|Test failed", False,
+    r"The command .+ exited with \d+|(FAILED|ERROR|error:)\s+|Build failed|bundler: failed|rake aborted!|npm ERR!|Test failed",
 )
 _context_query(
     "error_context_circleci", context.CIRCLECI,
-    r"Error|Exception|FAILED|FAILURE|npm ERR!|exit code \d+", True,
+    r"Error|Exception|FAILED|FAILURE|npm ERR!|exit code \d+",
 )
 
 
@@ -179,6 +185,16 @@ def quality_gate(t):
     return quality.quality_gate(quality.with_quality(resolved(t))).select("id", "failure_class", "quality_score")
 
 
+@query(
+    "quality_gate_stored", ["ci_pairs", "model_verdicts"], steps=resolved_steps() + f""",
+rated AS (SELECT *, CASE WHEN id % 4 = 0 THEN 0.6::DOUBLE WHEN id % 4 = 1 THEN 0.59::DOUBLE ELSE {quality_sql('ci_log', 'fix_diff')} END AS quality_score FROM resolved)""",
+    sql=f"SELECT id, failure_class, quality_score FROM rated WHERE {_GATE} AND quality_score >= 0.6::DOUBLE",
+)
+def quality_gate_stored(t):
+    stored = F.when(F.col("id") % 4 == 0, 0.6).when(F.col("id") % 4 == 1, 0.59)
+    return quality.quality_gate(quality.with_quality(resolved(t).withColumn("quality_score", stored))).select("id", "failure_class", "quality_score")
+
+
 @query(
     "near_dedup", ["ci_pairs"], recursive=True, steps=DEDUP_STEPS,
     sql="SELECT id, repo, length(ci_log)::INT AS log_chars FROM ci_pairs WHERE id NOT IN (SELECT id FROM gone)",
@@ -196,6 +212,15 @@ def near_dup_pairs(t):
     return dedup.near_dup_pairs(t.ci_pairs)
 
 
+@query(
+    "dedup_repeated_ids", ["ci_pairs"], recursive=True, steps=dedup_steps("a.id // 3 = b.id // 3"),
+    sql="SELECT id AS ord, id // 3 AS id FROM ci_pairs WHERE id NOT IN (SELECT id FROM gone)",
+)
+def dedup_repeated_ids(t):
+    renamed = t.ci_pairs.select(F.col("id").alias("ord"), F.floor(F.col("id") / 3).alias("id"), "ci_log", "fix_diff")
+    return dedup.near_dedup(renamed, key="id", order=["ord"]).select("ord", "id")
+
+
 @query(
     "dedup_counts", ["ci_pairs"], recursive=True, steps=DEDUP_STEPS,
     sql="""SELECT count(*) AS n_records, count(*) - (SELECT count(*) FROM gone) AS n_kept, (SELECT count(*) FROM gone) AS n_removed FROM ci_pairs""",
@@ -214,3 +239,13 @@ def training_corpus(t):
     return corpus.training_corpus(resolved(t)).select(
         "id", "failure_class", "failure_subclass", "classification_confidence", "quality_score", "ci_log", "fix_diff"
     )
+
+
+@query(
+    "corpus_written", ["ci_pairs", "model_verdicts"], steps=resolved_steps() + f""",
+rated AS (SELECT *, {quality_sql('ci_log', 'fix_diff')} AS quality_score FROM resolved)""",
+    sql=f"""SELECT failure_class, count(*) AS n_records FROM rated WHERE {_GATE} AND quality_score >= 0.6::DOUBLE GROUP BY failure_class""",
+)
+def corpus_written(t):
+    gated = quality.quality_gate(quality.with_quality(resolved(t)))
+    return corpus.write_corpus(gated, scratch_path(t.spark, "corpus"))

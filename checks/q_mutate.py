@@ -21,7 +21,7 @@ at_{name} AS (SELECT *, length(array_to_string(gaps[1:k], '')) + coalesce(length
 def _made(name: str, index: int, body: str) -> str:
     """CTE ``v_<name>``: the variants of one strategy; ``body`` selects id, repo, old log, new log, description."""
     return f"""v_{name} AS (SELECT id, repo, new_log AS ci_log, '{name}' AS mutation_strategy, d AS mutation_description,
-  left(sha256(left(ci_log, 100)), 12) AS original_record_id, {index} AS mutation_index FROM ({body}) WHERE new_log <> ci_log)"""
+  sha256(ci_log) AS original_record_id, {index} AS mutation_index FROM ({body}) WHERE new_log <> ci_log)"""
 
 
 def _pick(options: str, index: int, turn: int) -> str:
@@ -104,7 +104,7 @@ _ALL = [python_steps, node_steps, runner_steps, docker_steps, env_steps]
 @query(
     "mutate_all", ["ci_pairs"], steps=",\n".join(steps(i) for i, steps in enumerate(_ALL)),
     sql=f"""SELECT {_OUT} FROM (SELECT * FROM v_python_version UNION ALL SELECT * FROM v_node_version UNION ALL SELECT * FROM v_runner_version
-      UNION ALL SELECT * FROM v_docker_image UNION ALL SELECT * FROM v_env_var) QUALIFY row_number() OVER (PARTITION BY id ORDER BY mutation_index) <= 3""",
+      UNION ALL SELECT * FROM v_docker_image UNION ALL SELECT * FROM v_env_var)""",
 )
 def mutate_all(t):
     return augment.mutate(t.ci_pairs).select(*_OUT.split(", "))

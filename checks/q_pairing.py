@@ -26,7 +26,7 @@ def failure_fix_chains(t):
     QUALIFY row_number() OVER (PARTITION BY repo ORDER BY workflow_name, failed_run_number, failed_run_id) <= 30""",
 )
 def chains_capped(t):
-    return pairing.chains_capped(pairing.failure_fix_chains(t.ci_runs)).select(
+    return pairing.chains_capped(pairing.failure_fix_chains(t.ci_runs), 30).select(
         "repo", "workflow_name", "failed_run_id", "fix_run_id"
     )
 
@@ -79,7 +79,7 @@ def incremental_skip(t):
 
 
 _GREEN = """numbered AS (SELECT *, row_number() OVER (PARTITION BY repo ORDER BY committed_at DESC, commit_no DESC) AS pos FROM commits),
-seen AS (SELECT * FROM numbered WHERE pos <= 20),
+seen AS (SELECT * FROM numbered),
 failures AS (SELECT repo, run_id, workflow_name, head_sha AS failing_sha FROM commit_runs WHERE conclusion = 'failure'),
 candidates AS (SELECT f.repo, f.run_id, c.sha, c.pos FROM failures f JOIN seen s ON s.repo = f.repo AND s.sha = f.failing_sha
   JOIN seen c ON c.repo = f.repo AND c.pos < s.pos
@@ -109,9 +109,8 @@ def fix_commit_next_green(t):
     return pairing.green_commit_fix(failures, t.commits, t.commit_runs, pick="next")
 
 
-_DIFF = """few AS (SELECT * FROM commit_files WHERE file_no <= 10),
-texts AS (SELECT repo, sha, string_agg('--- a/' || filename || chr(10) || '+++ b/' || filename || chr(10) || patch, chr(10) ORDER BY file_no)
-  FILTER (patch IS NOT NULL AND patch <> '') AS diff FROM few GROUP BY repo, sha)"""
+_DIFF = """texts AS (SELECT repo, sha, string_agg('--- a/' || filename || chr(10) || '+++ b/' || filename || chr(10) || patch, chr(10) ORDER BY file_no)
+  FILTER (patch IS NOT NULL AND patch <> '') AS diff FROM commit_files GROUP BY repo, sha)"""
 
 
 @query("assemble_diff", ["commit_files"], steps=_DIFF, sql="SELECT repo, sha, coalesce(diff, '') AS diff FROM texts")
@@ -121,8 +120,7 @@ def assemble_diff(t):
 
 @query(
     "github_pairs", ["commits", "commit_runs", "commit_files", "ci_pairs"], steps=_GREEN + ",\n" + _DIFF + """,
-bots AS (SELECT r.* FROM commit_runs r WHERE r.conclusion = 'failure' AND (contains(lower(actor_login), 'dependabot') OR contains(lower(actor_login), 'renovate'))
-  QUALIFY row_number() OVER (PARTITION BY repo ORDER BY created_at DESC, run_id DESC) <= 20),
+bots AS (SELECT r.* FROM commit_runs r WHERE r.conclusion = 'failure' AND (contains(lower(actor_login), 'dependabot') OR contains(lower(actor_login), 'renovate'))),
 logs AS (SELECT (id + 1) * 4 AS run_id, ci_log FROM ci_pairs WHERE length(ci_log) >= 200)""",
     sql="""SELECT 'github_actions_' || replace(b.repo, '/', '__') || '_' || b.run_id AS id, 'github_actions' AS source, b.repo, b.language, b.run_id, b.workflow_name,
       b.head_sha AS failing_sha, x.latest_sha AS fix_sha, l.ci_log, CASE WHEN x.latest_sha IS NOT NULL THEN coalesce(d.diff, '') END AS fix_diff,
@@ -141,11 +139,10 @@ def github_pairs(t):
 
 
 @query(
-    "history_pairs", ["ci_runs", "ci_pairs"], steps=_CHAINS + """,
-capped AS (SELECT * FROM chains QUALIFY row_number() OVER (PARTITION BY repo ORDER BY workflow_name, failed_run_number, failed_run_id) <= 30)""",
+    "history_pairs", ["ci_runs", "ci_pairs"], steps=_CHAINS,
     sql="""SELECT 'ci_history_' || replace(c.repo, '/', '__') || '_' || c.failed_run_id AS id, c.repo, c.workflow_name, c.failing_sha, c.fix_sha, c.failed_run_id, c.fix_run_id,
       l.ci_log, d.fix_diff, true AS has_fix, true AS env_mode
-    FROM capped c JOIN ci_pairs d ON d.id = c.fix_run_id LEFT JOIN ci_pairs l ON l.id = c.failed_run_id
+    FROM chains c JOIN ci_pairs d ON d.id = c.fix_run_id LEFT JOIN ci_pairs l ON l.id = c.failed_run_id
     WHERE contains(d.fix_diff, 'Dockerfile') OR contains(d.fix_diff, '.yml') OR contains(d.fix_diff, '.yaml') OR contains(d.fix_diff, 'apt-get') OR contains(d.fix_diff, 'FROM ')""",
 )
 def history_pairs(t):
@@ -194,10 +191,9 @@ _TRAVIS_LINES = r"The command .+ exited with \d+|(FAILED|ERROR|error:)\s+|Build
 def _context(rule: context.ContextRule, pattern: str) -> str:
     return """job AS (SELECT run_id, arg_min(name, job_no) AS name, arg_min(stage, job_no) AS stage, arg_min(log, job_no) AS log FROM run_jobs
   WHERE status = 'failed' GROUP BY run_id),
-""" + context_steps(pattern, rule.before, rule.after, True, "job", "run_id", "log") + f""",
-chosen AS (SELECT * FROM near WHERE CASE WHEN has_err = 1 THEN keep = 1 ELSE i >= n - {rule.tail} END),
-ctx AS (SELECT id, CASE WHEN max(has_err) = 1 THEN left(string_agg(line, chr(10) ORDER BY i), 5000) ELSE string_agg(line, chr(10) ORDER BY i) END AS failure_log
-  FROM chosen GROUP BY id)"""
+""" + context_steps(pattern, rule.before, rule.after, True, "job", "run_id", "log") + """,
+chosen AS (SELECT * FROM near WHERE has_err = 0 OR keep = 1),
+ctx AS (SELECT id, string_agg(line, chr(10) ORDER BY i) AS failure_log FROM chosen GROUP BY id)"""
 
 
 @query(
@@ -223,7 +219,7 @@ broken AS (SELECT * FROM passing WHERE state IN ('failed', 'errored'))"""
 
 @query(
     "fix_build_asof", ["travis_builds"], steps=_BUILDS,
-    sql="""SELECT b.repo_slug, b.build_number, b.fix_number AS fix_build_number, left(f.commit_sha, 12) AS fix_sha, f.commit_message AS fix_message, f.duration AS fix_duration
+    sql="""SELECT b.repo_slug, b.build_number, b.fix_number AS fix_build_number, f.commit_sha AS fix_sha, f.commit_message AS fix_message, f.duration AS fix_duration
     FROM broken b LEFT JOIN travis_builds f ON f.repo_slug = b.repo_slug AND f.build_number = b.fix_number""",
 )
 def fix_build_asof(t):
@@ -236,7 +232,7 @@ def fix_build_asof(t):
 
 @query(
     "travis_pairs", ["travis_builds", "run_jobs"], steps=_BUILDS + ",\n" + _context(context.TRAVIS, _TRAVIS_LINES),
-    sql="""SELECT b.repo_slug, b.build_number, b.build_id, b.branch, coalesce(b.language, 'unknown') AS language, j.stage AS failed_job_name, left(b.commit_sha, 12) AS failed_sha,
+    sql="""SELECT b.repo_slug, b.build_number, b.build_id, b.branch, coalesce(b.language, 'unknown') AS language, j.stage AS failed_job_name, b.commit_sha AS failed_sha,
       b.commit_message, c.failure_log, b.fix_number AS fix_build_number, b.fix_number IS NOT NULL AS has_fix, coalesce(b.os, 'linux') AS os, coalesce(b.dist, '') AS dist, b.started_at
     FROM broken b JOIN job j ON j.run_id = b.build_id JOIN ctx c ON c.id = b.build_id""",
 )
@@ -248,12 +244,12 @@ def travis_pairs(t):
     )
 
 
-_CIRCLE = """wf AS (SELECT * FROM circle_workflows WHERE status IN ('failed', 'error') QUALIFY row_number() OVER (PARTITION BY pipeline_id ORDER BY workflow_no) = 1),
-jb AS (SELECT * FROM circle_jobs WHERE status IN ('failed', 'blocked') QUALIFY row_number() OVER (PARTITION BY workflow_id ORDER BY job_no) = 1),
-tried AS (SELECT * FROM circle_actions WHERE status = 'failed' AND output_url <> '' QUALIFY row_number() OVER (PARTITION BY job_number, step_no ORDER BY action_no) = 1),
-st AS (SELECT * FROM tried WHERE step_log <> '' QUALIFY row_number() OVER (PARTITION BY job_number ORDER BY step_no) = 1),
-failed AS (SELECT wf.pipeline_id, wf.workflow_name, jb.job_name, jb.job_number, st.step_no, st.action_no, st.step_log
-  FROM wf JOIN jb ON jb.workflow_id = wf.workflow_id JOIN st ON st.job_number = jb.job_number)"""
+_CIRCLE = """wf AS (SELECT * FROM circle_workflows WHERE status IN ('failed', 'error') QUALIFY row_number() OVER (PARTITION BY project_slug, pipeline_id ORDER BY workflow_no) = 1),
+jb AS (SELECT * FROM circle_jobs WHERE status IN ('failed', 'blocked') QUALIFY row_number() OVER (PARTITION BY project_slug, workflow_id ORDER BY job_no) = 1),
+tried AS (SELECT * FROM circle_actions WHERE status = 'failed' AND output_url <> '' QUALIFY row_number() OVER (PARTITION BY project_slug, job_number, step_no ORDER BY action_no) = 1),
+st AS (SELECT * FROM tried WHERE step_log <> '' QUALIFY row_number() OVER (PARTITION BY project_slug, job_number ORDER BY step_no) = 1),
+failed AS (SELECT wf.project_slug, wf.pipeline_id, wf.workflow_name, jb.job_name, jb.job_number, st.step_no, st.action_no, st.step_log
+  FROM wf JOIN jb ON jb.project_slug = wf.project_slug AND jb.workflow_id = wf.workflow_id JOIN st ON st.project_slug = jb.project_slug AND st.job_number = jb.job_number)"""
 
 
 @query("first_failed_step", ["circle_workflows", "circle_jobs", "circle_actions"], steps=_CIRCLE, sql="SELECT * FROM failed")
@@ -266,7 +262,7 @@ _NEXT_COMMIT = """chain AS (SELECT repo, sha, lead(sha) OVER w AS next_sha, lead
 ci_files AS (SELECT *, row_number() OVER (PARTITION BY repo, sha ORDER BY file_no) AS k FROM commit_files
   WHERE contains(filename, '.yml') OR contains(filename, '.yaml') OR contains(filename, '.json') OR contains(filename, 'Dockerfile') OR contains(filename, 'requirements') OR contains(filename, 'package')),
 counts AS (SELECT repo, sha, count(*) AS n FROM commit_files GROUP BY repo, sha),
-named AS (SELECT repo, sha, string_agg(filename, ',' ORDER BY k) FILTER (k <= 10) AS names, string_agg(left(coalesce(patch, ''), 500), chr(10) ORDER BY k) FILTER (k <= 3) AS patch
+named AS (SELECT repo, sha, string_agg(filename, ',' ORDER BY k) AS names, string_agg(coalesce(patch, ''), chr(10) ORDER BY k) AS patch
   FROM ci_files GROUP BY repo, sha),
 fixed AS (SELECT c.repo, c.sha AS failed_sha, c.next_sha AS fix_sha, c.next_message AS fix_message, c.next_author AS fix_author,
     CASE WHEN c.next_sha IS NOT NULL THEN coalesce(k.n, 0) END AS files_changed,
@@ -287,18 +283,36 @@ def fix_next_commit(t):
     )
 
 
+_CIRCLE_LINES = r"Error|Exception|FAILED|FAILURE|npm ERR!|exit code \d+"
+
+
 @query(
     "circleci_pairs", ["circle_pipelines", "circle_workflows", "circle_jobs", "circle_actions", "commits", "commit_files"],
-    steps=_CIRCLE + ",\n" + _NEXT_COMMIT,
-    sql="""SELECT p.project_slug, p.repo_url, p.pipeline_id, f.workflow_name, f.job_name AS failed_job_name, p.failed_sha, p.branch, f.step_log AS failure_log,
-      x.fix_sha, x.fix_sha IS NOT NULL AS has_fix, p.created_at
-    FROM circle_pipelines p JOIN failed f ON f.pipeline_id = p.pipeline_id JOIN fixed x ON x.repo = p.repo AND x.failed_sha = p.failed_sha
-    WHERE p.state IN ('errored', 'created')""",
+    steps=_CIRCLE + ",\n" + _NEXT_COMMIT + ",\n" + context_steps(
+        _CIRCLE_LINES, context.CIRCLECI.before, context.CIRCLECI.after, False, "failed", "pipeline_id", "step_log"
+    ) + """,
+chosen AS (SELECT * FROM near WHERE has_err = 0 OR keep = 1),
+ctx AS (SELECT id, string_agg(line, chr(10) ORDER BY i) AS failure_log FROM chosen GROUP BY id)""",
+    sql="""SELECT p.project_slug, p.repo_url, p.pipeline_id, f.workflow_name, f.job_name AS failed_job_name, p.failed_sha, p.branch, c.failure_log,
+      x.fix_sha, x.fix_message, x.fix_author, CAST(x.files_changed AS INT) AS files_changed, x.ci_files_changed, x.diff_patch, x.fix_sha IS NOT NULL AS has_fix, p.created_at
+    FROM circle_pipelines p JOIN failed f ON f.project_slug = p.project_slug AND f.pipeline_id = p.pipeline_id JOIN ctx c ON c.id = p.pipeline_id
+    JOIN fixed x ON x.repo = p.repo AND x.failed_sha = p.failed_sha
+    WHERE p.state IN ('errored', 'created') AND c.failure_log <> ''""",
 )
 def circleci_pairs(t):
     return pairing.circleci_pairs(
         t.circle_pipelines, t.circle_workflows, t.circle_jobs, t.circle_actions, t.commits, t.commit_files
     ).select(
         "project_slug", "repo_url", "pipeline_id", "workflow_name", "failed_job_name", "failed_sha", "branch", "failure_log",
-        F.col("fix_commit.sha").alias("fix_sha"), "has_fix", "created_at",
+        F.col("fix_commit.sha").alias("fix_sha"), F.col("fix_commit.message").alias("fix_message"),
+        F.col("fix_commit.author").alias("fix_author"), "fix_commit.files_changed",
+        F.array_join("fix_commit.ci_files_changed", ",").alias("ci_files_changed"), "fix_commit.diff_patch", "has_fix", "created_at",
     )
+
+
+@query(
+    "repos_to_process", ["ci_runs", "commit_runs"],
+    sql="SELECT DISTINCT repo FROM commit_runs WHERE repo NOT IN (SELECT repo FROM ci_runs)",
+)
+def repos_to_process(t):
+    return pairing.repos_to_process(t.commit_runs.select("repo"), t.ci_runs.select("repo"))

@@ -72,7 +72,7 @@ _PARTS = """placed AS (SELECT run_id, text, CASE WHEN regexp_matches(lower(name)
 
 @query(
     "assemble_log_parts", ["log_parts"], steps=_PARTS.format(words="test|build|check|lint"),
-    sql="SELECT run_id, left(string_agg(text, chr(10) ORDER BY late, place), 16384) AS ci_log FROM placed GROUP BY run_id",
+    sql="SELECT run_id, string_agg(text, chr(10) ORDER BY late, place) AS ci_log FROM placed GROUP BY run_id",
 )
 def assemble_log_parts(t):
     return log_parts.assemble_log_parts(t.log_parts, ["run_id"])
@@ -80,10 +80,10 @@ def assemble_log_parts(t):
 
 @query(
     "assemble_log_parts_agent", ["log_parts"], steps=_PARTS.format(words="test|build|check"),
-    sql="SELECT run_id, left(string_agg(text, chr(10) ORDER BY late, place), 16000) AS ci_log FROM placed GROUP BY run_id",
+    sql="SELECT run_id, string_agg(text, chr(10) ORDER BY late, place) AS ci_log FROM placed GROUP BY run_id",
 )
 def assemble_log_parts_agent(t):
-    return log_parts.assemble_log_parts(t.log_parts, ["run_id"], log_parts.AGENT_FIRST_WORDS, log_parts.AGENT_LOG_CHARS)
+    return log_parts.assemble_log_parts(t.log_parts, ["run_id"], log_parts.AGENT_FIRST_WORDS)
 
 
 @query(
@@ -114,6 +114,28 @@ def bench_cases_dedup(t):
     return cases.select("id", "repo", "language", "failure_class", "ci_log", "correct_fix_diff")
 
 
+@query(
+    "bench_cases_class", ["bench_case_files"], steps=f"""built_in AS ({_BUILT_IN}),
+everything AS (SELECT *, '' AS source_file, 0 AS src FROM built_in UNION ALL SELECT *, 1 AS src FROM bench_case_files)""",
+    sql="""SELECT id, failure_class FROM (SELECT * FROM everything QUALIFY row_number() OVER (PARTITION BY id ORDER BY src, source_file) = 1) WHERE failure_class = 'ENV'""",
+)
+def bench_cases_class(t):
+    return bench.bench_cases([bench.built_in_cases(t.spark), t.bench_case_files], ["source_file"], "ENV").select("id", "failure_class")
+
+
+@query("bench_cases_files", ["bench_case_files"], sql="SELECT id, repo, ci_log, correct_fix_diff, notes FROM bench_case_files")
+def bench_cases_files(t):
+    # Lists of cases in JSON files of many lines, one list in each of some folders.
+    rows = t.bench_case_files.drop("source_file")
+    case = F.to_json(F.struct(*rows.columns))
+    lists = rows.withColumn("part", F.pmod(F.xxhash64("id"), F.lit(16))).groupBy("part").agg(
+        F.concat(F.lit("[\n"), F.array_join(F.collect_list(case), ",\n"), F.lit("\n]")).alias("value")
+    )
+    folder = scratch_path(t.spark, "cases")
+    lists.write.partitionBy("part").text(folder)
+    return jsonl.read_json_files(t.spark, folder, bench.CASE_SCHEMA, files="*.txt").select("id", "repo", "ci_log", "correct_fix_diff", "notes")
+
+
 # -- dependencies ------------------------------------------------------------
 
 _BUMP_KINDS = """bumps AS (SELECT *, CASE WHEN title LIKE 'Bump %' OR title LIKE 'chore(deps): bump %' THEN 'bump' WHEN title LIKE 'Update % requirement from %' THEN 'requirement'
@@ -174,7 +196,7 @@ rolled AS (SELECT o.o_orderkey AS pr_number, coalesce(c.total_checks, 0) AS tota
   CASE WHEN coalesce(c.total_checks, 0) = 0 THEN 'unknown' WHEN c.failed > 0 THEN 'failed' WHEN c.passed = c.total_checks THEN 'passed' ELSE 'partial' END AS status
   FROM orders o LEFT JOIN counted c ON c.pr_number = o.o_orderkey),
 listed AS (SELECT pr_number, string_agg(name || '=' || conclusion, ',' ORDER BY k) AS checks FROM
-  (SELECT *, row_number() OVER (PARTITION BY pr_number ORDER BY check_no, name, conclusion) AS k FROM check_runs) WHERE k <= 10 GROUP BY pr_number)"""
+  (SELECT *, row_number() OVER (PARTITION BY pr_number ORDER BY check_no, name, conclusion) AS k FROM check_runs) GROUP BY pr_number)"""
 
 
 @query(
@@ -185,40 +207,69 @@ def ci_check_rollup(t):
     key = ["pr_number"]
     prs = t.orders.select(F.col("o_orderkey").alias("pr_number"))
     shown = F.transform("checks", lambda c: F.concat_ws("=", c["name"], c["conclusion"]))
-    listed = deps.first_checks(t.check_runs, key).select("pr_number", F.array_join(shown, ",").alias("checks"))
-    return deps.check_rollup(prs, t.check_runs, key).join(listed, key, "left").withColumn("checks", F.coalesce("checks", F.lit("")))
+    return deps.rolled_checks(prs, t.check_runs, key).withColumn("checks", F.coalesce(F.array_join(shown, ","), F.lit("")))
 
 
-@query(
-    "dep_pr_records", ["dep_prs", "check_runs"], steps=_BUMP_KINDS + ",\n" + _ECO_STEPS.replace("contains(p.filename, e.ind)", f"contains(p.filename, e.ind) AND {_STRICT.replace('filename', 'p.filename')}") + ",\n" + _ROLLUP,
-    sql=f"""SELECT p.repo, 'https://github.com/' || p.repo AS repo_url, p.pr_number, p.html_url AS pr_url, p.title, p.package, p.from_version, p.to_version, d.ecosystem,
+_PATCH = "@@ -1 +1 @@ "
+_PR_SQL = f"""SELECT p.repo, 'https://github.com/' || p.repo AS repo_url, p.pr_number, p.html_url AS pr_url, p.title, p.package, p.from_version, p.to_version, d.ecosystem,
       CASE WHEN p.merged_at IS NOT NULL THEN 'merged' WHEN p.closed_at IS NOT NULL THEN 'closed' ELSE 'open' END AS merge_status,
       coalesce(r.status, 'unknown') AS ci_status, coalesce(r.total_checks, 0) AS total_checks, coalesce(r.status, 'unknown') = 'passed' AS ci_passed,
-      CASE WHEN {_STRICT.replace('filename', 'p.filename')} THEN 1 ELSE 0 END AS num_dep_files_changed, coalesce(p.body, '') AS body_snippet, p.author
-    FROM parsed p JOIN detected d ON d.pr_number = p.pr_number LEFT JOIN rolled r ON r.pr_number = p.pr_number
-    WHERE p.kind IS NOT NULL AND lower(p.author) IN ('dependabot[bot]', 'dependabot-preview[bot]', 'renovate[bot]', 'renovate')""",
-)
-def dep_pr_records(t):
+      coalesce(l.checks, '') AS checks,
+      CASE WHEN {_STRICT.replace('filename', 'p.filename')} THEN 1 ELSE 0 END + p.pr_number % 60 AS num_dep_files_changed,
+      CASE WHEN {_STRICT.replace('filename', 'p.filename')} THEN p.filename || ':' || repeat('{_PATCH}', 300) || CASE WHEN p.pr_number % 60 > 0 THEN ',' ELSE '' END ELSE '' END
+        || coalesce((SELECT string_agg('dir' || k || '/yarn.lock:', ',' ORDER BY k) FROM range(2, 2 + p.pr_number % 60) AS g(k)), '') AS changed_dep_files,
+      coalesce(p.body, '') AS body_snippet, p.label_list AS labels, p.author
+    FROM parsed p JOIN detected d ON d.pr_number = p.pr_number LEFT JOIN rolled r ON r.pr_number = p.pr_number LEFT JOIN listed l ON l.pr_number = p.pr_number
+    WHERE p.kind IS NOT NULL AND lower(p.author) IN ('dependabot[bot]', 'dependabot-preview[bot]', 'renovate[bot]', 'renovate')"""
+# Every pull request changes its own file and up to 59 lock files, which name the ecosystem where the first file does not.
+_PR_STEPS = _BUMP_KINDS + ",\n" + _ECO_STEPS.replace(
+    "by_file AS (SELECT p.pr_number, arg_min(e.eco, e.ord) AS eco FROM dep_prs p JOIN ecos e ON contains(p.filename, e.ind) GROUP BY p.pr_number)",
+    f"""named AS (SELECT pr_number, filename FROM dep_prs p WHERE {_STRICT.replace('filename', 'p.filename')} UNION ALL SELECT pr_number, 'dir/yarn.lock' FROM dep_prs WHERE pr_number % 60 > 0),
+by_file AS (SELECT p.pr_number, arg_min(e.eco, e.ord) AS eco FROM named p JOIN ecos e ON contains(p.filename, e.ind) GROUP BY p.pr_number)""",
+) + ",\n" + _ROLLUP
+
+
+def _dep_pr_records(t, **options):
     prs = t.dep_prs.withColumn("labels", F.split("label_list", ","))
-    files = t.dep_prs.select(
-        "repo", "pr_number", F.lit(1).alias("file_no"), "filename", F.lit("modified").alias("status"),
-        F.lit(1).alias("additions"), F.lit(1).alias("deletions"), F.lit("@@").alias("patch"),
+    own = t.dep_prs.select(
+        "repo", "pr_number", F.lit(1).cast("long").alias("file_no"), "filename", F.lit("modified").alias("status"),
+        F.lit(1).alias("additions"), F.lit(1).alias("deletions"), F.lit(_PATCH * 300).alias("patch"),
+    )
+    more = t.dep_prs.filter(F.col("pr_number") % 60 > 0).select(
+        "repo", "pr_number", F.explode(F.sequence(F.lit(2).cast("long"), F.col("pr_number") % 60 + 1)).alias("file_no")
+    ).select(
+        "repo", "pr_number", "file_no", F.concat(F.lit("dir"), F.col("file_no"), F.lit("/yarn.lock")).alias("filename"),
+        F.lit("added").alias("status"), F.lit(0).alias("additions"), F.lit(0).alias("deletions"), F.lit(None).cast("string").alias("patch"),
     )
     checks = t.check_runs.join(t.dep_prs.select("repo", "pr_number"), "pr_number")
-    return deps.dep_pr_records(prs, files, checks).select(
+    shown = F.transform("ci_result.checks", lambda c: F.concat_ws("=", c["name"], c["conclusion"]))
+    files = F.transform("changed_dep_files", lambda f: F.concat(f["filename"], F.lit(":"), f["patch"]))
+    return deps.dep_pr_records(prs, own.unionByName(more), checks, **options).select(
         "repo", "repo_url", "pr_number", "pr_url", "title", "bump_info.package", "bump_info.from_version", "bump_info.to_version",
         "ecosystem", "merge_status", F.col("ci_result.status").alias("ci_status"), F.col("ci_result.total_checks").alias("total_checks"),
-        "ci_passed", "num_dep_files_changed", "body_snippet", "author",
+        "ci_passed", F.coalesce(F.array_join(shown, ","), F.lit("")).alias("checks"),
+        F.col("num_dep_files_changed").cast("long").alias("num_dep_files_changed"), F.array_join(files, ",").alias("changed_dep_files"),
+        "body_snippet", F.array_join("labels", ",").alias("labels"), "author",
     )
 
 
+@query("dep_pr_records", ["dep_prs", "check_runs"], steps=_PR_STEPS, sql=_PR_SQL)
+def dep_pr_records(t):
+    return _dep_pr_records(t)
+
+
+@query("dep_pr_records_npm", ["dep_prs", "check_runs"], steps=_PR_STEPS, sql=f"SELECT * FROM ({_PR_SQL}) WHERE ecosystem = 'npm'")
+def dep_pr_records_npm(t):
+    return _dep_pr_records(t, ecosystem="npm")
+
+
 # -- shaping -----------------------------------------------------------------
 
 @query(
     "rl_tasks", ["ci_pairs", "model_verdicts"], steps=resolved_steps(),
     sql="""SELECT id, repo, failing_sha, language, ci_log, failure_class, failure_subclass,
       CASE language WHEN 'python' THEN 'pytest --tb=short -q' WHEN 'javascript' THEN 'npm test' ELSE 'go test ./...' END AS test_command, fix_diff AS ground_truth_diff
-    FROM resolved WHERE language IN ('python', 'javascript', 'go') AND has_fix AND ci_log <> '' AND contains(repo, '/') ORDER BY id LIMIT 10000""",
+    FROM resolved WHERE language IN ('python', 'javascript', 'go') AND has_fix AND ci_log <> '' AND contains(repo, '/')""",
 )
 def rl_tasks(t):
     return shaping.rl_tasks(resolved(t))
@@ -231,11 +282,11 @@ _NL = "chr(10)"
 
 @query(
     "sft_examples", ["ci_pairs", "model_verdicts"], steps=resolved_steps(),
-    sql=f"""SELECT id, {_CHAT_HEAD} 'Repository: ' || repo || ' (' || language || ')' || {_NL} || 'CI Log:' || {_NL} || left(ci_log, 6000) || {_NL} || {_NL}
-      || 'Code context:' || {_NL} || CASE WHEN code_context = '' THEN '(not provided)' ELSE left(code_context, 2000) END || {_NL} || {_NL}
+    sql=f"""SELECT id, {_CHAT_HEAD} 'Repository: ' || repo || ' (' || language || ')' || {_NL} || 'CI Log:' || {_NL} || ci_log || {_NL} || {_NL}
+      || 'Code context:' || {_NL} || CASE WHEN code_context = '' THEN '(not provided)' ELSE code_context END || {_NL} || {_NL}
       || 'Analyze this CI failure and generate the minimal fix.' {_CHAT_TAIL}
       || '<classify>' || failure_class || ' — ' || coalesce(failure_subclass, '') || '</classify>' || {_NL} || '<reason>' || {_NL}
-      || CASE WHEN coalesce(root_cause, '') <> '' THEN root_cause ELSE coalesce(fix_strategy, '') END || {_NL} || {_NL} || 'Key evidence from log:' || {_NL} || '  - (see log above)' || {_NL}
+      || CASE WHEN coalesce(root_cause, '') <> '' THEN root_cause ELSE coalesce(fix_strategy, '') END || {_NL} || {_NL} || 'Key evidence from log:' || {_NL} || coalesce('  - ' || nullif(array_to_string(key_evidence, {_NL} || '  - '), ''), '  - (see log above)') || {_NL}
       || '</reason>' || {_NL} || '<fix>' || {_NL} || fix_diff || {_NL} || '</fix>' || {_NL} || '<validate>' || {_NL}
       || 'Run the failing test suite after applying this patch. Confirm CI is green on first and second run to verify stability.' || {_NL} || '</validate><|im_end|>' AS text
     FROM resolved WHERE has_fix AND fix_diff <> '' AND ci_log <> ''""",
@@ -247,14 +298,14 @@ def sft_examples(t):
 @query(
     "rl_prompts", ["ci_pairs", "model_verdicts"], steps=resolved_steps(),
     sql=f"""SELECT id, {_CHAT_HEAD} 'Repository: ' || repo || ' (' || language || ')' || {_NL} || 'Known failure class: ' || failure_class || {_NL}
-      || 'CI Log:' || {_NL} || left(ci_log, 6000) || {_NL} || {_NL} || 'Generate the minimal fix.' || {_NL} {_CHAT_TAIL} AS prompt,
+      || 'CI Log:' || {_NL} || ci_log || {_NL} || {_NL} || 'Generate the minimal fix.' || {_NL} {_CHAT_TAIL} AS prompt,
       failing_sha, 'pytest' AS test_command, language FROM resolved""",
 )
 def rl_prompts(t):
     return shaping.rl_prompts(resolved(t), SYSTEM).select("id", "prompt", "metadata.failing_sha", "metadata.test_command", "metadata.language")
 
 
-_DPO = f"""pairs AS (SELECT p.id || '_dpo' AS id, 'Repository: ' || p.repo || ' (' || p.language || ')' || {_NL} || 'CI Log:' || {_NL} || left(p.ci_log, 4000) || {_NL} || {_NL}
+_DPO = f"""pairs AS (SELECT p.id || '_dpo' AS id, 'Repository: ' || p.repo || ' (' || p.language || ')' || {_NL} || 'CI Log:' || {_NL} || p.ci_log || {_NL} || {_NL}
     || 'Generate the minimal fix.' AS prompt, p.fix_diff AS chosen, trim(r.rejected, chr(10) || ' ') AS rejected, p.failure_class, 'dpo_synthetic' AS source
   FROM resolved p JOIN rejected_candidates r ON r.id = p.id WHERE p.has_fix AND p.fix_diff <> '' AND length(trim(r.rejected, chr(10) || ' ')) >= 20)"""
 
@@ -287,16 +338,16 @@ _WORSE = (
 @query(
     "model_requests", ["ci_pairs"], steps=top_steps() + """,
 asked AS (SELECT p.*, t.h_class, t.h_conf, coalesce(t.h_sub, 'unknown') AS sub, printf('%.2f', t.h_conf) AS conf FROM ci_pairs p JOIN top t ON t.id = p.id)""",
-    sql=f"""SELECT id, 'classify' AS kind, 'CI Log (truncated to key section):' || {_NL} || left(ci_log, 8000) || {_NL} || {_NL} || 'Heuristic pre-classification hint: ' || h_class || ' (' || sub
+    sql=f"""SELECT id, 'classify' AS kind, 'CI Log (truncated to key section):' || {_NL} || ci_log || {_NL} || {_NL} || 'Heuristic pre-classification hint: ' || h_class || ' (' || sub
       || ') — confidence ' || conf || {_NL} || {_NL} || 'Classify this CI failure.' AS request FROM asked WHERE ci_log <> '' AND h_conf < 0.9::DOUBLE
-    UNION ALL SELECT id, 'classify_short', 'CI Log:' || {_NL} || left(ci_log, 8000) || {_NL} || {_NL} || 'Heuristic hint: ' || h_class || ' (' || sub || ') — confidence ' || conf || {_NL} || {_NL}
+    UNION ALL SELECT id, 'classify_short', 'CI Log:' || {_NL} || ci_log || {_NL} || {_NL} || 'Heuristic hint: ' || h_class || ' (' || sub || ') — confidence ' || conf || {_NL} || {_NL}
       || 'Classify this CI failure.' FROM asked WHERE ci_log <> '' AND h_conf < 0.9::DOUBLE
     UNION ALL SELECT id, 'repair', {_CHAT_HEAD} {_ABOUT} || 'Workflow: ' || {_NL} || CASE WHEN h_class <> 'UNKNOWN' THEN {_NL} || '[Heuristic hint: ' || h_class || ' — ' || sub || ', confidence ' || conf || ']' ELSE '' END
-      || {_NL} || 'CI Log:' || {_NL} || left(ci_log, 7000) || {_NL} || {_NL} || 'Analyze this CI failure and generate the minimal fix.' || {_NL} {_CHAT_TAIL} FROM asked
-    UNION ALL SELECT id, 'bench', {_CHAT_HEAD} {_ABOUT} || 'CI Log:' || {_NL} || left(ci_log, 6000) || {_NL} || {_NL} || 'Analyze this CI failure and generate the minimal fix.' || {_NL} {_CHAT_TAIL} FROM asked
-    UNION ALL SELECT id, 'patch', {_ABOUT} || 'Failure class: UNKNOWN — ' || {_NL} || {_NL} || 'CI Log:' || {_NL} || left(ci_log, 6000) || {_NL} || {_NL} || 'Code context:' || {_NL}
-      || CASE WHEN code_context = '' THEN '(not available)' ELSE left(code_context, 3000) END || {_NL} || {_NL} || 'Generate the minimal fix.' FROM asked
-    UNION ALL SELECT id, 'worse_patch', {q(_WORSE)} || {_NL} || {_NL} || 'CI Log:' || {_NL} || left(ci_log, 3000) || {_NL} || {_NL} || 'Repository language: ' || language || {_NL}
+      || {_NL} || 'CI Log:' || {_NL} || ci_log || {_NL} || {_NL} || 'Analyze this CI failure and generate the minimal fix.' || {_NL} {_CHAT_TAIL} FROM asked
+    UNION ALL SELECT id, 'bench', {_CHAT_HEAD} {_ABOUT} || 'CI Log:' || {_NL} || ci_log || {_NL} || {_NL} || 'Analyze this CI failure and generate the minimal fix.' || {_NL} {_CHAT_TAIL} FROM asked
+    UNION ALL SELECT id, 'patch', {_ABOUT} || 'Failure class: UNKNOWN — ' || {_NL} || {_NL} || 'CI Log:' || {_NL} || ci_log || {_NL} || {_NL} || 'Code context:' || {_NL}
+      || CASE WHEN code_context = '' THEN '(not available)' ELSE code_context END || {_NL} || {_NL} || 'Generate the minimal fix.' FROM asked
+    UNION ALL SELECT id, 'worse_patch', {q(_WORSE)} || {_NL} || {_NL} || 'CI Log:' || {_NL} || ci_log || {_NL} || {_NL} || 'Repository language: ' || language || {_NL}
       || 'Output ONLY the diff, no explanation.' FROM asked WHERE has_fix AND fix_diff <> ''""",
 )
 def model_requests(t):
@@ -390,6 +441,28 @@ def bench_by_language(t):
     return bench.bench_by_language(_results(t), t.bench_truth)
 
 
+@query(
+    "bench_report", ["responses", "bench_truth"], steps=_RESULTS,
+    sql=f"""SELECT 'case' AS part, CAST(case_id AS VARCHAR) AS name, 1 AS total, CAST(correct_classification AS INT)::DOUBLE AS classification_accuracy,
+      CAST(fix_applies_cleanly AS INT)::DOUBLE AS fix_application_rate FROM results
+    UNION ALL SELECT 'class', failure_class, count(*), {_SHARES} FROM results GROUP BY failure_class
+    UNION ALL SELECT 'summary', '', count(*), {_SHARES} FROM results""",
+)
+def bench_report(t):
+    folder = scratch_path(t.spark, "report")
+    bench.write_report(_results(t), folder)
+    shares = ["classification_accuracy", "fix_application_rate"]
+    cases = t.spark.read.schema("id long, correct_classification boolean, fix_applies boolean").json(f"{folder}/cases").select(
+        F.lit("case").alias("part"), F.col("id").cast("string").alias("name"), F.lit(1).cast("long").alias("total"),
+        F.col("correct_classification").cast("int").cast("double").alias(shares[0]), F.col("fix_applies").cast("int").cast("double").alias(shares[1]),
+    )
+    kinds = t.spark.read.schema("failure_class string, total long, classification_accuracy double, fix_application_rate double").json(f"{folder}/per_class")
+    whole = t.spark.read.schema("total_cases long, classification_accuracy double, fix_application_rate double").json(f"{folder}/summary")
+    return cases.unionByName(kinds.select(F.lit("class").alias("part"), F.col("failure_class").alias("name"), "total", *shares)).unionByName(
+        whole.select(F.lit("summary").alias("part"), F.lit("").alias("name"), F.col("total_cases").alias("total"), *shares)
+    )
+
+
 _REWARDS = f"""fixes AS (SELECT r.prompt_id, r.generation, {block('r.response', 'fix')} AS fix, o.first_run_passed AS one, o.second_run_passed AS two
   FROM rl_responses r LEFT JOIN patch_outcomes o ON o.prompt_id = r.prompt_id AND o.generation = r.generation),
 based AS (SELECT *, {n_changed('fix')} AS n, CASE WHEN NOT contains(fix, '---') OR NOT one THEN 0.0::DOUBLE WHEN two THEN 1.0::DOUBLE ELSE 0.5::DOUBLE END AS base FROM fixes),
@@ -408,7 +481,7 @@ def patch_reward(t):
 
 @query(
     "reward_stats", ["rl_responses"], steps=_REWARDS,
-    sql="""SELECT count(*) AS n, sum(CAST(round(reward * 10) AS BIGINT))::DOUBLE / (count(*) * 10) AS mean_reward, max(reward) AS max_reward, min(reward) AS min_reward,
+    sql="""SELECT count(*) AS n, sum(reward::DECIMAL(28,10))::DOUBLE / count(*) AS mean_reward, max(reward) AS max_reward, min(reward) AS min_reward,
       count(*) FILTER (reward > 0) AS nonzero FROM rewards""",
 )
 def reward_stats(t):

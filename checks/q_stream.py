@@ -31,9 +31,8 @@ def watch_failures(t):
     write_jsonl(runs, landing)
     write_jsonl(runs, landing, "append")
     stream = watch.landed_files(t.spark, landing, _RUNS)
-    seen = watch.watch_failures(stream).drop("created_at", "conclusion", "ci_log")
-    watch.run_to_files(seen, output, scratch_path(t.spark, "progress"), once=True).awaitTermination()
-    return t.spark.read.schema(seen.schema).parquet(output).select(
+    watch.watch_failures(stream, output, scratch_path(t.spark, "progress"), once=True).awaitTermination()
+    return t.spark.read.parquet(output).select(
         "repo", "run_id", "failure_class", "failure_subclass", "confidence", "fix_strategy"
     )
 

@@ -35,7 +35,7 @@ PATTERN_ROWS = "patterns AS (" + values(
 # A list of matches in brackets, each quoted.
 _ESC = "replace(replace(replace(x, '\\', '\\\\'), chr(13), '\\r'), chr(9), '\\t')"
 MATCH_LIST = (
-    "'[' || array_to_string(list_transform(m[1:3], lambda x: CASE WHEN contains(x, '''') AND NOT contains(x, '\"') "
+    "'[' || array_to_string(list_transform(m, lambda x: CASE WHEN contains(x, '''') AND NOT contains(x, '\"') "
     f"THEN '\"' || {_ESC} || '\"' ELSE '''' || replace({_ESC}, '''', '\\''') || '''' END), ', ') || ']'"
 )
 
@@ -70,7 +70,8 @@ resolved AS (
       ELSE t.h_conf * 0.8::DOUBLE END AS classification_confidence,
     CASE WHEN p.ci_log = '' THEN 'no_log' WHEN t.h_conf >= 0.9::DOUBLE THEN 'heuristic' WHEN v.failure_class <> '' THEN 'model' ELSE 'heuristic_fallback' END AS classification_source,
     CASE WHEN p.ci_log = '' THEN NULL WHEN t.h_conf >= 0.9::DOUBLE THEN '' WHEN v.failure_class <> '' THEN coalesce(v.root_cause, '') ELSE NULL END AS root_cause,
-    CASE WHEN p.ci_log = '' THEN NULL WHEN t.h_conf < 0.9::DOUBLE AND v.failure_class <> '' THEN '' ELSE coalesce(f.strategy, '') END AS fix_strategy
+    CASE WHEN p.ci_log = '' THEN NULL WHEN t.h_conf < 0.9::DOUBLE AND v.failure_class <> '' THEN '' ELSE coalesce(f.strategy, '') END AS fix_strategy,
+    CASE WHEN p.ci_log <> '' AND t.h_conf < 0.9::DOUBLE AND v.failure_class <> '' THEN v.key_evidence END AS key_evidence
   FROM ci_pairs p JOIN top t ON t.id = p.id LEFT JOIN model_verdicts v ON v.id = p.id LEFT JOIN fixes f ON f.sub = t.h_sub)"""
 
 
@@ -114,12 +115,16 @@ near AS (SELECT *, max(err) OVER (PARTITION BY id ORDER BY i ROWS BETWEEN {after
   max(err) OVER (PARTITION BY id) AS has_err FROM flagged)"""
 
 
-# The greedy removal of near-duplicates, one record after the other.
-DEDUP_STEPS = """worded AS MATERIALIZED (SELECT id, list_distinct(list_transform(list_filter(string_split_regex(lower(concat(ci_log, fix_diff)), '\\s+'), lambda x: x <> ''), lambda x: hash(x))) AS w FROM ci_pairs),
+def dedup_steps(same_id: str = "false") -> str:
+    """CTEs up to ``gone``: the greedy removal of near-duplicates, one record after the other.
+
+    ``same_id`` says when records a and b have one id.
+    """
+    return f"""worded AS MATERIALIZED (SELECT id, list_distinct(list_transform(list_filter(string_split_regex(lower(concat(ci_log, fix_diff)), '\\s+'), lambda x: x <> ''), lambda x: hash(x))) AS w FROM ci_pairs),
 sized AS (SELECT id, w, len(w) AS n FROM worded),
-compared AS (SELECT a.id AS earlier, b.id AS later, len(list_intersect(a.w, b.w)) AS i, a.n + b.n AS t
-  FROM sized a JOIN sized b ON a.id < b.id AND least(a.n, b.n) >= 0.85::DOUBLE * greatest(a.n, b.n)),
-alike AS MATERIALIZED (SELECT earlier, later, i::DOUBLE / (t - i) AS similarity FROM compared WHERE i::DOUBLE / (t - i) >= 0.85::DOUBLE),
+compared AS (SELECT a.id AS earlier, b.id AS later, len(list_intersect(a.w, b.w)) AS i, a.n + b.n AS t, {same_id} AS same_id
+  FROM sized a JOIN sized b ON a.id < b.id AND (least(a.n, b.n) >= 0.85::DOUBLE * greatest(a.n, b.n) OR {same_id})),
+alike AS MATERIALIZED (SELECT earlier, later, i::DOUBLE / (t - i) AS similarity FROM compared WHERE i::DOUBLE / (t - i) >= 0.85::DOUBLE OR same_id),
 o AS MATERIALIZED (SELECT later AS id, list(earlier) AS nb, row_number() OVER (ORDER BY later) AS rn FROM alike GROUP BY later),
 g AS (SELECT 0::BIGINT AS rn, []::BIGINT[] AS dropped
   UNION ALL
@@ -128,6 +133,9 @@ g AS (SELECT 0::BIGINT AS rn, []::BIGINT[] AS dropped
 gone AS (SELECT unnest(dropped) AS id FROM (SELECT dropped FROM g ORDER BY rn DESC LIMIT 1))"""
 
 
+DEDUP_STEPS = dedup_steps()
+
+
 # A number in [0, n) drawn for a log, as the mutation strategies draw it.
 def drawn(log: str, index: int, turn: int, n: str) -> str:
     return f"(('0x' || substr(sha256(sha256({log}) || ':{index}:{turn}'), 1, 8))::BIGINT % {n})"

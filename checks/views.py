@@ -8,8 +8,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from buildmend.session import spread
-
 BASE = [
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
     "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
@@ -114,7 +112,8 @@ _view("model_verdicts", ["labels"], """
 SELECT doc_id AS id, CASE WHEN quality = 1 THEN 'LOGIC' ELSE 'ENV' END AS failure_class,
   CASE WHEN quality = 1 THEN '4a_test_expectation_drift' ELSE CAST(NULL AS STRING) END AS failure_subclass,
   CASE WHEN toxic = 1 THEN CAST(NULL AS DOUBLE) ELSE CAST(0.75 AS DOUBLE) END AS confidence,
-  concat('cause ', CAST(doc_id AS STRING)) AS root_cause
+  concat('cause ', CAST(doc_id AS STRING)) AS root_cause,
+  CASE WHEN quality = 1 THEN split(concat('line ', CAST(doc_id AS STRING), ',second,third,fourth'), ',') END AS key_evidence
 FROM labels
 """)
 
@@ -246,10 +245,10 @@ FROM events
 
 # CircleCI levels: order -> line -> part of a line. Line keys repeat, so each
 # line is numbered over all of its columns and that number is its key.
-_view("circle_lines", ["lineitem"], """
-SELECT l_orderkey, l_linenumber, l_returnflag, l_linestatus, l_quantity, l_partkey,
+_view("circle_lines", ["lineitem", "commits"], """
+SELECT l_orderkey, l_linenumber, l_returnflag, l_linestatus, l_quantity, l_partkey, concat('github/', c.repo) AS project_slug,
   l_orderkey * 1000 + row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_shipdate) AS line_id
-FROM lineitem
+FROM lineitem JOIN commits c ON c.commit_no = l_orderkey
 """)
 
 _view("circle_pipelines", ["orders", "commits"], """
@@ -260,28 +259,31 @@ FROM orders o JOIN commits c ON c.commit_no = o.o_orderkey
 """)
 
 _view("circle_workflows", ["circle_lines"], """
-SELECT l_orderkey AS pipeline_id, line_id AS workflow_id, line_id AS workflow_no, concat('flow', CAST(l_linenumber AS STRING)) AS workflow_name,
+SELECT project_slug, l_orderkey AS pipeline_id, line_id AS workflow_id, line_id AS workflow_no, concat('flow', CAST(l_linenumber AS STRING)) AS workflow_name,
   CASE l_returnflag WHEN 'R' THEN 'failed' WHEN 'A' THEN 'error' ELSE 'success' END AS status
 FROM circle_lines
 """)
 
+# Jobs are numbered within their project, so that numbers repeat across projects.
 _view("circle_jobs", ["circle_lines"], """
-SELECT line_id AS workflow_id, 1 AS job_no, line_id * 2 + 1 AS job_number, 'build' AS job_name,
-  CASE WHEN l_quantity < 10 THEN 'success' WHEN l_quantity < 30 THEN 'blocked' ELSE 'failed' END AS status FROM circle_lines
-UNION ALL
-SELECT line_id AS workflow_id, 2 AS job_no, line_id * 2 + 2 AS job_number, 'test' AS job_name,
-  CASE WHEN l_linestatus = 'F' THEN 'failed' ELSE 'success' END AS status FROM circle_lines
+SELECT project_slug, workflow_id, job_no, job_name, status, row_number() OVER (PARTITION BY project_slug ORDER BY workflow_id, job_no) AS job_number FROM (
+  SELECT project_slug, line_id AS workflow_id, 1 AS job_no, 'build' AS job_name,
+    CASE WHEN l_quantity < 10 THEN 'success' WHEN l_quantity < 30 THEN 'blocked' ELSE 'failed' END AS status FROM circle_lines
+  UNION ALL
+  SELECT project_slug, line_id AS workflow_id, 2 AS job_no, 'test' AS job_name,
+    CASE WHEN l_linestatus = 'F' THEN 'failed' ELSE 'success' END AS status FROM circle_lines) AS j
 """)
 
 _view("circle_actions", ["circle_jobs"], """
-SELECT job_number, 1 AS step_no, 1 AS action_no, 'success' AS status, 'https://example.org/1' AS output_url, 'fine' AS step_log FROM circle_jobs
+SELECT project_slug, job_number, 1 AS step_no, 1 AS action_no, 'success' AS status, 'https://example.org/1' AS output_url, 'fine' AS step_log FROM circle_jobs
 UNION ALL
-SELECT job_number, 2 AS step_no, 1 AS action_no, 'failed' AS status, CASE WHEN job_number % 3 = 0 THEN '' ELSE 'https://example.org/2' END AS output_url,
-  CASE WHEN job_number % 5 = 0 THEN '' ELSE concat('step two of ', CAST(job_number AS STRING), chr(10), 'Error: exit code 2', chr(10)) END AS step_log FROM circle_jobs
+SELECT project_slug, job_number, 2 AS step_no, 1 AS action_no, 'failed' AS status, CASE WHEN job_number % 3 = 0 THEN '' ELSE 'https://example.org/2' END AS output_url,
+  CASE WHEN job_number % 5 = 0 THEN '' ELSE concat('step two of ', CAST(workflow_id AS STRING), chr(10), repeat(concat('before', chr(10)), CAST(job_number % 6 AS INT)),
+    'Error: exit code 2', chr(10), repeat(concat('behind', chr(10)), CAST(job_number % 40 AS INT)), project_slug) END AS step_log FROM circle_jobs
 UNION ALL
-SELECT job_number, 2 AS step_no, 2 AS action_no, 'failed' AS status, 'https://example.org/3' AS output_url, 'second action' AS step_log FROM circle_jobs
+SELECT project_slug, job_number, 2 AS step_no, 2 AS action_no, 'failed' AS status, 'https://example.org/3' AS output_url, 'second action' AS step_log FROM circle_jobs
 UNION ALL
-SELECT job_number, 3 AS step_no, 1 AS action_no, CASE WHEN job_number % 7 = 0 THEN 'success' ELSE 'failed' END AS status, 'https://example.org/4' AS output_url, 'third step' AS step_log FROM circle_jobs
+SELECT project_slug, job_number, 3 AS step_no, 1 AS action_no, CASE WHEN job_number % 7 = 0 THEN 'success' ELSE 'failed' END AS status, 'https://example.org/4' AS output_url, 'third step' AS step_log FROM circle_jobs
 """)
 
 _view("step_logs", ["conversations"], """
@@ -356,7 +358,8 @@ def spark_view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A driver table or derived view as a DataFrame."""
     if name in BASE:
         table = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-        return spread(table, "doc_id") if name == "documents" else table
+        # The driver writes documents as one row group, which is one task.
+        return table.repartition("doc_id") if name == "documents" else table
     for view in order_of([name]):
         for need in VIEWS[view][0]:
             if need in BASE:

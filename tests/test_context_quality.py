@@ -14,11 +14,11 @@ def by_lines(log, rule):
     lines = log.split("\n")
     errors = [i for i, line in enumerate(lines) if any(re.search(p, line, re.I) for p in rule.errors)]
     if not errors:
-        tail = "\n".join(lines[-rule.tail:])
-        return tail[:5000] if rule.cut_tail else tail
+        tail = "\n".join(lines if rule.tail is None else lines[-rule.tail:])
+        return tail[: rule.max_chars] if rule.cut_tail else tail
     near = {j for e in errors for j in range(e - rule.before, e + rule.after + 1) if 0 <= j < len(lines)}
     kept = [lines[i] for i in sorted(near)][: rule.max_lines]
-    return "\n".join(kept)[:5000]
+    return "\n".join(kept)[: rule.max_chars]
 
 
 def test_error_context_equals_plain_python(spark):
@@ -30,7 +30,8 @@ def test_error_context_equals_plain_python(spark):
             logs.append("\n".join(rng.choice(words_) if rng.random() < weight else f"line {i}" for i in range(size)))
     logs.append("\n".join("x" * 200 for _ in range(90)))
     df = spark.createDataFrame([(i, log) for i, log in enumerate(logs)], "id int, ci_log string")
-    for rule in (context.GITLAB, context.TRAVIS, context.CIRCLECI):
+    whole = [context.GITLAB, context.TRAVIS, context.CIRCLECI]
+    for rule in whole + [r._replace(tail=80, max_lines=100, max_chars=5000, cut_tail=r is context.CIRCLECI) for r in whole]:
         got = {r.id: r.failure_log for r in context.with_error_context(df, rule).collect()}
         assert got == {i: by_lines(log, rule) for i, log in enumerate(logs)}
 

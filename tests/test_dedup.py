@@ -3,6 +3,7 @@ import random
 import pytest
 
 from buildmend.operators import dedup
+from buildmend.session import durable
 
 
 def greedy(rows, threshold=0.85):
@@ -55,13 +56,13 @@ def test_random_families_equal_greedy(spark):
     assert run(spark, rows) == greedy(rows)
 
 
-def test_hot_group_of_near_copies_needs_rounds(spark):
+def test_hot_group_of_near_copies(spark):
     rng = random.Random(5)
     base = words(rng, 60)
     rows = [(i, f"id{i}", varied(rng, base, rng.choice([0, 1, 2, 3, 4, 6, 8]))) for i in range(150)]
     rows += [(1000 + i, f"jd{i}", " ".join(words(rng, 60))) for i in range(30)]
     assert run(spark, rows) == greedy(rows)
-    assert run(spark, rows, heads=2) == greedy(rows)
+    assert run(spark, rows, batch_rows=20) == greedy(rows)
 
 
 @pytest.mark.parametrize("seed", [1, 2])
@@ -79,11 +80,26 @@ def test_pairs_name_a_kept_record(spark):
     df = spark.createDataFrame([(o, i, t, "") for o, i, t in rows], "ord int, id string, ci_log string, fix_diff string")
     kept = greedy(rows)
     texts = {o: set(t.split()) for o, _, t in rows}
-    pairs = dedup.near_dup_pairs(df, key="id", order=["ord"]).collect()
-    assert {p.dup_id for p in pairs} == set(texts) - kept
-    for p in pairs:
-        a, b = texts[p.dup_id], texts[p.kept_id]
-        assert p.kept_id in kept and p.similarity == len(a & b) / len(a | b) >= 0.85
+    for batch_rows in (4, 8192):
+        pairs = dedup.near_dup_pairs(df, key="id", order=["ord"], batch_rows=batch_rows).collect()
+        assert {p.dup_id for p in pairs} == set(texts) - kept
+        for p in pairs:
+            a, b = texts[p.dup_id], texts[p.kept_id]
+            assert p.similarity == len(a & b) / len(a | b) >= 0.85
+            assert p.kept_id == min(k for k in kept if k < p.dup_id and len(texts[k] & a) >= 0.85 * len(texts[k] | a))
+
+
+def test_passes_do_not_grow_with_a_bucket(spark, monkeypatch):
+    """Records of one workflow share most words without being duplicates."""
+    passes = {}
+    for n in (300, 600, 5000):
+        made = []
+        monkeypatch.setattr(dedup, "durable", lambda df, made=made: made.append(1) or durable(df))
+        common = [f"c{i}" for i in range(100)]
+        rows = [(i, f"id{i}", " ".join(common + [f"o{i}-{j}" for j in range(30)])) for i in range(n)]
+        assert len(run(spark, rows)) == n
+        passes[n] = len(made)
+    assert len(set(passes.values())) == 1 and passes[300] < 20
 
 
 def test_same_result_on_one_partition(spark):

@@ -56,33 +56,54 @@ def test_green_commit_latest_and_next(spark):
     def found(**how):
         return {r.failing_sha: r.fix_sha for r in pairing.green_commit_fix(failures, commits, runs, **how).collect()}
 
-    assert found() == {"s13": "s18", "s16": "s18", "s19": None, "s2": None, "zz": None}
-    assert found(pick="next") == {"s13": "s15", "s16": "s18", "s19": None, "s2": None, "zz": None}
-    assert found(pick="next", last=None) == {"s13": "s15", "s16": "s18", "s19": None, "s2": "s12", "zz": None}
+    assert found(last=20) == {"s13": "s18", "s16": "s18", "s19": None, "s2": None, "zz": None}
+    assert found(last=20, pick="next") == {"s13": "s15", "s16": "s18", "s19": None, "s2": None, "zz": None}
+    assert found() == {"s13": "s18", "s16": "s18", "s19": None, "s2": "s18", "zz": None}
+    assert found(pick="next") == {"s13": "s15", "s16": "s18", "s19": None, "s2": "s12", "zz": None}
 
 
-def test_next_commit_matches_on_eight_characters(spark):
-    shas = ["aaaaaaaa1", "bbbbbbbb2", "cccccccc3"]
+def test_next_commit_by_whole_or_shortened_sha(spark):
+    shas = ["aaaaaaaa1", "bbbbbbbb2", "aaaaaaaa3", "cccccccc4"]
     commits = spark.createDataFrame([("r", s, dt.datetime(2024, 1, i + 1), i, "m" * 300, "me") for i, s in enumerate(shas)],
                                     "repo string, sha string, committed_at timestamp, commit_no int, message string, author string")
     files = spark.createDataFrame(
         [("r", "bbbbbbbb2", i, f"f{i}.yml", "p" * 600) for i in range(12)] + [("r", "bbbbbbbb2", 99, "main.py", "q")],
         "repo string, sha string, file_no int, filename string, patch string",
     )
-    failures = spark.createDataFrame([("r", "aaaaaaaaXYZ"), ("r", "cccccccc"), ("r", "none")], "repo string, failed_sha string")
+    names = ["aaaaaaaa1", "aaaaaaaa3", "aaaaaaaa", "aaaaaaaa1ff", "aaaaaaaa9", "bbbbbbbb", "cccccccc4", "none", None]
+    failures = spark.createDataFrame([("r", n) for n in names], "repo string, failed_sha string")
     got = {r.failed_sha: r.fix_commit for r in pairing.next_commit_fix(failures, commits, files).collect()}
-    fix = got["aaaaaaaaXYZ"]
-    assert (fix.sha, len(fix.message), fix.files_changed) == ("bbbbbbbb2", 200, 13)
-    assert fix.ci_files_changed == [f"f{i}.yml" for i in range(10)]
-    assert fix.diff_patch == "\n".join(["p" * 500] * 3)
-    assert got["cccccccc"] is None and got["none"] is None
+    # Unlike whole shas with one beginning are kept apart; of a shortened one the newest commit counts.
+    assert {n: f.sha if f else None for n, f in got.items()} == {
+        "aaaaaaaa1": "bbbbbbbb2", "aaaaaaaa3": "cccccccc4", "aaaaaaaa": "cccccccc4", "aaaaaaaa1ff": "bbbbbbbb2", "aaaaaaaa9": None,
+        "bbbbbbbb": "aaaaaaaa3", "cccccccc4": None, "none": None, None: None,
+    }
+    fix = got["aaaaaaaa1"]
+    assert (fix.message, fix.files_changed, fix.diff_patch) == ("m" * 300, 13, "\n".join(["p" * 600] * 12))
+    assert fix.ci_files_changed == [f"f{i}.yml" for i in range(12)]
+    few = pairing.next_commit_fix(failures, commits, files, 10, 3, 500, 200).filter("failed_sha = 'aaaaaaaa1'").first().fix_commit
+    assert (len(few.message), few.ci_files_changed, few.diff_patch) == (200, [f"f{i}.yml" for i in range(10)], "\n".join(["p" * 500] * 3))
+
+
+def test_job_numbers_of_two_projects_are_kept_apart(spark):
+    workflows = spark.createDataFrame([("p", "a", 1, "w", 1, "failed"), ("q", "b", 2, "w", 1, "failed")],
+                                      "project_slug string, pipeline_id string, workflow_id int, workflow_name string, workflow_no int, status string")
+    jobs = spark.createDataFrame([("p", 1, 1, 17, "j", "failed"), ("q", 2, 1, 17, "j", "failed")],
+                                 "project_slug string, workflow_id int, job_no int, job_number int, job_name string, status string")
+    actions = spark.createDataFrame(
+        [("p", 17, 1, 1, "failed", "u", ""), ("p", 17, 1, 2, "failed", "u", "second action"), ("p", 17, 2, 1, "failed", "u", "log of p"), ("q", 17, 1, 1, "failed", "u", "log of q")],
+        "project_slug string, job_number int, step_no int, action_no int, status string, output_url string, step_log string",
+    )
+    got = {r.pipeline_id: (r.step_no, r.step_log) for r in pairing.first_failed_step(workflows, jobs, actions).collect()}
+    assert got == {"a": (2, "log of p"), "b": (1, "log of q")}
 
 
 def test_diff_keeps_first_files_then_those_with_a_patch(spark):
     rows = [("c", i, f"f{i}", None if i % 2 else "@@") for i in range(14)] + [("d", 0, "x", None)]
     df = spark.createDataFrame(rows, "k string, file_no int, filename string, patch string")
-    got = {r.k: r.diff for r in pairing.assemble_diff(df, ["k"]).collect()}
-    assert got == {"c": "\n".join(f"--- a/f{i}\n+++ b/f{i}\n@@" for i in range(0, 10, 2)), "d": ""}
+    for n, last in ((10, 10), (None, 14)):
+        got = {r.k: r.diff for r in pairing.assemble_diff(df, ["k"], n).collect()}
+        assert got == {"c": "\n".join(f"--- a/f{i}\n+++ b/f{i}\n@@" for i in range(0, last, 2)), "d": ""}
 
 
 def test_language_filter_and_skip(spark):

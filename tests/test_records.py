@@ -1,11 +1,12 @@
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
 
 from buildmend import schemas
 from buildmend.operators import bench, deps, shaping
-from buildmend.session import durable, scratch_path, shared_dir, spread
+from buildmend.session import durable, release, scratch_path, shared_dir
 from buildmend.sources import jsonl, log_parts, records
 
 SCHEMA = "id bigint, ci_log string"
@@ -48,11 +49,12 @@ def test_shared_folder_comes_from_the_session(spark):
     assert durable(spark.range(5)).count() == 5
 
 
-def test_spread_leaves_large_tables_alone(spark, tmp_path):
-    spark.range(10).coalesce(1).write.parquet(str(tmp_path / "t"))
-    table = spark.read.parquet(str(tmp_path / "t"))
-    assert spread(table, "id") is not table and spread(table, "id").count() == 10
-    assert spread(table, "id", bytes_per_core=1) is table
+def test_scratch_tables_go_when_released(spark):
+    table = durable(spark.range(7))
+    place = table.inputFiles()[0].removeprefix("file://")
+    assert os.path.exists(place) and table.count() == 7
+    release(spark)
+    assert not os.path.exists(place)
 
 
 def test_normalize_takes_the_log_under_either_name(spark):

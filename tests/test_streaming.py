@@ -18,9 +18,9 @@ def test_runs_seen_again_are_handled_once(spark, tmp_path):
     landing.mkdir()
 
     def poll():
-        seen = watch.watch_failures(watch.landed_files(spark, str(landing), RUNS, files_per_batch=1))
-        watch.run_to_files(seen, str(output), str(progress), once=True).awaitTermination()
-        rows = spark.read.schema(seen.schema).parquet(str(output)).collect()
+        landed = watch.landed_files(spark, str(landing), RUNS, files_per_batch=1)
+        watch.watch_failures(landed, str(output), str(progress), once=True).awaitTermination()
+        rows = spark.read.parquet(str(output)).collect()
         return sorted((r.run_id, r.failure_class) for r in rows)
 
     land(landing, "a.json", [run(1), run(2, "success"), run(3, log="deadlock")])
@@ -31,6 +31,15 @@ def test_runs_seen_again_are_handled_once(spark, tmp_path):
     assert poll() == [(1, "FLAKY"), (3, "FLAKY"), (4, "UNKNOWN"), (5, "ENV")]
 
 
+def test_files_that_land_newest_first_lose_no_run(spark, tmp_path):
+    landing, output, progress = (tmp_path / n for n in ("in", "out", "progress"))
+    landing.mkdir()
+    for i in reversed(range(6)):
+        land(landing, f"{i}.json", [run(i) | {"created_at": f"20{10 + i}-01-01T00:00:00Z"}, run(9)])
+        watch.watch_failures(watch.landed_files(spark, str(landing), RUNS, files_per_batch=1), str(output), str(progress), once=True).awaitTermination()
+    assert sorted(r.run_id for r in spark.read.parquet(str(output)).collect()) == [0, 1, 2, 3, 4, 5, 9]
+
+
 def test_incomplete_requests_are_rejected(spark, tmp_path):
     landing, output = tmp_path / "in", tmp_path / "out"
     landing.mkdir()
