@@ -107,31 +107,30 @@ def detect_ecosystem(title: Column, labels: Column, filenames: Column, body: Col
     return F.coalesce(from_labels, from_files, from_words, F.lit("unknown"))
 
 
-def rolled_checks(prs: DataFrame, checks: DataFrame, key: list[str], n: int | None = None) -> DataFrame:
+def rolled_checks(
+    prs: DataFrame, checks: DataFrame, key: list[str], listed: bool = True, n: int | None = None
+) -> DataFrame:
     """Overall check result and list of checks of each pull request, also of those without checks.
 
     Checks of other pull requests are left out first; counts and list come
     from one aggregation. ``n`` keeps the first checks of each list.
     """
     wanted = prs.select(*key).distinct()
-    check = F.struct("check_no", "name", "conclusion", "app")
-    listed = F.array_sort(F.collect_list(check))
-    counted = checks.join(wanted, key, "left_semi").groupBy(*key).agg(
+    totals = [
         F.count(F.lit(1)).alias("total_checks"),
         F.count_if(F.col("conclusion") == "success").alias("passed"),
         F.count_if(F.col("conclusion").isin("failure", "timed_out")).alias("failed"),
-        F.transform(
-            listed if n is None else F.slice(listed, 1, n),
+    ]
+    if listed:
+        in_order = F.array_sort(F.collect_list(F.struct("check_no", "name", "conclusion", "app")))
+        totals.append(F.transform(
+            in_order if n is None else F.slice(in_order, 1, n),
             lambda c: F.struct(c["name"].alias("name"), c["conclusion"].alias("conclusion"), c["app"].alias("app")),
-        ).alias("checks"),
-    )
+        ).alias("checks"))
+    counted = checks.join(wanted, key, "left_semi").groupBy(*key).agg(*totals)
     zero = F.lit(0).cast("bigint")
-    joined = wanted.join(counted, key, "left").select(
-        *key,
-        F.coalesce("total_checks", zero).alias("total_checks"),
-        F.coalesce("passed", zero).alias("passed"),
-        F.coalesce("failed", zero).alias("failed"),
-        "checks",
+    joined = wanted.join(counted, key, "left").withColumns(
+        {c: F.coalesce(c, zero) for c in ("total_checks", "passed", "failed")}
     )
     return joined.withColumn(
         "status",
@@ -144,7 +143,7 @@ def rolled_checks(prs: DataFrame, checks: DataFrame, key: list[str], n: int | No
 
 def check_rollup(prs: DataFrame, checks: DataFrame, key: list[str]) -> DataFrame:
     """Overall check result of each pull request, also of those without checks."""
-    return rolled_checks(prs, checks, key).drop("checks")
+    return rolled_checks(prs, checks, key, listed=False)
 
 
 def dep_pr_records(
@@ -181,7 +180,7 @@ def dep_pr_records(
     changed = dep_file_filter(few).groupBy(*key).agg(
         F.transform(F.array_sort(F.collect_list(file)), lambda f: f.dropFields("file_no")).alias("changed_dep_files")
     )
-    rolled = rolled_checks(bumps, checks, key, max_checks)
+    rolled = rolled_checks(bumps, checks, key, n=max_checks)
     kept = F.coalesce("changed_dep_files", F.array().cast(changed.schema["changed_dep_files"].dataType))
     records = (
         bumps.join(changed, key, "left")

@@ -77,13 +77,14 @@ def test_each_strategy(logs):
 def test_first_three_that_apply(spark):
     log = "python 3.9 node 18.1 ubuntu-22.04 FROM python:3.9 $A_KEY"
     df = spark.createDataFrame([(1, log, 0, "b7")], "id int, ci_log string, pipeline_id bigint, build_id string")
-    rows = augment.mutate(df).orderBy("mutation_index").collect()
+    assert [r.mutation_index for r in augment.mutate(df).orderBy("mutation_index").collect()] == [0, 1, 2, 3, 4]
+    rows = augment.mutate(df, per_record=3).orderBy("mutation_index").collect()
     assert [r.mutation_index for r in rows] == [0, 1, 2]
     assert [r.ci_log for r in rows] == [expected(log, i, s.name) for i, s in enumerate(augment.STRATEGIES[:3])]
     assert {r.original_record_id for r in rows} == {"b7"} and all(r.is_synthetic for r in rows)
     assert augment.mutate(df, per_record=9).count() == 5
     by_text = augment.mutate(df.drop("pipeline_id", "build_id")).first()
-    assert by_text.original_record_id == hashlib.sha256(log[:100].encode()).hexdigest()[:12]
+    assert by_text.original_record_id == hashlib.sha256(log.encode()).hexdigest()
 
 
 def test_package_bump(logs):

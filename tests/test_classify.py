@@ -16,7 +16,7 @@ def py_signals(log):
         found = re.findall(p.regex, log, re.I)
         if found:
             conf = min(p.confidence + 0.05 * (len(found) - 1), 0.95)
-            out.append((p.failure_class, p.failure_subclass, conf, f"Pattern '{p.regex}' matched {len(found)} times: {found[:3]}"))
+            out.append((p.failure_class, p.failure_subclass, conf, f"Pattern '{p.regex}' matched {len(found)} times: {found}"))
     return sorted(out, key=lambda s: -s[2])
 
 

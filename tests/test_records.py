@@ -176,7 +176,9 @@ def test_tasks_pairs_and_splits(spark):
 def test_sft_text(spark):
     df = spark.createDataFrame([(1, "o/r", "go", "L" * 7000, "DIFF", True, "ENV", None, "", "fix it", ["e1", "e2", "e3", "e4"])],
                                "id int, repo string, language string, ci_log string, fix_diff string, has_fix boolean, failure_class string, failure_subclass string, root_cause string, fix_strategy string, key_evidence array<string>")
-    text = shaping.sft_examples(df, "SYS").first().text
+    whole = shaping.sft_examples(df, "SYS").first().text
+    assert "L" * 7000 in whole and "  - e3\n  - e4\n" in whole
+    text = shaping.sft_examples(df, "SYS", log_chars=6000, context_chars=2000, bullets_shown=3).first().text
     assert text.startswith("<|im_start|>system\nSYS<|im_end|>\n<|im_start|>user\nRepository: o/r (go)\nCI Log:\n" + "L" * 6000 + "\n\nCode context:\n(not provided)\n\n")
     assert "<reason>\nfix it\n\nKey evidence from log:\n  - e1\n  - e2\n  - e3\n</reason>\n<fix>\nDIFF\n</fix>" in text
 
