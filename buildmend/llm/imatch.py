@@ -71,51 +71,47 @@ class Lexicon:
     def __init__(self, words: list[str]):
         self.words = sorted(words)
         self.number = {w: i for i, w in enumerate(self.words)}
-        self.member = np.zeros((N_SUBSETS, len(self.words)), dtype=bool)
+        self.member = np.zeros((len(self.words), N_SUBSETS), dtype=bool)
         digest = np.array([int.from_bytes(hashlib.blake2b(w.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little") for w in self.words], dtype=np.uint64)
         row = 0
         for share, n in SUBSETS:
             for _ in range(n):
-                mixed = (digest ^ np.uint64((row + 1) * 0x9E3779B97F4A7C15 & (1 << 64) - 1)) * np.uint64(0xD6E8FEB86659FD93)
-                mixed = (mixed ^ (mixed >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
-                self.member[row] = (mixed >> np.uint64(32)) % np.uint64(share) == 0
+                self.member[:, row] = (mixed(digest ^ np.uint64((row + 1) * 0x9E3779B97F4A7C15 & (1 << 64) - 1)) >> np.uint64(32)) % np.uint64(share) == 0
                 row += 1
+        self.digest = mixed(digest)
 
     def fingerprint(self, text: str) -> str:
         """Hash of all terms in the band, a colon, and the hash of each subset.
 
-        A text without a term in the band is hashed by all its terms, and no
-        subset is set.
+        The sorted distinct terms of a subset are hashed as the sum of their
+        digests. A text without a term in the band is hashed by all its terms,
+        and no subset is set.
         """
         own = terms(text)
         found = np.array(sorted(n for w in own if (n := self.number.get(w)) is not None), dtype=np.int64)
         if not len(found):
             whole = hashlib.blake2b(" ".join(sorted(own)).encode("utf-8", "surrogatepass"), digest_size=8).hexdigest()
             return f"{whole}:{'0' * DIGITS * N_SUBSETS}"
-        named = [self.words[i].encode("utf-8", "surrogatepass") for i in found.tolist()]
-        parts = [hashlib.blake2b(b" ".join(named), digest_size=8).hexdigest(), ":"]
-        for row in self.member[:, found]:
-            some = np.flatnonzero(row)
-            if len(some):
-                value = int(hashlib.blake2b(b" ".join([named[i] for i in some.tolist()]), digest_size=4).hexdigest(), 16) % (16**DIGITS - 1) + 1
-                parts.append(f"{value:0{DIGITS}x}")
-            else:
-                parts.append("0" * DIGITS)
-        return "".join(parts)
+        digests, member = self.digest[found], self.member[found]
+        sums = mixed((member * digests[:, None]).sum(axis=0, dtype=np.uint64))
+        parts = np.where(member.any(axis=0), (sums >> np.uint64(20)) % np.uint64(16**DIGITS - 1) + np.uint64(1), np.uint64(0))
+        return f"{hashlib.blake2b(digests.tobytes(), digest_size=8).hexdigest()}:{parts.astype('>u2').tobytes().hex()}"
+
+
+def mixed(h: np.ndarray) -> np.ndarray:
+    """Spread the bits of 64-bit numbers."""
+    h = h * np.uint64(0xD6E8FEB86659FD93)
+    h = (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    return h ^ (h >> np.uint64(32))
 
 
 def likeness(a: str, b: str) -> float:
     """Share of agreeing subsets among those that either text has terms in; 1 for equal fingerprints."""
     if a == b:
         return 1.0
-    empty, same, either = "0" * DIGITS, 0, 0
-    first, second = a.partition(":")[2], b.partition(":")[2]
-    for at in range(0, len(first), DIGITS):
-        x, y = first[at : at + DIGITS], second[at : at + DIGITS]
-        if x != empty or y != empty:
-            either += 1
-            same += x == y
-    return same / either if either else 0.0
+    x, y = (np.frombuffer(bytes.fromhex(f.partition(":")[2]), dtype=">u2") for f in (a, b))
+    either = int(np.count_nonzero(x | y))
+    return int(np.count_nonzero((x == y) & (x > 0))) / either if either else 0.0
 
 
 def lexicon(docs: DataFrame, text: str = "text", least: float = 0.001, most: float = 0.2) -> Lexicon:
