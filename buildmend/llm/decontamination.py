@@ -10,6 +10,7 @@ verified by exact edit distance.
 from __future__ import annotations
 
 from math import floor
+from uuid import uuid4
 from zlib import crc32
 
 import numpy as np
@@ -25,8 +26,10 @@ MOST_EDITS = 0.2
 #: Window sizes in words; an item is searched with the largest size up to the share of its length.
 SIZES = [1, 2, 3, 4, 5, 6, 8, 12, 18, 27, 40, 60, 90, 135, 200, 300]
 SHARE = 0.75
-#: Walks, keys of each walk, places of each key, bits of the filter ahead of the search.
-WALKS, KEYS, PLACES, BITS = 3, 4, 4, 22
+#: Walks, keys of each walk, places of each key.
+WALKS, KEYS, PLACES = 3, 4, 4
+#: Slots for each key, as a power of two, of the filter ahead of the search.
+SPARE = 6
 #: Words of the texts that are in arrays at a time.
 WORDS_AT_ONCE = 200_000
 #: Words of items for which one index is made; more items take further passes.
@@ -82,6 +85,7 @@ class Index:
 
     def __init__(self, items: list[tuple[object, list[bytes]]]):
         self.items = [(item, words, hashed(words)) for item, words in items if words]
+        self.lists = [own.tolist() for _, _, own in self.items]
         by_size: dict[int, list[int]] = {}
         for i, (_, words, _) in enumerate(self.items):
             by_size.setdefault(size_for(len(words)), []).append(i)
@@ -97,33 +101,34 @@ class Index:
                 lines += [own, np.full(size * 2, PAD)]
                 at += len(own) + size * 2
             line, first = np.concatenate(lines), np.array(starts)
-            walks = []
+            walks, shift_by = [], np.uint64(64 - min(24, len(first).bit_length() + SPARE))
             for seed in range(WALKS):
                 walk = Walk(size, seed)
                 for k, keys in enumerate(walk.keys(line, first)):
                     order = np.argsort(keys, kind="stable")
-                    near = np.zeros(1 << BITS, dtype=bool)
-                    near[keys >> np.uint64(64 - BITS)] = True
+                    near = np.zeros(1 << (64 - int(shift_by)), dtype=bool)
+                    near[keys >> shift_by] = True
                     walks.append((walk if k == 0 else None, k, keys[order], np.array(owner)[order], np.array(shift)[order], near))
-            self.tables.append((size, walks))
+            self.tables.append((size, shift_by, walks))
 
-    def candidates(self, line: np.ndarray, owner: np.ndarray):
+    def candidates(self, line: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(place in the line, item, shift) of windows that share a key with an item."""
-        for size, walks in self.tables:
-            stride = stride_for(size)
+        places, items_met, shifts_met = [], [], []
+        for size, shift_by, walks in self.tables:
             padded = np.concatenate([line, np.full(size * 2, PAD)])
-            starts = np.flatnonzero(owner % stride == 0)
+            starts = np.flatnonzero(owner % stride_for(size) == 0)
             for walk, k, known, items, shifts, near in walks:
                 keys = walk.keys(padded, starts) if walk is not None else keys
-                own = keys[k]
-                maybe = np.flatnonzero(near[own >> np.uint64(64 - BITS)])
-                if not len(maybe):
-                    continue
-                low = np.searchsorted(known, own[maybe], "left")
-                high = np.searchsorted(known, own[maybe], "right")
-                for j in np.flatnonzero(high > low).tolist():
-                    for e in range(low[j], high[j]):
-                        yield int(starts[maybe[j]]), int(items[e]), int(shifts[e])
+                maybe = np.flatnonzero(near[keys[k] >> shift_by])
+                low = np.searchsorted(known, keys[k][maybe], "left")
+                times = np.searchsorted(known, keys[k][maybe], "right") - low
+                found = np.repeat(low, times) + np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+                places.append(np.repeat(starts[maybe], times))
+                items_met.append(items[found])
+                shifts_met.append(shifts[found])
+        if not places:
+            return (np.zeros(0, dtype=np.int64),) * 3
+        return np.concatenate(places), np.concatenate(items_met), np.concatenate(shifts_met)
 
 
 def row_by_row(item: np.ndarray, text: np.ndarray) -> np.ndarray:
@@ -158,28 +163,25 @@ def search_many(lines: list[np.ndarray], index: Index) -> list[dict[int, tuple[i
         return found
     first = np.concatenate([[0], np.cumsum(lengths)[:-1]])
     whole = np.concatenate(lines)
-    place = np.arange(len(whole)) - np.repeat(first, lengths)
-    tried = set()
-    for at, item, shift in index.candidates(whole, place):
-        doc = int(np.searchsorted(first, at, "right")) - 1
-        while lengths[doc] == 0:
-            doc -= 1
-        own = index.items[item][2]
-        edits = floor(MOST_EDITS * len(own))
-        start = at - int(first[doc]) - shift
-        diagonal = (doc, item, start // max(1, 2 * edits + 1))
-        if diagonal in tried:
-            continue
-        tried.add(diagonal)
-        low, high = max(0, start - 3 * edits - 1), min(int(lengths[doc]), start + len(own) + 3 * edits + 1)
-        region = lines[doc][low:high]
-        if np.isin(own, region).sum() < len(own) - edits:
-            continue
+    at, item, shift = index.candidates(whole, np.arange(len(whole)) - np.repeat(first, lengths))
+    if not len(at):
+        return found
+    edits = np.array([floor(MOST_EDITS * len(own)) for _, _, own in index.items])
+    doc = np.repeat(np.arange(len(lines)), lengths)[at]
+    start = at - first[doc] - shift
+    # Candidates of one diagonal are one.
+    once = np.unique(np.column_stack([doc, item, start // (2 * edits[item] + 1)]), axis=0, return_index=True)[1]
+    for d, i, s in zip(doc[once].tolist(), item[once].tolist(), start[once].tolist()):
+        own, most = index.items[i][2], int(edits[i])
+        low, high = max(0, s - 3 * most - 1), min(int(lengths[d]), s + len(own) + 3 * most + 1)
+        region = lines[d][low:high]
+        if sum(map(set(region.tolist()).__contains__, index.lists[i])) < len(own) - most:
+            continue  # fewer words of the item than even the most edits leave
         distance, a, b = closest(own, region)
-        if distance <= edits:
+        if distance <= most:
             best = (distance, low + a, low + b)
-            if item not in found[doc] or best < found[doc][item]:
-                found[doc][item] = best
+            if i not in found[d] or best < found[d][i]:
+                found[d][i] = best
     return found
 
 
@@ -206,6 +208,18 @@ def blocks_of(items: list[tuple[object, str]]) -> list[list[tuple[object, list[b
     return out + [held] if held else out
 
 
+#: The index that this worker process made last, by its token.
+LAST: dict[str, Index] = {}
+
+
+def index_of(token: str, items: list[tuple[object, list[bytes]]]) -> Index:
+    """Tasks get the items; each worker process makes their index once."""
+    if token not in LAST:
+        LAST.clear()
+        LAST[token] = Index(items)
+    return LAST[token]
+
+
 def leaks(
     docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text",
     flag: str | None = None, keep: list[str] | None = None,
@@ -232,10 +246,10 @@ def leaks(
     columns = keep or [doc_id]
     result = None
     for block in blocks or [[]]:
-        sent = spark.sparkContext.broadcast(Index(block))
+        sent, token = spark.sparkContext.broadcast(block), uuid4().hex
 
-        def make(sent=sent):
-            index = sent.value
+        def make(sent=sent, token=token):
+            index = index_of(token, sent.value)
             longest = max((len(w) for _, w, _ in index.items), default=0)
 
             def batch(cells: dict[str, list]) -> dict[str, list]:
