@@ -32,13 +32,15 @@ LENGTH, END = 2048, 1
 #: Sequences of a window.
 WINDOW = 64
 #: Parts of texts whose ids a worker keeps, and characters that are in parts at a time.
-CACHE, CHARS = 500_000, 1 << 21
-#: New pieces that the tokenizer gets as one text.
+PARTS, CHARS = 900_000, 1 << 21
+#: Parts that the tokenizer gets as one text.
 TOGETHER = 200
 
 #: Texts of these characters alone are cut into pieces here, as the tokenizer's own rule cuts them.
 PLAIN = re.compile(r"[\t\n\r\x20-\x7eÀ-ÖØ-öø-ÿ]*")
 CUT = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\sa-zß-öø-ÿ0-9]+")
+#: A comma or full stop alone behind a letter is a piece of its own: a blank may go ahead of it.
+STOP = re.compile(r"(?<=[a-zß-öø-ÿ])(?=[.,](?:[ \n]|\Z))")
 
 
 class Ids:
@@ -51,7 +53,6 @@ class Ids:
         self.kind = np.dtype("<u2") if self.tokenizer.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
         self.end = np.array([END], dtype=self.kind).tobytes()
         self.known: dict[str, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
         # Texts may be cut here only if the tokenizer cuts alike.
         self.alike = True
         samples = ["It's a test, isn't it?  We'll SEE 1234 things -- ok!!\nÄrger über straße, ÉTÉ señor''s x_y 3.5%", "'sabc ''t ''" "'re l'été 'MM '5"]
@@ -60,30 +61,30 @@ class Ids:
     def encode(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=self.kind).tobytes()
 
-    def learn(self, parts: list[str]) -> None:
-        """Note the ids of new parts; their new pieces are encoded some hundred at a time."""
-        cut = [CUT.findall(p) for p in parts]
-        new = list({piece for own in cut for piece in own} - self.pieces.keys())
-        if len(self.pieces) + len(new) > CACHE:
-            self.pieces.clear()
-            new = list({piece for own in cut for piece in own})
-        for start in range(0, len(new), TOGETHER):
-            some = new[start : start + TOGETHER]
-            found = self.tokenizer.encode(" ".join(some), add_special_tokens=False)
-            ids, words = np.array(found.ids, dtype=self.kind), np.array(found.word_ids, dtype=np.int64)
-            edges = np.searchsorted(words, np.arange(len(some) + 1)).tolist()
-            for piece, a, b in zip(some, edges, edges[1:]):
-                self.pieces[piece] = ids[a:b].tobytes()
-        get = self.pieces.__getitem__
-        for part, own in zip(parts, cut):
-            self.known[part] = b"".join(map(get, own))
+    def learned(self, parts: list[str]) -> dict[str, bytes]:
+        """Ids of parts that are not kept; the pieces of some hundred parts are encoded as one text.
+
+        What comes first is kept, up to a bound; frequent parts come early.
+        """
+        out: dict[str, bytes] = {}
+        for start in range(0, len(parts), TOGETHER):
+            some = parts[start : start + TOGETHER]
+            cut = [[p] if p.isalpha() else CUT.findall(p) for p in some]
+            found = self.tokenizer.encode(" ".join(piece for own in cut for piece in own), add_special_tokens=False)
+            ids, words = np.array(found.ids, dtype=self.kind).tobytes(), np.array(found.word_ids, dtype=np.int64)
+            behind = np.cumsum([0] + [len(own) for own in cut])
+            edges = (np.searchsorted(words, behind) * self.kind.itemsize).tolist()
+            out.update((part, ids[a:b]) for part, a, b in zip(some, edges, edges[1:]))
+        if len(self.known) + len(out) <= PARTS:
+            self.known.update(out)
+        return out
 
     def all_of(self, texts: list[str]) -> list[bytes]:
         """Ids of whole texts, each with the one that ends a document."""
         out, held, n = [], [], 0
         for text in texts:
             plain = self.alike and "<|" not in text and PLAIN.fullmatch(text)
-            held.append(text.lower().replace("\n", " ").split(" ") if plain else text)
+            held.append(STOP.sub(" ", text.lower()).replace("\n", " ").split(" ") if plain else text)
             n += len(text)
             if n > CHARS:
                 out += self.settled(held)
@@ -95,11 +96,9 @@ class Ids:
         found = list(map(self.known.get, parts))
         new = [i for i, f in enumerate(found) if f is None]
         if new:
-            if len(self.known) + len(new) > CACHE:
-                self.known.clear()
-            self.learn(list({parts[i] for i in new}))
+            own = self.learned(list({parts[i] for i in new}))
             for i in new:
-                found[i] = self.known[parts[i]]
+                found[i] = own[parts[i]]
         out, at = [], 0
         for own in held:
             if isinstance(own, list):
