@@ -188,12 +188,12 @@ def can_link(x: Column, y: Column, percent: int) -> Column:
     return (x["label"] != y["label"]) & (100 * F.least(x["n"], y["n"]) >= percent * F.greatest(x["n"], y["n"]))
 
 
-def met(rows: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+def met(rows: DataFrame, percent: int, pivots: bool = True) -> tuple[DataFrame, DataFrame]:
     """Pairs that meet in the nodes of ``rows`` (node, v, label, n, level), and the rows of large nodes.
 
     Nodes with one document go first, by their counts alone; then those whose
     documents are all linked already. Rows of a small node all meet; in a
-    large one each meets one pivot and goes on.
+    large one each meets one pivot, unless without ``pivots``, and goes on.
     """
     own = F.struct("v", "label", "n")
     shared = durable(rows.groupBy("node").agg(F.count("*").alias("rows")).filter("rows > 1").select("node"))
@@ -211,6 +211,8 @@ def met(rows: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     )))
     pairs = small.select(F.explode(together).alias("p")).select("p.*")
     large = placed.filter(F.col("rows") > SMALL)
+    if not pivots:
+        return pairs, large.select("node", "v", "label", "n", "level")
     starred = large.filter(can_link(own, F.col("pivot"), percent)).select(pair(own, F.col("pivot")).alias("p")).select("p.*")
     return pairs.unionByName(starred), large.select("node", "v", "label", "n", "level")
 
@@ -321,7 +323,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
     known = labelled(vertices, links)
     pairs, large = met(tops(known, range(FIRST_TREES, TREES)), percent)
-    more, left = met(deeper(large.join(known.select("v", "sig"), "v"), LEVELS), percent)
+    more, left = met(deeper(large.join(known.select("v", "sig"), "v"), LEVELS), percent, pivots=False)
     links = links.unionByName(linked(pairs, more))
 
     left = left.filter(F.col("level") == LEVELS)
