@@ -31,8 +31,8 @@ from buildmend.session import durable
 LENGTH, END = 2048, 1
 #: Sequences of a window.
 WINDOW = 64
-#: Parts of texts whose ids a worker keeps, and characters that are in parts at a time.
-PARTS, CHARS = 900_000, 1 << 21
+#: Parts of texts whose ids a task keeps, and characters that are in parts at a time.
+PARTS, CHARS = 350_000, 1 << 20
 #: Parts that the tokenizer gets as one text.
 TOGETHER = 200
 
@@ -114,7 +114,7 @@ class Ids:
 
 @lru_cache(maxsize=4)
 def ids_by(path: str) -> Ids:
-    """One for each worker process, so that pieces are kept from task to task."""
+    """One for each worker process: reading the vocabulary takes longer than a small task."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     return Ids(path)
 
@@ -130,6 +130,7 @@ def tokenized(docs: DataFrame, doc_id: str, text: str, queue: str, path: str) ->
         from pyspark.sql.pandas.types import to_arrow_schema
 
         out, known, lane, served = to_arrow_schema(fields), ids_by(path), TaskContext.get().partitionId(), {}
+        known.known.clear()
         for batch in batches:
             for start in range(0, batch.num_rows, BATCH_ROWS):
                 rows = []
@@ -140,6 +141,7 @@ def tokenized(docs: DataFrame, doc_id: str, text: str, queue: str, path: str) ->
                     served[name] = local + n
                     rows.append((own, name, lane, local, n, known.kind.itemsize, ids))
                 yield pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(zip(*rows), out)], schema=out)
+        known.known.clear()  # the worker goes on to other tasks
 
     return given.mapInArrow(run, fields)
 

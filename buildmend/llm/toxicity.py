@@ -31,7 +31,7 @@ SIGNIFICANT = 3.0
 #: Most that a text without any passage can score.
 NO_PASSAGE = 0.1
 #: Words whose scores a task keeps.
-CACHE = 400_000
+CACHE = 150_000
 
 
 def units(words: list[str]) -> set[str]:
