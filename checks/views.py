@@ -266,7 +266,7 @@ FROM circle_lines
 
 # Jobs are numbered within their project, so that numbers repeat across projects.
 _view("circle_jobs", ["circle_lines"], """
-SELECT project_slug, workflow_id, job_no, job_name, status, row_number() OVER (PARTITION BY project_slug ORDER BY workflow_id, job_no) AS job_number FROM (
+SELECT project_slug, workflow_id, job_no, job_name, status, CAST(row_number() OVER (PARTITION BY project_slug ORDER BY workflow_id, job_no) AS BIGINT) AS job_number FROM (
   SELECT project_slug, line_id AS workflow_id, 1 AS job_no, 'build' AS job_name,
     CASE WHEN l_quantity < 10 THEN 'success' WHEN l_quantity < 30 THEN 'blocked' ELSE 'failed' END AS status FROM circle_lines
   UNION ALL
