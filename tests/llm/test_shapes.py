@@ -175,6 +175,24 @@ def test_recall_against_brute_force(spark, rate, least):
     assert len(want) > 150 and len(got) / len(want) >= least
 
 
+@pytest.mark.parametrize(("low", "high"), [(60, 100), (100, 200), (200, 400), (400, 600)])
+@pytest.mark.parametrize("spread", ["random", "even"])
+def test_recall_of_long_items_at_the_most_edits(low, high, spread):
+    rng = random.Random(low)
+    word = lambda: f"w{int(3000 ** rng.random())}"
+    items, lines = [], []
+    while len(items) < 60:
+        own = [word() for _ in range(rng.randint(low, high))]
+        copy = edits(own, 0.2, rng) if spread == "random" else [f"new{i}" if i % 5 == 4 else w for i, w in enumerate(own)]
+        line = [word() for _ in range(150)] + copy + [word() for _ in range(150)]
+        own, copy = ([w.encode() for w in x] for x in (own, copy))
+        if decontamination.row_by_row(decontamination.hashed(own), decontamination.hashed(copy)).min() <= int(0.2 * len(own)):
+            items.append((len(items), own))
+            lines.append(decontamination.hashed([w.encode() for w in line]))
+    found = decontamination.search_many(lines, decontamination.Index(items))
+    assert sum(i in best for i, best in enumerate(found)) / len(items) >= 0.95
+
+
 def test_edit_distance_of_the_best_substring():
     rng = np.random.default_rng(4)
     def plain(a, b):
