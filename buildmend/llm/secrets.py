@@ -1,8 +1,9 @@
 """Secret scan with corpus-wide ownership frequency.
 
 Every credential-like value is hashed and counted over the corpus by distinct
-repositories and owners. A value that many owners have is a copied example; a
-value that stays with its owner and looks random is reported as live.
+repositories and owners; copies of one document fold by the words around the
+value. A value that many owners have is a copied example; a value that stays
+with its owner and looks random is reported as live.
 """
 
 from __future__ import annotations
@@ -61,6 +62,28 @@ def looks_random(value: str) -> bool:
     )
 
 
+#: Words on one side of a value by which copies of a document are known, and characters that are read for them.
+AROUND, READ = 3, 200
+
+
+def sides(text: str, start: int, end: int) -> tuple[str | None, str | None]:
+    """Hashes of the words ahead of and behind a place; None where there are too few to tell copies."""
+    before = re.findall(r"\w+", text[max(0, start - READ) : start].lower())[-AROUND:]
+    after = re.findall(r"\w+", text[end : end + READ].lower())[:AROUND]
+    return tuple(hashlib.md5(" ".join(w).encode("utf-8", "surrogatepass")).hexdigest() if len(w) == AROUND else None for w in (before, after))
+
+
+def found_in(text: str) -> list[dict]:
+    """Values with their hashes; those of one value in one text have one context, the least."""
+    out, around = [], {}
+    for a, b, v in candidates(text):
+        name = hashlib.md5(v.encode()).hexdigest()
+        out.append({"start": a, "end": b, "hash": name, "random": looks_random(v)})
+        around.setdefault(name, []).append(sides(text, a, b))
+    least = {name: [min(filter(None, side), default=None) for side in zip(*own)] for name, own in around.items()}
+    return [f | dict(zip(("before", "after"), least[f["hash"]])) for f in out]
+
+
 def joined(spans: list[tuple[int, int, str]]) -> str:
     return ",".join(f"{kind}:{start}:{end}" for start, end, kind in spans)
 
@@ -80,10 +103,7 @@ def scanned(docs: DataFrame, doc_id: str, text: str, repo: Column, owner: Column
                 for kind in ("assign", "access", "hex"):
                     out[f"n_{kind}"].append(sum(k == kind for _, _, k in base))
                 out["base"].append(joined(base))
-                out["found"].append([
-                    {"start": a, "end": b, "hash": hashlib.md5(v.encode()).hexdigest(), "random": looks_random(v)}
-                    for a, b, v in candidates(body or "")
-                ])
+                out["found"].append(found_in(body or ""))
             return out
 
         return batch
@@ -92,20 +112,27 @@ def scanned(docs: DataFrame, doc_id: str, text: str, repo: Column, owner: Column
     id_type = given.schema["id"].dataType.simpleString()
     return by_batch(given, make, (
         f"id {id_type}, key long, repo string, owner string, n_assign long, n_access long, n_hex long, base string, "
-        "found array<struct<start: int, end: int, hash: string, random: boolean>>"
+        "found array<struct<start: int, end: int, hash: string, random: boolean, before: string, after: string>>"
     ))
 
 
-def ownership(scan: DataFrame) -> DataFrame:
+def ownership(scan: DataFrame, fold: bool) -> DataFrame:
     """Distinct repositories and owners of every value, over the whole corpus.
 
-    Equal triples fold ahead of the shuffle; a value that a third of all
-    documents have arrives as one row from each task.
+    With ``fold`` there are no more of them than different words ahead of the
+    value, or behind it, so that copies of a document count once. Where a side
+    has too few words each owner or repository counts by itself. Equal rows
+    fold ahead of the shuffle; a value that a third of all documents have
+    arrives as one row from each task.
     """
-    triples = scan.select(F.explode("found").alias("f"), "repo", "owner").select("f.hash", "repo", "owner").distinct()
-    return triples.groupBy("hash").agg(
-        F.countDistinct("repo").alias("n_repos"), F.countDistinct("owner").alias("n_owners")
-    )
+    sides = ["before", "after"] if fold else []
+    rows = scan.select(F.explode("found").alias("f"), "repo", "owner").select("f.hash", "repo", "owner", *[f"f.{s}" for s in sides]).distinct()
+
+    def number(whose: str) -> Column:
+        counts = [F.countDistinct(whose)] + [F.countDistinct(F.coalesce(s, F.concat(F.lit("own "), whose))) for s in sides]
+        return (F.least(*counts) if fold else counts[0]).alias(f"n_{whose}s")
+
+    return rows.groupBy("hash").agg(number("repo"), number("owner"))
 
 
 #: Parts over which the places of one value are spread in the join.
@@ -114,13 +141,15 @@ SALTS = 16
 
 def secrets(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", repo: Column | None = None, owner: Column | None = None,
-    max_owners: int = 1, max_repos: int = 2,
+    max_owners: int = 4, max_repos: int | None = None, fold: bool = True,
 ) -> DataFrame:
     """Find secrets in whole texts and tell live ones from copied examples.
 
     A value is live if it looks random and has at most ``max_owners`` distinct
-    owners and ``max_repos`` distinct repositories; a null owner or repository
-    is not counted. Null and empty texts have no spans. Repeated rows are
+    owners and, where given, ``max_repos`` distinct repositories; a null owner
+    or repository is not counted. With ``fold`` copies of a document, and near
+    copies with the same ``AROUND`` words ahead of the value or behind it, count
+    once, whoever owns them; near copies edited on both sides count each. Null and empty texts have no spans. Repeated rows are
     scanned each and count once for a value. An empty table gives no rows.
     Only the named columns are read, so extra columns cannot clash.
 
@@ -130,9 +159,10 @@ def secrets(
     owner = F.col("source") if owner is None else owner
     repo = owner if repo is None else repo
     scan = durable(scanned(docs, doc_id, text, repo, owner).withColumn("uid", F.monotonically_increasing_id()))
-    copied = ownership(scan).filter(~((F.col("n_repos") <= max_repos) & (F.col("n_owners") <= max_owners)))
+    many = F.col("n_owners") > max_owners
+    copied = ownership(scan, fold).filter(many if max_repos is None else many | (F.col("n_repos") > max_repos))
     spread = copied.select("hash", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
-    places = scan.select("uid", F.explode("found").alias("f")).select("uid", "f.*").withColumn("salt", F.pmod(F.xxhash64("uid"), F.lit(SALTS)).cast("int"))
+    places = scan.select("uid", F.explode("found").alias("f")).select("uid", "f.start", "f.end", "f.hash", "f.random").withColumn("salt", F.pmod(F.xxhash64("uid"), F.lit(SALTS)).cast("int"))
     marked = places.join(spread.withColumn("example", F.lit(True)), ["hash", "salt"], "left")
     live = F.col("random") & F.col("example").isNull()
     judged = marked.groupBy("uid").agg(

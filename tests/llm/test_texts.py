@@ -68,6 +68,16 @@ def test_ownership_parts_examples_from_live_values(spark):
     assert {got[i] for i in range(40)} == {(0, 1)} and got[100] == got[101] == (1, 0)
 
 
+def test_copies_of_one_document_keep_its_secret_live(spark):
+    copied, near, quoted = "k3j4h5g6f7d8s9a1", "p0o9i8u7y6t5r4e3", "m1n2b3v4c5x6z7l8"
+    rows = [(i, f'we run the nightly job with token = "{copied}" and nobody else may', f"o{i}") for i in range(30)]
+    rows += [(100 + i, f'{"edited " * i} our own server takes token = "{near}" word{i} differs here', f"o{i}") for i in range(30)]
+    rows += [(200 + i, f'page{i} says a{i} b{i} token = "{quoted}" c{i} d{i} e{i}', f"o{i}") for i in range(30)]
+    rows += [(300 + i, f'page{i} says a{i} b{i} token = "{quoted[::-1]}" c{i} d{i} e{i}', f"o{i}") for i in range(4)]
+    got = {r["doc_id"]: (r["n_live"], r["n_example"]) for r in secrets.secrets(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()}
+    assert [{got[at + i] for i in range(n)} for at, n in ((0, 30), (100, 30), (200, 30), (300, 4))] == [{(1, 0)}, {(1, 0)}, {(0, 1)}, {(1, 0)}]
+
+
 def brute_licence(text):
     text = re.sub("[A-Z]", lambda m: m[0].lower(), text)
     words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", text)
