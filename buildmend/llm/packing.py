@@ -31,6 +31,10 @@ from buildmend.session import durable
 LENGTH, END = 2048, 1
 #: Sequences of a window.
 WINDOW = 64
+#: Queues that the sources beyond the bound share.
+SHARED = 256
+#: Numbers that each cache of a schedule holds, all windows together.
+NUMBERS = 1 << 21
 #: Parts of texts whose ids a task keeps, and characters that are in parts at a time.
 PARTS, CHARS = 350_000, 1 << 20
 #: Parts that the tokenizer gets as one text.
@@ -151,8 +155,9 @@ class Schedule:
 
     def __init__(self, totals: list[int], window: int = LENGTH * WINDOW, length: int = LENGTH):
         self.totals, self.window, self.length, self.total = totals, window, length, sum(totals)
-        self.before = lru_cache(maxsize=4096)(self.before)
-        self.places = lru_cache(maxsize=4096)(self.places)
+        held = min(4096, max(16, NUMBERS // max(1, len(totals))))
+        self.before = lru_cache(maxsize=held)(self.before)
+        self.places = lru_cache(maxsize=held)(self.places)
         full = self.total // length * length
         self.tail, rest, at = [], self.total - full, full
         while rest:  # the rest is cut at powers of two, which need no padding
@@ -226,6 +231,11 @@ def packed(
     documents of their own, an empty table gives no rows, and only the named
     columns are read. The order in a queue is that of the table's partitions.
 
+    Any number of sources is packed. The ``most_queues`` with the most tokens
+    have a queue each; the others are dealt by hash to ``SHARED`` queues, where
+    they stand source by source in each partition. A shared queue has the share
+    of its sources together in every window, and ``queue`` stays the source.
+
     Every sequence has ``length`` tokens but the last few, whose lengths are
     powers of two: there is no padding.
 
@@ -234,19 +244,23 @@ def packed(
     """
     rows = durable(tokenized(docs, doc_id, text, queue, path))
     lanes = durable(rows.groupBy("lane", "queue").agg(F.sum("n").alias("tokens")))
-    totals = {r["queue"]: r["tokens"] for r in lanes.groupBy("queue").agg(F.sum("tokens").alias("tokens")).limit(most_queues + 1).collect()}
-    if len(totals) > most_queues:
-        raise ValueError(f"more than {most_queues} queues")
-    names = sorted(totals)
-    earlier = Window.partitionBy("queue").orderBy("lane").rowsBetween(Window.unboundedPreceding, -1)
-    bases = lanes.select("lane", "queue", F.coalesce(F.sum("tokens").over(earlier), F.lit(0)).alias("base"))
-    placed = rows.join(bases, ["lane", "queue"]).select("id", "queue", (F.col("base") + F.col("local")).alias("at"), "n", "width", "ids")
-    sent = docs.sparkSession.sparkContext.broadcast([totals[n] for n in names])
-    fields = docs.sparkSession.createDataFrame([], (
+    spark, sizes = docs.sparkSession, lanes.groupBy("queue").agg(F.sum("tokens").alias("tokens"))
+    top = [r["queue"] for r in sizes.orderBy(F.desc("tokens"), "queue").limit(most_queues + 1).collect()]
+    names = sorted(top[:most_queues])
+    own_slots = spark.createDataFrame(list(zip(names, range(len(names)))), "queue string, slot int")
+    shared = (F.pmod(F.xxhash64("queue"), F.lit(SHARED)) + len(names)).cast("int")
+    dealt = lanes.join(own_slots, "queue", "left").select("lane", "queue", "tokens", F.coalesce("slot", shared).alias("slot"))
+    totals = [0] * (len(names) + SHARED * (len(top) > most_queues))
+    for r in dealt.groupBy("slot").agg(F.sum("tokens").alias("tokens")).collect():
+        totals[r["slot"]] = r["tokens"]
+    earlier = Window.partitionBy("slot").orderBy("lane", "queue").rowsBetween(Window.unboundedPreceding, -1)
+    bases = dealt.select("lane", "queue", "slot", F.coalesce(F.sum("tokens").over(earlier), F.lit(0)).alias("base"))
+    placed = rows.join(bases, ["lane", "queue"]).select("id", "queue", "slot", (F.col("base") + F.col("local")).alias("at"), "n", "width", "ids")
+    sent = spark.sparkContext.broadcast(totals)
+    fields = spark.createDataFrame([], (
         f"id {rows.schema['id'].dataType.simpleString()}, start long, length long, ids_crc32 long, doc_tokens long, "
         "sequence_id long, offset long, queue string, window long"
     )).schema
-    number = {name: i for i, name in enumerate(names)}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark.sql.pandas.types import to_arrow_schema
@@ -255,9 +269,9 @@ def packed(
         for batch in batches:
             for first in range(0, batch.num_rows, BATCH_ROWS):
                 found, piece = [], batch.slice(first, BATCH_ROWS)
-                for own, name, at, n, width, ids in zip(*(piece.column(i).to_pylist() for i in range(6))):
+                for own, name, slot, at, n, width, ids in zip(*(piece.column(i).to_pylist() for i in range(7))):
                     wide = np.frombuffer(ids, dtype=f"<u{width}").astype("<u4")
-                    for place, start, part in plan.pieces(number[name], at, n):
+                    for place, start, part in plan.pieces(slot, at, n):
                         sequence, offset, _ = plan.sequence(place)
                         found.append((own, start, part, zlib.crc32(wide[start : start + part].tobytes()), n, sequence, offset, name, place // plan.window))
                 yield pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(zip(*found), out)], schema=out)

@@ -102,6 +102,26 @@ def test_packing_round_trip(spark, documents):
         assert all(abs(own_mix[s] - share[s] * size) <= 2 * len(share) for s in share), w
 
 
+def test_sources_beyond_the_bound_share_queues(spark):
+    rng = random.Random(5)
+    rows = [(i, " ".join(rng.choice("abcdefgh") for _ in range(rng.randint(0, 90))), None if i % 50 == 0 else f"s{i % 50}") for i in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(5, "doc_id")
+    got = packing.packed(docs, PATH, length=64, window=4, most_queues=7).collect()
+    spans, line = defaultdict(list), defaultdict(list)
+    for r in got:
+        assert r["queue"] == (rows[r["doc_id"]][2] or "")
+        spans[r["doc_id"], r["doc_tokens"]].append((r["start"], r["length"]))
+        line[r["sequence_id"]].append((r["offset"], r["length"]))
+    assert sorted(i for i, _ in spans) == list(range(600))
+    for parts, size in [(sorted(v), n) for (_, n), v in spans.items()] + [(sorted(v), None) for v in line.values()]:
+        at = 0
+        for start, n in parts:
+            assert start == at
+            at += n
+        assert at == size if size else at == 64 or at & (at - 1) == 0
+    assert sorted(line) == list(range(len(line)))
+
+
 def test_shards(spark, documents):
     got = QUERIES["op8_sharding"](spark, FOLDER).collect()
     text = {i: t for i, t, _ in documents}
