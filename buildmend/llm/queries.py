@@ -5,7 +5,10 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from buildmend.llm import decontamination, html_extraction, imatch, language_id, licences, near_dedup, packing, secrets, sharding, toxicity
+from buildmend.llm import (
+    alignment, best_fit, collocations, decontamination, html_extraction, imatch, language_id, licences, near_dedup, packing, secrets,
+    sharding, toxicity,
+)
 from buildmend.llm.common import fold, table
 from buildmend.llm.registry import ORACLES, QUERIES, query  # noqa: F401
 
@@ -131,3 +134,42 @@ def op9(spark, sf_dir):
 @query("op10_near_dedup")
 def op10(spark, sf_dir):
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), k=4, percent=80).drop("text_key")
+
+
+@query("op11_alignment")
+def op11(spark, sf_dir):
+    return alignment.alignment(
+        table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"),
+        a_ranks=public_tokenizers.path("byte_bpe_50k.tiktoken"), pattern=public_tokenizers.PATTERN,
+    )
+
+
+COLLOCATIONS_SQL = """
+WITH t AS (SELECT coalesce(lang, 'und') AS lang, row_number() OVER () AS uid,
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS body FROM documents),
+p AS (SELECT lang, uid, unnest(regexp_split_to_array(body, '[.,;:!?\x0A-\x0D]')) AS piece FROM t),
+w AS MATERIALIZED (SELECT lang, row_number() OVER () AS pid, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM p),
+g AS (SELECT lang, unnest(flatten(list_transform(range(1, len(ws) + 1), lambda i: list_transform(range(1, least(5, len(ws) - i + 1) + 1),
+    lambda k: {'k': k, 'phrase': array_to_string(ws[i:i + k - 1], ' ')})))) AS x FROM w),
+f AS MATERIALIZED (SELECT lang, x.k AS k, x.phrase AS phrase, count(*) AS a FROM g GROUP BY ALL HAVING count(*) >= 100),
+total AS (SELECT lang, sum(len(ws))::BIGINT AS n FROM w GROUP BY lang),
+cand AS (SELECT * FROM f WHERE k > 1),
+inside AS (SELECT DISTINCT s.lang, s.phrase FROM cand s JOIN cand b ON s.lang = b.lang AND b.k > s.k AND 100 * b.a >= 100 * s.a
+    AND contains(' ' || b.phrase || ' ', ' ' || s.phrase || ' ')),
+cut AS (SELECT lang, phrase, a, string_split(phrase, ' ') AS ws, unnest(range(1, k)) AS c FROM cand ANTI JOIN inside USING (lang, phrase)),
+scored AS (SELECT cut.lang, cut.phrase, cut.a, c, l.a AS l, r.a AS r, n, (1000::HUGEINT * cut.a * n) // (l.a::HUGEINT * r.a) AS score
+    FROM cut JOIN f l ON l.lang = cut.lang AND l.phrase = array_to_string(ws[1:c], ' ')
+    JOIN f r ON r.lang = cut.lang AND r.phrase = array_to_string(ws[c + 1:], ' ') JOIN total ON total.lang = cut.lang),
+worst AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, c) = 1),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank FROM worst)
+SELECT lang, rank, phrase, a, l, r, n, score::BIGINT AS score FROM ranked WHERE rank <= 2000"""
+
+
+@query("op12_collocations", COLLOCATIONS_SQL)
+def op12(spark, sf_dir):
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+@query("op13_best_fit")
+def op13(spark, sf_dir):
+    return best_fit.packed(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
