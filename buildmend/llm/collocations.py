@@ -3,20 +3,22 @@
 Texts are cut into pieces and words. The graph's nodes are runs of ``longest``
 - 1 words; each place of a piece is an edge of ``longest`` words between two
 overlapping nodes, and the last places of a piece, which have no such edge, are
-kept as corrections. Edges and corrections are summed once; the count of any
-shorter phrase is what flows out of the nodes that begin with it plus the
-corrections that do. A phrase that flows on whole into one longer phrase lies
-on a unary path and is compacted into it.
+kept as shorter corrections. Edges and corrections are shuffled once, by ranges
+of their words: what flows out of the nodes that begin with a phrase then lies
+together, and its sum with the corrections that begin so is the phrase's count.
+A phrase that flows on whole into one longer phrase lies on a unary path and is
+compacted into it.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -27,15 +29,16 @@ from buildmend.session import durable
 ENDS = b".,;:!?\n\x0b\x0c\r"
 END = re.compile("[" + ENDS.decode() + "]")
 LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ" + ENDS + b"\t", b"abcdefghijklmnopqrstuvwxyz" + b"\n" * len(ENDS) + b" ")
+#: Bytes below a blank would come ahead of it in an ordered phrase; words are shuffled with these escaped.
+LOW = re.compile(b"[\x00-\x1f\x7f]")
+ESCAPED = re.compile("\x7f.")
 #: Characters of text that a task cuts into words at a time.
-TEXT_BYTES = 4 << 20
-#: Bits of the filter of word pairs, whatever the corpus: 2^26 bits are 8 MB.
-FILTER_BITS = 1 << 26
+TEXT_CHARS = 2 << 20
+#: Ranges of phrases for each shuffle partition, and phrases that are looked at to choose each.
+RANGES, LOOKS = 4, 8
 #: What stands for a null language.
 UNKNOWN = "und"
 
-U64 = np.uint64
-
 
 class Words(dict):
     """A number for each word, in order of appearance; 0 ends a piece, 1 is nothing."""
@@ -46,7 +49,7 @@ class Words(dict):
 
     def __missing__(self, word: bytes) -> int:
         self[word] = number = len(self.listed)
-        self.listed.append(word)
+        self.listed.append(LOW.sub(escape, word))
         return number
 
     def cut(self, texts: list[str]) -> np.ndarray:
@@ -55,19 +58,24 @@ class Words(dict):
         found = np.fromiter(map(self.__getitem__, (held + b" \n").split(b" ")), dtype=np.int64)
         return found[found != 1]
 
-    def hashes(self) -> np.ndarray:
-        return np.array([xxhash.xxh3_64_intdigest(w) for w in self.listed], dtype=U64)
+    def phrases(self, rows: np.ndarray) -> list[bytes]:
+        return list(map(b" ".join, zip(*(map(self.listed.__getitem__, column) for column in rows.T.tolist()))))
+
 
+def escape(low: re.Match) -> bytes:
+    return bytes([0x7F, low[0][0] ^ 0x40])
 
-def pair_hashes(lang: str, hashes: np.ndarray, words: np.ndarray) -> np.ndarray:
-    """A number for each word and the one behind it, alike in all tasks."""
-    own = hashes[words]
-    with np.errstate(over="ignore"):
-        mixed = own[:-1] * U64(0x9E3779B97F4A7C15) + (own[1:] ^ U64(xxhash.xxh3_64_intdigest(lang))) * U64(0xC2B2AE3D27D4EB4F)
-        return mixed ^ (mixed >> U64(29))
 
+def unescaped(phrase: Column) -> Column:
+    """The words as they were; only few phrases have any escape."""
+    plain = phrase
+    for code in [*range(0x20), 0x7F]:
+        if code not in b"\t\n\x0b\x0c\r":
+            plain = F.replace(plain, F.lit("\x7f" + chr(code ^ 0x40)), F.lit(chr(code)))
+    return F.when(F.contains(phrase, F.lit("\x7f")), plain).otherwise(phrase)
 
-def portions(text: str, size: int = TEXT_BYTES) -> Iterator[str]:
+
+def portions(text: str, size: int = TEXT_CHARS) -> Iterator[str]:
     """A text in parts of about ``size`` characters, each cut behind the end of a piece."""
     at = 0
     while len(text) - at > size and (end := END.search(text, at + size)):
@@ -85,123 +93,130 @@ def by_language(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, list[s
         for start in range(0, batch.num_rows, BATCH_ROWS):
             langs, texts = (batch.column(i).slice(start, BATCH_ROWS).to_pylist() for i in range(2))
             for lang, text in zip(langs, texts):
-                lang = UNKNOWN if lang is None else lang
                 for part in portions(text or ""):
                     held.setdefault(lang, []).append(part)
                     sizes[lang] = sizes.get(lang, 0) + len(part)
                     total += len(part)
-                    if total > TEXT_BYTES:
+                    if total > TEXT_CHARS:
                         most = max(sizes, key=sizes.get)
                         total -= sizes.pop(most)
                         yield most, held.pop(most)
     yield from held.items()
 
 
-def counted(given: DataFrame) -> DataFrame:
-    """lang, word, pair, n: words with their counts, hashes of word pairs with theirs, and all words (both null)."""
-    schema = "lang string, word string, pair long, n long"
+def summed(words: np.ndarray, longest: int) -> tuple[np.ndarray, np.ndarray]:
+    """Different edges of a text, as rows of word numbers (0 behind the end of a piece), and how often each is there."""
+    starts = np.flatnonzero(words)
+    padded = np.concatenate([words, np.zeros(longest, dtype=np.int64)])
+    rows = np.empty((len(starts), longest), dtype=np.int64)
+    rows[:, 0] = padded[starts]
+    for j in range(1, longest):
+        rows[:, j] = np.where(rows[:, j - 1] > 0, padded[starts + j], 0)
+    mixed = np.zeros(len(starts), dtype=np.uint64)
+    for j in range(longest):
+        mixed = (mixed + rows[:, j].astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+        mixed ^= mixed >> np.uint64(29)
+    _, first, own, n = np.unique(mixed, return_index=True, return_inverse=True, return_counts=True)
+    if (rows[first][own] != rows).any():  # two edges mix alike
+        return np.unique(rows, axis=0, return_counts=True)
+    return rows[first], n
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for lang, texts in by_language(batches):
-            known = Words()
-            words = known.cut(texts)
-            n = np.bincount(words, minlength=len(known.listed))
-            n[:2] = 0
-            some = np.flatnonzero(n)
-            pairs = pair_hashes(lang, known.hashes(), words)[(words[:-1] > 1) & (words[1:] > 1)]
-            pairs, times = np.unique(pairs.view(np.int64), return_counts=True)
-            rows = 1 + len(some) + len(pairs)
-            yield pa.RecordBatch.from_arrays([
-                pa.array([lang] * rows, pa.string()),
-                pa.array([None, *(known.listed[i] for i in some), *[None] * len(pairs)], pa.binary()).cast(pa.string()),
-                pa.array(np.concatenate([np.zeros(1 + len(some), dtype=np.int64), pairs]), mask=np.arange(rows) <= len(some)),
-                pa.array(np.concatenate([[n.sum()], n[some], times]).astype(np.int64)),
-            ], names=["lang", "word", "pair", "n"])
-
-    return given.mapInArrow(run, schema).groupBy("lang", "word", "pair").agg(F.sum("n").alias("n"))
-
-
-def pair_filter(pairs: DataFrame, bits: int) -> bytes:
-    """A set of pair hashes as ``bits`` bits; others may seem to be in it, none of them is left out."""
-    place = F.pmod("pair", F.lit(bits)) + 1
-    blocks = pairs.groupBy(F.bitmap_bucket_number(place).alias("block")).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits")
-    ).collect()
-    size = 4096  # bytes of a block of Spark's bitmaps
-    out = bytearray(max(size, bits // 8))
-    for row in blocks:
-        at = (row["block"] - 1) * size
-        out[at : at + size] = row["bits"]
-    return bytes(out)
-
-
-def edges(given: DataFrame, filter_bits: bytes, bits: int, longest: int) -> DataFrame:
-    """lang, phrase, n: edges of ``longest`` words, and shorter ones where a run ends.
-
-    A run is as much of a piece as has only word pairs of the filter: no phrase
-    that is counted holds another pair, so that nothing is lost by the cut.
-    """
-    sent = given.sparkSession.sparkContext.broadcast(filter_bits)
+
+def edges(given: DataFrame, longest: int, splitters: list[bytes]) -> DataFrame:
+    """part, lang, phrase, n: edges of ``longest`` words, and shorter ones where a piece ends, summed in the task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = np.frombuffer(sent.value, dtype=np.uint8)
         for lang, texts in by_language(batches):
             known = Words()
-            words = known.cut(texts)
-            place = np.mod(pair_hashes(lang, known.hashes(), words).view(np.int64), bits)
-            # on[i]: the word behind i belongs to its run
-            on = (words[:-1] > 1) & (words[1:] > 1) & ((held[place >> 3] >> (place & 7).astype(np.uint8)) & 1).astype(bool)
-            starts = np.flatnonzero(on)
-            # A phrase gets a number level by level: that of its first words, joined with its next word.
-            phrase, level = words[starts], []
-            for k in range(1, longest):
-                joined = phrase * len(known.listed) + words[starts + k]
-                joined, first, phrase, n = np.unique(joined, return_index=True, return_inverse=True, return_counts=True)
-                phrase = phrase + 1  # 0 is no phrase
-                further = (starts + k < len(on)) & on[np.minimum(starts + k, len(on) - 1)] if k < longest - 1 else np.zeros(len(starts), dtype=bool)
-                n = np.bincount(phrase[~further], minlength=len(joined) + 1)[1:]
-                ends = np.flatnonzero(n)
-                at = starts[first[ends]]
-                level.append((np.stack([words[at + j] for j in range(k + 1)], axis=1), n[ends]))
-                starts, phrase = starts[further], phrase[further]
-            listed = known.listed
-            for some, n in level:
-                if len(n):
+            rows, n = summed(known.cut(texts), longest)
+            sizes = (rows > 0).sum(axis=1)
+            for k in range(1, longest + 1):
+                some = np.flatnonzero(sizes == k)
+                if len(some):
+                    phrases = known.phrases(rows[some, :k])
                     yield pa.RecordBatch.from_arrays([
-                        pa.array([lang] * len(n), pa.string()),
-                        pa.array([b" ".join([listed[i] for i in row]) for row in some.tolist()], pa.binary()).cast(pa.string()),
-                        pa.array(n.astype(np.int64)),
-                    ], names=["lang", "phrase", "n"])
+                        pa.array([bisect_right(splitters, p) for p in phrases], pa.int32()), pa.array([lang] * len(some), pa.string()),
+                        pa.array(phrases, pa.binary()).cast(pa.string()), pa.array(n[some].astype(np.int64)),
+                    ], names=["part", "lang", "phrase", "n"])
 
-    return given.mapInArrow(run, "lang string, phrase string, n long").groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
+    return given.mapInArrow(run, "part int, lang string, phrase string, n long")
 
 
-def flows(summed: DataFrame, least: int) -> DataFrame:
-    """lang, phrase, k, a: counts of all phrases of two words or more, from what begins with them."""
-    words = F.split("phrase", " ")
-    begins = F.transform(F.sequence(F.lit(2), F.size(words)), lambda k: F.struct(
-        k.alias("k"), F.array_join(F.slice(words, 1, k), " ").alias("phrase")
-    ))
-    return (
-        summed.select("lang", "n", F.explode(begins).alias("p")).groupBy("lang", "p.k", "p.phrase")
-        .agg(F.sum("n").alias("a")).filter(F.col("a") >= least)
-    )
+def ranges(given: DataFrame, longest: int) -> list[bytes]:
+    """Phrases that cut all edges into parts of about equal size, from a bounded look at some texts.
 
+    They decide where an edge is summed and nothing else.
+    """
+    spark = given.sparkSession
+    parts = RANGES * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    texts = 1 + parts // 2
+    places = 1 + parts * LOOKS // texts
 
-def phrase_counts(docs: DataFrame, text: str = "text", lang: str = "lang", least: int = 100, longest: int = 5,
-                  bits: int = FILTER_BITS) -> tuple[DataFrame, DataFrame]:
-    """Counts of phrases, and the word count of each language.
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for text in batch.column(0):
+                known = Words()
+                rows, _ = summed(known.cut([next(portions(text.as_py()))]), longest)
+                rows = rows[(rows > 0).all(axis=1)]
+                some = rows[np.arange(places) * len(rows) // places] if len(rows) else rows
+                yield pa.RecordBatch.from_arrays([pa.array(known.phrases(some), pa.binary())], names=["phrase"])
+
+    share = min(1.0, 1.2 * texts / max(1, given.count()))
+    looked = given.filter("text != ''").sample(share, seed=7).select("text").mapInArrow(run, "phrase binary")
+    found = sorted({bytes(r["phrase"]) for r in looked.limit(4 * parts * LOOKS).collect()})
+    return [found[i * len(found) // parts] for i in range(1, parts)] if len(found) > parts else found
+
+
+def flows(ordered: DataFrame, least: int, longest: int) -> DataFrame:
+    """lang, phrase, k, a: counts of all phrases that occur ``least`` times, from edges in order; k = 0 counts all words.
+
+    Edges that begin with a phrase lie together. A sum that is below ``least``
+    is left out unless it may go on elsewhere: in the next batch, or in the
+    next part.
+    """
 
-    Returns two written tables: (lang, phrase, k, a) with every phrase of one
-    to ``longest`` words that occurs ``least`` times or more, and (lang, n).
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            part, n = batch.column(0).to_numpy(), batch.column(3).to_numpy()
+            named = batch.column(1).dictionary_encode()
+            lang, langs = named.indices.to_numpy(), named.dictionary.to_pylist()
+            cut = pc.split_pattern(batch.column(2), " ")
+            coded = cut.flatten().dictionary_encode()
+            listed, sizes = coded.dictionary.to_pylist(), pc.list_value_length(cut).to_numpy()
+            words = np.full((len(n), longest), -1, dtype=np.int64)
+            words[np.arange(longest) < sizes[:, None]] = coded.indices.to_numpy()
+            new = np.concatenate([[True], (part[1:] != part[:-1]) | (lang[1:] != lang[:-1])])
+            edge = np.concatenate([new, [True]])  # where sums may go on elsewhere
+            out: list[tuple[str, str, int, int]] = [(langs[i], "", 0, int(a)) for i, a in enumerate(np.bincount(lang, n, len(langs)).astype(np.int64))]
+            for k in range(1, longest + 1):
+                new[1:] |= words[1:, k - 1] != words[:-1, k - 1]
+                first = np.flatnonzero(new)
+                last = np.concatenate([first[1:], [len(n)]])
+                a = np.add.reduceat(n, first)
+                kept = (words[first, k - 1] >= 0) & ((a >= least) | edge[first] | edge[last])
+                out += [
+                    (langs[lang[i]], " ".join([listed[w] for w in words[i, :k]]), k, times) for i, times in zip(first[kept].tolist(), a[kept].tolist())
+                ]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), KINDS)], names=["lang", "phrase", "k", "a"])
+
+    found = ordered.select("part", "lang", "phrase", "n").mapInArrow(run, "lang string, phrase string, k int, a long")
+    return found.groupBy("lang", "phrase", "k").agg(F.sum("a").alias("a")).filter((F.col("a") >= least) | (F.col("k") == 0))
+
+
+KINDS = [pa.string(), pa.string(), pa.int32(), pa.int64()]
+
+
+def phrase_counts(docs: DataFrame, text: str = "text", lang: str = "lang", least: int = 100, longest: int = 5) -> DataFrame:
+    """lang, phrase, k, a: every phrase of one to ``longest`` words that occurs ``least`` times or more, as a written table.
+
+    The row with k = 0 of a language has the number of all its words.
     """
-    given = docs.select(F.col(lang).cast("string").alias("lang"), F.col(text).alias("text"))
-    first = durable(counted(given).filter((F.col("n") >= least) | (F.col("word").isNull() & F.col("pair").isNull())))
-    total = first.filter(F.col("word").isNull() & F.col("pair").isNull()).select("lang", "n")
-    common = pair_filter(first.filter(F.col("pair").isNotNull()).select("pair"), bits)
-    words = first.filter(F.col("word").isNotNull()).select("lang", F.col("word").alias("phrase"), F.lit(1).alias("k"), F.col("n").alias("a"))
-    summed = edges(given, common, bits, longest)
-    return durable(words.unionByName(flows(summed, least))), total
+    given = docs.select(F.coalesce(F.col(lang).cast("string"), F.lit(UNKNOWN)).alias("lang"), F.col(text).alias("text"))
+    found = edges(given, longest, ranges(given, longest))
+    counts = flows(found.repartition("part").sortWithinPartitions("part", "lang", "phrase"), least, longest)
+    return durable(counts.withColumn("phrase", unescaped(F.col("phrase"))))
 
 
 def compacted(counts: DataFrame, share: int) -> DataFrame:
@@ -233,7 +248,7 @@ def exact_score(a: Column, n: Column, left: Column, right: Column) -> Column:
 
 
 def collocations(docs: DataFrame, text: str = "text", lang: str = "lang", least: int = 100, longest: int = 5,
-                 share: int = 100, top: int = 2000, bits: int = FILTER_BITS) -> DataFrame:
+                 share: int = 100, top: int = 2000) -> DataFrame:
     """The ``top`` phrases of two to ``longest`` words of each language.
 
     A candidate occurs ``least`` times or more. Its score is that of its worst
@@ -245,24 +260,24 @@ def collocations(docs: DataFrame, text: str = "text", lang: str = "lang", least:
     rows count each, long texts are cut whole, an empty table gives no rows,
     and only the two named columns are read.
 
-    Three shuffles of the whole corpus's phrases, all pre-summed in the tasks:
-    words and hashed word pairs; edges; the phrases that edges begin with. A
-    filter of fixed size, built from the exact counts of hashed pairs, keeps
-    edges without a chance out of the second. It loses no phrase, whatever its
-    load; ``bits`` is for the size of the corpus.
+    All texts are read once for their edges, and edges are shuffled once. A
+    phrase that many edges begin with lies in as many ranges as it needs.
 
     Returns lang, rank, phrase, a, l, r, n, score.
     """
-    counts, total = phrase_counts(docs, text, lang, least, longest, bits)
+    counts = phrase_counts(docs, text, lang, least, longest)
+    total = counts.filter("k = 0").select("lang", F.col("a").alias("n"))
     words = F.split("phrase", " ")
     cuts = F.transform(F.sequence(F.lit(1), F.col("k") - 1), lambda i: F.struct(
         i.alias("cut"), F.array_join(F.slice(words, 1, i), " ").alias("ahead"),
         F.array_join(F.slice(words, i + 1, F.col("k") - i), " ").alias("behind"),
     ))
-    kept = counts.filter("k > 1").join(compacted(counts.filter("k > 1"), share), ["lang", "phrase"], "left_anti")
+    candidates = counts.filter("k > 1")
+    kept = candidates.join(compacted(candidates, share), ["lang", "phrase"], "left_anti")
     cut = kept.select("lang", "phrase", "a", F.explode(cuts).alias("c")).select("lang", "phrase", "a", "c.*")
-    ahead = counts.select("lang", F.col("phrase").alias("ahead"), F.col("a").alias("l"))
-    behind = counts.select("lang", F.col("phrase").alias("behind"), F.col("a").alias("r"))
+    parts = counts.filter("k > 0")
+    ahead = parts.select("lang", F.col("phrase").alias("ahead"), F.col("a").alias("l"))
+    behind = parts.select("lang", F.col("phrase").alias("behind"), F.col("a").alias("r"))
     scored = (
         cut.join(ahead, ["lang", "ahead"]).join(behind, ["lang", "behind"]).join(total, "lang")
         .withColumn("score", exact_score(F.col("a"), F.col("n"), F.col("l"), F.col("r")))
