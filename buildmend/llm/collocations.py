@@ -14,11 +14,12 @@ from __future__ import annotations
 
 import re
 from bisect import bisect_right
+from collections import Counter
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -29,27 +30,42 @@ from buildmend.session import durable
 ENDS = b".,;:!?\n\x0b\x0c\r"
 END = re.compile("[" + ENDS.decode() + "]")
 LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ" + ENDS + b"\t", b"abcdefghijklmnopqrstuvwxyz" + b"\n" * len(ENDS) + b" ")
-#: Bytes below a blank would come ahead of it in an ordered phrase; words are shuffled with these escaped.
-LOW = re.compile(b"[\x00-\x1f\x7f]")
-ESCAPED = re.compile("\x7f.")
 #: Characters of text that a task cuts into words at a time.
 TEXT_CHARS = 2 << 20
 #: Ranges of phrases for each shuffle partition, and phrases that are looked at to choose each.
 RANGES, LOOKS = 4, 8
+#: Words that have a code of two bytes, and entries that a task sums before it sends them on.
+CODES, HELD = 1 << 15, 300_000
 #: What stands for a null language.
 UNKNOWN = "und"
 
 
+def literal(word: bytes) -> bytes:
+    """A word behind its length: one byte, or 0x7f and four for long ones."""
+    return (bytes([len(word)]) if len(word) < 0x7F else b"\x7f" + len(word).to_bytes(4, "big")) + word
+
+
+def coded(words: list[bytes]) -> dict[bytes, bytes]:
+    """Two bytes for each of the words, the first of them above those of any length."""
+    return {w: bytes([0x80 + (i >> 8), i & 255]) for i, w in enumerate(words[:CODES])}
+
+
 class Words(dict):
-    """A number for each word, in order of appearance; 0 ends a piece, 1 is nothing."""
+    """A number for each word, in order of appearance; 0 ends a piece, 1 is nothing.
 
-    def __init__(self):
+    A phrase is shuffled as the codes of its words, one behind the other. No
+    code begins another, so that all edges that begin with a phrase lie
+    together in order of bytes.
+    """
+
+    def __init__(self, codes: dict[bytes, bytes] = {}):
         super().__init__({b"\n": 0, b"": 1})
+        self.codes = codes
         self.listed: list[bytes] = [b"", b""]
 
     def __missing__(self, word: bytes) -> int:
         self[word] = number = len(self.listed)
-        self.listed.append(LOW.sub(escape, word))
+        self.listed.append(self.codes.get(word) or literal(word))
         return number
 
     def cut(self, texts: list[str]) -> np.ndarray:
@@ -58,21 +74,38 @@ class Words(dict):
         found = np.fromiter(map(self.__getitem__, (held + b" \n").split(b" ")), dtype=np.int64)
         return found[found != 1]
 
-    def phrases(self, rows: np.ndarray) -> list[bytes]:
-        return list(map(b" ".join, zip(*(map(self.listed.__getitem__, column) for column in rows.T.tolist()))))
-
-
-def escape(low: re.Match) -> bytes:
-    return bytes([0x7F, low[0][0] ^ 0x40])
-
-
-def unescaped(phrase: Column) -> Column:
-    """The words as they were; only few phrases have any escape."""
-    plain = phrase
-    for code in [*range(0x20), 0x7F]:
-        if code not in b"\t\n\x0b\x0c\r":
-            plain = F.replace(plain, F.lit("\x7f" + chr(code ^ 0x40)), F.lit(chr(code)))
-    return F.when(F.contains(phrase, F.lit("\x7f")), plain).otherwise(phrase)
+    def keys(self, lang: bytes, rows: np.ndarray) -> list[bytes]:
+        return list(map(b"".join, zip(repeat(lang), *(map(self.listed.__getitem__, column) for column in rows.T.tolist()))))
+
+
+def decoded(keys: pa.Array, longest: int, table: list[bytes]) -> tuple[np.ndarray, list[bytes]]:
+    """Numbers of the language and the words of each key (-1 behind its end), and what they stand for."""
+    at = np.frombuffer(keys.buffers()[1], dtype=np.int32)[keys.offset : keys.offset + len(keys) + 1].astype(np.int64)
+    held = np.frombuffer(keys.buffers()[2] or b"", dtype=np.uint8)
+    at, ends = at[:-1].copy(), at[1:]
+    out = np.full((len(keys), longest + 1), -1, dtype=np.int64)
+    spots, starts, sizes = [], [], []
+    for k in range(longest + 1):
+        some = np.flatnonzero(at < ends)
+        place = at[some]
+        lead = held[place].astype(np.int64)
+        short, wide = lead >= 0x80, lead == 0x7F
+        out[some[short], k] = (lead[short] - 0x80 << 8) + held[place[short] + 1]
+        ahead, size = np.where(wide, 5, 1), lead.copy()
+        if wide.any():
+            size[wide] = held[place[wide][:, None] + np.arange(1, 5)].astype(np.int64) @ (256 ** np.arange(3, -1, -1))
+        at[some] = np.where(short, place + 2, place + ahead + size)
+        spots.append((some[~short], np.full((~short).sum(), k)))
+        starts.append((place + ahead)[~short])
+        sizes.append(size[~short])
+    start, size = np.concatenate(starts), np.concatenate(sizes)
+    upto = np.cumsum(size)
+    letters = held[np.repeat(start - (upto - size), size) + np.arange(size.sum())]
+    offsets = np.concatenate([[0], upto]).astype(np.int32)
+    found = pa.BinaryArray.from_buffers(pa.binary(), len(size), [None, pa.py_buffer(offsets), pa.py_buffer(letters)]).dictionary_encode()
+    rows, columns = (np.concatenate(x) for x in zip(*spots))
+    out[rows, columns] = found.indices.to_numpy().astype(np.int64) + CODES
+    return out, table + [b""] * (CODES - len(table)) + found.dictionary.to_pylist()
 
 
 def portions(text: str, size: int = TEXT_CHARS) -> Iterator[str]:
@@ -122,90 +155,116 @@ def summed(words: np.ndarray, longest: int) -> tuple[np.ndarray, np.ndarray]:
     return rows[first], n
 
 
-def edges(given: DataFrame, longest: int, splitters: list[bytes]) -> DataFrame:
-    """part, lang, phrase, n: edges of ``longest`` words, and shorter ones where a piece ends, summed in the task."""
+def edges(given: DataFrame, longest: int, splitters: list[bytes], table: list[bytes]) -> DataFrame:
+    """part, key, n: edges of ``longest`` words, and shorter ones where a piece ends, with their language, summed in the task."""
+    sent = given.sparkSession.sparkContext.broadcast((splitters, table))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        splitters, table = sent.value
+        codes, held = coded(table), {}
+
+        def told(keys: list[bytes], n: list[int]) -> pa.RecordBatch:
+            parts = [bisect_right(splitters, key) for key in keys]
+            return pa.RecordBatch.from_arrays([pa.array(parts, pa.int32()), pa.array(keys, pa.binary()), pa.array(n, pa.int64())], names=["part", "key", "n"])
+
         for lang, texts in by_language(batches):
-            known = Words()
+            known = Words(codes)
             rows, n = summed(known.cut(texts), longest)
-            sizes = (rows > 0).sum(axis=1)
+            own, sizes = codes.get(lang.encode()) or literal(lang.encode()), (rows > 0).sum(axis=1)
             for k in range(1, longest + 1):
                 some = np.flatnonzero(sizes == k)
-                if len(some):
-                    phrases = known.phrases(rows[some, :k])
-                    yield pa.RecordBatch.from_arrays([
-                        pa.array([bisect_right(splitters, p) for p in phrases], pa.int32()), pa.array([lang] * len(some), pa.string()),
-                        pa.array(phrases, pa.binary()).cast(pa.string()), pa.array(n[some].astype(np.int64)),
-                    ], names=["part", "lang", "phrase", "n"])
+                keys, times = known.keys(own, rows[some, :k]), n[some].tolist()
+                if k <= 2:  # one task sees these again and again
+                    for key, more in zip(keys, times):
+                        held[key] = held.get(key, 0) + more
+                elif len(keys):
+                    yield told(keys, times)
+            if len(held) > HELD:
+                yield told(list(held), list(held.values()))
+                held.clear()
+        if held:
+            yield told(list(held), list(held.values()))
 
-    return given.mapInArrow(run, "part int, lang string, phrase string, n long")
+    return given.mapInArrow(run, "part int, key binary, n long")
 
 
-def ranges(given: DataFrame, longest: int) -> list[bytes]:
-    """Phrases that cut all edges into parts of about equal size, from a bounded look at some texts.
+def looked_at(given: DataFrame, longest: int) -> tuple[list[bytes], list[bytes]]:
+    """Keys that cut all edges into parts of about equal size, and frequent words, from a bounded look at some texts.
 
-    They decide where an edge is summed and nothing else.
+    They decide where an edge is summed, how many bytes it takes, and nothing else.
     """
-    spark = given.sparkSession
-    parts = RANGES * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = RANGES * int(given.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     texts = 1 + parts // 2
     places = 1 + parts * LOOKS // texts
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for text in batch.column(0):
+            for lang, text in zip(batch.column(0).to_pylist(), batch.column(1)):
                 known = Words()
-                rows, _ = summed(known.cut([next(portions(text.as_py()))]), longest)
-                rows = rows[(rows > 0).all(axis=1)]
-                some = rows[np.arange(places) * len(rows) // places] if len(rows) else rows
-                yield pa.RecordBatch.from_arrays([pa.array(known.phrases(some), pa.binary())], names=["phrase"])
+                words = known.cut([next(portions(text.as_py()))])
+                rows, _ = summed(words, longest)
+                rows = rows[np.arange(places) * len(rows) // places] if len(rows) else rows
+                phrases = [[known.listed[i] for i in row if i] for row in rows.tolist()]
+                often = np.argsort(-np.bincount(words, minlength=2)[2:], kind="stable")[:LOOKED_WORDS] + 2
+                yield pa.RecordBatch.from_arrays([
+                    pa.array([lang.encode()], pa.binary()), pa.array([phrases], pa.list_(pa.list_(pa.binary()))),
+                    pa.array([[known.listed[i] for i in often.tolist()]], pa.list_(pa.binary())),
+                ], names=["lang", "phrases", "words"])
 
     share = min(1.0, 1.2 * texts / max(1, given.count()))
-    looked = given.filter("text != ''").sample(share, seed=7).select("text").mapInArrow(run, "phrase binary")
-    found = sorted({bytes(r["phrase"]) for r in looked.limit(4 * parts * LOOKS).collect()})
-    return [found[i * len(found) // parts] for i in range(1, parts)] if len(found) > parts else found
-
-
-def flows(ordered: DataFrame, least: int, longest: int) -> DataFrame:
+    fields = "lang binary, phrases array<array<binary>>, words array<binary>"
+    found = given.filter("text != ''").sample(share, seed=7).mapInArrow(run, fields).limit(2 * texts).collect()
+    seen = Counter({bytes(r["lang"]): len(found) for r in found})
+    for r in found:
+        seen.update(w[1:] for w in map(bytes, r["words"]) if w[0] <= SIZE)
+    table = [w for w, _ in seen.most_common(CODES)]
+    codes = coded(table)
+    plain = {literal(w): codes[w] for w in table}
+    keys = sorted({
+        b"".join([codes.get(bytes(r["lang"])) or literal(bytes(r["lang"])), *(plain.get(w, w) for w in map(bytes, phrase))])[:SIZE]
+        for r in found for phrase in r["phrases"]
+    })
+    return [keys[i * len(keys) // parts] for i in range(1, parts)] if len(keys) > parts else keys, table
+
+
+#: Different words of a text that are looked at, and bytes of a word or key.
+LOOKED_WORDS, SIZE = 2000, 64
+
+
+def flows(ordered: DataFrame, least: int, longest: int, table: list[bytes]) -> DataFrame:
     """lang, phrase, k, a: counts of all phrases that occur ``least`` times, from edges in order; k = 0 counts all words.
 
     Edges that begin with a phrase lie together. A sum that is below ``least``
     is left out unless it may go on elsewhere: in the next batch, or in the
     next part.
     """
+    sent = ordered.sparkSession.sparkContext.broadcast(table)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            part, n = batch.column(0).to_numpy(), batch.column(3).to_numpy()
-            named = batch.column(1).dictionary_encode()
-            lang, langs = named.indices.to_numpy(), named.dictionary.to_pylist()
-            cut = pc.split_pattern(batch.column(2), " ")
-            coded = cut.flatten().dictionary_encode()
-            listed, sizes = coded.dictionary.to_pylist(), pc.list_value_length(cut).to_numpy()
-            words = np.full((len(n), longest), -1, dtype=np.int64)
-            words[np.arange(longest) < sizes[:, None]] = coded.indices.to_numpy()
-            new = np.concatenate([[True], (part[1:] != part[:-1]) | (lang[1:] != lang[:-1])])
+            part, n = batch.column(0).to_numpy(), batch.column(2).to_numpy()
+            words, listed = decoded(batch.column(1), longest, sent.value)
+            new = np.concatenate([[True], part[1:] != part[:-1]])
             edge = np.concatenate([new, [True]])  # where sums may go on elsewhere
-            out: list[tuple[str, str, int, int]] = [(langs[i], "", 0, int(a)) for i, a in enumerate(np.bincount(lang, n, len(langs)).astype(np.int64))]
-            for k in range(1, longest + 1):
-                new[1:] |= words[1:, k - 1] != words[:-1, k - 1]
+            out: list[tuple[bytes, bytes, int, int]] = []
+            for k in range(longest + 1):
+                new[1:] |= words[1:, k] != words[:-1, k]
                 first = np.flatnonzero(new)
                 last = np.concatenate([first[1:], [len(n)]])
                 a = np.add.reduceat(n, first)
-                kept = (words[first, k - 1] >= 0) & ((a >= least) | edge[first] | edge[last])
-                out += [
-                    (langs[lang[i]], " ".join([listed[w] for w in words[i, :k]]), k, times) for i, times in zip(first[kept].tolist(), a[kept].tolist())
-                ]
+                kept = (words[first, k] >= 0) & ((a >= least) | edge[first] | edge[last] | (k == 0))
+                for row, times in zip(words[first[kept], : k + 1].tolist(), a[kept].tolist()):
+                    out.append((listed[row[0]], b" ".join([listed[w] for w in row[1:]]), k, times))
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), KINDS)], names=["lang", "phrase", "k", "a"])
 
-    found = ordered.select("part", "lang", "phrase", "n").mapInArrow(run, "lang string, phrase string, k int, a long")
-    return found.groupBy("lang", "phrase", "k").agg(F.sum("a").alias("a")).filter((F.col("a") >= least) | (F.col("k") == 0))
+    found = ordered.mapInArrow(run, "lang binary, phrase binary, k int, a long")
+    total = found.groupBy("lang", "phrase", "k").agg(F.sum("a").alias("a")).filter((F.col("a") >= least) | (F.col("k") == 0))
+    return total.select(F.col("lang").cast("string").alias("lang"), F.col("phrase").cast("string").alias("phrase"), "k", "a")
 
 
-KINDS = [pa.string(), pa.string(), pa.int32(), pa.int64()]
+KINDS = [pa.binary(), pa.binary(), pa.int32(), pa.int64()]
 
 
 def phrase_counts(docs: DataFrame, text: str = "text", lang: str = "lang", least: int = 100, longest: int = 5) -> DataFrame:
@@ -214,9 +273,9 @@ def phrase_counts(docs: DataFrame, text: str = "text", lang: str = "lang", least
     The row with k = 0 of a language has the number of all its words.
     """
     given = docs.select(F.coalesce(F.col(lang).cast("string"), F.lit(UNKNOWN)).alias("lang"), F.col(text).alias("text"))
-    found = edges(given, longest, ranges(given, longest))
-    counts = flows(found.repartition("part").sortWithinPartitions("part", "lang", "phrase"), least, longest)
-    return durable(counts.withColumn("phrase", unescaped(F.col("phrase"))))
+    splitters, table = looked_at(given, longest)
+    found = edges(given, longest, splitters, table)
+    return durable(flows(found.repartition("part").sortWithinPartitions("key"), least, longest, table))
 
 
 def compacted(counts: DataFrame, share: int) -> DataFrame:

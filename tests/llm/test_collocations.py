@@ -6,6 +6,7 @@ from collections import Counter, defaultdict
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -120,8 +121,18 @@ def test_empty_tables(spark):
 def test_a_batch_is_cut_by_its_own_words():
     known = collocations.Words()
     cut = known.cut(["A b\tB  a.", "", "b\x0bA"])
-    assert [known.listed[i] if i else b"." for i in cut] == [b"a", b"b", b"b", b"a", b".", b".", b".", b"b", b".", b"a", b"."]
-    assert known.phrases(np.array([[2, 3], [3, 2]])) == [b"a b", b"b a"]
+    assert [known.listed[i] if i else b"." for i in cut] == [b"\x01a", b"\x01b", b"\x01b", b"\x01a", b".", b".", b".", b"\x01b", b".", b"\x01a", b"."]
+    assert known.keys(b"\x02en", np.array([[2, 3], [3, 2]])) == [b"\x02en\x01a\x01b", b"\x02en\x01b\x01a"]
+
+
+def test_keys_are_read_back():
+    table = [f"w{i}".encode() for i in range(1000)] + [b"", b"x" * 300]
+    codes, rng = collocations.coded(table), random.Random(2)
+    rows = [[rng.choice([*table[:-2], b"own", b"y" * 126, b"z" * 127, "é".encode(), b"\x80\x7f\x00", table[-1]]) for _ in range(rng.randrange(1, 5))] for _ in range(500)]
+    keys = pa.array([b"".join(codes.get(w) or collocations.literal(w) for w in row) for row in rows], pa.binary())
+    for some, want in ((keys, rows), (keys.slice(17, 100), rows[17:117]), (keys.slice(0, 0), [])):
+        words, listed = collocations.decoded(some, 3, table)
+        assert [[listed[i] for i in row if i >= 0] for row in words.tolist()] == want
 
 
 def test_words_below_a_blank_come_back(spark):
