@@ -16,7 +16,6 @@ import re
 from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
-from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -34,8 +33,8 @@ LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ" + ENDS + b"\t", b"abcdefgh
 TEXT_CHARS = 2 << 20
 #: Ranges of phrases for each shuffle partition, and phrases that are looked at to choose each.
 RANGES, LOOKS = 4, 8
-#: Words that have a code of two bytes, and entries that a task sums before it sends them on.
-CODES, HELD = 1 << 15, 300_000
+#: Words that have a code of two bytes; most words of edges that a task sums for longer, and how many of these it holds.
+CODES, SMALL, HELD = 1 << 15, 2, 300_000
 #: What stands for a null language.
 UNKNOWN = "und"
 
@@ -74,8 +73,23 @@ class Words(dict):
         found = np.fromiter(map(self.__getitem__, (held + b" \n").split(b" ")), dtype=np.int64)
         return found[found != 1]
 
-    def keys(self, lang: bytes, rows: np.ndarray) -> list[bytes]:
-        return list(map(b"".join, zip(repeat(lang), *(map(self.listed.__getitem__, column) for column in rows.T.tolist()))))
+    def keys(self, lang: bytes, rows: np.ndarray) -> pa.Array:
+        """The codes of a language and of the words of each row, one behind the other; 0 is nothing."""
+        sizes = np.array([len(w) for w in self.listed] + [len(lang)])
+        ids = np.concatenate([np.full((len(rows), 1), len(self.listed)), rows], axis=1).ravel()
+        letters, upto = gathered(np.frombuffer(b"".join(self.listed) + lang, dtype=np.uint8), (np.cumsum(sizes) - sizes)[ids], sizes[ids])
+        offsets = np.concatenate([[0], upto.reshape(len(rows), rows.shape[1] + 1)[:, -1]])
+        return binaries(letters, offsets)
+
+
+def gathered(held: np.ndarray, start: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The stretches of ``held``, one behind the other, and where each ends."""
+    upto = np.cumsum(size)
+    return held[np.repeat(start - (upto - size), size) + np.arange(size.sum())], upto
+
+
+def binaries(letters: np.ndarray, offsets: np.ndarray) -> pa.Array:
+    return pa.BinaryArray.from_buffers(pa.binary(), len(offsets) - 1, [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(letters)])
 
 
 def decoded(keys: pa.Array, longest: int, table: list[bytes]) -> tuple[np.ndarray, list[bytes]]:
@@ -99,10 +113,8 @@ def decoded(keys: pa.Array, longest: int, table: list[bytes]) -> tuple[np.ndarra
         starts.append((place + ahead)[~short])
         sizes.append(size[~short])
     start, size = np.concatenate(starts), np.concatenate(sizes)
-    upto = np.cumsum(size)
-    letters = held[np.repeat(start - (upto - size), size) + np.arange(size.sum())]
-    offsets = np.concatenate([[0], upto]).astype(np.int32)
-    found = pa.BinaryArray.from_buffers(pa.binary(), len(size), [None, pa.py_buffer(offsets), pa.py_buffer(letters)]).dictionary_encode()
+    letters, upto = gathered(held, start, size)
+    found = binaries(letters, np.concatenate([[0], upto])).dictionary_encode()
     rows, columns = (np.concatenate(x) for x in zip(*spots))
     out[rows, columns] = found.indices.to_numpy().astype(np.int64) + CODES
     return out, table + [b""] * (CODES - len(table)) + found.dictionary.to_pylist()
@@ -163,27 +175,28 @@ def edges(given: DataFrame, longest: int, splitters: list[bytes], table: list[by
         splitters, table = sent.value
         codes, held = coded(table), {}
 
-        def told(keys: list[bytes], n: list[int]) -> pa.RecordBatch:
-            parts = [bisect_right(splitters, key) for key in keys]
-            return pa.RecordBatch.from_arrays([pa.array(parts, pa.int32()), pa.array(keys, pa.binary()), pa.array(n, pa.int64())], names=["part", "key", "n"])
+        def told(keys: pa.Array, n: list[int] | np.ndarray) -> pa.RecordBatch:
+            parts = [bisect_right(splitters, key) for key in keys.to_pylist()]
+            return pa.RecordBatch.from_arrays([pa.array(parts, pa.int32()), keys, pa.array(n, pa.int64())], names=["part", "key", "n"])
+
+        def all_held() -> pa.RecordBatch:
+            return told(pa.array(held, pa.binary()), list(held.values()))
 
         for lang, texts in by_language(batches):
             known = Words(codes)
             rows, n = summed(known.cut(texts), longest)
-            own, sizes = codes.get(lang.encode()) or literal(lang.encode()), (rows > 0).sum(axis=1)
-            for k in range(1, longest + 1):
-                some = np.flatnonzero(sizes == k)
-                keys, times = known.keys(own, rows[some, :k]), n[some].tolist()
-                if k <= 2:  # one task sees these again and again
-                    for key, more in zip(keys, times):
-                        held[key] = held.get(key, 0) + more
-                elif len(keys):
-                    yield told(keys, times)
+            own, small = codes.get(lang.encode()) or literal(lang.encode()), (rows[:, SMALL:] == 0).all(axis=1)
+            # One task sees short ones again and again.
+            for key, more in zip(known.keys(own, rows[small, :SMALL]).to_pylist(), n[small].tolist()):
+                held[key] = held.get(key, 0) + more
+            rows, n = rows[~small], n[~small]
+            for start in range(0, len(rows), HELD):
+                yield told(known.keys(own, rows[start : start + HELD]), n[start : start + HELD])
             if len(held) > HELD:
-                yield told(list(held), list(held.values()))
+                yield all_held()
                 held.clear()
         if held:
-            yield told(list(held), list(held.values()))
+            yield all_held()
 
     return given.mapInArrow(run, "part int, key binary, n long")
 
@@ -194,8 +207,8 @@ def looked_at(given: DataFrame, longest: int) -> tuple[list[bytes], list[bytes]]
     They decide where an edge is summed, how many bytes it takes, and nothing else.
     """
     parts = RANGES * int(given.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    texts = 1 + parts // 2
-    places = 1 + parts * LOOKS // texts
+    texts = 2 + parts
+    places = 1 + 2 * parts * LOOKS // texts
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -214,15 +227,16 @@ def looked_at(given: DataFrame, longest: int) -> tuple[list[bytes], list[bytes]]
     share = min(1.0, 1.2 * texts / max(1, given.count()))
     fields = "lang binary, phrases array<array<binary>>, words array<binary>"
     found = given.filter("text != ''").sample(share, seed=7).mapInArrow(run, fields).limit(2 * texts).collect()
+    # Words are taken from some texts and keys from others, in which words are as rare as everywhere.
     seen = Counter({bytes(r["lang"]): len(found) for r in found})
-    for r in found:
+    for r in found[::2]:
         seen.update(w[1:] for w in map(bytes, r["words"]) if w[0] <= SIZE)
     table = [w for w, _ in seen.most_common(CODES)]
     codes = coded(table)
     plain = {literal(w): codes[w] for w in table}
     keys = sorted({
         b"".join([codes.get(bytes(r["lang"])) or literal(bytes(r["lang"])), *(plain.get(w, w) for w in map(bytes, phrase))])[:SIZE]
-        for r in found for phrase in r["phrases"]
+        for r in found[1::2] for phrase in r["phrases"]
     })
     return [keys[i * len(keys) // parts] for i in range(1, parts)] if len(keys) > parts else keys, table
 

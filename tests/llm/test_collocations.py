@@ -122,7 +122,7 @@ def test_a_batch_is_cut_by_its_own_words():
     known = collocations.Words()
     cut = known.cut(["A b\tB  a.", "", "b\x0bA"])
     assert [known.listed[i] if i else b"." for i in cut] == [b"\x01a", b"\x01b", b"\x01b", b"\x01a", b".", b".", b".", b"\x01b", b".", b"\x01a", b"."]
-    assert known.keys(b"\x02en", np.array([[2, 3], [3, 2]])) == [b"\x02en\x01a\x01b", b"\x02en\x01b\x01a"]
+    assert known.keys(b"\x02en", np.array([[2, 3], [3, 0]])).to_pylist() == [b"\x02en\x01a\x01b", b"\x02en\x01b"]
 
 
 def test_keys_are_read_back():
