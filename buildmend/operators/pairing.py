@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from buildmend.functions.text import any_contains, cut, slug, text_or_empty
 from buildmend.operators.context import CIRCLECI, GITLAB, TRAVIS, error_context
 from buildmend.operators.ordered import first_per_group, next_value
+from buildmend.session import durable
 
 # Branches, bots, states, markers and keyword lists.
 TRUNK_BRANCHES = ["main", "master", "develop"]
@@ -218,22 +219,22 @@ def commits_named(named: DataFrame, history: DataFrame) -> DataFrame:
     Whole shas are compared as they are. A sha that no commit has is taken as
     shortened (or as whole where the history has shortened ones) and compared
     by its beginning within the repository; of several the newest counts.
+
+    Both kinds are found in one join: equal shas and shas of which one begins
+    the other have the same first characters, so that a bucket holds the few
+    commits of a repository that begin alike, and never a whole repository.
     """
-    wanted = named.select("repo", "failed_sha").distinct()
-    newest = history.groupBy("repo", "sha").agg(
-        F.max_by("next_commit", F.struct("committed_at", "commit_no")).alias("next_commit"),
-        F.max(F.struct("committed_at", "commit_no")).alias("_place"),
-    )
-    whole = wanted.join(newest.withColumnRenamed("sha", "failed_sha"), ["repo", "failed_sha"])
-    rest = wanted.join(newest.select("repo", F.col("sha").alias("failed_sha")), ["repo", "failed_sha"], "left_anti")
+    start = F.left("sha", F.lit(SHORT_SHA)).alias("_start")
+    wanted = named.select("repo", "failed_sha").distinct().withColumn("_start", F.left("failed_sha", F.lit(SHORT_SHA)))
+    found = wanted.join(history.select("repo", start, "sha", "committed_at", "commit_no", "next_commit"), ["repo", "_start"])
+    whole = F.col("sha") == F.col("failed_sha")
+    long_enough = F.least(F.length("sha"), F.length("failed_sha")) >= SHORT_SHA
     begins = F.col("sha").startswith(F.col("failed_sha")) | F.col("failed_sha").startswith(F.col("sha"))
-    short = (
-        rest.withColumn("_start", F.left("failed_sha", F.lit(SHORT_SHA)))
-        .join(newest.withColumn("_start", F.left("sha", F.lit(SHORT_SHA))), ["repo", "_start"])
-        .filter(begins)
-        .groupBy("repo", "failed_sha").agg(F.max_by("next_commit", "_place").alias("next_commit"))
+    return (
+        found.filter(whole | (long_enough & begins))
+        .groupBy("repo", "failed_sha")
+        .agg(F.max_by("next_commit", F.struct(whole.alias("whole"), "committed_at", "commit_no")).alias("next_commit"))
     )
-    return whole.select("repo", "failed_sha", "next_commit").unionByName(short)
 
 
 def next_commit_fix(
@@ -248,14 +249,15 @@ def next_commit_fix(
     """The commit right behind the failing one.
 
     ``files`` (repo, sha, file_no, filename, patch) gives the changed files;
-    names and patches are those of the files that concern CI.
+    names and patches are those of the files that concern CI. The fixes found
+    are a table of a row for each sha, so that the history is ordered once.
     """
     history = next_value(
         commits.select("repo", "sha", "committed_at", "commit_no", "message", "author"),
         ["repo"], ["committed_at", "commit_no"],
         F.struct("sha", "message", "author"), F.date_trunc("day", "committed_at"), "next_commit",
     )
-    fixes = commits_named(failures, history).withColumn("_fix_sha", F.col("next_commit.sha"))
+    fixes = durable(commits_named(failures, history).withColumn("_fix_sha", F.col("next_commit.sha")))
     # Files of other commits are left out ahead of any grouping.
     changed = files.join(
         fixes.select("repo", F.col("_fix_sha").alias("sha")).distinct(), ["repo", "sha"], "left_semi"
@@ -317,40 +319,44 @@ def first_failed_step(workflows: DataFrame, jobs: DataFrame, actions: DataFrame)
     """From each pipeline down to the log of its first failed step.
 
     Job numbers count within a project, so ``project_slug`` is part of their
-    key. Each level is chosen by positions alone, ahead of the next level, and
-    only the one log that is shown is fetched. Within a step only the first
-    failed action that has a log place counts; where that log is empty the
-    next step is tried.
+    key. Each level is chosen by positions alone and meets the next level
+    once, so that every table is read once. The failed actions of the chosen
+    jobs are written as a table: a step is chosen from its numbers, and only
+    the one log that is shown is read. Within a step only the first failed
+    action that has a log place counts; where that log is empty the next step
+    is tried.
     """
+    pipeline = ["project_slug", "pipeline_id"]
     workflow = (
         workflows.filter(F.col("status").isin(CIRCLECI_FAILED_WORKFLOW))
-        .groupBy("project_slug", "pipeline_id")
-        .agg(F.min_by(F.struct("workflow_id", "workflow_name"), "workflow_no").alias("w"))
-        .select("project_slug", "pipeline_id", "w.*")
+        .groupBy(*pipeline)
+        .agg(F.min(F.struct("workflow_no", "workflow_id", "workflow_name")).alias("w"))
+        .select(*pipeline, "w.workflow_id", "w.workflow_name")
+    )
+    broken_jobs = jobs.filter(F.col("status").isin(CIRCLECI_FAILED_JOB)).select(
+        "project_slug", "workflow_id", "job_no", "job_number", "job_name"
     )
     job = (
-        jobs.filter(F.col("status").isin(CIRCLECI_FAILED_JOB))
-        .join(workflow.select("project_slug", "workflow_id"), ["project_slug", "workflow_id"], "left_semi")
-        .groupBy("project_slug", "workflow_id")
-        .agg(F.min_by(F.struct("job_number", "job_name"), "job_no").alias("j"))
-        .select("project_slug", "workflow_id", "j.*")
-    )
-    failed = actions.filter((F.col("status") == "failed") & (text_or_empty(F.col("output_url")) != ""))
-    step_key = ["project_slug", "job_number", "step_no"]
+        broken_jobs.join(workflow, ["project_slug", "workflow_id"])
+        .groupBy(*pipeline, "workflow_name")
+        .agg(F.min(F.struct("job_no", "job_number", "job_name")).alias("j"))
+        .select(*pipeline, "workflow_name", "j.job_name", "j.job_number")
+    )
+    has_place = (F.col("status") == "failed") & (text_or_empty(F.col("output_url")) != "")
+    tried = durable(
+        actions.filter(has_place)
+        .select("project_slug", "job_number", "step_no", "action_no", "step_log", (text_or_empty(F.col("step_log")) != "").alias("has_log"))
+        .join(job, ["project_slug", "job_number"])
+    )
+    # A pipeline has one job by now, so its steps are steps of that job.
     step = (
-        failed.select(*step_key, "action_no", (text_or_empty(F.col("step_log")) != "").alias("has_log"))
-        .join(job.select("project_slug", "job_number"), ["project_slug", "job_number"], "left_semi")
-        .groupBy(*step_key).agg(F.min(F.struct("action_no", "has_log")).alias("a"))
+        tried.groupBy(*pipeline, "step_no").agg(F.min(F.struct("action_no", "has_log")).alias("a"))
         .filter("a.has_log")
-        .groupBy("project_slug", "job_number").agg(F.min(F.struct("step_no", "a.action_no")).alias("s"))
-        .select("project_slug", "job_number", "s.*")
+        .groupBy(*pipeline).agg(F.min(F.struct("step_no", "a.action_no")).alias("s"))
+        .select(*pipeline, "s.step_no", "s.action_no")
     )
-    log = failed.select(*step_key, "action_no", "step_log")
-    return (
-        workflow.join(job, ["project_slug", "workflow_id"])
-        .join(step, ["project_slug", "job_number"])
-        .join(log, [*step_key, "action_no"])
-        .select("project_slug", "pipeline_id", "workflow_name", "job_name", "job_number", "step_no", "action_no", "step_log")
+    return tried.join(step, [*pipeline, "step_no", "action_no"]).select(
+        *pipeline, "workflow_name", "job_name", "job_number", "step_no", "action_no", "step_log"
     )
 
 
@@ -526,10 +532,12 @@ def circleci_pairs(
     failed_sha, created_at).
     """
     red = pipelines.filter(F.col("state").isin(CIRCLECI_PIPELINE_STATES))
-    failed = (
+    # A table, since its shas are looked up ahead of the join with what was found.
+    failed = durable(
         red.join(first_failed_step(workflows, jobs, actions), ["project_slug", "pipeline_id"])
         .withColumn("failure_log", error_context(F.col("step_log"), CIRCLECI))
         .filter(F.col("failure_log") != "")
+        .drop("step_log")
     )
     return next_commit_fix(failed, commits, files).select(
         F.lit("circleci").alias("platform"),

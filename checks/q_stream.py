@@ -32,7 +32,7 @@ def watch_failures(t):
     write_jsonl(runs, landing, "append")
     stream = watch.landed_files(t.spark, landing, _RUNS)
     watch.watch_failures(stream, output, scratch_path(t.spark, "progress"), once=True).awaitTermination()
-    return t.spark.read.parquet(output).select(
+    return watch.watched(t.spark, output, _RUNS).select(
         "repo", "run_id", "failure_class", "failure_subclass", "confidence", "fix_strategy"
     )
 
