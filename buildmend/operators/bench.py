@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from buildmend.functions.text import changed_lines, tagged_block, text_or_empty
+from buildmend.operators.ordered import numbered
 from buildmend.operators.shaping import predicted_class
 
 CASE_SCHEMA = (
@@ -225,13 +226,15 @@ def patch_reward(responses: DataFrame, outcomes: DataFrame, keys: list[str]) ->
 def prompt_of_completion(completions: DataFrame, prompts: DataFrame, generations: int) -> DataFrame:
     """Match flat completion numbers with the prompt each was generated for.
 
-    ``prompts`` (prompt_idx, ...) is numbered from 0; numbers beyond the last
-    prompt start over.
+    ``prompts`` (prompt_idx, ...) are taken in the order of their numbers, as a
+    list would be: gaps in the numbers lose no completion. Completions beyond
+    the last prompt start over; without prompts there is nothing to match.
     """
-    count = prompts.agg((F.max("prompt_idx") + 1).alias("n")).scalar()
-    return completions.withColumn(
-        "prompt_idx", F.floor(F.col("completion_no") / generations) % count
-    ).join(prompts, "prompt_idx")
+    listed = numbered(prompts, ["prompt_idx"], "_place")
+    n = listed.count()
+    place = F.floor(F.col("completion_no") / generations) % F.nullif(F.lit(n), F.lit(0))
+    others = [c for c in prompts.columns if c != "prompt_idx"]
+    return completions.withColumn("_place", place).join(listed, "_place").select("prompt_idx", *completions.columns, *others)
 
 
 def reward_stats(rewards: DataFrame) -> DataFrame:

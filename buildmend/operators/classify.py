@@ -15,18 +15,25 @@ from buildmend.functions.prefilter import has_odd_letters, may_match
 from buildmend.functions.text import any_case, filled, list_repr, text_or_empty
 
 
-def with_signals(df: DataFrame, log: str = "ci_log", shown: int | None = None) -> DataFrame:
+def with_signals(df: DataFrame, log: str = "ci_log", shown: int | None = None, evidence: bool = True) -> DataFrame:
     """Add ``signals``: the matched patterns of a log, best first, null if none.
 
     Confidence grows with each repeated match up to a ceiling; equal
     confidences keep the order of the pattern list. The evidence names all
-    matches or the first ``shown``.
+    matches or the first ``shown``; without ``evidence`` matches are counted
+    and their texts are never made.
     """
     text, lowered, odd = F.col(log), F.col("_lowered"), F.col("_odd")
-    found = [
-        F.when(may_match(lowered, [p.regex], odd), F.regexp_extract_all(text, F.lit(any_case(p.regex)), 1))
-        for p in tax.PATTERNS
-    ]
+
+    def matches(pattern: tax.Pattern) -> Column:
+        regex = F.lit(any_case(pattern.regex))
+        return F.regexp_extract_all(text, regex, 1) if evidence else F.regexp_count(text, regex)
+
+    found = [F.when(may_match(lowered, [p.regex], odd), matches(p)) for p in tax.PATTERNS]
+
+    def times(hit: Column) -> Column:
+        return F.size(hit["found"]) if evidence else hit["found"]
+
     listed = F.array(
         *[
             F.struct(
@@ -41,7 +48,7 @@ def with_signals(df: DataFrame, log: str = "ci_log", shown: int | None = None) -
     )
 
     def scored(hit: Column) -> Column:
-        pattern, n = hit["pattern"], F.size(hit["found"])
+        pattern, n = hit["pattern"], times(hit)
         confidence = F.least(
             pattern["base"] + F.lit(tax.REPEAT_BONUS) * (n - 1).cast("double"),
             F.lit(tax.MAX_CONFIDENCE),
@@ -52,12 +59,17 @@ def with_signals(df: DataFrame, log: str = "ci_log", shown: int | None = None) -
             pattern["failure_class"].alias("failure_class"),
             pattern["failure_subclass"].alias("failure_subclass"),
             confidence.alias("confidence"),
-            F.concat(
-                F.lit("Pattern '"), pattern["regex"], F.lit("' matched "), n.cast("string"),
-                F.lit(" times: "), list_repr(hit["found"] if shown is None else F.slice(hit["found"], 1, shown)),
-            ).alias("evidence"),
+            *told(pattern, hit),
         )
 
+    def told(pattern: Column, hit: Column) -> list[Column]:
+        if not evidence:
+            return []
+        some = hit["found"] if shown is None else F.slice(hit["found"], 1, shown)
+        return [F.concat(
+            F.lit("Pattern '"), pattern["regex"], F.lit("' matched "), times(hit).cast("string"), F.lit(" times: "), list_repr(some)
+        ).alias("evidence")]
+
     # The matches are a step of their own, so that they run as compiled code
     # and not inside the lambdas. Spark keeps the steps apart because each
     # result is looked at more than once.
@@ -67,7 +79,7 @@ def with_signals(df: DataFrame, log: str = "ci_log", shown: int | None = None) -
         .withColumn("_found", F.array(*found))
     )
     pairs = F.arrays_zip(listed.alias("pattern"), F.col("_found").alias("found"))
-    hits = F.filter(pairs, lambda hit: F.size(hit["found"]) > 0)
+    hits = F.filter(pairs, lambda hit: times(hit) > 0)
     signals = F.when(
         F.exists("_found", lambda f: f.isNotNull()), F.array_sort(F.transform(hits, scored))
     )
@@ -94,7 +106,7 @@ def top_class(df: DataFrame, log: str = "ci_log") -> DataFrame:
     """Add the best class, sub-class and confidence; UNKNOWN, null and 0.0
     where no pattern is sure enough."""
     return (
-        with_signals(df, log)
+        with_signals(df, log, evidence=False)
         .withColumn("_top", F.get("signals", F.lit(0)))
         .withColumn("_sure", F.coalesce(F.col("_top.confidence") >= tax.MIN_SIGNAL, F.lit(False)))
         .withColumn("heuristic_class", F.when(F.col("_sure"), F.col("_top.failure_class")).otherwise("UNKNOWN"))
@@ -115,7 +127,7 @@ def primary_secondary(df: DataFrame, log: str = "ci_log") -> DataFrame:
     sure = F.filter("signals", lambda s: s["confidence"] >= tax.MIN_SIGNAL)
     others = F.array_except(F.transform(sure, lambda s: s["failure_class"]), F.array("primary_class"))
     return (
-        with_signals(df, log)
+        with_signals(df, log, evidence=False)
         .withColumn("primary_class", F.coalesce(top["failure_class"], F.lit("UNKNOWN")))
         .withColumn("primary_subclass", top["failure_subclass"])
         .withColumn("primary_confidence", F.coalesce(top["confidence"], F.lit(0.0)))

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from buildmend.session import durable
+
 
 def next_value(
     df: DataFrame,
@@ -61,3 +63,20 @@ def first_per_group(df: DataFrame, keys: list[str], order: list[Column], n: int
         return df
     w = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn("_n", F.row_number().over(w)).filter(F.col("_n") <= n).drop("_n")
+
+
+def numbered(df: DataFrame, order: list[str], into: str) -> DataFrame:
+    """Number all rows from 0 in order, without gaps.
+
+    Rows are sorted by ranges; a small table with the size of each range tells
+    where its numbers begin. Rows equal in ``order`` get any order, once.
+    """
+    ranged = durable(df.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()))
+    # One row for each range goes through one task, and no other.
+    ahead = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    bases = ranged.groupBy("_part").agg(F.count(F.lit(1)).alias("_n")).select(
+        "_part", F.coalesce(F.sum("_n").over(ahead), F.lit(0)).alias("_base")
+    )
+    inside = Window.partitionBy("_part").orderBy(*order)
+    placed = ranged.withColumn("_place", F.row_number().over(inside) - 1).join(bases, "_part")
+    return placed.withColumn(into, F.col("_base") + F.col("_place")).select(*df.columns, into)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from buildmend.functions import taxonomy as tax
 from buildmend.session import scratch_path
 from buildmend.sources.jsonl import write_jsonl
-from buildmend.streaming import watch
+from buildmend.streaming import requests, watch
 from checks.registry import query
 from checks.sql import FIX_ROWS, q, top_steps
 from checks.views import N_LINES
@@ -56,3 +56,29 @@ def repair_requests(t):
     checked = watch.repair_requests(stream)
     watch.run_to_files(checked, output, scratch_path(t.spark, "progress"), ["status"], once=True).awaitTermination()
     return t.spark.read.schema(checked.schema).parquet(output).select("request_id", "repo", "run_id", "status", "error")
+
+
+_ASKED = """asked AS (SELECT run_id AS request_id, CASE WHEN run_id % 3 = 0 THEN 'rejected' ELSE 'queued' END AS status FROM ci_runs),
+held AS (SELECT run_id AS request_id, (run_id % 3 + 1)::INTEGER AS attempt, run_id % 4 = 1 AS runs_on FROM ci_runs WHERE run_id % 4 < 2),
+free AS (SELECT a.request_id, coalesce(h.attempt, 0) AS attempts FROM asked a LEFT JOIN held h USING (request_id)
+  WHERE a.status = 'queued' AND a.request_id % 11 <> 0 AND NOT coalesce(h.runs_on, false)),
+turns AS (SELECT *, row_number() OVER (ORDER BY attempts, request_id) - 1 AS turn FROM free)"""
+
+
+@query(
+    "lease_requests", ["ci_runs"], steps=_ASKED,
+    sql="""SELECT request_id, ['a', 'b', 'c'][turn % 3 + 1] AS worker, (attempts + 1)::INTEGER AS attempt,
+      epoch(TIMESTAMP '2024-01-02')::BIGINT AS leased_at, epoch(TIMESTAMP '2024-01-02 01:00:00')::BIGINT AS lease_until FROM turns""",
+)
+def lease_requests(t):
+    number = F.col("run_id")
+    # Every request is asked twice; some leases have run out and some go on.
+    asked = t.ci_runs.select(number.alias("request_id"), F.when(number % 3 == 0, "rejected").otherwise("queued").alias("status"))
+    tried = t.ci_runs.filter(number % 4 < 2).select(
+        number.alias("request_id"), F.explode(F.sequence(F.lit(1), (number % 3 + 1).cast("int"))).alias("attempt"),
+        F.when(number % 4 == 1, F.lit("2024-01-03")).otherwise("2024-01-02").cast("timestamp").alias("lease_until"),
+    )
+    done = t.ci_runs.filter(number % 11 == 0).select(number.alias("request_id"))
+    now = F.lit("2024-01-02").cast("timestamp")
+    leased = requests.hand_out(asked.union(asked), tried, done, ["a", "b", "c"], now, 3600)
+    return leased.withColumns({c: F.unix_timestamp(c) for c in ("leased_at", "lease_until")})
