@@ -3,7 +3,8 @@
 Toxic documents go, one document of each near-duplicate group stays, documents
 that hold benchmark items go, live secrets are blotted out, and what is left
 is packed into training sequences. Each stage's table is written and read by
-the next, so a lost executor never costs more than a part of one stage.
+the next, so a lost executor never costs more than a part of one stage. Ahead
+of each stage the Python workers give back what the stage before it has left.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 
 from buildmend.llm import decontamination, near_dedup, packing, secrets, toxicity
 from buildmend.llm.common import fold, table
+from buildmend.llm.workers import relieve
 from buildmend.session import durable
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -23,6 +25,7 @@ BLOT = "[secret]"
 
 def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are not predicted toxic. Null texts stay; repeated rows stay."""
+    relieve(spark)
     known = toxicity.scored(docs, table(spark, sf_dir, "labels"), fold("doc_id", 4) != 2, keep=COLUMNS)
     return known.filter("predicted = 0").select(COLUMNS)
 
@@ -33,6 +36,7 @@ def single(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Texts without words are linked with nothing and stay. Rows that repeat an
     id and a text are one document.
     """
+    relieve(spark)
     groups = near_dedup.near_duplicates(docs, k=5, percent=80)
     kept = durable(groups.filter(F.col("kept") | (F.col("n_shingles") == 0)).groupBy("doc_id", "text_key").agg(F.count("*").alias("times")))
     kept = kept.select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), "times")
@@ -46,6 +50,7 @@ def single(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def unseen(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a benchmark item. Null texts stay; repeated rows stay."""
+    relieve(spark)
     known = decontamination.leaks(docs.select(COLUMNS), table(spark, sf_dir, "benchmark"), flag="_leak", keep=COLUMNS)
     return known.filter(~F.col("_leak")).select(COLUMNS)
 
@@ -55,6 +60,7 @@ def discreet(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Credentials that many owners have are examples and stay. Null texts stay null.
     """
+    relieve(spark)
     found = secrets.secrets(docs, repo=F.concat_ws("/", "source", "lang"), owner=F.col("source"))
     live = F.transform(F.filter(F.split("spans", ","), lambda s: s.startswith("live:")), lambda s: F.struct(
         F.split(s, ":")[1].cast("int").alias("start"), F.split(s, ":")[2].cast("int").alias("end")
@@ -77,6 +83,7 @@ def discreet(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of training sequences, mixed by source."""
+    relieve(spark)
     return packing.packed(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
