@@ -31,8 +31,8 @@ END = re.compile("[" + ENDS.decode() + "]")
 LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ" + ENDS + b"\t", b"abcdefghijklmnopqrstuvwxyz" + b"\n" * len(ENDS) + b" ")
 #: Characters of text that a task cuts into words at a time.
 TEXT_CHARS = 2 << 20
-#: Ranges of phrases for each shuffle partition, and phrases that are looked at to choose each.
-RANGES, LOOKS = 4, 8
+#: Ranges of phrases for each shuffle partition, the least number of all, and phrases that are looked at to choose each.
+RANGES, LEAST_RANGES, LOOKS = 4, 1024, 8
 #: Words that have a code of two bytes; most words of edges that a task sums for longer, and how many of these it holds.
 CODES, SMALL, HELD = 1 << 15, 2, 300_000
 #: What stands for a null language.
@@ -206,7 +206,7 @@ def looked_at(given: DataFrame, longest: int) -> tuple[list[bytes], list[bytes]]
 
     They decide where an edge is summed, how many bytes it takes, and nothing else.
     """
-    parts = RANGES * int(given.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = max(LEAST_RANGES, RANGES * int(given.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     texts = 2 + parts
     places = 1 + 2 * parts * LOOKS // texts
 
