@@ -9,6 +9,7 @@ below a dropped one.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from functools import lru_cache
 from html import unescape
 
@@ -32,6 +33,7 @@ PIECES = re.compile(r"[a-z]+|[A-Z][a-z]*|[A-Z]+(?![a-z])")
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 HIDDEN = set("script style noscript template head title iframe object svg canvas audio video map button select option textarea datalist math".split())
 RAW = set("script style title textarea noscript iframe".split())
+FOREIGN = {"svg", "math"}
 INLINE = set(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var".split()
 )
@@ -71,16 +73,57 @@ class Node:
         return " ".join("".join(map(unescape, self.parts)).split())
 
 
+class RawEnds:
+    """Where elements end whose inside is no markup; a kind that has no end tag ahead is not looked for again."""
+
+    def __init__(self, html: str):
+        self.html = html
+        self.ended: dict[str, re.Match | None] = {}
+
+    def after(self, tag: str, at: int) -> int:
+        """The place behind the end tag; without one a script or style goes on to the end of the page, others are passed over."""
+        m = self.ended.get(tag, False)
+        if m is False or m is not None and m.start() < at:
+            m = self.ended[tag] = re.compile(f"</{tag}[^>]*>?", re.I | re.A).search(self.html, at)
+        if m is not None:
+            return m.end()
+        return len(self.html) if tag in ("script", "style") else at
+
+
+def closed(html: str, tag: str, at: int, raw: RawEnds) -> dict[int, int]:
+    """For each element of a kind from ``at`` on, by where its start tag ends: where its end tag ends. Unclosed ones are left out."""
+    out: dict[int, int] = {}
+    open_: list[int] = []
+    while at < len(html):
+        m = PART.match(html, at)
+        at = m.end()
+        if not m["tag"]:
+            continue
+        name = m["tag"].lower()
+        if name == tag and m["end"]:
+            if open_:
+                out[open_.pop()] = at
+        elif name == tag:
+            if not (tag in FOREIGN and (m["attrs"] or "").endswith("/")):
+                open_.append(at)
+        elif name in RAW and not m["end"]:
+            at = raw.after(name, at)
+    return out
+
+
 def parse(html: str) -> Node:
     """Tree of block nodes. Text between blocks becomes a ``#text`` node of its own.
 
     Open elements are kept by name; a stray end tag is passed over, and an
-    unfinished tag or comment at the end is markup and dropped.
+    unfinished tag or comment at the end is markup and dropped. The ends of all
+    hidden elements of a kind are found in one pass over the page.
     """
     root = Node("body", "", None)
     stack: list[tuple[str, Node | None]] = [("", root)]  # inline elements carry None
     block, line, anchors = root, None, 0
-    low = None
+    opened: Counter[str] = Counter()
+    ends: dict[str, dict[int, int]] = {}
+    raw = RawEnds(html)
     at, n = 0, len(html)
 
     def target() -> Node:
@@ -94,6 +137,7 @@ def parse(html: str) -> Node:
         nonlocal block, line, anchors
         for tag, node in stack[to:]:
             anchors -= tag == "a"
+            opened[tag] -= 1
             if node is not None:
                 line = None
         del stack[to:]
@@ -112,7 +156,7 @@ def parse(html: str) -> Node:
             continue
         tag = tag.lower()
         if m["end"]:
-            for k in range(len(stack) - 1, 0, -1):
+            for k in range(0) if not opened[tag] else range(len(stack) - 1, 0, -1):
                 if stack[k][0] == tag:
                     pop(k)
                     break
@@ -125,23 +169,11 @@ def parse(html: str) -> Node:
             continue
         if tag in HIDDEN:
             if tag in RAW:
-                low = html.lower() if low is None and len(html.lower()) == n else low
-                found = low.find(f"</{tag}", at) if low is not None else html.find(f"</{tag}", at)
-                if found < 0:
-                    at = n if tag in ("script", "style") else at
-                else:
-                    closed = html.find(">", found)
-                    at = n if closed < 0 else closed + 1
-                continue
-            if tag == "head":
-                continue
-            depth, scan = 1, at
-            while depth and scan < n:
-                x = PART.match(html, scan)
-                scan = x.end()
-                if x["tag"] and x["tag"].lower() == tag:
-                    depth += -1 if x["end"] else 1
-            at = scan if not depth else at
+                at = raw.after(tag, at)
+            elif tag != "head" and not (tag in FOREIGN and (m["attrs"] or "").endswith("/")):
+                if tag not in ends:
+                    ends[tag] = closed(html, tag, m.start(), raw)
+                at = ends[tag].get(at, at)
             continue
         if tag in VOID:
             if tag == "hr":
@@ -149,6 +181,7 @@ def parse(html: str) -> Node:
             continue
         if tag in INLINE:
             stack.append((tag, None))
+            opened[tag] += 1
             anchors += tag == "a"
             continue
         if tag in ("html", "body"):
@@ -171,6 +204,7 @@ def parse(html: str) -> Node:
         node = Node(tag, m["attrs"] or "", block)
         block.children.append(node)
         stack.append((tag, node))
+        opened[tag] += 1
         block, line = node, None
     return root
 

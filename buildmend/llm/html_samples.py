@@ -58,13 +58,28 @@ class Maker:
     def advert(self) -> str:
         return self.box(self.rng.choice(["", "<p>"]) + self.words(self.rng.randint(2, 25)), "aside", ["ad", "ads", "advert", "banner", "promo", "sponsored", "ad-slot"])
 
+    def part(self) -> str:
+        """A section of the article, whose name may be one that boxes around articles have too."""
+        rng = self.rng
+        named = rng.choice(["", "related-work", "contact", "side-effects", "top-level", "legal-notes", "reviews", "discussion", "social-studies", "advert-history"])
+        head = f"<h2>✓{self.words(rng.randint(1, 5))}</h2>" if rng.random() < 0.7 else ""
+        inner = head + "".join(self.prose(5) for _ in range(rng.randint(1, 4)))
+        return f'<section class="{named}">{inner}</section>' if named else f"<{(tag := rng.choice(['section', 'div']))}>{inner}</{tag}>"
+
+    def code(self) -> str:
+        lines = "\n".join(f"{self.words(2).rstrip('.')} = {self.rng.randint(0, 99)};" for _ in range(self.rng.randint(1, 8)))
+        return f"<pre>✓{lines}</pre>" if self.rng.random() < 0.6 else f"<pre><code>✓{lines}</code></pre>"
+
     def content(self) -> str:
         rng = self.rng
-        parts = [f"<h1>✓{self.words(rng.randint(2, 12))}</h1>"] if rng.random() < 0.85 else []
+        parts = [f"<h1>✓{self.words(rng.randint(1, 12))}</h1>"] if rng.random() < 0.85 else []
+        if parts and rng.random() < 0.25:
+            parts = [f"<div>{parts[0]}</div>"]
         if rng.random() < 0.2:
             parts.append(self.box(self.words(4), "div", ["byline", "meta", "date", "share", "social"]))
-        for _ in range(rng.choice([1, 2, rng.randint(3, 16)])):
-            parts.append(self.prose())
+        long = rng.random() < 0.06
+        for _ in range(rng.randint(20, 150) if long else rng.choice([1, 2, rng.randint(3, 16)])):
+            parts.append(self.prose(1, 12 if long and rng.random() < 0.5 else 120))
             chance = rng.random()
             if chance < 0.07:
                 parts.append(f"<h2>✓{self.words(4)}</h2>")
@@ -78,6 +93,10 @@ class Maker:
                 parts.append(f"<table><tr><td>✓{self.words(3)}</td><td>✓{self.words(3)}</td></tr></table>")
             elif chance < 0.22:
                 parts.append(f"<figure><figcaption>✓{self.words(8)}</figcaption></figure>")
+            elif chance < 0.25:
+                parts.append(self.code())
+            elif chance < 0.28:
+                parts.append(self.part())
         inner = "".join(parts)
         if rng.random() < 0.12:
             inner = f"<header>{parts[0]}</header>" + "".join(parts[1:])
@@ -104,6 +123,8 @@ class Maker:
         side = self.box(f"<h3>{self.words(2)}</h3>" + rng.choice([self.links(rng.randint(2, 7)), self.prose(5, 30, "")]), "aside", ["sidebar", "side", "widget", "related", "popular"])
         if rng.random() < 0.25:
             parts.append(side)
+        if rng.random() < 0.15:
+            parts.append(f"<div><h1>✓{self.words(rng.randint(2, 12))}</h1></div>")
         parts.append(self.content())
         if rng.random() < 0.35:
             parts.append(self.comments())

@@ -62,15 +62,16 @@ def looks_random(value: str) -> bool:
     )
 
 
-#: Words on one side of a value by which copies of a document are known, and characters that are read for them.
-AROUND, READ = 3, 200
+#: Words on one side of a value by which copies of a document are known, the least number where the text ends before, and
+#: characters that are read for them. Snippets that are quoted with fewer words do not make a copy.
+AROUND, FEWEST, READ = 8, 3, 400
 
 
 def sides(text: str, start: int, end: int) -> tuple[str | None, str | None]:
     """Hashes of the words ahead of and behind a place; None where there are too few to tell copies."""
     before = re.findall(r"\w+", text[max(0, start - READ) : start].lower())[-AROUND:]
     after = re.findall(r"\w+", text[end : end + READ].lower())[:AROUND]
-    return tuple(hashlib.md5(" ".join(w).encode("utf-8", "surrogatepass")).hexdigest() if len(w) == AROUND else None for w in (before, after))
+    return tuple(hashlib.md5(" ".join(w).encode("utf-8", "surrogatepass")).hexdigest() if len(w) >= FEWEST else None for w in (before, after))
 
 
 def found_in(text: str) -> list[dict]:
@@ -148,7 +149,8 @@ def secrets(
     A value is live if it looks random and has at most ``max_owners`` distinct
     owners and, where given, ``max_repos`` distinct repositories; a null owner
     or repository is not counted. With ``fold`` copies of a document, and near
-    copies with the same ``AROUND`` words ahead of the value or behind it, count
+    copies with the same ``AROUND`` words ahead of the value or behind it (or all
+    words to the text's end, where these are fewer), count
     once, whoever owns them; near copies edited on both sides count each. Null and empty texts have no spans. Repeated rows are
     scanned each and count once for a value. An empty table gives no rows.
     Only the named columns are read, so extra columns cannot clash.

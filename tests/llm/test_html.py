@@ -80,3 +80,41 @@ def test_markup(model):
     assert text_of(page, model) == (
         "A & B é\nOne, two three bold <tag> and more of it, all in one long line of words. next line\nSecond block of the text, quite long as well."
     )
+
+
+def test_no_paragraph_of_a_given_page_is_lost(model):
+    import pyarrow.parquet as pq
+
+    pages = [p for p in pq.read_table("/root/testdata/sf0.1/pages.parquet", columns=["html"]).column(0).to_pylist() if p]
+    assert [i for i, p in enumerate(pages) if text_of(p, model) != expected(p)] == []
+
+
+LINE = "One two three of a long line, with many words in it and some more. "
+
+
+def test_code_headings_and_sections_of_an_article_stay(model):
+    page = (
+        f"<body><nav><ul><li><a href=x>no</a></ul></nav><article><h1>Head of it all</h1><p>{LINE * 3}</p><pre>code = 1</pre>"
+        f"<section class='related-work'><h2>Related</h2><p>{LINE * 3}</p></section><section class='contact'><p>{LINE}</p></section></article><footer>no</footer></body>"
+    )
+    kept = text_of(page, model).split("\n")
+    assert {"Head of it all", "code = 1", "Related"} <= set(kept) and kept.count((LINE * 3).strip()) == 2 and kept[-1] == LINE.strip()
+
+
+@pytest.mark.parametrize(("page", "want"), [
+    ("<button>a<button>b</button>c</button><p>d", "d"), ("<button>a<p>b", "a\nb"), ("<button>a<button>b</button><p>c", "a\nc"),
+    ("<svg/><p>a</p><svg><text>no</text></svg>", "a"), ("<svg><style></svg></style>no</svg><p>a", "a"), ("<textarea>a<p>b", "a\nb"),
+    ("<script>no", ""), ("<SCRIPT>no</script ><p>a", "a"), ("<select><option>no</select>a", "a"),
+])
+def test_hidden_elements(page, want):
+    nodes = H.measured(H.parse(page))
+    assert H.main_text(nodes, [True] * len(nodes)) == want
+
+
+@pytest.mark.parametrize("part", ["<button>", "<svg/>", "<select>", "<textarea>", "<object><b>", "</div>"])
+def test_unclosed_elements_take_linear_time(part):
+    import time
+
+    started = time.process_time()
+    assert H.parse(part * 100_000 + "<p>x")
+    assert time.process_time() - started < 10

@@ -78,6 +78,13 @@ def test_copies_of_one_document_keep_its_secret_live(spark):
     assert [{got[at + i] for i in range(n)} for at, n in ((0, 30), (100, 30), (200, 30), (300, 4))] == [{(1, 0)}, {(1, 0)}, {(0, 1)}, {(1, 0)}]
 
 
+def test_a_snippet_that_is_quoted_with_a_few_words_is_an_example(spark):
+    value = "q7w8e9r1t2y3u4i5"
+    rows = [(i, f'page{i} a{i} b{i} c{i} d{i} e{i} please set your token = "{value}" f{i} g{i} h{i} i{i}', f"o{i}") for i in range(500)]
+    got = secrets.secrets(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    assert len(got) == 500 and {(r["n_live"], r["n_example"]) for r in got} == {(0, 1)}
+
+
 def brute_licence(text):
     text = re.sub("[A-Z]", lambda m: m[0].lower(), text)
     words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", text)
