@@ -46,6 +46,22 @@ def jsonl_round_trip(t):
     return t.spark.read.schema("id bigint, fix_diff string, language string").json(folder).select("id", "language", "fix_diff")
 
 
+@query(
+    "jsonl_append_repeated", ["ci_pairs"],
+    sql="SELECT id, language, fix_diff, CASE WHEN has_fix THEN 'fixed' ELSE 'open' END AS batch FROM ci_pairs",
+)
+def jsonl_append_repeated(t):
+    """Two batches, each appended twice, the first of them after an attempt that was ended."""
+    folder = scratch_path(t.spark, "batches")
+    fixed = F.coalesce("has_fix", F.lit(False))
+    kept = t.ci_pairs.select("id", "language", "fix_diff", fixed.alias("fixed"))
+    kept.select("id").write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", False).json(f"{folder}/batch=fixed")
+    for _ in range(2):
+        jsonl.append_batch(kept.filter("fixed").drop("fixed"), folder, "fixed")
+        jsonl.append_batch(kept.filter("NOT fixed").drop("fixed"), folder, "open")
+    return jsonl.read_batches(t.spark, folder, "id bigint, language string, fix_diff string")
+
+
 @query(
     "normalize_records", ["ci_pairs", "gitlab_pipelines", "travis_builds"],
     sql="""SELECT CAST(id AS VARCHAR) AS id, source, repo, language, 'github_actions' AS ci_platform, failing_sha, NULL AS fix_sha, ci_log, has_fix FROM ci_pairs

@@ -229,3 +229,23 @@ def test_rewards(spark):
     stats = bench.reward_stats(out).first()
     assert (stats.n, stats.max_reward, stats.min_reward, stats.nonzero) == (8, 1.1, 0.0, 4)
     assert stats.mean_reward == pytest.approx(2.9 / 8)
+
+
+def test_a_batch_that_is_ended_and_repeated_adds_its_rows_once(spark, tmp_path):
+    path, schema = str(tmp_path / "out"), "id long, s string"
+    rows = spark.createDataFrame([(i, None if i % 3 else f"s{i}") for i in range(50)], schema)
+    assert jsonl.read_batches(spark, path, schema).count() == 0
+    fails = rows.select(F.when(F.col("id") == 49, F.raise_error(F.lit("ended"))).otherwise(F.col("id")).cast("long").alias("id"), "s").repartition(4, "id")
+    with pytest.raises(Exception, match="ended"):
+        jsonl.append_batch(fails, path, "b-1")
+    # What an attempt leaves that died while its files were moved.
+    (tmp_path / "out" / "batch=b-1").mkdir(parents=True, exist_ok=True)
+    (tmp_path / "out" / "batch=b-1" / "part-00000-x.json").write_text('{"id": 7}\n')
+    assert jsonl.read_batches(spark, path, schema).count() == 0
+    assert jsonl.append_batch(rows, path, "b-1") and not jsonl.append_batch(rows, path, "b-1")
+    assert jsonl.append_batch(rows.limit(0), path, "none") and not jsonl.append_batch(rows, path, "none")
+    assert jsonl.append_batch(rows.filter("id < 5"), path, "b.2")
+    got = sorted((r.batch, r.id, r.s or "") for r in jsonl.read_batches(spark, path, schema).collect())
+    assert got == sorted([("b-1", r.id, r.s or "") for r in rows.collect()] + [("b.2", r.id, r.s or "") for r in rows.collect() if r.id < 5])
+    with pytest.raises(ValueError):
+        jsonl.append_batch(rows, path, "a/b")
