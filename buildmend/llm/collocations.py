@@ -92,6 +92,26 @@ def binaries(letters: np.ndarray, offsets: np.ndarray) -> pa.Array:
     return pa.BinaryArray.from_buffers(pa.binary(), len(offsets) - 1, [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(letters)])
 
 
+def led(keys: pa.Array) -> np.ndarray:
+    """The first eight bytes of each key as a number, with zeros behind short keys."""
+    at = np.frombuffer(keys.buffers()[1], dtype=np.int32)[keys.offset : keys.offset + len(keys) + 1].astype(np.int64) if len(keys) else np.zeros(1, dtype=np.int64)
+    held = np.concatenate([np.frombuffer(keys.buffers()[2] or b"", dtype=np.uint8), np.zeros(8, dtype=np.uint8)])
+    heads = np.zeros(len(keys), dtype=np.uint64)
+    size = np.diff(at)
+    for k in range(8):
+        heads = heads << np.uint64(8) | np.where(size > k, held[at[:-1] + np.minimum(k, size)], 0).astype(np.uint64)
+    return heads
+
+
+def placed(keys: pa.Array, splitters: list[bytes], heads: np.ndarray) -> np.ndarray:
+    """How many splitters are not above each key; only keys that begin as a splitter does are compared whole."""
+    own = led(keys)
+    out, upto = np.searchsorted(heads, own, "left"), np.searchsorted(heads, own, "right")
+    alike = np.flatnonzero(out < upto)
+    out[alike] = [bisect_right(splitters, key, a, b) for key, a, b in zip(keys.take(pa.array(alike)).to_pylist(), out[alike].tolist(), upto[alike].tolist())]
+    return out
+
+
 def decoded(keys: pa.Array, longest: int, table: list[bytes]) -> tuple[np.ndarray, list[bytes]]:
     """Numbers of the language and the words of each key (-1 behind its end), and what they stand for."""
     at = np.frombuffer(keys.buffers()[1], dtype=np.int32)[keys.offset : keys.offset + len(keys) + 1].astype(np.int64)
@@ -173,11 +193,10 @@ def edges(given: DataFrame, longest: int, splitters: list[bytes], table: list[by
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         splitters, table = sent.value
-        codes, held = coded(table), {}
+        codes, held, heads = coded(table), {}, led(pa.array(splitters, pa.binary()))
 
         def told(keys: pa.Array, n: list[int] | np.ndarray) -> pa.RecordBatch:
-            parts = [bisect_right(splitters, key) for key in keys.to_pylist()]
-            return pa.RecordBatch.from_arrays([pa.array(parts, pa.int32()), keys, pa.array(n, pa.int64())], names=["part", "key", "n"])
+            return pa.RecordBatch.from_arrays([pa.array(placed(keys, splitters, heads), pa.int32()), keys, pa.array(n, pa.int64())], names=["part", "key", "n"])
 
         def all_held() -> pa.RecordBatch:
             return told(pa.array(held, pa.binary()), list(held.values()))

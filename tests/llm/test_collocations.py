@@ -140,3 +140,16 @@ def test_words_below_a_blank_come_back(spark):
     docs = spark.createDataFrame([(text, "en")], "text string, lang string")
     assert rows_of(collocations.collocations(docs, least=6, share=101)) == plain([(text, "en")], 6, share=101)
     assert rows_of(collocations.collocations(docs, least=6)) == plain([(text, "en")], 6)
+
+
+def test_places_of_keys_equal_those_by_whole_comparison():
+    import random
+    from bisect import bisect_right
+
+    rng = random.Random(5)
+    keys = [bytes(rng.choices([0, 1, 128, 255], k=rng.randint(0, 12))) for _ in range(5000)] + [b"", b"\0", b"\0" * 8, b"\0" * 9]
+    for some in ([], [b""], sorted(set(rng.sample(keys, 300)))):
+        got = collocations.placed(pa.array(keys, pa.binary()), some, collocations.led(pa.array(some, pa.binary())))
+        assert got.tolist() == [bisect_right(some, k) for k in keys]
+    cut = pa.array(keys, pa.binary()).slice(7, 100)
+    assert collocations.placed(cut, [b"\x80"], collocations.led(pa.array([b"\x80"], pa.binary()))).tolist() == [bisect_right([b"\x80"], k) for k in keys[7:107]]
