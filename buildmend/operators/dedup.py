@@ -17,8 +17,14 @@ How it scales:
   far and then within itself. Of a hot group only what is kept goes on, so its
   pairs are never listed, and the number of passes grows with the logarithm of
   the table, not with any group or bucket.
+* A pair that meets goes on only if the places of its shared words leave room
+  for enough of them (positional filter): first at each shared word, in the join
+  itself, then by all shared leading words together. Independent records that
+  share one common word end here and are never fetched.
 * Every comparison is checked on the whole word sets. Joins are between tables,
   so that a hot word is split over tasks.
+* New records are compared with a stored index of what is kept (`add_increment`),
+  never with the texts of the corpus.
 """
 
 from __future__ import annotations
@@ -33,6 +39,7 @@ from pyspark.sql.types import ArrayType, LongType
 
 from buildmend.functions.text import text_or_empty, words
 from buildmend.session import durable
+from buildmend.sources.marks import named, whole
 
 THRESHOLD = 0.85
 SEED = 42
@@ -90,9 +97,12 @@ def slot_counts(sets: DataFrame) -> np.ndarray:
     return counts
 
 
-def leading_words(sets: DataFrame, threshold: float) -> Column:
-    """The rarest words of each record, as many as a similar record cannot do without."""
-    counts = sets.sparkSession.sparkContext.broadcast(slot_counts(sets))
+def leading_words(sets: DataFrame, threshold: float, known: np.ndarray | None = None) -> Column:
+    """The rarest words of each record, as many as a similar record cannot do without, rarest first.
+
+    ``known`` are slot counts of another table; any counts lose no pair.
+    """
+    counts = sets.sparkSession.sparkContext.broadcast(slot_counts(sets) if known is None else known)
 
     @F.pandas_udf(ArrayType(LongType()))
     def rarest(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -113,29 +123,59 @@ def leading_words(sets: DataFrame, threshold: float) -> Column:
 
 
 def meeting_places(sets: DataFrame, threshold: float) -> DataFrame:
-    """(ord, n_words, bucket, same_id) of the records that share a bucket with others."""
-    by_word = sets.select("ord", "n_words", F.explode(leading_words(sets, threshold)).alias("bucket"), F.lit(False).alias("same_id"))
-    by_id = sets.filter("again").select("ord", "n_words", F.xxhash64("id").alias("bucket"), F.lit(True).alias("same_id"))
+    """(ord, n_words, at, bucket, same_id) of the records that share a bucket with others; ``at`` is a word's rank."""
+    by_word = sets.select("ord", "n_words", F.posexplode(leading_words(sets, threshold)).alias("at", "bucket"), F.lit(False).alias("same_id"))
+    by_id = sets.filter("again").select("ord", "n_words", F.lit(0).alias("at"), F.xxhash64("id").alias("bucket"), F.lit(True).alias("same_id"))
     places = durable(by_word.unionByName(by_id))
     shared = durable(places.groupBy("bucket", "same_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n"))
     return durable(places.join(shared, ["bucket", "same_id"], "left_semi"))
 
 
-def similar(later: DataFrame, earlier: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
-    """Edges (ord, earlier, similarity) between records that meet, checked on whole sets."""
-    other = earlier.select("bucket", "same_id", F.col("ord").alias("earlier"), F.col("n_words").alias("n_earlier"))
+def pairs_met(later: DataFrame, earlier: DataFrame, threshold: float, backward: bool = True) -> DataFrame:
+    """Pairs (ord, earlier, same_id) that share a leading word or an id and may be similar by sizes and places.
+
+    Sets of x and y words are similar only if they share ``t / (1 + t) * (x + y)``
+    words. Of a shared word at ranks i and j at most ``least(i, j)`` shared ones
+    come before and ``least(x - i, y - j) - 1`` behind; after the last of s
+    shared leading words only ``least(x - i, y - j) - 1`` can be added to s.
+    """
+    other = earlier.select(
+        "bucket", "same_id", F.col("ord").alias("earlier"), F.col("n_words").alias("n_earlier"), F.col("at").alias("at_earlier")
+    )
     small, large = F.least("n_words", "n_earlier"), F.greatest("n_words", "n_earlier")
-    met = (
+    needed = (F.col("n_words") + F.col("n_earlier")) * (threshold / (1 + threshold)) - 1e-6
+    behind = F.least(F.col("n_words") - F.col("at"), F.col("n_earlier") - F.col("at_earlier")) - 1
+    # Records without words have a place without a word.
+    room = (large == 0) | (F.least("at", "at_earlier") + 1 + behind >= needed)
+    before = (F.col("earlier") < F.col("ord")) if backward else F.lit(True)
+    return (
         later.join(other, ["bucket", "same_id"])
-        .filter((F.col("earlier") < F.col("ord")) & (F.col("same_id") | (small >= large * threshold)))
+        .filter(before & (F.col("same_id") | ((small >= large * threshold) & room)))
         .groupBy("ord", "earlier")
-        .agg(F.max("same_id").alias("same_id"))
+        .agg(
+            F.max("same_id").alias("same_id"),
+            F.count_if(~F.col("same_id")).alias("shared"),
+            F.min(F.when(~F.col("same_id"), behind)).alias("behind"),
+            F.first(needed).alias("needed"),
+            F.first(large == 0).alias("bare"),
+        )
+        .filter(F.col("same_id") | F.col("bare") | (F.col("shared") + F.col("behind") >= F.col("needed")))
+        .select("ord", "earlier", "same_id")
     )
+
+
+def similarity_of(a: str, b: str) -> Column:
+    shared = F.size(F.array_intersect(a, b))
+    either = F.size(a) + F.size(b) - shared
+    return F.when(either == 0, 1.0).otherwise(shared / either)
+
+
+def similar(later: DataFrame, earlier: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """Edges (ord, earlier, similarity) between records that meet, checked on whole sets."""
+    met = pairs_met(later, earlier, threshold)
     ours = sets.select("ord", F.col("words").alias("a"))
     theirs = sets.select(F.col("ord").alias("earlier"), F.col("words").alias("b"))
-    shared = F.size(F.array_intersect("a", "b"))
-    either = F.size("a") + F.size("b") - shared
-    similarity = F.when(either == 0, 1.0).otherwise(shared / either)
+    similarity = similarity_of("a", "b")
     edges = met.join(ours, "ord").join(theirs, "earlier").select("ord", "earlier", "same_id", similarity.alias("similarity"))
     return durable(edges.filter(F.col("same_id") | (F.col("similarity") >= threshold)).drop("same_id"))
 
@@ -200,11 +240,20 @@ def decide(
 ) -> tuple[DataFrame, DataFrame]:
     """All records (ord, id, set_key), and the decisions on the folded ones
     (ord, set_key, state, kept_ord, similarity)."""
+    return decide_sets(durable(word_sets(df, key, order, text)), threshold, batch_rows)
+
+
+def word_sets(df: DataFrame, key: str, order: list[str] | None, text: list[str]) -> DataFrame:
+    """Records as (ord, id, words, set_key)."""
     ord_col = place(order or [key])
     content = F.concat(*[text_or_empty(F.col(c)) for c in text])
     worded = df.select(ord_col.alias("ord"), F.col(key).alias("id"), hashed_words(content).alias("words"))
     set_key = F.concat_ws("-", F.xxhash64("words"), F.xxhash64(F.lit(SEED), "words"), F.size("words"))
-    records = durable(worded.withColumn("set_key", set_key))
+    return worded.withColumn("set_key", set_key)
+
+
+def decide_sets(records: DataFrame, threshold: float, batch_rows: int = BATCH_ROWS) -> tuple[DataFrame, DataFrame]:
+    """As `decide`, from a table of word sets."""
     sets = durable(records.join(distinct_sets(records), "ord").withColumn("n_words", F.size("words")))
 
     places = meeting_places(sets, threshold)
@@ -298,3 +347,82 @@ def dedup_counts(decisions: DataFrame) -> DataFrame:
         F.count_if("kept").alias("n_kept"),
         F.count_if(~F.col("kept")).alias("n_removed"),
     )
+
+
+# -- increments ---------------------------------------------------------------
+
+def index_batches(spark, index: str) -> DataFrame | None:
+    """What the index holds, of increments that were written whole: (ord, id, set_key, n_words, words, leading, batch)."""
+    folders = whole(spark, f"{index.rstrip('/')}/batch=*")
+    return spark.read.option("basePath", index).parquet(*folders) if folders else None
+
+
+def stored_counts(sets: DataFrame, index: str) -> np.ndarray:
+    """Slot counts that order words in this index, from its first increment on."""
+    spark, folder = sets.sparkSession, f"{index.rstrip('/')}/counts"
+    if not whole(spark, folder):
+        slot = F.pmod("word", F.lit(SLOTS)).cast("int").alias("slot")
+        seen = sets.select(F.explode("words").alias("word")).groupBy(slot).agg(F.count(F.lit(1)).alias("n"))
+        named(seen, folder)
+    counts = np.zeros(SLOTS, dtype=np.int64)
+    for r in spark.read.schema("slot int, n long").parquet(folder).toLocalIterator():
+        counts[r["slot"]] = r["n"]
+    return counts
+
+
+def add_increment(
+    df: DataFrame,
+    index: str,
+    batch: str,
+    key: str = "id",
+    order: list[str] | None = None,
+    text: list[str] = ["ci_log", "fix_diff"],
+    threshold: float = THRESHOLD,
+    batch_rows: int = BATCH_ROWS,
+) -> DataFrame:
+    """The records of an increment that stay, given all that is kept from earlier increments.
+
+    ``index`` is a folder that holds the ids, word hashes and leading words of
+    kept records, never their texts; its first increment fixes the order of
+    words, which every later one uses. Increments whose orders follow one
+    another keep what one run over all of them keeps. Where orders overlap, what
+    is kept stays kept.
+
+    A record that repeats a kept one by id or by words goes first: it can
+    remove nothing. What is left decides among itself. An increment counts
+    once its part of the index is written whole; repeating it, also after it
+    was killed, gives the same rows again and adds nothing twice. One increment
+    at a time; ``key``, ``order``, ``text`` and ``threshold`` are those of the
+    whole index. An empty increment is one too.
+    """
+    spark, order = df.sparkSession, order or [key]
+    folder = f"{index.rstrip('/')}/batch={batch}"
+    if not whole(spark, folder):
+        records = durable(word_sets(df, key, order, text))
+        counts = stored_counts(records, index)
+        held = index_batches(spark, index)
+        if held is not None:
+            records = durable(unlike(records, held, counts, threshold))
+        _, state = decide_sets(records, threshold, batch_rows)
+        kept = state.filter(F.col("state") == "keep").select("ord")
+        fresh = records.join(kept, "ord", "left_semi").withColumn("n_words", F.size("words"))
+        named(fresh.withColumn("leading", leading_words(fresh, threshold, counts)), folder)
+    kept = spark.read.parquet(folder).select("ord")
+    return df.join(kept.select(*[part_of("ord", order, c).alias(c) for c in order]), order, "left_semi")
+
+
+def unlike(records: DataFrame, held: DataFrame, counts: np.ndarray, threshold: float) -> DataFrame:
+    """Those of the records that repeat nothing in the index, by id or by words."""
+    fresh = records.join(held.select("id"), "id", "left_anti")
+    sets = fresh.groupBy("set_key").agg(F.min("ord").alias("ord"), F.first("words").alias("words"))
+    sets = durable(sets.join(held.select("set_key"), "set_key", "left_anti").withColumn("n_words", F.size("words")))
+    no = F.lit(False).alias("same_id")
+    ours = durable(sets.select("ord", "n_words", F.posexplode(leading_words(sets, threshold, counts)).alias("at", "bucket"), no))
+    theirs = held.select("ord", "n_words", F.posexplode("leading").alias("at", "bucket"), no)
+    met = durable(pairs_met(ours, theirs, threshold, backward=False))
+    # Whole sets are fetched only for records that were met.
+    a = sets.select("ord", F.col("words").alias("a"))
+    b = held.select(F.col("ord").alias("earlier"), F.col("words").alias("b"))
+    gone = met.join(a, "ord").join(b, "earlier").filter(similarity_of("a", "b") >= threshold).select("ord").distinct()
+    stays = durable(sets.select("set_key", "ord").join(gone, "ord", "left_anti").select("set_key"))
+    return fresh.join(stays, "set_key", "left_semi")

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from buildmend.sources.marks import MARK, whole
 
 # Files as they land, and as Spark itself writes them.
 JSONL_FILES = "*.{jsonl,json}"
@@ -56,28 +57,21 @@ def append_batch(df: DataFrame, path: str, batch: str) -> bool:
     if not re.fullmatch(r"[\w.-]+", batch, re.A):
         raise ValueError("a batch is named by letters, digits, '_', '.' and '-'")
     folder = f"{path.rstrip('/')}/batch={batch}"
-    if _marked(df.sparkSession, folder):
+    if whole(df.sparkSession, folder):
         return False
-    df.write.mode("overwrite").option("mapreduce.fileoutputcommitter.marksuccessfuljobs", True).json(folder)
+    df.write.mode("overwrite").option(MARK, True).json(folder)
     return True
 
 
 def read_batches(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
     """Rows of all batches that were written whole, with their ``batch``; others, begun and not ended, are passed over."""
-    folders = _marked(spark, f"{path.rstrip('/')}/batch=*")
+    folders = whole(spark, f"{path.rstrip('/')}/batch=*")
     reader = spark.read.schema(schema).option("mode", "DROPMALFORMED")
     df = reader.json(folders) if folders else spark.createDataFrame([], schema)
     name = F.regexp_extract(F.col("_metadata.file_path"), "/batch=([^/]+)/[^/]*$", 1) if folders else F.lit("")
     return df.withColumn("batch", name)
 
 
-def _marked(spark: SparkSession, folders: str) -> list[str]:
-    """Those of the folders that Spark has marked as written whole."""
-    mark = spark._jvm.org.apache.hadoop.fs.Path(f"{folders}/_SUCCESS")
-    found = mark.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(mark)
-    return sorted(str(f.getPath().getParent()) for f in found or [])
-
-
 def read_json_files(spark: SparkSession, path: str, schema: StructType | str, files: str = "*.json") -> DataFrame:
     """The record or list of records of each file below ``path``, as bench cases are kept."""
     return (

@@ -203,6 +203,21 @@ def near_dedup(t):
     return dedup.near_dedup(t.ci_pairs).select("id", "repo", F.length("ci_log").alias("log_chars"))
 
 
+@query(
+    "near_dedup_increments", ["ci_pairs"], recursive=True, steps=DEDUP_STEPS,
+    sql="SELECT id, repo FROM ci_pairs WHERE id NOT IN (SELECT id FROM gone)",
+)
+def near_dedup_increments(t):
+    """The whole table in two increments, the later half of the ids second; the second is repeated."""
+    index = scratch_path(t.spark, "index")
+    middle = t.ci_pairs.agg(F.percentile_approx("id", 0.5)).first()[0] or 0
+    first, second = t.ci_pairs.filter(F.col("id") <= middle), t.ci_pairs.filter(F.col("id") > middle)
+    kept = dedup.add_increment(first, index, "1")
+    for _ in range(2):
+        later = dedup.add_increment(second, index, "2")
+    return kept.unionByName(later).select("id", "repo")
+
+
 @query(
     "near_dup_pairs", ["ci_pairs"], recursive=True, steps=DEDUP_STEPS,
     sql="""SELECT later AS dup_id, min(earlier) AS kept_id, arg_min(similarity, earlier) AS similarity FROM alike

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from buildmend.functions import taxonomy as tax
 from buildmend.operators import bench, deps, shaping
 from buildmend.session import scratch_path
-from buildmend.sources import jsonl, log_parts, records
+from buildmend.sources import jsonl, ledger, log_parts, records
 from checks.q_classify import resolved
 from checks.registry import query
 from checks.sql import block, n_changed, predicted, q, resolved_steps, top_steps, values
@@ -62,6 +62,21 @@ def jsonl_append_repeated(t):
     return jsonl.read_batches(t.spark, folder, "id bigint, language string, fix_diff string")
 
 
+@query(
+    "ledger_ingest", ["ci_pairs"],
+    sql="SELECT id, language, fix_diff FROM ci_pairs",
+)
+def ledger_ingest(t):
+    """Files that land in two lots, read after each lot and once more."""
+    landed, target, book = (scratch_path(t.spark, name) for name in ("landed", "target", "ledger"))
+    fixed = F.coalesce("has_fix", F.lit(False))
+    for lot in (fixed, ~fixed):
+        t.ci_pairs.filter(lot).select("id", "language", "fix_diff").write.mode("append").json(landed)
+        ledger.ingest(t.spark, landed, target, book, "id bigint, language string, fix_diff string")
+    ledger.ingest(t.spark, landed, target, book, "id bigint, language string, fix_diff string")
+    return ledger.current_rows(t.spark, target, book, "id bigint, language string, fix_diff string").drop("source_file")
+
+
 @query(
     "normalize_records", ["ci_pairs", "gitlab_pipelines", "travis_builds"],
     sql="""SELECT CAST(id AS VARCHAR) AS id, source, repo, language, 'github_actions' AS ci_platform, failing_sha, NULL AS fix_sha, ci_log, has_fix FROM ci_pairs

@@ -109,3 +109,62 @@ def test_same_result_on_one_partition(spark):
     df = spark.createDataFrame([(o, i, t, "") for o, i, t in rows], "ord int, id string, ci_log string, fix_diff string")
     one = {r.ord for r in dedup.near_dedup(df.coalesce(1), key="id", order=["ord"]).collect()}
     assert one == run(spark, rows) == greedy(rows)
+
+
+def increments(spark, rows, parts, index, **options):
+    """What stays of rows given as increments, each repeated once."""
+    kept = set()
+    for n, part in enumerate(parts):
+        df = spark.createDataFrame([(o, i, t, "") for o, i, t in part], "ord int, id string, ci_log string, fix_diff string")
+        once = {r.ord for r in dedup.add_increment(df, index, f"b{n}", order=["ord"], **options).collect()}
+        assert once == {r.ord for r in dedup.add_increment(df, index, f"b{n}", order=["ord"], **options).collect()}
+        kept |= once
+    return kept
+
+
+@pytest.mark.parametrize("seed", [3, 4])
+def test_increments_equal_one_run(spark, tmp_path, seed):
+    rng = random.Random(seed)
+    rows = []
+    for family in range(20):
+        base = words(rng, rng.choice([1, 2, 7, 40, 120]))
+        for _ in range(rng.randrange(1, 8)):
+            rows.append(varied(rng, base, rng.randrange(0, max(1, len(base) // 5))))
+    rows += ["", "  ", "one", "ONE", "one two", ""]
+    rng.shuffle(rows)
+    rows = [(i, f"id{rng.randrange(60)}" if i % 3 else f"own{i}", t) for i, t in enumerate(rows)]
+    cut = len(rows) // 3
+    parts = [rows[:cut], [], rows[cut:2 * cut], rows[2 * cut:]]
+    got = increments(spark, rows, parts, str(tmp_path / "index"), batch_rows=16)
+    assert got == greedy(rows) == run(spark, rows)
+
+
+def test_a_killed_increment_is_written_anew(spark, tmp_path):
+    rng = random.Random(8)
+    rows = [(i, f"id{i}", " ".join(words(rng, 20))) for i in range(6)]
+    index = tmp_path / "index"
+    assert increments(spark, rows, [rows[:3]], str(index)) == {0, 1, 2}
+    # What an attempt leaves that ended ahead of its mark.
+    left = index / "batch=b1"
+    left.mkdir()
+    (left / "part-0.parquet").write_bytes(b"half a file")
+    df = spark.createDataFrame([(o, i, t, "") for o, i, t in rows[1:]], "ord int, id string, ci_log string, fix_diff string")
+    assert {r.ord for r in dedup.add_increment(df, str(index), "b1", order=["ord"]).collect()} == {3, 4, 5}
+    assert dedup.index_batches(spark, str(index)).count() == 6
+
+
+def test_places_of_shared_words_rule_out_pairs_and_lose_none(spark):
+    """Independent records of 100 words that share 50 common ones and some rare ones."""
+    rng = random.Random(2)
+    common, rare = [f"c{i}" for i in range(50)], [f"r{i}" for i in range(400)]
+    rows = [(i, f"id{i}", " ".join(common + rng.sample(rare, 50))) for i in range(200)]
+    rows += [(200 + i, f"copy{i}", varied(rng, rows[i][2].split(), 1 + i % 7)) for i in range(40)]  # equal sets would be folded
+    df = spark.createDataFrame([(o, i, t, "") for o, i, t in rows], "ord int, id string, ci_log string, fix_diff string")
+    records = durable(dedup.word_sets(df, "id", ["ord"], ["ci_log", "fix_diff"]))
+    sets = durable(records.join(dedup.distinct_sets(records), "ord").selectExpr("*", "size(words) AS n_words"))
+    places = dedup.meeting_places(sets, 0.85)
+    met = {(r.ord, r.earlier) for r in dedup.pairs_met(places, places, 0.85).collect()}
+    share = places.alias("a").join(places.alias("b"), "bucket").filter("a.ord > b.ord").select("a.ord", "b.ord").distinct().count()
+    texts = {o: set(t.split()) for o, _, t in rows}
+    alike = {(a, b) for a in texts for b in texts if b < a and len(texts[a] & texts[b]) >= 0.85 * len(texts[a] | texts[b])}
+    assert len(alike) >= 35 and alike <= met and len(met) < share / 2
