@@ -1,7 +1,9 @@
 """Secrets, language, toxicity, licences against brute force and held-out rows."""
 
 import hashlib
+import random
 import re
+import time
 
 import duckdb
 import numpy as np
@@ -121,6 +123,44 @@ def test_expressions_choose_and_bind():
     assert scan("SPDX-License-Identifier: GPL-2.0-only WITH Classpath-exception-2.0")[1] == pytest.approx(0.6)
 
 
+@pytest.mark.parametrize(("text", "labels"), [
+    ("GNU General Public License version 2", "gpl,gpl-2.0-only"),
+    ("the GNU General Public License for more details", "gpl"),
+    ("GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.", "gpl,gpl-3.0-or-later"),
+    ("GNU Lesser General Public License v2.1", "gpl,lgpl-2.1-only"),
+    ("Creative Commons Attribution ShareAlike", "cc-by-sa"),
+    ("Creative Commons Attribution-ShareAlike 4.0 International", "cc-by-sa-4.0"),
+    ("Apache License\n Version 2.0, January 2004", "apache-2.0"),
+    ("Redistribution and use in source and binary forms", "bsd"),
+    ("Apache License. Apache License, version 2.0", "apache,apache-2.0"),
+    ("SPDX-License-Identifier: (MIT OR\n * Apache-2.0)\n more", "apache-2.0,mit"),
+    ("SPDX-License-Identifier: MIT\nOR so", "mit"),
+    ("SPDX-License-Identifier: (MIT\nSPDX-License-Identifier: ISC", "isc"),
+])
+def test_the_longest_notice_holds(text, labels):
+    assert licences.scan(text, licences.automaton())[5] == labels
+
+
+def test_many_open_expressions_take_linear_time():
+    text = "SPDX-License-Identifier: ((MIT OR\n" * 40_000 + "(\n" * 40_000
+    started = time.perf_counter()
+    assert licences.scan(text, licences.automaton())[5] == ""
+    assert time.perf_counter() - started < 20
+
+
+def test_notices_by_brute_force():
+    rng = random.Random(4)
+    pool = sorted({w for p in licences.NOTICES for w in p.split()} - {"the", "of"}) + ["word"]
+    heads = sorted(licences.NOTICES)
+    trie = licences.automaton()
+    for _ in range(300):
+        words = " ".join(rng.choice(heads) if rng.random() < 0.4 else rng.choice(pool) for _ in range(30)).split()
+        found = [(i, i + len(p.split()), p) for p in heads for i in range(len(words)) if words[i : i + len(p.split())] == p.split()]
+        held = {licences.NOTICES[p].lower() for i, j, p in found if not any(a <= i and j <= b and (a, b) != (i, j) for a, b, _ in found)}
+        base = {label for p, label in licences.BASE.items() if f" {p} " in f" {' '.join(words)} "}
+        assert set(filter(None, licences.scan(" ".join(words), trie)[5].split(","))) == held | base
+
+
 def test_codewords_differ():
     for k in (2, 3, 4, 5, 9, 30):
         code = language_id.codewords(k)
