@@ -19,8 +19,8 @@ How it scales:
   the table, not with any group or bucket.
 * A pair that meets goes on only if the places of its shared words leave room
   for enough of them (positional filter): first at each shared word, in the join
-  itself, then by all shared leading words together. Independent records that
-  share one common word end here and are never fetched.
+  itself, then by all shared leading words together. Many independent records
+  that share a word by chance end here and are never fetched.
 * Every comparison is checked on the whole word sets. Joins are between tables,
   so that a hot word is split over tasks.
 * New records are compared with a stored index of what is kept (`add_increment`),
