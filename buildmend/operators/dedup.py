@@ -8,36 +8,32 @@ How it scales:
 
 * Records with the same word set are folded first, by a partial aggregation;
   a text copied a billion times costs one row from there on.
-* Two sets at the threshold share a word among the first few of each, whatever
-  order all words are put in (prefix filter). Rare words come first, so records
-  meet only where they share a rare word and have nearly the same size. This
-  loses no pair.
+* Two sets at the threshold share a signature of some five words
+  (`signatures`). Records meet only where they share one and have nearly the
+  same size. This loses no pair, and records that share single words by chance
+  do not meet, however many there are.
 * Records are read in batches that double in size: a few thousand, then as many
   as were read before, and so on. A batch is compared with the records kept so
   far and then within itself. Of a hot group only what is kept goes on, so its
   pairs are never listed, and the number of passes grows with the logarithm of
   the table, not with any group or bucket.
-* A pair that meets goes on only if the places of its shared words leave room
-  for enough of them (positional filter): first at each shared word, in the join
-  itself, then by all shared leading words together. Many independent records
-  that share a word by chance end here and are never fetched.
-* Every comparison is checked on the whole word sets. Joins are between tables,
-  so that a hot word is split over tasks.
+* A pair that meets goes on only if 64 bits of each set leave room for enough
+  shared words; others are never fetched.
+* Every comparison is checked on the whole word sets, which are read only of
+  records that meet others. Joins are between tables, so that a hot signature
+  is split over tasks.
 * New records are compared with a stored index of what is kept (`add_increment`),
   never with the texts of the corpus.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, LongType
 
 from buildmend.functions.text import text_or_empty, words
+from buildmend.operators.signatures import signatures
 from buildmend.session import durable
 from buildmend.sources.marks import named, whole
 
@@ -45,7 +41,7 @@ THRESHOLD = 0.85
 SEED = 42
 BATCH_ROWS = 8192  # of the first batch
 #: Slots of the table that tells rare words from common ones: its size is fixed.
-SLOTS = 1 << 18
+SLOTS = 1 << 20
 #: Records whose places mark out the batches.
 MARKS = 100_000
 
@@ -87,80 +83,53 @@ def part_of(place_col: str, order: list[str], name: str) -> Column:
     return F.col(place_col) if len(order) == 1 else F.col(f"{place_col}.{name}")
 
 
-def slot_counts(sets: DataFrame) -> np.ndarray:
-    """How many records have a word of each slot; words of a slot count together."""
+def words_by_slot(sets: DataFrame) -> DataFrame:
     slot = F.pmod("word", F.lit(SLOTS)).cast("int").alias("slot")
-    seen = sets.select(F.explode("words").alias("word")).groupBy(slot).agg(F.count(F.lit(1)).alias("n"))
-    counts = np.zeros(SLOTS, dtype=np.int64)
-    for r in seen.toLocalIterator():
-        counts[r["slot"]] = r["n"]
-    return counts
-
-
-def leading_words(sets: DataFrame, threshold: float, known: np.ndarray | None = None) -> Column:
-    """The rarest words of each record, as many as a similar record cannot do without, rarest first.
-
-    ``known`` are slot counts of another table; any counts lose no pair.
-    """
-    counts = sets.sparkSession.sparkContext.broadcast(slot_counts(sets) if known is None else known)
+    return sets.select(F.explode("words").alias("word")).groupBy(slot).agg(F.count(F.lit(1)).alias("n"))
 
-    @F.pandas_udf(ArrayType(LongType()))
-    def rarest(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        table = counts.value
 
-        def first(found: np.ndarray) -> np.ndarray:
-            found = np.asarray(found, dtype=np.int64)
-            n = len(found)
-            if not n:
-                return np.zeros(1, dtype=np.int64)  # records without words meet here
-            order = np.lexsort((found, table[found % SLOTS]))
-            return found[order[: n - int(np.ceil(threshold * n - 1e-9)) + 1]]
+def count_table(seen: DataFrame) -> np.ndarray:
+    counts = np.zeros(SLOTS, dtype=np.int64)
+    table = seen.toArrow()
+    counts[table["slot"].to_numpy()] = table["n"].to_numpy()
+    return counts
 
-        for batch in batches:
-            yield pd.Series([first(w) for w in batch])
 
-    return rarest("words")
+def slot_counts(sets: DataFrame) -> np.ndarray:
+    """How many records have a word of each slot; words of a slot count together."""
+    return count_table(words_by_slot(sets))
 
 
 def meeting_places(sets: DataFrame, threshold: float) -> DataFrame:
-    """(ord, n_words, at, bucket, same_id) of the records that share a bucket with others; ``at`` is a word's rank."""
-    by_word = sets.select("ord", "n_words", F.posexplode(leading_words(sets, threshold)).alias("at", "bucket"), F.lit(False).alias("same_id"))
-    by_id = sets.filter("again").select("ord", "n_words", F.lit(0).alias("at"), F.xxhash64("id").alias("bucket"), F.lit(True).alias("same_id"))
-    places = durable(by_word.unionByName(by_id))
+    """(ord, n_words, bits, bucket, same_id) of the records that share a bucket, a signature or an id, with others."""
+    made = sets.select("ord", "n_words", signatures(sets.sparkSession, F.col("words"), slot_counts(sets), threshold).alias("s"))
+    by_words = made.select("ord", "n_words", "s.bits", F.explode("s.signs").alias("bucket"), F.lit(False).alias("same_id"))
+    by_id = sets.filter("again").select(
+        "ord", "n_words", F.lit(0).cast("long").alias("bits"), F.xxhash64("id").alias("bucket"), F.lit(True).alias("same_id")
+    )
+    places = durable(by_words.unionByName(by_id))
     shared = durable(places.groupBy("bucket", "same_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n"))
     return durable(places.join(shared, ["bucket", "same_id"], "left_semi"))
 
 
 def pairs_met(later: DataFrame, earlier: DataFrame, threshold: float, backward: bool = True) -> DataFrame:
-    """Pairs (ord, earlier, same_id) that share a leading word or an id and may be similar by sizes and places.
+    """Pairs (ord, earlier, same_id) that share a signature or an id and may be similar by sizes and bits.
 
-    Sets of x and y words are similar only if they share ``t / (1 + t) * (x + y)``
-    words. Of a shared word at ranks i and j at most ``least(i, j)`` shared ones
-    come before and ``least(x - i, y - j) - 1`` behind; after the last of s
-    shared leading words only ``least(x - i, y - j) - 1`` can be added to s.
+    Sets of x and y words are similar only if ``(1 - t) / (1 + t) * (x + y)``
+    words at most are in one of them alone; their bits differ in no more.
     """
     other = earlier.select(
-        "bucket", "same_id", F.col("ord").alias("earlier"), F.col("n_words").alias("n_earlier"), F.col("at").alias("at_earlier")
+        "bucket", "same_id", F.col("ord").alias("earlier"), F.col("n_words").alias("n_earlier"), F.col("bits").alias("bits_earlier")
     )
     small, large = F.least("n_words", "n_earlier"), F.greatest("n_words", "n_earlier")
-    needed = (F.col("n_words") + F.col("n_earlier")) * (threshold / (1 + threshold)) - 1e-6
-    behind = F.least(F.col("n_words") - F.col("at"), F.col("n_earlier") - F.col("at_earlier")) - 1
-    # Records without words have a place without a word.
-    room = (large == 0) | (F.least("at", "at_earlier") + 1 + behind >= needed)
+    differ = (F.col("n_words") + F.col("n_earlier")) * ((1 - threshold) / (1 + threshold)) + 1e-6
+    alike = (small >= large * threshold) & (F.bit_count(F.col("bits").bitwiseXOR(F.col("bits_earlier"))) <= differ)
     before = (F.col("earlier") < F.col("ord")) if backward else F.lit(True)
     return (
         later.join(other, ["bucket", "same_id"])
-        .filter(before & (F.col("same_id") | ((small >= large * threshold) & room)))
+        .filter(before & (F.col("same_id") | alike))
         .groupBy("ord", "earlier")
-        .agg(
-            F.max("same_id").alias("same_id"),
-            F.count_if(~F.col("same_id")).alias("shared"),
-            F.min(F.when(~F.col("same_id"), behind)).alias("behind"),
-            F.first(needed).alias("needed"),
-            F.first(large == 0).alias("bare"),
-        )
-        .filter(F.col("same_id") | F.col("bare") | (F.col("shared") + F.col("behind") >= F.col("needed")))
-        .select("ord", "earlier", "same_id")
+        .agg(F.max("same_id").alias("same_id"))
     )
 
 
@@ -170,11 +139,11 @@ def similarity_of(a: str, b: str) -> Column:
     return F.when(either == 0, 1.0).otherwise(shared / either)
 
 
-def similar(later: DataFrame, earlier: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
-    """Edges (ord, earlier, similarity) between records that meet, checked on whole sets."""
-    met = pairs_met(later, earlier, threshold)
-    ours = sets.select("ord", F.col("words").alias("a"))
-    theirs = sets.select(F.col("ord").alias("earlier"), F.col("words").alias("b"))
+def similar(later: DataFrame, earlier: DataFrame, ours: DataFrame, theirs: DataFrame, threshold: float) -> DataFrame:
+    """Edges (ord, earlier, similarity) between records that meet, checked on their whole sets (ord, words)."""
+    met = durable(pairs_met(later, earlier, threshold))
+    ours = ours.select("ord", F.col("words").alias("a"))
+    theirs = theirs.select(F.col("ord").alias("earlier"), F.col("words").alias("b"))
     similarity = similarity_of("a", "b")
     edges = met.join(ours, "ord").join(theirs, "earlier").select("ord", "earlier", "same_id", similarity.alias("similarity"))
     return durable(edges.filter(F.col("same_id") | (F.col("similarity") >= threshold)).drop("same_id"))
@@ -258,20 +227,22 @@ def decide_sets(records: DataFrame, threshold: float, batch_rows: int = BATCH_RO
 
     places = meeting_places(sets, threshold)
     live = durable(places.select("ord").distinct())
+    # From here on only records that meet others are read.
+    met_sets = durable(sets.join(live, "ord", "left_semi").select("ord", "words"))
     marks = batch_marks(live, batch_rows)
     decided, kept = [], None
     for start, end in zip([None, *marks], [*marks, None]):
         inside = F.lit(True) if start is None else F.col("ord") >= literal(start)
         if end is not None:
             inside = inside & (F.col("ord") < literal(end))
-        now, rest = places.filter(inside), live.filter(inside)
+        now, rest, ours = places.filter(inside), live.filter(inside), met_sets.filter(inside)
         if kept is not None:
-            edges = similar(now, places.join(kept, "ord", "left_semi"), sets, threshold)
+            edges = similar(now, places.join(kept, "ord", "left_semi"), ours, met_sets.join(kept, "ord", "left_semi"), threshold)
             gone = durable(repeats(edges))
             decided.append(gone)
             now, rest = now.join(gone, "ord", "left_anti"), rest.join(gone, "ord", "left_anti")
         now, rest = durable(now), durable(rest)
-        edges = similar(now, now, sets, threshold)
+        edges = similar(now, now, ours, ours, threshold)
         stays = durable(settle(rest, edges))
         among = edges.join(stays.select(F.col("ord").alias("earlier")), "earlier", "left_semi").join(stays, "ord", "left_anti")
         decided.append(durable(repeats(among)))
@@ -352,22 +323,17 @@ def dedup_counts(decisions: DataFrame) -> DataFrame:
 # -- increments ---------------------------------------------------------------
 
 def index_batches(spark, index: str) -> DataFrame | None:
-    """What the index holds, of increments that were written whole: (ord, id, set_key, n_words, words, leading, batch)."""
+    """What the index holds, of increments that were written whole: (ord, id, words, set_key, n_words, bits, signs, batch)."""
     folders = whole(spark, f"{index.rstrip('/')}/batch=*")
     return spark.read.option("basePath", index).parquet(*folders) if folders else None
 
 
 def stored_counts(sets: DataFrame, index: str) -> np.ndarray:
-    """Slot counts that order words in this index, from its first increment on."""
+    """Slot counts that tell rare words from common ones in this index, from its first increment on."""
     spark, folder = sets.sparkSession, f"{index.rstrip('/')}/counts"
     if not whole(spark, folder):
-        slot = F.pmod("word", F.lit(SLOTS)).cast("int").alias("slot")
-        seen = sets.select(F.explode("words").alias("word")).groupBy(slot).agg(F.count(F.lit(1)).alias("n"))
-        named(seen, folder)
-    counts = np.zeros(SLOTS, dtype=np.int64)
-    for r in spark.read.schema("slot int, n long").parquet(folder).toLocalIterator():
-        counts[r["slot"]] = r["n"]
-    return counts
+        named(words_by_slot(sets), folder)
+    return count_table(spark.read.schema("slot int, n long").parquet(folder))
 
 
 def add_increment(
@@ -382,9 +348,9 @@ def add_increment(
 ) -> DataFrame:
     """The records of an increment that stay, given all that is kept from earlier increments.
 
-    ``index`` is a folder that holds the ids, word hashes and leading words of
-    kept records, never their texts; its first increment fixes the order of
-    words, which every later one uses. Increments whose orders follow one
+    ``index`` is a folder that holds the ids, word hashes and signatures of
+    kept records, never their texts; its first increment fixes which
+    words are rare, for every later one too. Increments whose orders follow one
     another keep what one run over all of them keeps. Where orders overlap, what
     is kept stays kept.
 
@@ -406,7 +372,8 @@ def add_increment(
         _, state = decide_sets(records, threshold, batch_rows)
         kept = state.filter(F.col("state") == "keep").select("ord")
         fresh = records.join(kept, "ord", "left_semi").withColumn("n_words", F.size("words"))
-        named(fresh.withColumn("leading", leading_words(fresh, threshold, counts)), folder)
+        made = signatures(spark, F.col("words"), counts, threshold)
+        named(fresh.withColumn("s", made).select("*", "s.bits", "s.signs").drop("s"), folder)
     kept = spark.read.parquet(folder).select("ord")
     return df.join(kept.select(*[part_of("ord", order, c).alias(c) for c in order]), order, "left_semi")
 
@@ -417,8 +384,9 @@ def unlike(records: DataFrame, held: DataFrame, counts: np.ndarray, threshold: f
     sets = fresh.groupBy("set_key").agg(F.min("ord").alias("ord"), F.first("words").alias("words"))
     sets = durable(sets.join(held.select("set_key"), "set_key", "left_anti").withColumn("n_words", F.size("words")))
     no = F.lit(False).alias("same_id")
-    ours = durable(sets.select("ord", "n_words", F.posexplode(leading_words(sets, threshold, counts)).alias("at", "bucket"), no))
-    theirs = held.select("ord", "n_words", F.posexplode("leading").alias("at", "bucket"), no)
+    made = sets.select("ord", "n_words", signatures(sets.sparkSession, F.col("words"), counts, threshold).alias("s"))
+    ours = made.select("ord", "n_words", "s.bits", F.explode("s.signs").alias("bucket"), no)
+    theirs = held.select("ord", "n_words", "bits", F.explode("signs").alias("bucket"), no)
     met = durable(pairs_met(ours, theirs, threshold, backward=False))
     # Whole sets are fetched only for records that were met.
     a = sets.select("ord", F.col("words").alias("a"))

@@ -168,3 +168,21 @@ def test_places_of_shared_words_rule_out_pairs_and_lose_none(spark):
     texts = {o: set(t.split()) for o, _, t in rows}
     alike = {(a, b) for a in texts for b in texts if b < a and len(texts[a] & texts[b]) >= 0.85 * len(texts[a] | texts[b])}
     assert len(alike) >= 35 and alike <= met and len(met) < share / 2
+
+
+def test_independent_records_do_not_meet(spark):
+    """Prose of a few thousand words: every word is shared by many records, few records are alike."""
+    rng = random.Random(4)
+    stock = [f"w{i}" for i in range(3000)]
+    rows = [(i, f"id{i}", " ".join(rng.choices(stock, weights=[1 / (k + 20) for k in range(3000)], k=rng.choice([8, 30, 150])))) for i in range(600)]
+    rows += [(600 + i, f"copy{i}", varied(rng, rows[i][2].split(), 1)) for i in range(60)]
+    df = spark.createDataFrame([(o, i, t, "") for o, i, t in rows], "ord int, id string, ci_log string, fix_diff string")
+    records = durable(dedup.word_sets(df, "id", ["ord"], ["ci_log", "fix_diff"]))
+    sets = durable(records.join(dedup.distinct_sets(records), "ord").selectExpr("*", "size(words) AS n_words"))
+    places = dedup.meeting_places(sets, 0.85)
+    met = {(r.ord, r.earlier) for r in dedup.pairs_met(places, places, 0.85).collect()}
+    share = places.alias("a").join(places.alias("b"), "bucket").filter("a.ord > b.ord").select("a.ord", "b.ord").distinct().count()
+    texts = {o: set(t.split()) for o, _, t in rows}
+    alike = {(a, b) for a in texts for b in texts if b < a and len(texts[a] & texts[b]) >= 0.85 * len(texts[a] | texts[b])}
+    assert len(alike) >= 40 and alike <= met and share < 500  # of 217,470 pairs
+    assert run(spark, rows) == greedy(rows)
