@@ -12,6 +12,13 @@ from pyspark.sql import functions as F
 BLANK = r"[\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
 
 
+#: The same characters one by one.
+BLANKS = "".join(
+    [*map(chr, range(0x09, 0x0E)), *map(chr, range(0x1C, 0x21)), "\x85", "\xa0", "\u1680"]
+    + [*map(chr, range(0x2000, 0x200B)), "\u2028", "\u2029", "\u202f", "\u205f", "\u3000"]
+)
+
+
 def any_case(pattern: str) -> str:
     """Unicode-wide case-insensitive form of ``pattern`` in which only a line
     feed ends a line (the other terminators belong to the log text)."""
@@ -34,7 +41,7 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 def strip(col: Column) -> Column:
     """Remove leading and trailing whitespace of any kind."""
-    return F.regexp_replace(col, rf"\A{BLANK}+|{BLANK}+\z", "")
+    return F.btrim(col, F.lit(BLANKS))
 
 
 def text_or_empty(col: Column) -> Column:
@@ -65,7 +72,11 @@ def slug(repo: Column) -> Column:
 
 def tagged_block(col: Column, tag: str) -> Column:
     """Stripped text of the first ``<tag>...</tag>`` block, empty if none."""
-    return strip(F.regexp_extract(text_or_empty(col), f"(?s)<{tag}>(.*?)</{tag}>", 1))
+    text, start, end = text_or_empty(col), f"<{tag}>", f"</{tag}>"
+    # No pattern steps through the text: both marks are looked up whole.
+    at = F.instr(text, start)
+    rest = F.when(at > 0, F.substr(text, at + len(start))).otherwise("")
+    return F.when(rest.contains(end), strip(F.substring_index(rest, end, 1))).otherwise("")
 
 
 def changed_lines(diff: Column) -> Column:

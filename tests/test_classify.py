@@ -138,3 +138,25 @@ def test_gate_counters(spark):
     df = spark.createDataFrame(rows, "unit string, classification_confidence double, failure_class string, has_fix boolean")
     got = {r.unit: (r.processed, r.passed, r.skipped) for r in classify.gate_counters(df, "unit").collect()}
     assert got == {"a": (2, 1, 1), "b": (3, 0, 3), None: (5, 1, 4)}
+
+
+def test_blocks_and_blanks_without_patterns(spark):
+    from pyspark.sql import functions as F
+
+    from buildmend.functions import text
+
+    pairs = [(f"{chr(c)}a{chr(c)}b{chr(c)}", c) for c in [*range(1, 0x250), *range(0x1670, 0x1690), *range(0x1FF0, 0x2070), 0x3000, 0xFEFF]]
+    df = spark.createDataFrame(pairs, "t string, c int")
+    by_pattern = F.regexp_replace("t", rf"\A{text.BLANK}+|{text.BLANK}+\z", "")
+    assert df.filter(text.strip(F.col("t")) != by_pattern).count() == 0
+    cases = [
+        None, "", "<fix></fix>", "<fix> a </fix> b</fix>", "<fix>a", "</fix><fix>a<fix>b</fix>c", "é<fix>\n\u3000ü\n</fix>", "a</fix>", "<FIX>a</FIX>",
+        "<fix>a</fix><fix>b</fix>", "<fix<fix>>x</fix>", "</fix>a<fix>", " \x85 ",
+    ]
+    df = spark.createDataFrame([(c,) for c in cases], "t string")
+    body = F.regexp_extract(F.coalesce("t", F.lit("")), "(?s)<fix>(.*?)</fix>", 1)
+    got = df.select(text.tagged_block(F.col("t"), "fix").alias("a"), text.strip(body).alias("b")).collect()
+    assert all(r.a == r.b for r in got) and got[6].a == "ü"
+    # No pattern is in the plan.
+    plan = df.select(text.tagged_block(F.col("t"), "fix"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "regexp" not in plan
