@@ -17,8 +17,8 @@ How it scales:
   far and then within itself. Of a hot group only what is kept goes on, so its
   pairs are never listed, and the number of passes grows with the logarithm of
   the table, not with any group or bucket.
-* A pair that meets goes on only if 64 bits of each set leave room for enough
-  shared words; others are never fetched.
+* A pair that meets goes on only if 64 bits of each set, and 512 bits after
+  that, leave room for enough shared words; others are never fetched.
 * Every comparison is checked on the whole word sets, which are read only of
   records that meet others. Joins are between tables, so that a hot signature
   is split over tasks.
@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from buildmend.functions.text import text_or_empty, words
-from buildmend.operators.signatures import signatures
+from buildmend.operators.signatures import signatures, wide_sketch
 from buildmend.session import durable
 from buildmend.sources.marks import named, whole
 
@@ -112,6 +112,11 @@ def meeting_places(sets: DataFrame, threshold: float) -> DataFrame:
     return durable(places.join(shared, ["bucket", "same_id"], "left_semi"))
 
 
+def may_differ(n_words: Column, threshold: float) -> Column:
+    """How many words at most are in one alone of two similar sets that have so many words together."""
+    return n_words * ((1 - threshold) / (1 + threshold)) + 1e-6
+
+
 def pairs_met(later: DataFrame, earlier: DataFrame, threshold: float, backward: bool = True) -> DataFrame:
     """Pairs (ord, earlier, same_id) that share a signature or an id and may be similar by sizes and bits.
 
@@ -122,7 +127,7 @@ def pairs_met(later: DataFrame, earlier: DataFrame, threshold: float, backward:
         "bucket", "same_id", F.col("ord").alias("earlier"), F.col("n_words").alias("n_earlier"), F.col("bits").alias("bits_earlier")
     )
     small, large = F.least("n_words", "n_earlier"), F.greatest("n_words", "n_earlier")
-    differ = (F.col("n_words") + F.col("n_earlier")) * ((1 - threshold) / (1 + threshold)) + 1e-6
+    differ = may_differ(F.col("n_words") + F.col("n_earlier"), threshold)
     alike = (small >= large * threshold) & (F.bit_count(F.col("bits").bitwiseXOR(F.col("bits_earlier"))) <= differ)
     before = (F.col("earlier") < F.col("ord")) if backward else F.lit(True)
     return (
@@ -139,11 +144,23 @@ def similarity_of(a: str, b: str) -> Column:
     return F.when(either == 0, 1.0).otherwise(shared / either)
 
 
+def close(met: DataFrame, ours: DataFrame, theirs: DataFrame, threshold: float) -> DataFrame:
+    """The pairs (ord, earlier, same_id) that may be similar by the wide sketches of (ord, n_words, wide)."""
+    a = ours.select("ord", F.col("n_words").alias("n_a"), F.col("wide").alias("wide_a"))
+    b = theirs.select(F.col("ord").alias("earlier"), F.col("n_words").alias("n_b"), F.col("wide").alias("wide_b"))
+    bits = F.zip_with("wide_a", "wide_b", lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+    differ = F.aggregate(bits, F.lit(0), lambda total, n: total + n)
+    alike = differ <= may_differ(F.col("n_a") + F.col("n_b"), threshold)
+    return met.join(a, "ord").join(b, "earlier").filter(F.col("same_id") | alike).select("ord", "earlier", "same_id")
+
+
 def similar(later: DataFrame, earlier: DataFrame, ours: DataFrame, theirs: DataFrame, threshold: float) -> DataFrame:
-    """Edges (ord, earlier, similarity) between records that meet, checked on their whole sets (ord, words)."""
-    met = durable(pairs_met(later, earlier, threshold))
-    ours = ours.select("ord", F.col("words").alias("a"))
+    """Edges (ord, earlier, similarity) between records that meet, checked on their whole sets (ord, words, n_words, wide)."""
+    met = durable(close(durable(pairs_met(later, earlier, threshold)), ours, theirs, threshold))
+    # Whole sets are read only of records that are in a pair, ahead of any shuffle of sets.
+    ours = ours.select("ord", F.col("words").alias("a")).join(met.select("ord").distinct(), "ord", "left_semi")
     theirs = theirs.select(F.col("ord").alias("earlier"), F.col("words").alias("b"))
+    theirs = theirs.join(met.select("earlier").distinct(), "earlier", "left_semi")
     similarity = similarity_of("a", "b")
     edges = met.join(ours, "ord").join(theirs, "earlier").select("ord", "earlier", "same_id", similarity.alias("similarity"))
     return durable(edges.filter(F.col("same_id") | (F.col("similarity") >= threshold)).drop("same_id"))
@@ -228,7 +245,7 @@ def decide_sets(records: DataFrame, threshold: float, batch_rows: int = BATCH_RO
     places = meeting_places(sets, threshold)
     live = durable(places.select("ord").distinct())
     # From here on only records that meet others are read.
-    met_sets = durable(sets.join(live, "ord", "left_semi").select("ord", "words"))
+    met_sets = durable(sets.join(live, "ord", "left_semi").select("ord", "words", "n_words", wide_sketch(F.col("words")).alias("wide")))
     marks = batch_marks(live, batch_rows)
     decided, kept = [], None
     for start, end in zip([None, *marks], [*marks, None]):
@@ -237,7 +254,7 @@ def decide_sets(records: DataFrame, threshold: float, batch_rows: int = BATCH_RO
             inside = inside & (F.col("ord") < literal(end))
         now, rest, ours = places.filter(inside), live.filter(inside), met_sets.filter(inside)
         if kept is not None:
-            edges = similar(now, places.join(kept, "ord", "left_semi"), ours, met_sets.join(kept, "ord", "left_semi"), threshold)
+            edges = similar(now, places.join(kept, "ord", "left_semi"), ours, met_sets, threshold)
             gone = durable(repeats(edges))
             decided.append(gone)
             now, rest = now.join(gone, "ord", "left_anti"), rest.join(gone, "ord", "left_anti")

@@ -32,6 +32,8 @@ SPARE = 0.5
 #: A part of common words holds less than this share of the bits that tell a record from all others.
 COMMON = 0.75
 SLIGHT = 1e-6
+#: 64-bit numbers of a wide sketch.
+WIDE = 8
 
 
 def mixed(x: np.ndarray, seed: int) -> np.ndarray:
@@ -116,6 +118,36 @@ def sketches(words: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return out
 
 
+def wide_sketches(words: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """As `sketches`, with `WIDE` numbers a set: for sets of too many words for 64 bits."""
+    out = np.zeros(len(sizes) * WIDE, np.uint64)
+    drawn = mixed(words, 8)
+    at = np.repeat(np.arange(len(sizes)), sizes) * WIDE + ((drawn >> np.uint64(32)) % np.uint64(WIDE)).astype(np.int64)
+    np.bitwise_xor.at(out, at, np.uint64(1) << (drawn >> np.uint64(58)))
+    return out
+
+
+def flat_sets(batch: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The word hashes of a batch one behind the other, and where each set ends."""
+    batch = batch.combine_chunks() if isinstance(batch, pa.ChunkedArray) else batch
+    ends = np.asarray(batch.offsets).astype(np.int64)
+    return np.asarray(batch.values).astype(np.int64, copy=False).view(np.uint64), ends
+
+
+def wide_sketch(words: Column) -> Column:
+    """The wide sketch of a column of word hashes."""
+
+    @F.arrow_udf("array<bigint>")
+    def sketched(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            flat, ends = flat_sets(batch)
+            out = wide_sketches(flat[ends[0]:ends[-1]], np.diff(ends))
+            offsets = pa.array(np.arange(len(ends)) * WIDE, pa.int32())
+            yield pa.ListArray.from_arrays(offsets, pa.array(out.view(np.int64)))
+
+    return sketched(words)
+
+
 def signatures(spark: SparkSession, words: Column, counts: np.ndarray, threshold: float) -> Column:
     """Struct (bits, signs) of a column of word hashes; ``counts`` tells rare words from common ones."""
     shared = spark.sparkContext.broadcast(counts)
@@ -124,9 +156,7 @@ def signatures(spark: SparkSession, words: Column, counts: np.ndarray, threshold
     def signed(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         table = shared.value
         for batch in batches:
-            batch = batch.combine_chunks() if isinstance(batch, pa.ChunkedArray) else batch
-            ends = np.asarray(batch.offsets).astype(np.int64)
-            flat = np.asarray(batch.values).astype(np.int64, copy=False).view(np.uint64)
+            flat, ends = flat_sets(batch)
             parts, start = [], 0
             while start < len(batch) or not parts:
                 stop = max(start + 1, int(np.searchsorted(ends, ends[start] + CHUNK_WORDS, side="right")) - 1)

@@ -1,6 +1,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from buildmend.operators import dedup
 from buildmend.session import durable
@@ -186,3 +187,23 @@ def test_independent_records_do_not_meet(spark):
     alike = {(a, b) for a in texts for b in texts if b < a and len(texts[a] & texts[b]) >= 0.85 * len(texts[a] | texts[b])}
     assert len(alike) >= 40 and alike <= met and share < 500  # of 217,470 pairs
     assert run(spark, rows) == greedy(rows)
+
+
+def test_wide_sketches_rule_out_large_sets_and_lose_none(spark):
+    """Sets of so many words that 64 bits say nothing: only pairs that may be alike have their words fetched."""
+    rng = random.Random(6)
+    common = [f"c{i}" for i in range(400)]
+    rows = [(i, f"id{i}", " ".join(common + words(rng, 800))) for i in range(30)]
+    rows += [(100 + i, f"copy{i}", varied(rng, rows[i][2].split(), 20 + 20 * i)) for i in range(6)]
+    df = spark.createDataFrame([(o, i, t, "") for o, i, t in rows], "ord int, id string, ci_log string, fix_diff string")
+    sets = durable(
+        dedup.word_sets(df, "id", ["ord"], ["ci_log", "fix_diff"])
+        .select("ord", "words").selectExpr("*", "size(words) AS n_words").withColumn("wide", dedup.wide_sketch(F.col("words")))
+    )
+    every = sets.select("ord").crossJoin(sets.select(F.col("ord").alias("earlier"))).filter("earlier < ord")
+    texts = {o: set(t.split()) for o, _, t in rows}
+    alike = {(a, b) for a in texts for b in texts if b < a and len(texts[a] & texts[b]) >= 0.85 * len(texts[a] | texts[b])}
+    for same_id in (False, True):
+        left = {tuple(r) for r in dedup.close(every.withColumn("same_id", F.lit(same_id)), sets, sets, 0.85).select("ord", "earlier").collect()}
+        assert len(left) == every.count() if same_id else len(alike) >= 4 and alike <= left and len(left) <= 8
+    assert run(spark, rows) == greedy(rows)
