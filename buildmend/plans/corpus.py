@@ -9,6 +9,7 @@ from buildmend.operators.classify import class_distribution, fix_strategy, top_c
 from buildmend.operators.dedup import near_dedup
 from buildmend.operators.quality import quality_gate, with_quality
 from buildmend.operators.shaping import keyed_order
+from buildmend.session import durable
 from buildmend.sources.jsonl import write_jsonl
 from buildmend.sources.records import with_ci_log
 
@@ -42,6 +43,10 @@ def training_corpus(
 
 
 def write_corpus(corpus: DataFrame, path: str, key: str = "id", seed: int = 42) -> DataFrame:
-    """Write the corpus in seeded random order; returns its class distribution."""
-    write_jsonl(corpus.orderBy(*keyed_order(key, seed)), path)
+    """Write the corpus in seeded random order; returns its class distribution.
+
+    The records are a table ahead of the sort, which reads its input twice:
+    once for the bounds of its ranges.
+    """
+    write_jsonl(durable(corpus).orderBy(*keyed_order(key, seed)), path)
     return class_distribution(corpus.sparkSession.read.json(path))
