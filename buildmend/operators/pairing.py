@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from buildmend.functions.text import any_contains, cut, slug, text_or_empty
@@ -321,10 +321,12 @@ def first_failed_step(workflows: DataFrame, jobs: DataFrame, actions: DataFrame)
     Job numbers count within a project, so ``project_slug`` is part of their
     key. Each level is chosen by positions alone and meets the next level
     once, so that every table is read once. The failed actions of the chosen
-    jobs are written as a table: a step is chosen from its numbers, and only
-    the one log that is shown is read. Within a step only the first failed
-    action that has a log place counts; where that log is empty the next step
-    is tried.
+    jobs meet them by job, and the step is chosen right there: they are
+    neither moved nor written again. The chosen workflows and jobs, one for
+    each pipeline, are looked up in hash tables of one partition each, so that
+    the many jobs and logs they leave out are never sorted. Within a step only
+    the first failed action that has a log place counts; where that log is
+    empty the next step is tried.
     """
     pipeline = ["project_slug", "pipeline_id"]
     workflow = (
@@ -337,26 +339,29 @@ def first_failed_step(workflows: DataFrame, jobs: DataFrame, actions: DataFrame)
         "project_slug", "workflow_id", "job_no", "job_number", "job_name"
     )
     job = (
-        broken_jobs.join(workflow, ["project_slug", "workflow_id"])
+        broken_jobs.join(workflow.hint("shuffle_hash"), ["project_slug", "workflow_id"])
         .groupBy(*pipeline, "workflow_name")
         .agg(F.min(F.struct("job_no", "job_number", "job_name")).alias("j"))
         .select(*pipeline, "workflow_name", "j.job_name", "j.job_number")
     )
     has_place = (F.col("status") == "failed") & (text_or_empty(F.col("output_url")) != "")
-    tried = durable(
+    tried = (
         actions.filter(has_place)
-        .select("project_slug", "job_number", "step_no", "action_no", "step_log", (text_or_empty(F.col("step_log")) != "").alias("has_log"))
-        .join(job, ["project_slug", "job_number"])
-    )
-    # A pipeline has one job by now, so its steps are steps of that job.
-    step = (
-        tried.groupBy(*pipeline, "step_no").agg(F.min(F.struct("action_no", "has_log")).alias("a"))
-        .filter("a.has_log")
-        .groupBy(*pipeline).agg(F.min(F.struct("step_no", "a.action_no")).alias("s"))
-        .select(*pipeline, "s.step_no", "s.action_no")
-    )
-    return tried.join(step, [*pipeline, "step_no", "action_no"]).select(
-        *pipeline, "workflow_name", "job_name", "job_number", "step_no", "action_no", "step_log"
+        .select("project_slug", "job_number", "step_no", "action_no", "step_log")
+        .join(job.hint("shuffle_hash"), ["project_slug", "job_number"])
+    )
+    # A pipeline has one job by now, so its steps are steps of that job, and
+    # rows that lie together by job need no shuffle to be looked at by pipeline.
+    in_pipeline = Window.partitionBy("project_slug", "job_number", "pipeline_id")
+    in_step = Window.partitionBy("project_slug", "job_number", "pipeline_id", "step_no")
+    has_log = text_or_empty(F.col("step_log")) != ""
+    first = F.min(F.struct("action_no", has_log.alias("has_log"))).over(in_step)
+    step = F.min(F.when(F.col("_a.has_log"), F.struct("step_no", "_a.action_no"))).over(in_pipeline)
+    return (
+        tried.withColumn("_a", first).withColumn("_s", step)
+        .filter((F.col("step_no") == F.col("_s.step_no")) & (F.col("action_no") == F.col("_s.action_no")))
+        .filter(F.col("pipeline_id").isNotNull())
+        .select(*pipeline, "workflow_name", "job_name", "job_number", "step_no", "action_no", "step_log")
     )
 
 

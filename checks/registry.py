@@ -16,10 +16,10 @@ class Tables:
     """Views of one data folder by name."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark, self.sf_dir = spark, sf_dir
+        self.spark, self.sf_dir, self.made = spark, sf_dir, {}
 
     def __getattr__(self, name: str) -> DataFrame:
-        return spark_view(self.spark, self.sf_dir, name)
+        return spark_view(self.spark, self.sf_dir, name, self.made)
 
 
 def query(name: str, needs: list[str] | None = None, sql: str | None = None, steps: str = "", recursive: bool = False):

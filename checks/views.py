@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from buildmend.session import durable
+
 BASE = [
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
     "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
@@ -65,6 +67,10 @@ N_LINES = len(LOG_LINES)
 
 _lines = ",\n  ".join(f"({i}, '{line}')" for i, line in enumerate(LOG_LINES))
 
+# Views that others read many times over, each time with other columns, so that
+# Spark would sort their lines again for each: a query writes them once.
+WRITTEN = {"circle_lines", "circle_jobs"}
+
 # name -> (views it reads, SQL)
 VIEWS: dict[str, tuple[list[str], str]] = {}
 
@@ -354,17 +360,24 @@ def order_of(names: list[str]) -> list[str]:
     return done
 
 
-def spark_view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A driver table or derived view as a DataFrame."""
+def spark_view(spark: SparkSession, sf_dir: str, name: str, made: dict[str, DataFrame] | None = None) -> DataFrame:
+    """A driver table or derived view as a DataFrame; ``made`` keeps the written views of a query."""
+    made = {} if made is None else made
     if name in BASE:
         table = spark.read.parquet(f"{sf_dir}/{name}.parquet")
         # The driver writes documents as one row group, which is one task.
         return table.repartition("doc_id") if name == "documents" else table
     for view in order_of([name]):
-        for need in VIEWS[view][0]:
-            if need in BASE:
-                spark_view(spark, sf_dir, need).createOrReplaceTempView(need)
-        spark.sql(VIEWS[view][1]).createOrReplaceTempView(view)
+        if view not in made:
+            for need in VIEWS[view][0]:
+                if need in BASE:
+                    spark_view(spark, sf_dir, need).createOrReplaceTempView(need)
+            rows = spark.sql(VIEWS[view][1])
+            if view in WRITTEN:
+                rows = made[view] = durable(rows)
+        else:
+            rows = made[view]
+        rows.createOrReplaceTempView(view)
     return spark.table(name)
 
 
