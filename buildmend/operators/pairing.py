@@ -223,17 +223,22 @@ def commits_named(named: DataFrame, history: DataFrame) -> DataFrame:
     Both kinds are found in one join: equal shas and shas of which one begins
     the other have the same first characters, so that a bucket holds the few
     commits of a repository that begin alike, and never a whole repository.
+    Rows are dealt by bucket once: repeats fold and the best is chosen there.
     """
     start = F.left("sha", F.lit(SHORT_SHA)).alias("_start")
-    wanted = named.select("repo", "failed_sha").distinct().withColumn("_start", F.left("failed_sha", F.lit(SHORT_SHA)))
+    wanted = (
+        named.select("repo", F.left("failed_sha", F.lit(SHORT_SHA)).alias("_start"), "failed_sha")
+        .repartition("repo", "_start").distinct()
+    )
     found = wanted.join(history.select("repo", start, "sha", "committed_at", "commit_no", "next_commit"), ["repo", "_start"])
     whole = F.col("sha") == F.col("failed_sha")
     long_enough = F.least(F.length("sha"), F.length("failed_sha")) >= SHORT_SHA
     begins = F.col("sha").startswith(F.col("failed_sha")) | F.col("failed_sha").startswith(F.col("sha"))
     return (
         found.filter(whole | (long_enough & begins))
-        .groupBy("repo", "failed_sha")
+        .groupBy("repo", "_start", "failed_sha")
         .agg(F.max_by("next_commit", F.struct(whole.alias("whole"), "committed_at", "commit_no")).alias("next_commit"))
+        .drop("_start")
     )
 
 
@@ -251,21 +256,25 @@ def next_commit_fix(
     ``files`` (repo, sha, file_no, filename, patch) gives the changed files;
     names and patches are those of the files that concern CI. The fixes found
     are a table of a row for each sha, so that the history is ordered once.
+    Failures meet their fix's place first and its files last, so that patches
+    are moved once, and those of other files never.
     """
     history = next_value(
         commits.select("repo", "sha", "committed_at", "commit_no", "message", "author"),
         ["repo"], ["committed_at", "commit_no"],
         F.struct("sha", "message", "author"), F.date_trunc("day", "committed_at"), "next_commit",
     )
-    fixes = durable(commits_named(failures, history).withColumn("_fix_sha", F.col("next_commit.sha")))
+    fixes = durable(commits_named(failures, history).select(
+        "repo", "failed_sha", F.col("next_commit.sha").alias("_fix_sha"),
+        F.col("next_commit.message").alias("_message"), F.col("next_commit.author").alias("_author"),
+    ))
+    for_ci = any_contains(text_or_empty(F.col("filename")), CI_FILE_MARKERS)
+    file = F.struct("file_no", "filename", cut(text_or_empty(F.col("patch")), patch_chars).alias("patch"))
     # Files of other commits are left out ahead of any grouping.
-    changed = files.join(
+    changed = files.select("repo", "sha", F.when(for_ci, file).alias("_file")).join(
         fixes.select("repo", F.col("_fix_sha").alias("sha")).distinct(), ["repo", "sha"], "left_semi"
     )
-    for_ci = any_contains(text_or_empty(F.col("filename")), CI_FILE_MARKERS)
-    listed = F.array_sort(F.collect_list(F.when(for_ci, F.struct(
-        "file_no", "filename", cut(text_or_empty(F.col("patch")), patch_chars).alias("patch")
-    ))))
+    listed = F.array_sort(F.collect_list("_file"))
 
     def first(items: Column, n: int | None) -> Column:
         return items if n is None else F.slice(items, 1, n)
@@ -274,27 +283,28 @@ def next_commit_fix(
         changed.groupBy("repo", "sha")
         .agg(F.count(F.lit(1)).cast("int").alias("files_changed"), first(listed, max_files).alias("_l"))
         .select(
-            "repo", F.col("sha").alias("_fix_sha"), "files_changed",
+            "repo", F.col("sha").alias("_at"), "files_changed",
             F.transform("_l", lambda f: f["filename"]).alias("ci_files_changed"),
             F.array_join(F.transform(first(F.col("_l"), max_patches), lambda f: f["patch"]), "\n").alias("diff_patch"),
         )
     )
     nothing = F.array().cast("array<string>")
-    found = fixes.join(per_commit, ["repo", "_fix_sha"], "left").select(
-        "repo", "failed_sha",
+    # Failures without a fix keep their own sha as a place, so that they do not all go to one task.
+    placed = failures.join(fixes, ["repo", "failed_sha"], "left").withColumn("_at", F.coalesce("_fix_sha", "failed_sha"))
+    return placed.join(per_commit, ["repo", "_at"], "left").select(
+        *failures.columns,
         F.when(
             F.col("_fix_sha").isNotNull(),
             F.struct(
                 F.col("_fix_sha").alias("sha"),
-                cut(text_or_empty(F.col("next_commit.message")), message_chars).alias("message"),
-                text_or_empty(F.col("next_commit.author")).alias("author"),
+                cut(text_or_empty(F.col("_message")), message_chars).alias("message"),
+                text_or_empty(F.col("_author")).alias("author"),
                 F.coalesce("files_changed", F.lit(0)).alias("files_changed"),
                 F.coalesce("ci_files_changed", nothing).alias("ci_files_changed"),
                 F.coalesce("diff_patch", F.lit("")).alias("diff_patch"),
             ),
         ).alias("fix_commit"),
     )
-    return failures.join(found, ["repo", "failed_sha"], "left").select(*failures.columns, "fix_commit")
 
 
 def assemble_diff(files: DataFrame, keys: list[str], n: int | None = None) -> DataFrame:

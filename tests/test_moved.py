@@ -40,6 +40,19 @@ def test_levels_of_pipelines_read_their_lines_from_one_table(spark, folder):
     assert t.circle_actions.count() == 4 * 2 * 256
 
 
+def test_changed_files_are_dealt_by_their_commit_once(spark, folder):
+    files = Tables(spark, folder).commit_files
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = plan_of(files)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+    # The lines by their order and the commits by their number, and nothing again.
+    assert plan.count("Exchange hashpartitioning") == 2
+    assert files.count() == 256
+
+
 def test_failed_step_is_chosen_where_actions_meet_their_job(spark, monkeypatch):
     workflows = spark.createDataFrame([("p", "a", 1, "w", 1, "failed"), ("p", None, 2, "w", 1, "failed")],
                                       "project_slug string, pipeline_id string, workflow_id int, workflow_name string, workflow_no int, status string")
@@ -53,3 +66,24 @@ def test_failed_step_is_chosen_where_actions_meet_their_job(spark, monkeypatch):
     monkeypatch.setattr(pairing, "durable", None)  # no table is written
     got = [(r.pipeline_id, r.step_no, r.action_no, r.step_log) for r in pairing.first_failed_step(workflows, jobs, actions).collect()]
     assert got == [("a", 3, 4, "log")] * 2
+
+
+def test_patches_of_a_fix_are_moved_once(spark):
+    commits = spark.createDataFrame([("r", f"commit-{i}", dt.datetime(2024, 1, i + 1), i, "m", "me") for i in range(4)],
+                                    "repo string, sha string, committed_at timestamp, commit_no int, message string, author string")
+    files = spark.createDataFrame([("r", "commit-1", 1, "ci.yml", "p"), ("r", "commit-1", 2, "main.py", "q")],
+                                  "repo string, sha string, file_no int, filename string, patch string")
+    failures = spark.createDataFrame([("r", "commit-0"), ("r", "commit-0"), ("r", "unknown"), (None, "commit-0")], "repo string, failed_sha string")
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = pairing.next_commit_fix(failures, commits, files)
+        plan = plan_of(found)
+        rows = [(r.repo, r.failed_sha, r.fix_commit and (r.fix_commit.files_changed, r.fix_commit.diff_patch)) for r in found.collect()]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+    assert sorted(rows, key=str) == sorted([("r", "commit-0", (2, "p"))] * 2 + [("r", "unknown", None), (None, "commit-0", None)], key=str)
+    # Above the texts of a commit there is no further shuffle.
+    above = plan[:plan.index("array_join(transform(")]
+    spine = [line for line in above.splitlines() if "Exchange" in line and line.lstrip().startswith("+-")]
+    assert not spine
