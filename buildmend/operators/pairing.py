@@ -116,10 +116,12 @@ def green_commit_fix(
             seen, ["repo"], [F.col("committed_at").desc(), F.col("commit_no").desc()], last
         )
     # Only green runs of workflows that failed are placed; repeats do no harm.
+    # A table, whose size tells Spark whether runs have to be moved to meet it.
+    broken_workflows = durable(failures.select(*keys).distinct())
     green = (
         runs.filter(F.col("conclusion") == "success")
         .select("repo", F.col("head_sha").alias("sha"), "workflow_name")
-        .join(failures.select(*keys).distinct(), keys, "left_semi")
+        .join(broken_workflows, keys, "left_semi")
         .join(seen, ["repo", "sha"])
     )
     broken = failures.join(
@@ -128,9 +130,9 @@ def green_commit_fix(
         "left",
     )
     if pick == "latest":
-        newest = green.groupBy(*keys).agg(
+        newest = durable(green.groupBy(*keys).agg(
             F.max_by("sha", place).alias("_sha"), F.max(place).alias("_place")
-        )
+        ))
         # A failing commit that was not looked at has no place to compare with.
         behind = F.col("committed_at").isNotNull() & (F.col("_place") > place)
         return broken.join(newest, keys, "left").select(

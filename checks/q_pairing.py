@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from buildmend.operators import context, pairing
+from buildmend.session import durable
 from checks.registry import query
 from checks.sql import any_of, context_steps
 
@@ -129,12 +130,19 @@ logs AS (SELECT (id + 1) * 4 AS run_id, ci_log FROM ci_pairs WHERE length(ci_log
 )
 def github_pairs(t):
     failures = _failed_commit_runs(t)
-    fixes = pairing.green_commit_fix(failures.select("repo", "run_id", "workflow_name", "failing_sha"), t.commits, t.commit_runs)
-    # The commit's own files stand for the comparison with the failing commit.
+    bots = pairing.bot_runs(failures).select("run_id")
+    # Logs are left out by their run first, so that only those of bots' failures are moved on.
+    logs = durable(
+        t.ci_pairs.select(((F.col("id") + 1) * 4).alias("run_id"), "ci_log").join(bots, "run_id", "left_semi")
+        .join(t.commit_runs.select("run_id", "repo"), "run_id")
+    )
+    failures = failures.join(logs.select("repo", "run_id"), ["repo", "run_id"], "left_semi")
+    fixes = durable(pairing.green_commit_fix(failures.select("repo", "run_id", "workflow_name", "failing_sha"), t.commits, t.commit_runs))
+    # The commit's own files stand for the comparison with the failing commit; files of no fix are left out.
+    files = t.commit_files.join(fixes.select("repo", F.col("fix_sha").alias("sha")).distinct(), ["repo", "sha"], "left_semi")
     diffs = fixes.select("repo", "failing_sha", "fix_sha").distinct().join(
-        pairing.assemble_diff(t.commit_files, ["repo", "sha"]).withColumnRenamed("sha", "fix_sha"), ["repo", "fix_sha"]
+        pairing.assemble_diff(files, ["repo", "sha"]).withColumnRenamed("sha", "fix_sha"), ["repo", "fix_sha"]
     )
-    logs = t.ci_pairs.select(((F.col("id") + 1) * 4).alias("run_id"), "ci_log").join(t.commit_runs.select("run_id", "repo"), "run_id")
     return pairing.github_pairs(failures, logs, fixes.select("repo", "run_id", "fix_sha"), diffs, bots_only=True).drop("ci_platform")
 
 

@@ -87,3 +87,16 @@ def test_patches_of_a_fix_are_moved_once(spark):
     above = plan[:plan.index("array_join(transform(")]
     spine = [line for line in above.splitlines() if "Exchange" in line and line.lstrip().startswith("+-")]
     assert not spine
+
+
+def test_only_files_of_fixes_are_assembled(spark, folder, monkeypatch):
+    given = []
+
+    def assemble(files, keys, n=None, whole=pairing.assemble_diff):
+        given.append(files.select("sha").distinct().count())
+        return whole(files, keys, n)
+
+    monkeypatch.setattr(pairing, "assemble_diff", assemble)
+    pairs = QUERIES["github_pairs"](spark, folder)
+    assert given[0] <= 3  # the newest green commit of each workflow
+    assert pairs.filter(F.col("has_fix") & (F.col("fix_diff") != "")).count() > 0
