@@ -29,11 +29,11 @@ How it scales:
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from buildmend.functions.text import text_or_empty, words
-from buildmend.operators.signatures import signatures, wide_sketch
+from buildmend.operators.signatures import folded_sketch, signatures, wide_sketch
 from buildmend.session import durable
 from buildmend.sources.marks import named, whole
 
@@ -100,16 +100,32 @@ def slot_counts(sets: DataFrame) -> np.ndarray:
     return count_table(words_by_slot(sets))
 
 
+def shared_places(sets: DataFrame, threshold: float) -> DataFrame:
+    """(ord, bucket, same_id) of the records that share a bucket, a signature or an id, with others.
+
+    Most signatures belong to one record. All of them are dealt by bucket once, with
+    nothing but their record, and are counted where they lie: the places of one bucket,
+    a few numbers for each set of words, are in one task, which spills where they are many.
+    """
+    made = sets.select("ord", signatures(sets.sparkSession, F.col("words"), slot_counts(sets), threshold).alias("s"))
+    by_words = made.select("ord", F.explode("s.signs").alias("bucket"), F.lit(False).alias("same_id"))
+    by_id = sets.filter("again").select("ord", F.xxhash64("id").alias("bucket"), F.lit(True).alias("same_id"))
+    inside = F.count(F.lit(1)).over(Window.partitionBy("bucket", "same_id"))
+    return durable(by_words.unionByName(by_id).withColumn("n", inside).filter("n > 1").drop("n"))
+
+
+def meetings(sets: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
+    """`meeting_places`, and the sets (ord, words, n_words, wide) of the records that are in them."""
+    shared = shared_places(sets, threshold)
+    live = shared.select("ord").distinct()
+    met_sets = durable(sets.join(live, "ord", "left_semi").select("ord", "words", "n_words", wide_sketch(F.col("words")).alias("wide")))
+    bits = met_sets.select("ord", "n_words", folded_sketch(F.col("wide")).alias("bits"))
+    return durable(shared.join(bits, "ord")), met_sets
+
+
 def meeting_places(sets: DataFrame, threshold: float) -> DataFrame:
-    """(ord, n_words, bits, bucket, same_id) of the records that share a bucket, a signature or an id, with others."""
-    made = sets.select("ord", "n_words", signatures(sets.sparkSession, F.col("words"), slot_counts(sets), threshold).alias("s"))
-    by_words = made.select("ord", "n_words", "s.bits", F.explode("s.signs").alias("bucket"), F.lit(False).alias("same_id"))
-    by_id = sets.filter("again").select(
-        "ord", "n_words", F.lit(0).cast("long").alias("bits"), F.xxhash64("id").alias("bucket"), F.lit(True).alias("same_id")
-    )
-    places = durable(by_words.unionByName(by_id))
-    shared = durable(places.groupBy("bucket", "same_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n"))
-    return durable(places.join(shared, ["bucket", "same_id"], "left_semi"))
+    """(ord, n_words, bits, bucket, same_id) of the records that share a bucket with others."""
+    return meetings(sets, threshold)[0]
 
 
 def may_differ(n_words: Column, threshold: float) -> Column:
@@ -242,10 +258,9 @@ def decide_sets(records: DataFrame, threshold: float, batch_rows: int = BATCH_RO
     """As `decide`, from a table of word sets."""
     sets = durable(records.join(distinct_sets(records), "ord").withColumn("n_words", F.size("words")))
 
-    places = meeting_places(sets, threshold)
-    live = durable(places.select("ord").distinct())
     # From here on only records that meet others are read.
-    met_sets = durable(sets.join(live, "ord", "left_semi").select("ord", "words", "n_words", wide_sketch(F.col("words")).alias("wide")))
+    places, met_sets = meetings(sets, threshold)
+    live = durable(met_sets.select("ord"))
     marks = batch_marks(live, batch_rows)
     decided, kept = [], None
     for start, end in zip([None, *marks], [*marks, None]):
@@ -254,7 +269,10 @@ def decide_sets(records: DataFrame, threshold: float, batch_rows: int = BATCH_RO
             inside = inside & (F.col("ord") < literal(end))
         now, rest, ours = places.filter(inside), live.filter(inside), met_sets.filter(inside)
         if kept is not None:
-            edges = similar(now, places.join(kept, "ord", "left_semi"), ours, met_sets, threshold)
+            # What lies ahead doubles with each batch, so over all batches it is read about once.
+            ahead = F.col("ord") < literal(start)
+            held = places.filter(ahead).join(kept, "ord", "left_semi")
+            edges = similar(now, held, ours, met_sets.filter(ahead), threshold)
             gone = durable(repeats(edges))
             decided.append(gone)
             now, rest = now.join(gone, "ord", "left_anti"), rest.join(gone, "ord", "left_anti")

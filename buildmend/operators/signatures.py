@@ -19,6 +19,7 @@ hardly ever shared by chance, however many records there are.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -148,6 +149,11 @@ def wide_sketch(words: Column) -> Column:
     return sketched(words)
 
 
+def folded_sketch(wide: Column) -> Column:
+    """A wide sketch as 64 bits. A word turns one bit of these too: sets differ in as many words at least as their bits do."""
+    return reduce(lambda a, b: a.bitwiseXOR(b), [wide[i] for i in range(WIDE)])
+
+
 def signatures(spark: SparkSession, words: Column, counts: np.ndarray, threshold: float) -> Column:
     """Struct (bits, signs) of a column of word hashes; ``counts`` tells rare words from common ones."""
     shared = spark.sparkContext.broadcast(counts)

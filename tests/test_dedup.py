@@ -207,3 +207,22 @@ def test_wide_sketches_rule_out_large_sets_and_lose_none(spark):
         left = {tuple(r) for r in dedup.close(every.withColumn("same_id", F.lit(same_id)), sets, sets, 0.85).select("ord", "earlier").collect()}
         assert len(left) == every.count() if same_id else len(alike) >= 4 and alike <= left and len(left) <= 8
     assert run(spark, rows) == greedy(rows)
+
+
+def test_a_batch_reads_only_sets_ahead_of_it(spark, monkeypatch):
+    """Over all batches the table is read about once, not once for each batch."""
+    rng = random.Random(8)
+    bases = [words(rng, 40) for _ in range(30)]
+    rows = [(i, f"id{i}", varied(rng, bases[i % 30], rng.randrange(1, 9))) for i in range(150)]
+    seen, real = [], dedup.similar
+
+    def looked_at(later, earlier, ours, theirs, threshold):
+        seen.append((ours.agg(F.min("ord")).first()[0], theirs.agg(F.max("ord")).first()[0], earlier.agg(F.max("ord")).first()[0], ours is theirs))
+        return real(later, earlier, ours, theirs, threshold)
+
+    monkeypatch.setattr(dedup, "similar", looked_at)
+    assert run(spark, rows, batch_rows=20) == greedy(rows)
+    across = [s for s in seen if not s[3]]
+    assert len(across) >= 2
+    for first, read, met, _ in across:
+        assert read < first and (met is None or met < first)
