@@ -17,10 +17,11 @@ How it scales:
   far and then within itself. Of a hot group only what is kept goes on, so its
   pairs are never listed, and the number of passes grows with the logarithm of
   the table, not with any group or bucket.
-* A pair that meets goes on only if 64 bits of each set, and 512 bits after
-  that, leave room for enough shared words; others are never fetched.
+* A pair that meets goes on only if 64 bits of each set, and 512 bits or more (one
+  for each word) after that, leave room for enough shared words; others are never fetched.
 * Every comparison is checked on the whole word sets, which are read only of
-  records that meet others. Joins are between tables, so that a hot signature
+  records that meet others. They are by far the largest table and are written once;
+  short lists of records are sent to them. Joins are between tables, so that a hot signature
   is split over tasks.
 * New records are compared with a stored index of what is kept (`add_increment`),
   never with the texts of the corpus.
@@ -33,8 +34,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from buildmend.functions.text import text_or_empty, words
-from buildmend.operators.signatures import folded_sketch, signatures, wide_sketch
-from buildmend.session import durable
+from buildmend.operators.signatures import folded_sketch, narrowed, signatures, wide_sketch
+from buildmend.session import durable, step
 from buildmend.sources.marks import named, whole
 
 THRESHOLD = 0.85
@@ -44,6 +45,8 @@ BATCH_ROWS = 8192  # of the first batch
 SLOTS = 1 << 20
 #: Records whose places mark out the batches.
 MARKS = 100_000
+#: Rows of a list of records that is sent to every task, so that the word sets need not be dealt out to meet it.
+SENT_ROWS = 500_000
 
 
 def hashed_words(content: Column) -> Column:
@@ -100,7 +103,31 @@ def slot_counts(sets: DataFrame) -> np.ndarray:
     return count_table(words_by_slot(sets))
 
 
-def shared_places(sets: DataFrame, threshold: float) -> DataFrame:
+def sent(rows: DataFrame) -> DataFrame:
+    """A table that joins without moving the other side, if it has few rows."""
+    return F.broadcast(rows) if rows.limit(SENT_ROWS + 1).count() <= SENT_ROWS else rows
+
+
+def row_of() -> Column:
+    """Which of several records in one place a row is."""
+    return F.xxhash64("id", "set_key").alias("row")
+
+
+def only(records: DataFrame, rows: DataFrame) -> DataFrame:
+    """The records (ord, id, words, set_key) that are among ``rows`` (ord, id, set_key), with ``n_words``.
+
+    Nearly all of them are, so the list of the others is what is sent to the
+    word sets, which are larger than all else and stay where they lie.
+    """
+    others = records.select("ord", row_of()).join(rows.select("ord", row_of()), ["ord", "row"], "left_anti")
+    others = durable(others.filter(F.col("ord").isNotNull()).distinct())
+    few = sent(others)
+    left = records.filter(F.col("ord").isNotNull()).select("*", row_of()).join(few, ["ord", "row"], "left_anti")
+    left = left.select("ord", "id", "words", "set_key", F.size("words").alias("n_words"))
+    return left if few is not others else durable(left)  # dealt out once, and not by each that reads it
+
+
+def shared_places(sets: DataFrame, threshold: float, by_id: DataFrame | None = None) -> DataFrame:
     """(ord, bucket, same_id) of the records that share a bucket, a signature or an id, with others.
 
     Most signatures belong to one record. All of them are dealt by bucket once, with
@@ -109,18 +136,24 @@ def shared_places(sets: DataFrame, threshold: float) -> DataFrame:
     """
     made = sets.select("ord", signatures(sets.sparkSession, F.col("words"), slot_counts(sets), threshold).alias("s"))
     by_words = made.select("ord", F.explode("s.signs").alias("bucket"), F.lit(False).alias("same_id"))
-    by_id = sets.filter("again").select("ord", F.xxhash64("id").alias("bucket"), F.lit(True).alias("same_id"))
+    by_id = sets if by_id is None else by_id
+    by_id = by_id.filter("again").select("ord", F.xxhash64("id").alias("bucket"), F.lit(True).alias("same_id"))
     inside = F.count(F.lit(1)).over(Window.partitionBy("bucket", "same_id"))
     return durable(by_words.unionByName(by_id).withColumn("n", inside).filter("n > 1").drop("n"))
 
 
-def meetings(sets: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
-    """`meeting_places`, and the sets (ord, words, n_words, wide) of the records that are in them."""
-    shared = shared_places(sets, threshold)
-    live = shared.select("ord").distinct()
-    met_sets = durable(sets.join(live, "ord", "left_semi").select("ord", "words", "n_words", wide_sketch(F.col("words")).alias("wide")))
+def meetings(sets: DataFrame, threshold: float, by_id: DataFrame | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """`meeting_places`, the records (ord) that are in them, and the sets (ord, words, n_words, wide) of these."""
+    shared = shared_places(sets, threshold, by_id)
+    live = durable(shared.select("ord").distinct())
+    met_sets = durable(sketched(sets.join(sent(live), "ord", "left_semi")))
     bits = met_sets.select("ord", "n_words", folded_sketch(F.col("wide")).alias("bits"))
-    return durable(shared.join(bits, "ord")), met_sets
+    return durable(shared.join(bits, "ord")), live, met_sets
+
+
+def sketched(sets: DataFrame) -> DataFrame:
+    """Sets as (ord, words, n_words, wide)."""
+    return sets.select("ord", "words", "n_words", wide_sketch(F.col("words")).alias("wide"))
 
 
 def meeting_places(sets: DataFrame, threshold: float) -> DataFrame:
@@ -164,7 +197,8 @@ def close(met: DataFrame, ours: DataFrame, theirs: DataFrame, threshold: float)
     """The pairs (ord, earlier, same_id) that may be similar by the wide sketches of (ord, n_words, wide)."""
     a = ours.select("ord", F.col("n_words").alias("n_a"), F.col("wide").alias("wide_a"))
     b = theirs.select(F.col("ord").alias("earlier"), F.col("n_words").alias("n_b"), F.col("wide").alias("wide_b"))
-    bits = F.zip_with("wide_a", "wide_b", lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+    width = F.least(F.size("wide_a"), F.size("wide_b"))
+    bits = F.zip_with(narrowed(F.col("wide_a"), width), narrowed(F.col("wide_b"), width), lambda x, y: F.bit_count(x.bitwiseXOR(y)))
     differ = F.aggregate(bits, F.lit(0), lambda total, n: total + n)
     alike = differ <= may_differ(F.col("n_a") + F.col("n_b"), threshold)
     return met.join(a, "ord").join(b, "earlier").filter(F.col("same_id") | alike).select("ord", "earlier", "same_id")
@@ -172,7 +206,12 @@ def close(met: DataFrame, ours: DataFrame, theirs: DataFrame, threshold: float)
 
 def similar(later: DataFrame, earlier: DataFrame, ours: DataFrame, theirs: DataFrame, threshold: float) -> DataFrame:
     """Edges (ord, earlier, similarity) between records that meet, checked on their whole sets (ord, words, n_words, wide)."""
-    met = durable(close(durable(pairs_met(later, earlier, threshold)), ours, theirs, threshold))
+    return checked(durable(pairs_met(later, earlier, threshold)), ours, theirs, threshold)
+
+
+def checked(met: DataFrame, ours: DataFrame, theirs: DataFrame, threshold: float) -> DataFrame:
+    """Those of the pairs (ord, earlier, same_id) that are edges, by sketches first."""
+    met = durable(close(met, ours, theirs, threshold))
     # Whole sets are read only of records that are in a pair, ahead of any shuffle of sets.
     ours = ours.select("ord", F.col("words").alias("a")).join(met.select("ord").distinct(), "ord", "left_semi")
     theirs = theirs.select(F.col("ord").alias("earlier"), F.col("words").alias("b"))
@@ -254,13 +293,16 @@ def word_sets(df: DataFrame, key: str, order: list[str] | None, text: list[str])
     return worded.withColumn("set_key", set_key)
 
 
-def decide_sets(records: DataFrame, threshold: float, batch_rows: int = BATCH_ROWS) -> tuple[DataFrame, DataFrame]:
-    """As `decide`, from a table of word sets."""
-    sets = durable(records.join(distinct_sets(records), "ord").withColumn("n_words", F.size("words")))
+def decide_sets(
+    records: DataFrame, threshold: float, batch_rows: int = BATCH_ROWS, rows: DataFrame | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """As `decide`, from a table of word sets, or of those of them that are among ``rows`` (ord, id, set_key)."""
+    everyone = records.select("ord", "id", "set_key") if rows is None else rows
+    standing = durable(everyone.join(distinct_sets(everyone), "ord"))
+    sets = only(records, standing)
 
     # From here on only records that meet others are read.
-    places, met_sets = meetings(sets, threshold)
-    live = durable(met_sets.select("ord"))
+    places, live, met_sets = meetings(sets, threshold, standing)
     marks = batch_marks(live, batch_rows)
     decided, kept = [], None
     for start, end in zip([None, *marks], [*marks, None]):
@@ -284,11 +326,11 @@ def decide_sets(records: DataFrame, threshold: float, batch_rows: int = BATCH_RO
         kept = stays if kept is None else kept.unionByName(stays)
 
     state = (
-        sets.select("ord", "set_key")
+        standing.select("ord", "set_key")
         .join(union(decided), "ord", "left")
         .withColumn("state", F.when(F.col("kept_ord").isNull(), "keep").otherwise("drop"))
     )
-    return records.select("ord", "id", "set_key"), state
+    return everyone, state
 
 
 def repeats(edges: DataFrame) -> DataFrame:
@@ -399,33 +441,41 @@ def add_increment(
     spark, order = df.sparkSession, order or [key]
     folder = f"{index.rstrip('/')}/batch={batch}"
     if not whole(spark, folder):
-        records = durable(word_sets(df, key, order, text))
-        counts = stored_counts(records, index)
-        held = index_batches(spark, index)
-        if held is not None:
-            records = durable(unlike(records, held, counts, threshold))
-        _, state = decide_sets(records, threshold, batch_rows)
-        kept = state.filter(F.col("state") == "keep").select("ord")
-        fresh = records.join(kept, "ord", "left_semi").withColumn("n_words", F.size("words"))
-        made = signatures(spark, F.col("words"), counts, threshold)
-        named(fresh.withColumn("s", made).select("*", "s.bits", "s.signs").drop("s"), folder)
+        with step(spark):
+            records = durable(word_sets(df, key, order, text))
+            counts = stored_counts(records, index)
+            held = index_batches(spark, index)
+            rows = records.select("ord", "id", "set_key")
+            if held is not None:
+                rows = durable(unlike(records, held, counts, threshold))
+            _, state = decide_sets(records, threshold, batch_rows, rows)
+            kept = rows.join(state.filter(F.col("state") == "keep").select("ord"), "ord", "left_semi")
+            made = signatures(spark, F.col("words"), counts, threshold)
+            named(only(records, kept).withColumn("s", made).select("*", "s.bits", "s.signs").drop("s"), folder)
     kept = spark.read.parquet(folder).select("ord")
     return df.join(kept.select(*[part_of("ord", order, c).alias(c) for c in order]), order, "left_semi")
 
 
 def unlike(records: DataFrame, held: DataFrame, counts: np.ndarray, threshold: float) -> DataFrame:
-    """Those of the records that repeat nothing in the index, by id or by words."""
-    fresh = records.join(held.select("id"), "id", "left_anti")
-    sets = fresh.groupBy("set_key").agg(F.min("ord").alias("ord"), F.first("words").alias("words"))
-    sets = durable(sets.join(held.select("set_key"), "set_key", "left_anti").withColumn("n_words", F.size("words")))
+    """Those of the records, as (ord, id, set_key), that repeat nothing in the index, by id or by words."""
+    fresh = durable(
+        records.select("ord", "id", "set_key")
+        .join(held.select("id"), "id", "left_anti")
+        .join(held.select("set_key"), "set_key", "left_anti")
+        .select("ord", "id", "set_key")
+    )
+    # One record stands for all of its set.
+    first = fresh.groupBy("set_key").agg(F.min(F.when(F.col("ord").isNotNull(), F.struct("ord", "id"))).alias("_first")).select("set_key", "_first.*")
+    first = durable(first)
+    sets = only(records, first)
     no = F.lit(False).alias("same_id")
     made = sets.select("ord", "n_words", signatures(sets.sparkSession, F.col("words"), counts, threshold).alias("s"))
     ours = made.select("ord", "n_words", "s.bits", F.explode("s.signs").alias("bucket"), no)
     theirs = held.select("ord", "n_words", "bits", F.explode("signs").alias("bucket"), no)
     met = durable(pairs_met(ours, theirs, threshold, backward=False))
-    # Whole sets are fetched only for records that were met.
-    a = sets.select("ord", F.col("words").alias("a"))
-    b = held.select(F.col("ord").alias("earlier"), F.col("words").alias("b"))
-    gone = met.join(a, "ord").join(b, "earlier").filter(similarity_of("a", "b") >= threshold).select("ord").distinct()
-    stays = durable(sets.select("set_key", "ord").join(gone, "ord", "left_anti").select("set_key"))
-    return fresh.join(stays, "set_key", "left_semi")
+    # Sets are read only of records that were met, whole ones only of those that their sketches leave.
+    ours = sets.join(sent(met.select("ord").distinct()), "ord", "left_semi")
+    theirs = held.join(sent(met.select(F.col("earlier").alias("ord")).distinct()), "ord", "left_semi")
+    gone = checked(met, sketched(ours), sketched(theirs), threshold).select("ord").distinct()
+    stays = first.join(gone, "ord", "left_anti").select("set_key")
+    return fresh.join(stays, "set_key", "left_semi").select("ord", "id", "set_key")

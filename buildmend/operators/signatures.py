@@ -7,7 +7,8 @@ together are a signature. Unlike one rare word, some five words together are
 hardly ever shared by chance, however many records there are.
 
 * Similar sets are of the same size class or of neighbouring ones. The number
-  of parts is fixed for each class and each pair of neighbours.
+  of parts is fixed for each pair of neighbours, and is enough for two sets of
+  one class as well, so that a set gives signatures of two pairs and no more.
 * There are ``spare`` parts beyond those that may differ, so that more than
   ``spare`` parts are the same. A set leaves out the ``spare`` parts whose words
   are the most common; the rarest of the parts that are the same is among the
@@ -19,7 +20,6 @@ hardly ever shared by chance, however many records there are.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +33,7 @@ SPARE = 0.5
 #: A part of common words holds less than this share of the bits that tell a record from all others.
 COMMON = 0.75
 SLIGHT = 1e-6
-#: 64-bit numbers of a wide sketch.
+#: 64-bit numbers of a wide sketch at least.
 WIDE = 8
 
 
@@ -76,7 +76,7 @@ def signs_of(words: np.ndarray, sizes: np.ndarray, counts: np.ndarray, t: float)
     own = np.searchsorted(first, np.maximum(sizes, 1), side="right") - 1
     place, content = mixed(words, 1) >> np.uint64(32), mixed(words, 2)
     keys, owners = [np.zeros(np.count_nonzero(sizes == 0), np.uint64)], [np.flatnonzero(sizes == 0)]
-    for lower, upper in ((own, own), (own, own + 1), (own - 1, own)):
+    for lower, upper in ((own, own + 1), (own - 1, own)):
         both = last[lower] + np.minimum(last[upper], (last[lower] / t + SLIGHT).astype(np.int64))
         differ = (both * ((1 - t) / (1 + t)) + SLIGHT).astype(np.int64)
         spare = (differ * SPARE).astype(np.int64)
@@ -119,13 +119,18 @@ def sketches(words: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return out
 
 
-def wide_sketches(words: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """As `sketches`, with `WIDE` numbers a set: for sets of too many words for 64 bits."""
-    out = np.zeros(len(sizes) * WIDE, np.uint64)
-    drawn = mixed(words, 8)
-    at = np.repeat(np.arange(len(sizes)), sizes) * WIDE + ((drawn >> np.uint64(32)) % np.uint64(WIDE)).astype(np.int64)
+def wide_sketches(words: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """As `sketches`, with `WIDE` numbers a set, or as many more as give a set a bit for each word; how many they are.
+
+    A set that has more words than bits has its bits turned at random, and they
+    would rule out nothing. Numbers are a power of two, so that wide sketches fold into narrow ones.
+    """
+    width = WIDE << np.maximum(0, np.ceil(np.log2(np.maximum(sizes, 1) / (64 * WIDE)))).astype(np.int64)
+    out = np.zeros(int(width.sum()), np.uint64)
+    drawn, owner = mixed(words, 8), np.repeat(np.arange(len(sizes)), sizes)
+    at = (np.cumsum(width) - width)[owner] + ((drawn >> np.uint64(32)) % width[owner].astype(np.uint64)).astype(np.int64)
     np.bitwise_xor.at(out, at, np.uint64(1) << (drawn >> np.uint64(58)))
-    return out
+    return out, width
 
 
 def flat_sets(batch: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -142,8 +147,8 @@ def wide_sketch(words: Column) -> Column:
     def sketched(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
             flat, ends = flat_sets(batch)
-            out = wide_sketches(flat[ends[0]:ends[-1]], np.diff(ends))
-            offsets = pa.array(np.arange(len(ends)) * WIDE, pa.int32())
+            out, width = wide_sketches(flat[ends[0]:ends[-1]], np.diff(ends))
+            offsets = pa.array(np.concatenate([[0], np.cumsum(width)]), pa.int32())
             yield pa.ListArray.from_arrays(offsets, pa.array(out.view(np.int64)))
 
     return sketched(words)
@@ -151,7 +156,15 @@ def wide_sketch(words: Column) -> Column:
 
 def folded_sketch(wide: Column) -> Column:
     """A wide sketch as 64 bits. A word turns one bit of these too: sets differ in as many words at least as their bits do."""
-    return reduce(lambda a, b: a.bitwiseXOR(b), [wide[i] for i in range(WIDE)])
+    return F.aggregate(wide, F.lit(0).cast("long"), lambda a, b: a.bitwiseXOR(b))
+
+
+def narrowed(wide: Column, width: Column) -> Column:
+    """A wide sketch as so many numbers, as the set would have it if it were smaller."""
+    rounds = F.sequence(F.lit(0), (F.size(wide) / width).cast("int") - 1)
+    none = F.array_repeat(F.lit(0).cast("long"), width)
+    folded = F.aggregate(rounds, none, lambda total, n: F.zip_with(total, F.slice(wide, n * width + 1, width), lambda a, b: a.bitwiseXOR(b)))
+    return F.when(F.size(wide) == width, wide).otherwise(folded)
 
 
 def signatures(spark: SparkSession, words: Column, counts: np.ndarray, threshold: float) -> Column:

@@ -7,10 +7,13 @@ import contextlib
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 _MADE: dict[str, list[str]] = {}  # paths by application
+_STEP: ContextVar[list[str] | None] = ContextVar("step", default=None)  # paths of the innermost step
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -36,9 +39,25 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path below the shared folder, removed when the job releases it or ends."""
     path = f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
     _MADE.setdefault(spark.sparkContext.applicationId, []).append(path)
+    if _STEP.get() is not None:
+        _STEP.get().append(path)
     return path
 
 
+@contextlib.contextmanager
+def step(spark: SparkSession) -> Iterator[None]:
+    """Remove the scratch tables made inside as soon as it ends; its results are to be written by then."""
+    made: list[str] = []
+    token = _STEP.set(made)
+    try:
+        yield
+    finally:
+        _STEP.reset(token)
+        remove(spark, made)
+        rest = _MADE.get(spark.sparkContext.applicationId, [])
+        rest[:] = [path for path in rest if path not in set(made)]
+
+
 def durable(df: DataFrame) -> DataFrame:
     """Cut the lineage: write a table to the shared folder and read it back.
 
@@ -53,7 +72,11 @@ def durable(df: DataFrame) -> DataFrame:
 
 def release(spark: SparkSession) -> None:
     """Remove all scratch tables of this application; results that read them are to be used before."""
-    for path in _MADE.pop(spark.sparkContext.applicationId, []):
+    remove(spark, _MADE.pop(spark.sparkContext.applicationId, []))
+
+
+def remove(spark: SparkSession, paths: list[str]) -> None:
+    for path in paths:
         place = spark._jvm.org.apache.hadoop.fs.Path(path)
         place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 

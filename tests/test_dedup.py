@@ -1,10 +1,11 @@
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from buildmend.operators import dedup
-from buildmend.session import durable
+from buildmend.operators import dedup, signatures
+from buildmend.session import durable, scratch_path, step
 
 
 def greedy(rows, threshold=0.85):
@@ -226,3 +227,91 @@ def test_a_batch_reads_only_sets_ahead_of_it(spark, monkeypatch):
     assert len(across) >= 2
     for first, read, met, _ in across:
         assert read < first and (met is None or met < first)
+
+
+def test_sketches_rule_out_sets_of_thousands_of_words(spark):
+    """Sets of more words than 512 bits can tell apart, on both sides of a size at which sketches widen."""
+    rng = random.Random(7)
+    common = [f"c{i}" for i in range(900)]
+    rows = [(i, f"id{i}", " ".join(common + words(rng, 2800 + 90 * (i % 10)))) for i in range(20)]
+    rows += [(100 + i, f"copy{i}", varied(rng, rows[i][2].split(), 40 + 30 * i)) for i in range(6)]
+    rows += [(200 + i, f"long{i}", rows[i][2] + " " + " ".join(words(rng, 450))) for i in range(10)]
+    df = spark.createDataFrame([(o, i, t, "") for o, i, t in rows], "ord int, id string, ci_log string, fix_diff string")
+    sets = durable(dedup.sketched(dedup.word_sets(df, "id", ["ord"], ["ci_log", "fix_diff"]).selectExpr("*", "size(words) AS n_words")))
+    assert {r.n for r in sets.selectExpr("size(wide) AS n").collect()} == {64, 128}
+    every = sets.select("ord").crossJoin(sets.select(F.col("ord").alias("earlier"))).filter("earlier < ord").withColumn("same_id", F.lit(False))
+    left = {tuple(r) for r in dedup.close(every, sets, sets, 0.85).select("ord", "earlier").collect()}
+    texts = {o: set(t.split()) for o, _, t in rows}
+    alike = {(a, b) for a in texts for b in texts if b < a and len(texts[a] & texts[b]) >= 0.85 * len(texts[a] | texts[b])}
+    assert len(alike) >= 15 and alike <= left and len(left) <= len(alike) + 10  # of 630 pairs
+    assert run(spark, rows) == greedy(rows)
+
+
+def test_a_set_gives_signatures_of_two_pairs_of_sizes():
+    """Two sets of one size class meet in the signatures that they have with the classes beside it."""
+    rng = np.random.default_rng(1)
+    sets = [rng.integers(0, 2**63, n).astype(np.uint64) for n in (100, 300, 1000)]
+    keys, owners = signatures.signs_of(np.concatenate(sets), np.array([len(s) for s in sets]), np.zeros(64, np.int64), 0.85)
+    given = np.bincount(owners)
+    assert all(given < [45, 125, 410])
+    for s in sets:
+        n = int(len(s) * 0.15 / 1.85)  # of each, so that 0.85 are shared
+        other = np.concatenate([s[n:], rng.integers(0, 2**63, n).astype(np.uint64)])
+        both, of = signatures.signs_of(np.concatenate([s, other]), np.array([len(s)] * 2), np.zeros(64, np.int64), 0.85)
+        assert set(both[of == 0]) & set(both[of == 1])
+
+
+def scratch_tables(spark):
+    place = spark._jvm.org.apache.hadoop.fs.Path(spark.conf.get("spark.checkpoint.dir"))
+    return {str(f.getPath()) for f in place.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(place)}
+
+
+def test_an_increment_leaves_its_index_and_no_scratch_tables(spark, tmp_path):
+    rng = random.Random(12)
+    rows = [(i, f"id{i}", " ".join(words(rng, 20))) for i in range(30)]
+    rows += [(30 + i, f"jd{i}", varied(rng, rows[i][2].split(), 1)) for i in range(10)]
+    before = scratch_tables(spark)
+    assert increments(spark, rows, [rows[:20], rows[20:]], str(tmp_path / "index")) == greedy(rows)
+    assert scratch_tables(spark) == before
+
+
+def test_a_step_removes_only_its_own_tables(spark):
+    outer = scratch_path(spark, "outer")
+    spark.range(1).write.parquet(outer)
+    with pytest.raises(ValueError), step(spark):
+        made = durable(spark.range(3))
+        with step(spark):
+            durable(spark.range(2))
+        assert made.count() == 3
+        between = scratch_tables(spark)
+        raise ValueError
+    left = scratch_tables(spark)
+    assert len(between - left) == 1 and left < between and spark.read.parquet(outer).count() == 1
+
+
+def test_increments_write_word_sets_once_and_do_not_move_them(spark, tmp_path, monkeypatch):
+    """Besides the index, one table of whole sets is written for each increment, and copies of sets that meet others."""
+    rng = random.Random(13)
+    rows = [(i, f"id{i}", " ".join(words(rng, 30))) for i in range(60)]
+    rows += [(60 + i, f"jd{i}", rows[i][2]) for i in range(5)] + [(70 + i, f"kd{i}", varied(rng, rows[i][2].split(), 1)) for i in range(5)]
+    written, real = [], dedup.durable
+
+    def counted(df):
+        out = real(df)
+        if "words" in df.columns:
+            written.append(out.count())
+        return out
+
+    monkeypatch.setattr(dedup, "durable", counted)
+    assert increments(spark, rows, [rows[:40], rows[40:]], str(tmp_path / "index")) == greedy(rows)
+    whole_sets = [n for n in written if n >= 25]
+    assert whole_sets == [40, 30] and len(written) == 4
+
+
+def test_lists_too_long_to_be_sent_give_the_same_rows(spark, tmp_path, monkeypatch):
+    rng = random.Random(14)
+    base = words(rng, 40)
+    rows = [varied(rng, base, i % 9) for i in range(25)] + [" ".join(words(rng, 30)) for _ in range(15)]
+    rows = [(i, f"id{rng.randrange(30)}" if i % 3 else f"own{i}", t) for i, t in enumerate(rows + rows[:10])]
+    monkeypatch.setattr(dedup, "SENT_ROWS", 0)
+    assert increments(spark, rows, [rows[:20], rows[20:]], str(tmp_path / "index")) == greedy(rows)
